@@ -18,14 +18,13 @@ def _as_col(c: str | Column) -> Column:
 
 
 def _escaped(c: Column, sep: str) -> Column:
-    """Escape the escape char, the separator and the NULL token inside a value.
+    """Escape the escape char, then every separator / NULL-token char, inside a value.
 
     Without this, ('a|', 'b') and ('a', '|b') or a real '~' and NULL hash alike.
     """
-    s = c.cast("string")
-    s = F.replace(s, F.lit(ESCAPE), F.lit(ESCAPE + ESCAPE))
-    s = F.replace(s, F.lit(sep), F.lit(ESCAPE + sep))
-    s = F.when(s == F.lit(NULL_TOKEN), F.lit(ESCAPE + NULL_TOKEN)).otherwise(s)
+    s = F.replace(c.cast("string"), F.lit(ESCAPE), F.lit(ESCAPE + ESCAPE))
+    for ch in dict.fromkeys(sep + NULL_TOKEN):
+        s = F.replace(s, F.lit(ch), F.lit(ESCAPE + ch))
     return s
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality
+from . import cdc, quality
 from .oracle import ORACLE
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,8 @@ def queries() -> dict[str, Query]:
                          "dq_metrics", "dq_all_failed_rules", "dq_report", "audit_log",
                          "dq_cross_column", "derived_rates", "fk_orphans", "union_missing_cols",
                          "bucket_case"])
+    q |= _from(cdc, ["cdc_latest", "cdc_superseded", "cdc_merge", "cdc_delete_unknown",
+                     "cdc_late_change", "scd2_new", "scd2_changed", "scd2_apply", "scd2_init"])
     return q
 
 
