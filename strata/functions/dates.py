@@ -42,4 +42,4 @@ def shift_days(c: str | Column, days: int) -> Column:
 
 
 def shift_seconds(c: str | Column, seconds: int) -> Column:
-    return F.timestampadd("SECOND", F.lit(seconds), _as_col(c))
+    return F.timestamp_add("SECOND", F.lit(seconds), _as_col(c))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import cdc, quality
+from . import cdc, quality, star
 from .oracle import ORACLE
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,9 @@ def queries() -> dict[str, Query]:
                          "bucket_case"])
     q |= _from(cdc, ["cdc_latest", "cdc_superseded", "cdc_merge", "cdc_delete_unknown",
                      "cdc_late_change", "scd2_new", "scd2_changed", "scd2_apply", "scd2_init"])
+    q |= _from(star, ["sk_dense", "dim_order", "dim_from_fact", "dim_versions", "fact_temporal_join",
+                      "chk_fact_grain", "fact_star_join", "fact_unknown_member", "fact_maintenance",
+                      "cost_split", "date_shift", "dim_date"])
     return q
 
 
