@@ -115,7 +115,7 @@ def violations(failed: DataFrame, source_table: str, record_key: str | Column,
     rid = F.col(REASON) if rule_id is None else F.lit(rule_id) if isinstance(rule_id, str) else rule_id
     desc = F.lit(None).cast("string")
     if descriptions:
-        desc = F.element_at(F.create_map(*[F.lit(x) for kv in descriptions.items() for x in kv]), rid)
+        desc = F.try_element_at(F.create_map(*[F.lit(x) for kv in descriptions.items() for x in kv]), rid)
     ctx = ctx or RunContext(run_id="unset")
     cols = [
         stable_id(F.lit(source_table), as_col(locator), rid).alias("violation_id"),

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import cdc, quality, star
+from . import cdc, governed, quality, star
 from .oracle import ORACLE
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,8 @@ def queries() -> dict[str, Query]:
     q |= _from(star, ["sk_dense", "dim_order", "dim_from_fact", "dim_versions", "fact_temporal_join",
                       "chk_fact_grain", "fact_star_join", "fact_unknown_member", "fact_maintenance",
                       "cost_split", "date_shift", "dim_date"])
+    q |= _from(governed, ["rls_scoped", "cls_mask", "chk_unmasked", "chk_rls_scope",
+                          "chk_date_coverage", "chk_fk_left_null", "chk_reconcile", "chk_not_null"])
     return q
 
 
