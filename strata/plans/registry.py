@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import cdc, governed, quality, star
+from . import cdc, governed, io, quality, star
 from .oracle import ORACLE
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,8 @@ def queries() -> dict[str, Query]:
                       "cost_split", "date_shift", "dim_date"])
     q |= _from(governed, ["rls_scoped", "cls_mask", "chk_unmasked", "chk_rls_scope",
                           "chk_date_coverage", "chk_fk_left_null", "chk_reconcile", "chk_not_null"])
+    q |= _from(io, ["json_roundtrip", "csv_roundtrip", "source_file", "conform_schema",
+                    "stream_ingest", "stream_rerun", "layout_same_rows"])
     return q
 
 
