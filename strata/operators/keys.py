@@ -4,15 +4,15 @@
 a single task. Here the rows are range-partitioned on the key (sampled bounds), sorted
 inside each range, checkpointed into the shared checkpoint folder (so both uses below
 see the same partitions, and a lost executor re-reads files instead of re-sampling),
-and numbered as `offset(partition) + position in partition`. Only one row per
-partition goes through the small offsets step.
+and numbered as `offset(partition) + position in partition`; the offsets come from the
+per-partition counts (one number per partition), so no row ever leaves its task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
@@ -28,17 +28,17 @@ def dense_keys(df: DataFrame, order_cols: Sequence[str], sk_col: str, start: int
     ranged = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
               .checkpoint(eager=True))
     pid = F.spark_partition_id()
-    counts = ranged.groupBy(pid.alias("__pid")).agg(F.count(F.lit(1)).alias("__n"))
-    # One row per range partition (at most n rows): the unpartitioned window is bounded.
-    before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("__pid", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
-    numbered = ranged.withColumns({
-        "__pid": pid,
-        "__pos": F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33),
-    })
-    out = numbered.join(F.broadcast(offsets), "__pid")
-    return (out.withColumn(sk_col, (F.col("__off") + F.col("__pos") + F.lit(start)).cast("bigint"))
-            .drop("__pid", "__pos", "__off"))
+    # Only the per-partition row counts (n numbers, independent of data size) reach the
+    # driver — the same step `RDD.zipWithIndex` takes — and return as a literal array.
+    counts = dict(ranged.groupBy(pid.alias("p")).count().collect())
+    offsets, run = [], 0
+    for p in range(max(counts, default=-1) + 1):
+        offsets.append(run)
+        run += counts.get(p, 0)
+    off = F.element_at(F.array(*[F.lit(o) for o in offsets] or [F.lit(0)]), pid + 1) \
+        if offsets else F.lit(0)
+    pos = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)
+    return ranged.withColumn(sk_col, (off.cast("long") + pos + F.lit(start)).cast("bigint"))
 
 
 def assign_keys(rows: DataFrame, natural_key: Sequence[str], sk_col: str,
