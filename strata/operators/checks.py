@@ -31,6 +31,17 @@ def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str
     return child.join(keys, F.col(child_key) == F.col("__pk"), "left_anti")
 
 
+def fk_violations(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str,
+                  source_table: str, rule_id: str, locator: str | None = None,
+                  ctx: RunContext | None = None, description: str = "orphan foreign key") -> DataFrame:
+    """Cross-table FK check as violation records (action WARN: the row is kept)."""
+    from .rules import WARN, violations
+    o = orphans(child, parent, child_key, parent_key)
+    return violations(o, source_table, child_key, locator or child_key, rule_id=rule_id,
+                      descriptions={rule_id: description}, action=WARN, ctx=ctx,
+                      field_name=child_key, field_value=F.col(child_key))
+
+
 def count_orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
     return orphans(child, parent, child_key, parent_key).agg(F.count(F.lit(1)).alias("n"))
 
@@ -72,10 +83,13 @@ def distinct_count(df: DataFrame, column: str, alias: str = "n") -> DataFrame:
     return df.agg(F.count_distinct(column).cast("bigint").alias(alias))
 
 
-def unmasked_count(df: DataFrame, column: str, suffix: str = "***") -> DataFrame:
-    """Whole-column masking check (not a sample); NULL counts as unmasked."""
-    like = F.coalesce(F.col(column), F.lit("")).like("%" + suffix.replace("%", r"\%"))
-    return df.agg(F.count_if(~like).cast("bigint").alias("n"))
+def unmasked_count(df: DataFrame, column: str, suffix: str = "***", null_ok: bool = False) -> DataFrame:
+    """Whole-column masking check (not a 10-row sample). NULL counts as unmasked unless
+    `null_ok` (a NULL value reveals nothing)."""
+    c = F.col(column)
+    like = F.coalesce(c, F.lit("")).like("%" + suffix.replace("%", r"\%"))
+    bad = ~like & c.isNotNull() if null_ok else ~like
+    return df.agg(F.count_if(bad).cast("bigint").alias("n"))
 
 
 def schema_gaps(df: DataFrame, required: Iterable[str], optional: Iterable[str] = ()) -> dict:

@@ -31,7 +31,10 @@ def row_scope(df: DataFrame, scope_col: str, entitlements: DataFrame, principal:
     # Catalyst constant-folds a scope function; no data row goes through the driver.
     if allowed.filter(F.col("__scope") == ALL).limit(1).count() > 0:
         return df
-    return df.join(allowed, F.col(scope_col).cast("string") == F.col("__scope"), "left_semi")
+    # Cast the small entitlement side to the data column's type, not the other way
+    # round, so the big side keeps its native join key.
+    typed = allowed.select(F.col("__scope").cast(df.schema[scope_col].dataType).alias("__scope"))
+    return df.join(typed, F.col(scope_col) == F.col("__scope"), "left_semi")
 
 
 def mask_columns(df: DataFrame, masks: Mapping[str, Callable[[Column], Column]]) -> DataFrame:

@@ -109,10 +109,10 @@ def derived_rates(spark, sf_dir):
 
 def fk_orphans(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    orphans = checks.orphans(t.orders, t.lineitem, "o_orderkey", "l_orderkey")
-    return orphans.select("o_orderkey", F.lit("DQ-010").alias("violated_rule_id"),
-                          F.col("o_orderkey").cast("string").alias("field_value"),
-                          F.lit(rules.WARN).alias("action_taken"))
+    v = checks.fk_violations(t.orders, t.lineitem, "o_orderkey", "l_orderkey", "orders", "DQ-010",
+                             ctx=RUN)
+    return v.select(F.col("record_key").cast("bigint").alias("o_orderkey"), "violated_rule_id",
+                    "field_value", "action_taken")
 
 
 def union_missing_cols(spark, sf_dir):
