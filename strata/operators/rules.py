@@ -150,3 +150,20 @@ def metrics(classified: DataFrame) -> DataFrame:
         F.count_if(d == QUARANTINED).alias("n_bad"),
         F.count_if(d == DUPLICATE).alias("n_dup"),
     )
+
+
+def write_classified(classified: DataFrame, path: str, ctx: RunContext, fmt: str = "parquet",
+                     partition_by: Sequence[str] = ()) -> dict:
+    """One write of the classified frame, partitioned by run and disposition; the balance
+    counts ride on that same job through an `Observation` (no extra count jobs, and no
+    chance that counts and written rows come from different evaluations)."""
+    from pyspark.sql import Observation
+
+    from ..sources.writers import write_run
+    obs = Observation(f"classified-{ctx.run_id}")
+    d = F.col(DISPOSITION)
+    observed = classified.observe(
+        obs, F.count(F.lit(1)).alias("n_in"), F.count_if(d == VALID).alias("n_valid"),
+        F.count_if(d == QUARANTINED).alias("n_bad"), F.count_if(d == DUPLICATE).alias("n_dup"))
+    write_run(observed, path, ctx.run_id, fmt=fmt, partition_by=[DISPOSITION, *partition_by])
+    return obs.get

@@ -35,6 +35,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                .config("spark.driver.memory", os.environ.get("STRATA_DRIVER_MEMORY", "8g")))
     for k, v in {**SCALE_DEFAULTS, **(extra or {})}.items():
         builder = builder.config(k, v)
+    if "spark.sql.warehouse.dir" not in (extra or {}):
+        # local runs only: a fresh warehouse folder instead of ./spark-warehouse
+        builder = builder.config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="run-wh-", dir="/tmp"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)

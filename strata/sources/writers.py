@@ -62,3 +62,11 @@ def write_snapshot(df: DataFrame, base: str, version: int, fmt: str = "parquet")
 def write_landing(df: DataFrame, path: str, fmt: str, **options) -> None:
     """Landing-file writer (JSON / CSV / Parquet), one file per task."""
     df.write.format(fmt).options(**options).mode("errorifexists").save(path)
+
+
+def write_bucketed(df: DataFrame, table: str, keys: Sequence[str], n_buckets: int,
+                   fmt: str = "parquet", mode: str = "overwrite") -> None:
+    """Catalog table bucketed and sorted on the join key: two tables bucketed the same
+    way join without shuffling either side (co-located sort-merge join)."""
+    (df.write.format(fmt).mode(mode).bucketBy(n_buckets, *keys).sortBy(*keys)
+     .saveAsTable(table))

@@ -70,3 +70,15 @@ def test_violation_payload_keeps_row(spark):
     df = spark.createDataFrame([(7, None, 1.0, None)], SCHEMA)
     v = R.violations(R.tag_rules(df, _rules()), "t", "dev", "id", payload=True).first()
     assert '"id":7' in v.payload
+
+
+def test_write_classified_observes_counts_in_the_write(spark, scratch):
+    from strata.plans import quality
+    c = quality.classified(spark, "/root/testdata/sf0.001")
+    p = scratch("silver")
+    m = R.write_classified(c, p, RunContext(run_id="r1"))
+    expect = R.metrics(c).first().asDict()
+    assert m == expect
+    back = spark.read.parquet(p)
+    assert back.count() == m["n_in"]
+    assert back.filter(F.col(R.DISPOSITION) == R.VALID).count() == m["n_valid"]
