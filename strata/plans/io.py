@@ -87,3 +87,43 @@ def layout_same_rows(spark, sf_dir):
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     layout.cluster(li, CLUSTER_COLS, n_files=n).write.parquet(path)
     return spark.read.parquet(path)
+
+
+# The streaming quality rule of the proofs (same bounds as the batch one).
+STREAM_VALUE_MIN, STREAM_VALUE_MAX = 0, 150
+WATERMARK_DELAY = "3650 days"
+
+
+def stream_dq_split(spark, sf_dir):
+    """Micro-batch quality split through foreachBatch; the drain is replayed once."""
+    from ..operators import rules as R
+    landing = _landing(spark, sf_dir)
+    out, ckpt = scratch_path(spark, "split"), scratch_path(spark, "ckpt")
+    rule = [R.in_range("value", STREAM_VALUE_MIN, STREAM_VALUE_MAX, "DQ-004")]
+    for _ in range(2):
+        src = ingest.file_stream(spark, landing, EVENTS_SCHEMA, "json", max_files_per_trigger=1)
+        ingest.quality_split(src, rule, out, ckpt)
+    return spark.read.parquet(out).select("event_id", R.DISPOSITION)
+
+
+def stream_dedup(spark, sf_dir):
+    """Every event landed twice (in different files); watermark dedup keeps one of each."""
+    landing = scratch_path(spark, "dup-landing")
+    ev = Tables(spark, sf_dir).events
+    writers.write_landing(ev.unionByName(ev).repartition(LANDING_FILES), landing, "json")
+    src = ingest.file_stream(spark, landing, EVENTS_SCHEMA, "json").drop("_source_file")
+    d = ingest.dedup_within_watermark(src, ["event_id"], "ts", WATERMARK_DELAY)
+    sink, ckpt = scratch_path(spark, "dedup"), scratch_path(spark, "ckpt")
+    ingest.drain(d, sink, ckpt, ingest_ts=False)
+    return spark.read.parquet(sink).select("event_id", "user_id")
+
+
+KNOWN_EVENT_FIELDS = T.StructType([f for f in EVENTS_SCHEMA.fields if f.name != "props"])
+
+
+def rescued_fields(spark, sf_dir):
+    """Landed JSON read with a schema that lacks `props`: the field is rescued, not lost."""
+    path = scratch_path(spark, "rescue")
+    writers.write_landing(Tables(spark, sf_dir).events, path, "json")
+    back = readers.read_json_rescued(spark, path, KNOWN_EVENT_FIELDS)
+    return back.select("event_id", F.col(readers.RESCUED)["props"].alias("props"))

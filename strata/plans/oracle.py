@@ -102,4 +102,7 @@ ORACLE = {
     "stream_ingest": "select event_id, user_id, event_type, value from events",
     "stream_rerun": "select count(*) as n from events",
     "layout_same_rows": "select * from lineitem",
+    "stream_dq_split": "select event_id, case when value is not null and value between 0 and 150 then 'valid' else 'quarantined' end as _disposition from events",
+    "stream_dedup": "select event_id, user_id from events",
+    "rescued_fields": "select event_id, props from events",
 }

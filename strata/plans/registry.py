@@ -30,7 +30,8 @@ def queries() -> dict[str, Query]:
     q |= _from(governed, ["rls_scoped", "cls_mask", "chk_unmasked", "chk_rls_scope",
                           "chk_date_coverage", "chk_fk_left_null", "chk_reconcile", "chk_not_null"])
     q |= _from(io, ["json_roundtrip", "csv_roundtrip", "source_file", "conform_schema",
-                    "stream_ingest", "stream_rerun", "layout_same_rows"])
+                    "stream_ingest", "stream_rerun", "layout_same_rows", "stream_dq_split",
+                    "stream_dedup", "rescued_fields"])
     return q
 
 
