@@ -35,8 +35,10 @@ def test_hot_key_plan_has_no_window(spark):
     data = [("hot" if i % 3 == 0 else f"k{i}", T0 + dt.timedelta(seconds=i), i) for i in range(3000)]
     df = spark.createDataFrame(data, "k string, ts timestamp_ntz, lsn long")
     m = dedup.mark_latest(df, ["k"], ["ts", "lsn"])
-    plan = m._jdf.queryExecution().executedPlan().toString()
-    assert "Window" not in plan
+    qe = m._jdf.queryExecution()
+    qe.toRdd().count()
+    plan = qe.executedPlan().toString()
+    assert "isFinalPlan=true" in plan and "Window" not in plan
     assert m.filter("_is_latest").count() == 1 + 2000
     hot = m.filter("k = 'hot' and _is_latest").first()
     assert hot.lsn == 2997
