@@ -59,6 +59,21 @@ def files_for_target(size_bytes: int, target_bytes: int = 128 * 1024 * 1024) ->
     return max(1, -(-size_bytes // target_bytes))
 
 
+def compact_path(spark, src: str, dst: str, target_bytes: int = 128 * 1024 * 1024,
+                 fmt: str = "parquet") -> int:
+    """Rewrite a folder of small files into files of about `target_bytes` at a new path.
+
+    The input size is summed from file metadata by Spark (one row per file), not by
+    listing on the driver; returns the number of output files requested.
+    """
+    df = spark.read.format(fmt).load(src)
+    sizes = df.select("_metadata.file_path", "_metadata.file_size").distinct()
+    total = sizes.agg(F.sum("file_size")).first()[0] or 0
+    n = files_for_target(int(total), target_bytes)
+    compact(df, n).write.format(fmt).mode("errorifexists").save(dst)
+    return n
+
+
 def file_ranges(df_read_back: DataFrame, col: str) -> DataFrame:
     """Per output file: min and max of `col` (what a reader's footer skipping sees)."""
     return (df_read_back.groupBy(F.col("_metadata.file_path").alias("file"))

@@ -96,6 +96,20 @@ def grain_violations(joined: DataFrame, driving: Sequence[str]) -> DataFrame:
             .filter(F.col("n") > 1))
 
 
+def production_measures(ordered: Column, rejected: Column, inspected: Column | None = None,
+                        passed: Column | None = None) -> dict[str, Column]:
+    """Both yield definitions as named, guarded measures (no division error, no silent
+    choice): on ordered quantity, and — when inspection figures exist — on inspected."""
+    from ..functions.expressions import guarded_ratio
+    out = {"units_passed": ordered - rejected, "defect_count": rejected,
+           "yield_on_ordered": guarded_ratio((ordered - rejected).cast("double"), ordered)}
+    if inspected is not None:
+        out["defect_rate"] = guarded_ratio(rejected.cast("double"), inspected)
+        if passed is not None:
+            out["yield_on_inspected"] = guarded_ratio(passed.cast("double"), inspected)
+    return out
+
+
 def split_cost(amount: Column, parts_share: Column, labor_share: Column,
                scale: str = "decimal(20,2)") -> dict[str, Column]:
     """Repeatable cost split (replaces unseeded random draws): shares are row-derived."""

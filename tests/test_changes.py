@@ -49,3 +49,33 @@ def test_latest_changes_and_unknown_deletes(spark):
     assert rows(sup, "lsn") == [(1,)]
     tgt = spark.createDataFrame([("a", 0.0, T(0), 0, False)], TGT)
     assert rows(C.unknown_deletes(tgt, latest, ["k"]), "k") == [("z",)]
+
+
+def test_updates_derived_from_inserts_then_applied_in_one_batch(spark):
+    # change-log fixture shape: UPDATE events derived from a subset of INSERT events
+    from pyspark.sql import functions as F
+    ins = spark.createDataFrame([(f"m{i}", float(i), T(0), i, "INSERT") for i in range(10)], CHG)
+    upd = (ins.filter(F.col("lsn") % 5 == 0)
+           .withColumns({"value": F.col("value") + 500, "lsn": F.col("lsn") + 100, "op": F.lit("UPDATE")}))
+    log = ins.unionByName(upd)                      # same timestamp: lsn orders them
+    latest, sup = C.latest_changes(log, ["k"])
+    empty = spark.createDataFrame([], TGT)
+    snap = C.apply_changes(empty, latest, ["k"], value_cols=["value"])
+    assert rows(snap.filter("value >= 500"), "k") == [("m0",), ("m5",)]
+    assert sup.count() == 2 and snap.count() == 10
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from("abcd"), st.integers(0, 5), st.sampled_from(["INSERT", "UPDATE", "DELETE"])),
+                max_size=25))
+def test_apply_twice_equals_once(spark, events):
+    log = spark.createDataFrame([(k, float(i), T(h), i, op) for i, (k, h, op) in enumerate(events)], CHG)
+    latest = C.latest_changes(log, ["k"], with_superseded=False)
+    empty = spark.createDataFrame([], TGT)
+    once = C.apply_changes(empty, latest, ["k"], value_cols=["value"])
+    twice = C.apply_changes(once, latest, ["k"], value_cols=["value"])
+    assert rows(once) == rows(twice)

@@ -49,3 +49,22 @@ def test_missing_hash_recomputed(spark):
     t = H.apply(None, _snap(spark, [(1, "x", "y")]), ["k"], ["a", "b"], D1).withColumn(H.HASH, F.lit(None).cast("string"))
     t2 = H.apply(t, _snap(spark, [(1, "x", "y")]), ["k"], ["a", "b"], D2)
     assert t2.count() == 1      # unchanged key is not versioned again
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.lists(st.tuples(st.integers(0, 4), st.sampled_from(["x", "y", None])), max_size=6),
+                min_size=1, max_size=4))
+def test_scd2_invariants_over_loads(spark, loads):
+    t = None
+    for i, load in enumerate(loads):
+        snap = _snap(spark, [(k, v, "b") for k, v in dict(load).items()]) if load else \
+            spark.createDataFrame([], SRC)
+        t = H.apply(t, snap, ["k"], ["a", "b"], dt.date(2026, 1, 1) + dt.timedelta(days=i))
+    cur = t.filter(F.col(H.CURRENT)).groupBy("k").count()
+    assert cur.filter("count <> 1").count() == 0                  # one current version per key
+    assert H.overlaps(t, ["k"]).count() == 0                      # disjoint intervals
+    assert t.filter(F.col(H.END).isNotNull() & (F.col(H.END) < F.col(H.START))).count() == 0

@@ -19,3 +19,12 @@ def test_compact(spark, scratch):
     back = spark.read.parquet(p)
     assert back.count() == 1000
     assert back.select("_metadata.file_path").distinct().count() == 3
+
+
+def test_compact_path_by_target_size(spark, scratch):
+    src, dst = scratch("small"), scratch("big")
+    spark.range(20000).repartition(40).write.parquet(src)
+    n = layout.compact_path(spark, src, dst, target_bytes=1 << 30)
+    back = spark.read.parquet(dst)
+    assert n == 1 and back.count() == 20000
+    assert back.select("_metadata.file_path").distinct().count() == 1

@@ -71,3 +71,12 @@ def test_dimension_from_fact_drops_null(spark):
     f = spark.createDataFrame([("t1",), ("t1",), (None,), ("t0",)], "tech string")
     d = model.dimension_from_fact(f, "tech", {"name": F.concat(F.lit("T_"), F.col("tech"))}, "tech_sk")
     assert rows(d, "tech", "tech_sk", "name") == [("t0", 1, "T_t0"), ("t1", 2, "T_t1")]
+
+
+def test_production_measures_guarded(spark):
+    df = spark.createDataFrame([(100, 10, 50, 45), (0, 0, 0, 0)], "o int, r int, i int, p int")
+    m = model.production_measures(F.col("o"), F.col("r"), F.col("i"), F.col("p"))
+    got = rows(df.select(*[v.alias(k) for k, v in m.items()]))
+    assert got[0] == (0, 0, None, None, None) or got[1] == (0, 0, None, None, None)
+    full = [g for g in got if g[0] == 90][0]
+    assert full == (90, 10, 0.9, 0.2, 0.9)
