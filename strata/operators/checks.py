@@ -32,12 +32,18 @@ def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str
 
 
 def fk_violations(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str,
-                  source_table: str, rule_id: str, locator: str | None = None,
-                  ctx: RunContext | None = None, description: str = "orphan foreign key") -> DataFrame:
-    """Cross-table FK check as violation records (action WARN: the row is kept)."""
+                  source_table: str, rule_id: str, record_key: str | None = None,
+                  locator: str | None = None, ctx: RunContext | None = None,
+                  description: str = "orphan foreign key") -> DataFrame:
+    """Cross-table FK check as violation records (action WARN: the row is kept).
+
+    record_key = the child row's own key (default: the FK column); field_name /
+    field_value = the FK column and its dangling value.
+    """
     from .rules import WARN, violations
     o = orphans(child, parent, child_key, parent_key)
-    return violations(o, source_table, child_key, locator or child_key, rule_id=rule_id,
+    rk = record_key or child_key
+    return violations(o, source_table, rk, locator or rk, rule_id=rule_id,
                       descriptions={rule_id: description}, action=WARN, ctx=ctx,
                       field_name=child_key, field_value=F.col(child_key))
 

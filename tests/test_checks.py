@@ -34,3 +34,12 @@ def test_schema_and_nulls(spark):
 def test_unmasked_counts_null(spark):
     df = spark.createDataFrame([("ab***",), ("clear",), (None,)], "m string")
     assert K.unmasked_count(df, "m").first().n == 2
+
+
+def test_fk_violation_record_key_is_child_row_key(spark):
+    child = spark.createDataFrame([("INSP-1", "ORD-9"), ("INSP-2", "ORD-1")], "inspection_id string, order_id string")
+    parent = spark.createDataFrame([("ORD-1",)], "order_id string")
+    v = K.fk_violations(child, parent, "order_id", "order_id", "quality_inspection", "DQ-010",
+                        record_key="inspection_id").collect()
+    assert [(r.record_key, r.field_name, r.field_value, r.action_taken) for r in v] == \
+        [("INSP-1", "order_id", "ORD-9", "WARN")]
