@@ -80,6 +80,7 @@ def apply(target: DataFrame | None, source: DataFrame, keys: Sequence[str], trac
         return initial_load(source, keys, tracked, initial_start, hash_col)
 
     hist = target.filter(~F.col(CURRENT))
+    hist = hist.withColumn(hash_col, _target_hash(hist, tracked, hash_col))
     cur = target.filter(F.col(CURRENT))
     cur = cur.withColumn(hash_col, _target_hash(cur, tracked, hash_col))
     t = cur.select(*keys, *[F.col(c).alias(f"__t_{c}") for c in attrs + [hash_col, START, END, VERSION]],

@@ -25,11 +25,24 @@ def _bucket(c: Column, bounds: Sequence[float]) -> Column:
     return F.coalesce(idx, F.lit(0))
 
 
+def _order_preserving_number(c: Column, dtype: str) -> Column:
+    """A double that sorts like the column: numbers as is, times as microseconds,
+    strings by their first 7 characters (zero-padded bytes read as an integer)."""
+    if dtype in ("timestamp", "timestamp_ntz", "date"):
+        return F.unix_micros(c.cast("timestamp")).cast("double")
+    if dtype == "string":
+        prefix = F.hex(F.rpad(F.substring(c, 1, 7), 7, "\u0000"))
+        return F.conv(F.substring(prefix, 1, 14), 16, 10).cast("double")
+    if dtype == "boolean":
+        return c.cast("int").cast("double")
+    return c.cast("double")
+
+
 def z_order_key(df: DataFrame, cols: Sequence[str], bits: int = 4) -> Column:
     nb = 1 << bits
     probs = [i / nb for i in range(1, nb)]
-    numeric = [F.col(c).cast("double") if dict(df.dtypes)[c] not in ("timestamp", "timestamp_ntz", "date")
-               else F.unix_micros(F.col(c).cast("timestamp")).cast("double") for c in cols]
+    types = dict(df.dtypes)
+    numeric = [_order_preserving_number(F.col(c), types[c]) for c in cols]
     tmp = df.select(*[n.alias(f"__z{i}") for i, n in enumerate(numeric)])
     qs = tmp.approxQuantile([f"__z{i}" for i in range(len(cols))], probs, RELATIVE_ERROR)
     buckets = [_bucket(n, sorted(set(q))) for n, q in zip(numeric, qs)]

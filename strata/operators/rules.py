@@ -68,12 +68,12 @@ def tag_rules(df: DataFrame, rules: Sequence[Rule], passed: str = PASSED, reason
     """One flag per rule, their conjunction, the first failing rule id and all failing ids."""
     flags = {r.flag_name: F.coalesce(r.predicate, F.lit(False)) for r in rules}
     out = df.withColumns(flags)
-    conj = reduce(lambda a, b: a & b, [F.col(r.flag_name) for r in rules])
+    conj = reduce(lambda a, b: a & b, [F.col(r.flag_name) for r in rules], F.lit(True))
     first = None
     for r in rules:
         cond = ~F.col(r.flag_name)
         first = F.when(cond, F.lit(r.rule_id)) if first is None else first.when(cond, F.lit(r.rule_id))
-    cols = {passed: conj, reason: first}
+    cols = {passed: conj, reason: first if first is not None else F.lit(None).cast("string")}
     if failed:
         cols[failed] = F.array_compact(F.array(*[F.when(~F.col(r.flag_name), F.lit(r.rule_id))
                                                  for r in rules]))

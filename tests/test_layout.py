@@ -28,3 +28,15 @@ def test_compact_path_by_target_size(spark, scratch):
     back = spark.read.parquet(dst)
     assert n == 1 and back.count() == 20000
     assert back.select("_metadata.file_path").distinct().count() == 1
+
+
+def test_cluster_on_string_and_date_columns(spark):
+    o = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    c = layout.cluster(o, ["o_orderpriority", "o_orderdate"], n_files=4)
+    assert rows(c) == rows(o)
+
+
+def test_no_rules_means_all_pass(spark):
+    from strata.operators import rules as R
+    t = R.tag_rules(spark.range(3), [])
+    assert t.filter(R.PASSED).count() == 3
