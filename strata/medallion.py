@@ -53,7 +53,7 @@ def run(spark: SparkSession, sf_dir: str, out: str, ctx: RunContext,
             .withColumn("event_date", F.to_date("ts"))
         classified = R.classify(raw, quality.telemetry_rules(), quality.KEYS, quality.ORDER)
         m = R.write_classified(classified, _path(out, "silver", "telemetry"), ctx)
-        s["rows_out"] = m["n_valid"]
+        s["rows_in"], s["rows_out"] = m["n_in"], m["n_valid"]
     silver = _this_run(spark, _path(out, "silver", "telemetry"), ctx)
     audits.append(report.audit_rows(
         silver.filter(F.col(R.DISPOSITION) == R.VALID).agg(F.count(F.lit(1)).alias("n_valid")),
@@ -137,3 +137,24 @@ def run(spark: SparkSession, sf_dir: str, out: str, ctx: RunContext,
 
 def default_context(run_id: str) -> RunContext:
     return RunContext(run_id=run_id, as_of=_dt.datetime(2026, 2, 1), principal="system")
+
+
+def main(argv=None):
+    import argparse
+
+    from .session import local_session, scratch_path
+    p = argparse.ArgumentParser(description="layered run over the driver tables")
+    p.add_argument("--sf-dir", default="/root/testdata/sf0.01")
+    p.add_argument("--out", default=None, help="output folder (default: new folder under the checkpoint dir)")
+    p.add_argument("--run-id", default="run-1")
+    p.add_argument("--previous-equipment", default=None)
+    a = p.parse_args(argv)
+    spark = local_session()
+    out = a.out or scratch_path(spark, "lake")
+    led = run(spark, a.sf_dir, out, default_context(a.run_id), a.previous_equipment)
+    led.show(truncate=False)
+    print(f"output: {out}")
+
+
+if __name__ == "__main__":
+    main()

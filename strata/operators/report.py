@@ -70,7 +70,7 @@ class Ledger:
 
     @contextmanager
     def step(self, name: str, rows_in: int | None = None):
-        t0, rec = time.perf_counter(), {"rows_out": None}
+        t0, rec = time.perf_counter(), {"rows_in": rows_in, "rows_out": None}
         try:
             yield rec
             status = "OK"
@@ -78,7 +78,7 @@ class Ledger:
             status = "FAILED"
             raise
         finally:
-            self.rows.append((name, status, rows_in, rec.get("rows_out"),
+            self.rows.append((name, status, rec.get("rows_in"), rec.get("rows_out"),
                               round(time.perf_counter() - t0, 3), self.ctx.run_id))
 
     def to_df(self, spark: SparkSession) -> DataFrame:
