@@ -67,3 +67,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder under the shared checkpoint folder (never reused)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/strata-scratch/{name}-{uuid.uuid4().hex}"
+
+
+def scale_conf(total_cores: int, input_bytes: int, partition_bytes: int = 256 * 1024 * 1024) -> dict:
+    """Settings sized from the cluster and the input, for `spark-submit --conf` or
+    `spark.conf.set` before a job: enough initial shuffle partitions that each fits in
+    executor memory (AQE then coalesces small ones and splits skewed ones), scan splits
+    of `partition_bytes`, and the same advisory size for AQE."""
+    by_size = -(-input_bytes // partition_bytes)
+    initial = max(2 * total_cores, by_size)
+    return {
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+    }

@@ -80,3 +80,10 @@ def test_production_measures_guarded(spark):
     assert got[0] == (0, 0, None, None, None) or got[1] == (0, 0, None, None, None)
     full = [g for g in got if g[0] == 90][0]
     assert full == (90, 10, 0.9, 0.2, 0.9)
+
+
+def test_scale_conf_sizes_partitions():
+    from strata.session import scale_conf
+    c = scale_conf(total_cores=8000, input_bytes=100 * 1024 ** 4)
+    assert int(c["spark.sql.shuffle.partitions"]) == 409600        # 100 TB / 256 MB
+    assert int(scale_conf(100, 1)["spark.sql.shuffle.partitions"]) == 200
