@@ -107,3 +107,35 @@ def scd2_init(spark, sf_dir):
     return snap.select("k", "bal", F.col(history.START).alias("start_date"),
                        F.col(history.END).alias("end_date"), "is_current",
                        F.col(history.VERSION).alias("version"))
+
+
+INCREMENTAL_BUCKETS = 16
+
+
+def cdc_merge_incremental(spark, sf_dir):
+    """Same result as cdc_merge, produced by rewriting only the touched key buckets of a
+    stored, bucket-partitioned current-state table."""
+    from ..operators import incremental
+    from ..session import scratch_path
+    base, inc, _ = _cdc(spark, sf_dir)
+    path = scratch_path(spark, "cdc-keyed")
+    incremental.write_keyed(base, path, ["k"], INCREMENTAL_BUCKETS)
+    plan = lambda cur, batch: changes.apply_changes(cur, batch, ["k"], value_cols=["value"],
+                                                    order=ORDER)
+    incremental.rewrite_touched(spark, path, inc, ["k"], INCREMENTAL_BUCKETS, plan)
+    return spark.read.parquet(path).select("k", "value", "is_deleted")
+
+
+def scd2_apply_incremental(spark, sf_dir):
+    """Same result as scd2_apply, through the touched-bucket rewrite of a stored history."""
+    from ..operators import incremental
+    from ..session import scratch_path
+    target, incoming = _suppliers(spark, sf_dir)
+    path = scratch_path(spark, "scd-keyed")
+    incremental.write_keyed(target, path, ["k"], INCREMENTAL_BUCKETS)
+    plan = lambda cur, batch: history.apply(cur, batch, ["k"], SCD_TRACKED, as_of=SCD_CHANGE_DAY)
+    incremental.rewrite_touched(spark, path, incoming, ["k"], INCREMENTAL_BUCKETS, plan)
+    snap = spark.read.parquet(path)
+    return snap.select("k", "bal", F.col(history.START).alias("start_date"),
+                       F.col(history.END).alias("end_date"), "is_current",
+                       F.col(history.VERSION).alias("version"))

@@ -61,10 +61,16 @@ ORACLE = {
   select coalesce(st.k, ch.k) as k, case when st.k is null or ch.ts > st.ts or (ch.ts = st.ts and ch.lsn > st.lsn) then ch.value else st.value end as value,
   case when ch.k is null then 'untouched' when st.k is null then 'inserted' when ch.ts > st.ts or (ch.ts = st.ts and ch.lsn > st.lsn) then 'updated' else 'ignored_late' end as outcome
   from st full outer join ch on st.k = ch.k""",
+    # the touched-bucket rewrite must give exactly the full merge
+    "cdc_merge_incremental": _CDC + """select coalesce(b.k, i.k) as k, case when i.op in ('INSERT','UPDATE') then i.value else b.value end as value,
+  case when i.op = 'DELETE' then true when i.op in ('INSERT','UPDATE') then false else b.is_deleted end as is_deleted
+  from base b full outer join inc i on b.k = i.k where b.k is not null or i.op <> 'DELETE'""",
     # ---- history
     "scd2_new": _SCD + "select s.k, s.h from s anti join t on s.k = t.k",
     "scd2_changed": _SCD + "select s.k, t.h as old_h, s.h as new_h from s join t on s.k = t.k where s.h is distinct from t.h",
     "scd2_apply": _SCD + """select t.k, t.bal, date '2026-01-01' as start_date, case when s.h is distinct from t.h then date '2026-02-01' end as end_date, s.h is not distinct from t.h as is_current, 1 as version from t join s on s.k = t.k
+  union all select s.k, s.bal, date '2026-02-01', cast(null as date), true, case when t.k is null then 1 else 2 end from s left join t on s.k = t.k where t.k is null or s.h is distinct from t.h""",
+    "scd2_apply_incremental": _SCD + """select t.k, t.bal, date '2026-01-01' as start_date, case when s.h is distinct from t.h then date '2026-02-01' end as end_date, s.h is not distinct from t.h as is_current, 1 as version from t join s on s.k = t.k
   union all select s.k, s.bal, date '2026-02-01', cast(null as date), true, case when t.k is null then 1 else 2 end from s left join t on s.k = t.k where t.k is null or s.h is distinct from t.h""",
     "scd2_init": "select s_suppkey as k, cast(s_acctbal as decimal(12,2)) as bal, date '1900-01-01' as start_date, cast(null as date) as end_date, true as is_current, 1 as version from supplier",
     # ---- dimensions and facts
@@ -75,6 +81,11 @@ ORACLE = {
     "dim_from_fact": "with t as (select distinct case when user_id % 11 = 0 then null else user_id end as technician_id from events) select technician_id, 'Tech_' || cast(technician_id as varchar) as technician_name, 'LEVEL_1' as certification_level, cast(row_number() over (order by technician_id) as bigint) as technician_sk from t where technician_id is not null",
     "dim_order": "select o_orderkey as order_id, o_orderpriority as priority, cast(o_orderdate as date) as planned_start_date, cast(null as date) as planned_end_date, cast(row_number() over (order by o_orderkey) as bigint) as order_sk from orders",
     "dim_versions": _PARTV + "select p_partkey, ver, st, en, en is null as is_current, cast(row_number() over (order by p_partkey, ver) as bigint) as part_sk from d",
+    "sk_incremental": """with first as (select distinct o_custkey from orders where o_orderdate < timestamp '1997-01-01 00:00:00'),
+  k1 as (select o_custkey, cast(row_number() over (order by o_custkey) as bigint) as sk from first),
+  rest as (select distinct o_custkey from orders where o_custkey not in (select o_custkey from first)),
+  k2 as (select o_custkey, (select coalesce(max(sk), 0) from k1) + cast(row_number() over (order by o_custkey) as bigint) as sk from rest)
+  select o_custkey, sk from k1 union all select o_custkey, sk from k2""",
     "fact_unknown_member": "select o_orderkey, coalesce(d.sk, -1) as sk from orders left join (select p_partkey, cast(p_partkey + 1 as bigint) as sk from part where p_partkey % 2 = 0) d on o_custkey = d.p_partkey",
     "fact_maintenance": "select e.event_id, e.user_id, c.c_nationkey, cast(year(e.ts)*10000+month(e.ts)*100+day(e.ts) as int) as date_sk, e.value from events e join customer c on e.user_id = c.c_custkey where e.event_type <> 'error'",
     "cost_split": "select event_id, cast(cast(value as decimal(12,2)) * ((event_id * 37) % 100) as decimal(20,2)) as parts_x1000, cast(cast(value as decimal(12,2)) * ((event_id * 61) % 100) as decimal(20,2)) as labor_x1000, cast(cast(value as decimal(12,2)) * (((event_id * 37) % 100) + ((event_id * 61) % 100)) as decimal(20,2)) as total_x1000 from events",

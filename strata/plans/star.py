@@ -106,3 +106,15 @@ def dim_date(spark, sf_dir):
     o = Tables(spark, sf_dir).orders
     bounds = o.agg(F.min("o_orderdate").alias("lo"), F.max("o_orderdate").alias("hi"))
     return model.date_dimension(model.date_spine(bounds, "lo", "hi"))
+
+
+# Fixed value: the first load holds the orders placed before this day.
+FIRST_LOAD_BEFORE = "1997-01-01 00:00:00"
+
+
+def sk_incremental(spark, sf_dir):
+    """Keys of a first load stay; customers first seen later continue from max + 1."""
+    o = Tables(spark, sf_dir).orders
+    early = o.filter(F.col("o_orderdate") < F.lit(FIRST_LOAD_BEFORE).cast("timestamp_ntz"))
+    k1 = keys.assign_keys(early.select("o_custkey").distinct(), ["o_custkey"], "sk")
+    return keys.assign_keys(o.select("o_custkey").distinct(), ["o_custkey"], "sk", key_map=k1)
