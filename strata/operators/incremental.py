@@ -23,6 +23,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import scratch_path
 from ..sources.writers import conform
@@ -34,23 +35,37 @@ def bucket_of(keys: Sequence[str], n_buckets: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(n_buckets)).cast("int")
 
 
+def keyed_schema(schema: T.StructType) -> T.StructType:
+    """Declared schema of the stored table: the row schema plus the bucket column."""
+    return T.StructType([f for f in schema.fields if f.name != BUCKET]
+                        + [T.StructField(BUCKET, T.IntegerType())])
+
+
+def read_keyed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Read with the declared schema (an empty table has no files to infer it from)."""
+    return spark.read.schema(keyed_schema(schema)).parquet(path)
+
+
 def write_keyed(df: DataFrame, path: str, keys: Sequence[str], n_buckets: int,
-                mode: str = "errorifexists") -> None:
-    """First write of a keyed table, partitioned by key bucket."""
+                mode: str = "errorifexists") -> T.StructType:
+    """First write of a keyed table, partitioned by key bucket; returns its row schema."""
     # REBALANCE (not repartition): AQE splits a big bucket over several tasks / files
     (df.withColumn(BUCKET, bucket_of(keys, n_buckets)).hint("rebalance", BUCKET)
      .write.mode(mode).partitionBy(BUCKET).parquet(path))
+    return df.schema
 
 
 def rewrite_touched(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str],
-                    n_buckets: int, plan: Callable[[DataFrame, DataFrame], DataFrame]) -> list[int]:
-    """Apply `plan(target_slice, batch)` to the buckets `batch` touches; returns them."""
+                    n_buckets: int, plan: Callable[[DataFrame, DataFrame], DataFrame],
+                    schema: T.StructType) -> list[int]:
+    """Apply `plan(target_slice, batch)` to the buckets `batch` touches; returns them.
+    `schema` is the table's declared row schema (as returned by `write_keyed`)."""
     keys = list(keys)
     touched = sorted(r[0] for r in batch.select(bucket_of(keys, n_buckets).alias("b"))
                      .distinct().collect())          # at most n_buckets integers
     if not touched:
         return []
-    table = spark.read.parquet(path)
+    table = read_keyed(spark, path, schema)
     current = table.filter(F.col(BUCKET).isin(touched)).drop(BUCKET)
     # the table's schema is fixed: the recomputed slice is conformed to it
     new = conform(plan(current, batch), current.schema).withColumn(BUCKET, bucket_of(keys, n_buckets))

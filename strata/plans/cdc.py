@@ -119,11 +119,11 @@ def cdc_merge_incremental(spark, sf_dir):
     from ..session import scratch_path
     base, inc, _ = _cdc(spark, sf_dir)
     path = scratch_path(spark, "cdc-keyed")
-    incremental.write_keyed(base, path, ["k"], INCREMENTAL_BUCKETS)
+    schema = incremental.write_keyed(base, path, ["k"], INCREMENTAL_BUCKETS)
     plan = lambda cur, batch: changes.apply_changes(cur, batch, ["k"], value_cols=["value"],
                                                     order=ORDER)
-    incremental.rewrite_touched(spark, path, inc, ["k"], INCREMENTAL_BUCKETS, plan)
-    return spark.read.parquet(path).select("k", "value", "is_deleted")
+    incremental.rewrite_touched(spark, path, inc, ["k"], INCREMENTAL_BUCKETS, plan, schema)
+    return incremental.read_keyed(spark, path, schema).select("k", "value", "is_deleted")
 
 
 def scd2_apply_incremental(spark, sf_dir):
@@ -132,10 +132,10 @@ def scd2_apply_incremental(spark, sf_dir):
     from ..session import scratch_path
     target, incoming = _suppliers(spark, sf_dir)
     path = scratch_path(spark, "scd-keyed")
-    incremental.write_keyed(target, path, ["k"], INCREMENTAL_BUCKETS)
+    schema = incremental.write_keyed(target, path, ["k"], INCREMENTAL_BUCKETS)
     plan = lambda cur, batch: history.apply(cur, batch, ["k"], SCD_TRACKED, as_of=SCD_CHANGE_DAY)
-    incremental.rewrite_touched(spark, path, incoming, ["k"], INCREMENTAL_BUCKETS, plan)
-    snap = spark.read.parquet(path)
+    incremental.rewrite_touched(spark, path, incoming, ["k"], INCREMENTAL_BUCKETS, plan, schema)
+    snap = incremental.read_keyed(spark, path, schema)
     return snap.select("k", "bal", F.col(history.START).alias("start_date"),
                        F.col(history.END).alias("end_date"), "is_current",
                        F.col(history.VERSION).alias("version"))

@@ -19,13 +19,13 @@ def test_cdc_rewrites_only_touched_buckets(spark, scratch):
     base = spark.range(2000).select(F.col("id").cast("string").alias("k"), F.lit(1.0).alias("value"),
                                     F.lit(T(0)).cast("timestamp_ntz").alias("ts"), F.col("id").alias("lsn"),
                                     F.lit(False).alias("is_deleted"))
-    I.write_keyed(base, path, ["k"], 32)
+    schema = I.write_keyed(base, path, ["k"], 32)
     before = _files(spark, path)
     batch = spark.createDataFrame([("5", 9.0, T(1), 5000, "UPDATE"), ("77", None, T(1), 5001, "DELETE"),
                                    ("new", 3.0, T(1), 5002, "INSERT")],
                                   "k string, value double, ts timestamp_ntz, lsn long, op string")
     plan = lambda cur, b: C.apply_changes(cur, b, ["k"], value_cols=["value"])
-    touched = I.rewrite_touched(spark, path, batch, ["k"], 32, plan)
+    touched = I.rewrite_touched(spark, path, batch, ["k"], 32, plan, schema)
     assert 1 <= len(touched) <= 3
     after = spark.read.parquet(path).drop(I.BUCKET)
     full = C.apply_changes(base, batch, ["k"], value_cols=["value"])
@@ -40,12 +40,23 @@ def test_scd2_incremental_equals_full(spark, scratch):
     d1, d2 = dt.date(2026, 1, 1), dt.date(2026, 2, 1)
     t0 = H.apply(None, sup, ["k"], ["s_name", "bal"], d1)
     path = scratch("scd")
-    I.write_keyed(t0, path, ["k"], 16)
+    schema = I.write_keyed(t0, path, ["k"], 16)
     changed = sup.filter(F.col("k") % 9 == 0).withColumn("bal", F.col("bal") + 1)
     plan = lambda cur, b: H.apply(cur, b, ["k"], ["s_name", "bal"], d2)
-    I.rewrite_touched(spark, path, changed, ["k"], 16, plan)
+    I.rewrite_touched(spark, path, changed, ["k"], 16, plan, schema)
     inc = spark.read.parquet(path).drop(I.BUCKET)
     full_src = sup.filter(F.col("k") % 9 != 0).unionByName(changed)
     full = H.apply(t0, full_src, ["k"], ["s_name", "bal"], d2)
     cols = ["k", "bal", H.START, H.END, H.CURRENT, H.VERSION]
     assert rows(inc, *cols) == rows(full, *cols)
+
+
+def test_empty_keyed_table_then_inserts(spark, scratch):
+    path = scratch("empty-keyed")
+    empty = spark.createDataFrame([], "k string, value double, ts timestamp_ntz, lsn long, is_deleted boolean")
+    schema = I.write_keyed(empty, path, ["k"], 8)
+    batch = spark.createDataFrame([("a", 1.0, T(1), 1, "INSERT")],
+                                  "k string, value double, ts timestamp_ntz, lsn long, op string")
+    plan = lambda cur, b: C.apply_changes(cur, b, ["k"], value_cols=["value"])
+    I.rewrite_touched(spark, path, batch, ["k"], 8, plan, schema)
+    assert rows(I.read_keyed(spark, path, schema), "k", "value") == [("a", 1.0)]
