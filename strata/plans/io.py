@@ -127,3 +127,28 @@ def rescued_fields(spark, sf_dir):
     writers.write_landing(Tables(spark, sf_dir).events, path, "json")
     back = readers.read_json_rescued(spark, path, KNOWN_EVENT_FIELDS)
     return back.select("event_id", F.col(readers.RESCUED)["props"].alias("props"))
+
+
+CDC_BUCKETS = 16
+CHANGE_SCHEMA = T.StructType([
+    T.StructField("k", T.LongType()), T.StructField("lsn", T.LongType()),
+    T.StructField("ts", T.TimestampNTZType()), T.StructField("value", T.DoubleType()),
+    T.StructField("op", T.StringType()),
+])
+
+
+def stream_cdc_apply(spark, sf_dir):
+    """The whole change log landed as JSON files (each key's changes in one file), drained
+    micro-batch by micro-batch into an empty bucket-keyed current-state table."""
+    from ..operators import incremental
+    from .fixtures import change_log
+    landing = scratch_path(spark, "cdc-landing")
+    log = change_log(Tables(spark, sf_dir).events)
+    writers.write_landing(log.repartition(LANDING_FILES, "k"), landing, "json")
+    table = scratch_path(spark, "cdc-table")
+    empty = spark.createDataFrame([], "k bigint, value double, ts timestamp_ntz, lsn bigint, is_deleted boolean")
+    schema = incremental.write_keyed(empty, table, ["k"], CDC_BUCKETS)
+    src = ingest.file_stream(spark, landing, CHANGE_SCHEMA, "json", max_files_per_trigger=1)
+    ingest.apply_changes_stream(src.drop("_source_file"), table, ["k"], CDC_BUCKETS, schema,
+                                scratch_path(spark, "ckpt"), value_cols=["value"])
+    return incremental.read_keyed(spark, table, schema).select("k", "value", "is_deleted")

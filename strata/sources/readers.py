@@ -80,6 +80,23 @@ def read_json_rescued(spark: SparkSession, path: str, schema: T.StructType) -> D
     return parse_json_rescued(text, schema, keep=("_source_file",))
 
 
+def promote_rescued(df: DataFrame, fields: dict[str, str]) -> DataFrame:
+    """Schema evolution: turn rescued keys into typed columns (`{"name": "type"}`) and
+    drop them from `_rescued_data`; a value that does not cast stays rescued."""
+    rescued = F.col(RESCUED)
+    out = df.withColumns({n: F.try_element_at(rescued, F.lit(n)).try_cast(t) for n, t in fields.items()})
+
+    def stays(k, v):
+        failed = [(k == F.lit(n)) & v.isNotNull() & v.try_cast(t).isNull() for n, t in fields.items()]
+        cond = ~k.isin(*fields.keys())
+        for f in failed:
+            cond = cond | f
+        return cond
+
+    left = F.map_filter(rescued, stays)
+    return out.withColumn(RESCUED, F.when(F.size(left) > 0, left))
+
+
 def schema_drift(df: DataFrame, expected: T.StructType) -> dict:
     """Columns added, missing, or with a different type versus the expected schema."""
     have = {f.name: f.dataType for f in df.schema.fields}

@@ -82,3 +82,27 @@ def dedup_within_watermark(stream: DataFrame, keys: Sequence[str], event_time: s
     if dict(s.dtypes).get(event_time) == "timestamp_ntz":
         s = s.withColumn(event_time, F.col(event_time).cast("timestamp"))
     return s.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
+
+
+def apply_changes_stream(stream: DataFrame, path: str, keys: Sequence[str], n_buckets: int,
+                         schema: T.StructType, checkpoint: str, order: Sequence[str] = ("ts", "lsn"),
+                         op: str = "op", value_cols: Sequence[str] | None = None) -> dict:
+    """Continuous CDC: each micro-batch is reduced to its latest change per key and
+    merged into the bucket-keyed current-state table at `path`, rewriting only the
+    buckets it touches. A replayed batch changes nothing (its changes are no longer
+    newer than the stored `(ts, lsn)`), so the sink is idempotent."""
+    from ..operators import changes as C
+    from ..operators import incremental
+
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        latest = C.latest_changes(batch, keys, order, with_superseded=False)
+        plan = lambda cur, b: C.apply_changes(cur, b, keys, value_cols=value_cols,
+                                              order=order, op=op)
+        incremental.rewrite_touched(batch.sparkSession, path, latest, keys, n_buckets, plan, schema)
+
+    q = (stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(f"stream failed: {q.exception()}")
+    return q.lastProgress or {}
