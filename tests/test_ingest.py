@@ -136,7 +136,6 @@ def test_promote_rescued_fields(spark, scratch):
 
 
 def test_streaming_cdc_merge_is_incremental_and_replay_safe(spark, scratch):
-    from strata.operators import changes as C
     from strata.operators import incremental as I
     chg_schema = T.StructType([T.StructField("k", T.StringType()), T.StructField("value", T.DoubleType()),
                                T.StructField("ts", T.TimestampNTZType()), T.StructField("lsn", T.LongType()),
