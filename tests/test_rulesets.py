@@ -51,3 +51,17 @@ def test_duplicate_orders_and_descriptions(spark):
                      descriptions=descs, ctx=RunContext(run_id="r")).first()
     assert v.violated_rule_desc == "Duplicate order" and dup.first().seq == 1
     assert bad.first()[R.REASON] == "DQ-PO-002"
+
+
+def test_cleanse_entity(spark):
+    df = spark.createDataFrame([
+        ("INSP-1", "ORD-1", 100, 90, 10, T0, 1), ("INSP-1", "ORD-1", 100, 91, 9, T0, 2),
+        ("INSP-2", None, 10, 5, 5, T0, 3),
+    ], "inspection_id string, order_id string, units_inspected int, units_passed int, "
+       "units_rejected int, inspection_timestamp timestamp, seq long")
+    c, v = rulesets.cleanse("quality_inspection", df, RunContext(run_id="r9"), order=["seq"])
+    valid = c.filter(F.col(R.DISPOSITION) == R.VALID).collect()
+    assert len(valid) == 1 and valid[0].seq == 2 and valid[0].yield_rate == 0.91
+    assert valid[0]._pipeline_run_id == "r9"
+    got = sorted((r.violated_rule_id, r.record_key, r.action_taken) for r in v.collect())
+    assert got == [("DQ-QI-002", "INSP-2", "QUARANTINE"), ("DQ-QI-006", "INSP-1", "QUARANTINE")]
