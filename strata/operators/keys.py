@@ -25,7 +25,11 @@ def dense_keys(df: DataFrame, order_cols: Sequence[str], sk_col: str, start: int
     ensure_checkpoint_dir(spark)
     n = n_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order_cols = list(order_cols)
-    ranged = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+    # secondary range column: rows sharing one order value (a hot value) may still be
+    # spread over several ranges; numbering stays in order-column order
+    spread = F.xxhash64(*[F.col(c) for c in df.columns])
+    ranged = (df.withColumn("__spread", spread).repartitionByRange(n, *order_cols, "__spread")
+              .sortWithinPartitions(*order_cols, "__spread").drop("__spread")
               .checkpoint(eager=True))
     pid = F.spark_partition_id()
     # Only the per-partition row counts (n numbers, independent of data size) reach the

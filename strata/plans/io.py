@@ -112,7 +112,7 @@ def stream_dedup(spark, sf_dir):
     ev = Tables(spark, sf_dir).events
     writers.write_landing(ev.unionByName(ev).repartition(LANDING_FILES), landing, "json")
     src = ingest.file_stream(spark, landing, EVENTS_SCHEMA, "json").drop("_source_file")
-    d = ingest.dedup_within_watermark(src, ["event_id"], "ts", WATERMARK_DELAY)
+    d = ingest.dedup_within_watermark(src, ["event_id"], "ts", WATERMARK_DELAY, pre_dedup=True)
     sink, ckpt = scratch_path(spark, "dedup"), scratch_path(spark, "ckpt")
     ingest.drain(d, sink, ckpt, ingest_ts=False)
     return spark.read.parquet(sink).select("event_id", "user_id")

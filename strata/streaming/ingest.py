@@ -72,15 +72,37 @@ def quality_split(stream: DataFrame, rules: Sequence[R.Rule], out_path: str, che
     return q.lastProgress or {}
 
 
+def _first_per_key_in_task(keys: list[str]):
+    """Arrow-batched map-side pre-dedup: each task forwards only the first row of every
+    key it sees, so a key copied a million times crosses the shuffle once per task."""
+    def run(batches):
+        import pandas as pd
+        seen = None
+        for pdf in batches:
+            pdf = pdf.drop_duplicates(subset=keys, keep="first")
+            idx = pd.MultiIndex.from_frame(pdf[keys])
+            if seen is not None:
+                fresh = ~idx.isin(seen)
+                pdf, idx = pdf[fresh], idx[fresh]
+            seen = idx if seen is None else seen.append(idx)
+            if len(pdf):
+                yield pdf
+    return run
+
+
 def dedup_within_watermark(stream: DataFrame, keys: Sequence[str], event_time: str,
-                           delay: str = "1 hour") -> DataFrame:
+                           delay: str = "1 hour", pre_dedup: bool = False) -> DataFrame:
     """Streaming dedup with bounded state: first-seen wins (unlike batch latest-wins).
 
     `timestamp_ntz` event times are cast to `timestamp` as watermarks require.
+    `pre_dedup=True` drops copies inside each task before the shuffle (for streams where
+    one group of copies may be a large share of a micro-batch).
     """
     s = stream
     if dict(s.dtypes).get(event_time) == "timestamp_ntz":
         s = s.withColumn(event_time, F.col(event_time).cast("timestamp"))
+    if pre_dedup:
+        s = s.mapInPandas(_first_per_key_in_task(list(keys)), schema=s.schema)
     return s.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
 
 

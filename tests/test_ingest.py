@@ -155,3 +155,21 @@ def test_streaming_cdc_merge_is_incremental_and_replay_safe(spark, scratch):
         ingest.apply_changes_stream(src, table, ["k"], 4, schema, ck, value_cols=["value"])
     out = I.read_keyed(spark, table, schema)
     assert rows(out, "k", "value", "is_deleted") == [("a", 3.0, False), ("b", 2.0, True), ("c", 5.0, False)]
+
+
+def test_dedup_pre_dedup_same_result_hot_copies(spark, scratch):
+    land = scratch("hotdups")
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    hot = ev.limit(1)
+    copies = hot
+    for _ in range(8):
+        copies = copies.unionByName(copies)          # 256 copies of one event
+    ev.unionByName(copies).repartition(3).write.json(land)
+    out = {}
+    for pre in (False, True):
+        src = ingest.file_stream(spark, land, EV_SCHEMA).drop("_source_file")
+        d = ingest.dedup_within_watermark(src, ["event_id"], "ts", "3650 days", pre_dedup=pre)
+        sink, ck = scratch("sink"), scratch("ck")
+        ingest.drain(d, sink, ck, ingest_ts=False)
+        out[pre] = rows(spark.read.parquet(sink).select("event_id"))
+    assert out[False] == out[True] and len(out[True]) == ev.count()
