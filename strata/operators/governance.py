@@ -42,6 +42,15 @@ def mask_columns(df: DataFrame, masks: Mapping[str, Callable[[Column], Column]])
     return df.select(*[masks[c](F.col(c)).alias(c) if c in masks else F.col(c) for c in df.columns])
 
 
+def governed_view(df: DataFrame, masks: Mapping[str, Callable[[Column], Column]] | None = None,
+                  deleted_col: str | None = "is_deleted", include_deleted: bool = False) -> DataFrame:
+    """Analyst view: masked columns, and soft-deleted rows hidden unless asked for."""
+    out = df
+    if deleted_col and deleted_col in df.columns and not include_deleted:
+        out = out.filter(~F.coalesce(F.col(deleted_col), F.lit(False)))
+    return mask_columns(out, masks or {})
+
+
 def publish_view(spark: SparkSession, name: str, df: DataFrame) -> None:
     df.createOrReplaceTempView(name)
 

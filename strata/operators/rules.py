@@ -102,14 +102,15 @@ def split(classified: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 
 def violations(failed: DataFrame, source_table: str, record_key: str | Column,
-               locator: str | Column, rule_id: str | Column | None = None,
+               locator: str | Column | None = None, rule_id: str | Column | None = None,
                descriptions: dict[str, str] | None = None, action: str = QUARANTINE,
                ctx: RunContext | None = None, field_name: str | Column | None = None,
                field_value: str | Column | None = None, payload: bool = False) -> DataFrame:
     """Violation records in the fixed shape (see FIXTURES.md §2).
 
     The id is a hash of (table, row locator, rule): repeatable, unlike a per-run uuid,
-    and well defined even when the record key itself is NULL.
+    and well defined even when the record key itself is NULL. Without a `locator`
+    column the locator is a hash of the whole row.
     """
     as_col = (lambda c: F.col(c) if isinstance(c, str) else c)
     rid = F.col(REASON) if rule_id is None else F.lit(rule_id) if isinstance(rule_id, str) else rule_id
@@ -117,8 +118,10 @@ def violations(failed: DataFrame, source_table: str, record_key: str | Column,
     if descriptions:
         desc = F.try_element_at(F.create_map(*[F.lit(x) for kv in descriptions.items() for x in kv]), rid)
     ctx = ctx or RunContext(run_id="unset")
+    loc = as_col(locator) if locator is not None else \
+        F.sha2(F.to_json(F.struct(*[F.col(c) for c in failed.columns])), 256)
     cols = [
-        stable_id(F.lit(source_table), as_col(locator), rid).alias("violation_id"),
+        stable_id(F.lit(source_table), loc, rid).alias("violation_id"),
         F.lit(source_table).alias("source_table"),
         as_col(record_key).cast("string").alias("record_key"),
         rid.alias("violated_rule_id"),

@@ -191,3 +191,17 @@ def test_d24_one_fk_function_for_every_table(spark):
     parent = spark.createDataFrame([(1,)], "pk int")
     v = K.fk_violations(child, parent, "fk", "pk", "child", "DQ-010").first()
     assert (v.action_taken, v.field_name, v.field_value) == ("WARN", "fk", "9")
+
+
+def test_d19_deleted_rows_hidden_by_option(spark):
+    df = spark.createDataFrame([(1, "TECH-1", False), (2, "TECH-2", True)], "id int, t string, is_deleted boolean")
+    v = governance.governed_view(df, {"t": lambda c: mask_prefix(c, 4)})
+    assert rows(v, "id", "t") == [(1, "TECH***")]
+    assert governance.governed_view(df, include_deleted=True).count() == 2
+
+
+def test_d22_row_hash_locator_when_no_key(spark):
+    df = spark.createDataFrame([(None, "x"), (None, "y")], "a string, b string")
+    t = R.tag_rules(df, [R.required("a", "A")])
+    ids = [r.violation_id for r in R.violations(t, "x", "a").collect()]
+    assert len(set(ids)) == 2 and all(ids)
