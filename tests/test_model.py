@@ -87,3 +87,21 @@ def test_scale_conf_sizes_partitions():
     c = scale_conf(total_cores=8000, input_bytes=100 * 1024 ** 4)
     assert int(c["spark.sql.shuffle.partitions"]) == 409600        # 100 TB / 256 MB
     assert int(scale_conf(100, 1)["spark.sql.shuffle.partitions"]) == 200
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.sets(st.integers(0, 60), max_size=25), min_size=1, max_size=3))
+def test_keys_unique_dense_and_stable_over_loads(spark, loads):
+    key_map, seen = None, {}
+    for load in loads:
+        df = spark.createDataFrame([(k,) for k in sorted(load)], "nk int")
+        out = keys.assign_keys(df, ["nk"], "sk", key_map)
+        got = {r.nk: r.sk for r in out.collect()}
+        assert all(got[k] == v for k, v in seen.items() if k in got)          # stable
+        seen.update(got)
+        key_map = spark.createDataFrame(sorted(seen.items()), "nk int, sk long")
+    assert sorted(seen.values()) == list(range(1, len(seen) + 1))              # unique, dense
