@@ -27,6 +27,18 @@ def consolidate(spark: SparkSession, table_names: Sequence[str]) -> DataFrame |
     return union_all(found) if found else None
 
 
+def consolidate_paths(spark: SparkSession, paths: Sequence[str], fmt: str = "parquet") -> DataFrame | None:
+    """Union of the violation folders that exist (absent ones skipped), by column name."""
+    from pyspark.errors import AnalysisException
+    found = []
+    for p in paths:
+        try:
+            found.append(spark.read.format(fmt).load(p))
+        except AnalysisException:
+            continue
+    return union_all(found) if found else None
+
+
 def violation_report(violations: DataFrame, by: Sequence[str] = ("violated_rule_id",)) -> DataFrame:
     """Count of violations per rule (and any other grouping columns)."""
     return violations.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))

@@ -43,3 +43,16 @@ def test_fk_violation_record_key_is_child_row_key(spark):
                         record_key="inspection_id").collect()
     assert [(r.record_key, r.field_name, r.field_value, r.action_taken) for r in v] == \
         [("INSP-1", "order_id", "ORD-9", "WARN")]
+
+
+def test_consolidate_paths_skips_missing_and_fills_columns(spark, scratch):
+    from strata.operators import report
+    a, b = scratch("va"), scratch("vb")
+    spark.createDataFrame([("x", "R1")], "record_key string, violated_rule_id string").write.parquet(a)
+    spark.createDataFrame([("y", "R2", "f")], "record_key string, violated_rule_id string, field_name string") \
+        .write.parquet(b)
+    u = report.consolidate_paths(spark, [a, scratch("never-written"), b])
+    assert rows(u, "record_key", "field_name") == [("x", None), ("y", "f")]
+    assert report.consolidate_paths(spark, [scratch("none")]) is None
+    rep = report.violation_report(u)
+    assert rows(rep) == [("R1", 1), ("R2", 1)]
