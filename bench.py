@@ -24,7 +24,7 @@ from strata.session import local_session  # noqa: E402
 HEADLINE = [
     "dq_valid_dedup", "dq_metrics", "dq_all_violations", "cdc_merge", "cdc_late_change",
     "scd2_apply", "fact_star_join", "fact_temporal_join", "chk_fact_grain", "dim_order",
-    "chk_reconcile", "fk_orphans", "rls_scoped", "layout_same_rows",
+    "chk_reconcile", "fk_orphans", "rls_scoped", "layout_same_rows", "fact_production",
 ]
 
 

@@ -86,6 +86,10 @@ ORACLE = {
   rest as (select distinct o_custkey from orders where o_custkey not in (select o_custkey from first)),
   k2 as (select o_custkey, (select coalesce(max(sk), 0) from k1) + cast(row_number() over (order by o_custkey) as bigint) as sk from rest)
   select o_custkey, sk from k1 union all select o_custkey, sk from k2""",
+    "fact_production": """with li as (select l_orderkey, sum(l_quantity) as ordered, sum(case when l_returnflag = 'R' then l_quantity else 0.0 end) as rejected from lineitem group by l_orderkey)
+  select o_orderkey, cast(year(o_orderdate)*10000+month(o_orderdate)*100+day(o_orderdate) as int) as date_sk, ordered as units_produced,
+  ordered - rejected as units_passed, rejected as defect_count, case when ordered > 0 then (ordered - rejected) / ordered end as yield_rate
+  from orders join li on o_orderkey = l_orderkey""",
     "fact_unknown_member": "select o_orderkey, coalesce(d.sk, -1) as sk from orders left join (select p_partkey, cast(p_partkey + 1 as bigint) as sk from part where p_partkey % 2 = 0) d on o_custkey = d.p_partkey",
     "fact_maintenance": "select e.event_id, e.user_id, c.c_nationkey, cast(year(e.ts)*10000+month(e.ts)*100+day(e.ts) as int) as date_sk, e.value from events e join customer c on e.user_id = c.c_custkey where e.event_type <> 'error'",
     "cost_split": "select event_id, cast(cast(value as decimal(12,2)) * ((event_id * 37) % 100) as decimal(20,2)) as parts_x1000, cast(cast(value as decimal(12,2)) * ((event_id * 61) % 100) as decimal(20,2)) as labor_x1000, cast(cast(value as decimal(12,2)) * (((event_id * 37) % 100) + ((event_id * 61) % 100)) as decimal(20,2)) as total_x1000 from events",

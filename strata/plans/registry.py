@@ -27,7 +27,7 @@ def queries() -> dict[str, Query]:
                      "cdc_merge_incremental", "scd2_apply_incremental"])
     q |= _from(star, ["sk_dense", "dim_order", "dim_from_fact", "dim_versions", "fact_temporal_join",
                       "chk_fact_grain", "fact_star_join", "fact_unknown_member", "fact_maintenance",
-                      "cost_split", "date_shift", "dim_date", "sk_incremental"])
+                      "cost_split", "date_shift", "dim_date", "sk_incremental", "fact_production"])
     q |= _from(governed, ["rls_scoped", "cls_mask", "chk_unmasked", "chk_rls_scope",
                           "chk_date_coverage", "chk_fk_left_null", "chk_reconcile", "chk_not_null"])
     q |= _from(io, ["json_roundtrip", "csv_roundtrip", "source_file", "conform_schema",

@@ -118,3 +118,23 @@ def sk_incremental(spark, sf_dir):
     early = o.filter(F.col("o_orderdate") < F.lit(FIRST_LOAD_BEFORE).cast("timestamp_ntz"))
     k1 = keys.assign_keys(early.select("o_custkey").distinct(), ["o_custkey"], "sk")
     return keys.assign_keys(o.select("o_custkey").distinct(), ["o_custkey"], "sk", key_map=k1)
+
+
+# Fixed value: the return flag that marks rejected units in the production stand-in.
+REJECTED_FLAG = "R"
+
+
+def fact_production(spark, sf_dir):
+    """Production output per order (G8): lineitem quantities as produced units, returned
+    ones as rejected; measures guarded (partial aggregation per order, then one join)."""
+    t = Tables(spark, sf_dir)
+    q = F.col("l_quantity")
+    per_order = t.lineitem.groupBy("l_orderkey").agg(
+        F.sum(q).alias("ordered"),
+        F.sum(F.when(F.col("l_returnflag") == REJECTED_FLAG, q).otherwise(F.lit(0.0))).alias("rejected"))
+    f = t.orders.select("o_orderkey", "o_orderdate").join(
+        per_order, F.col("o_orderkey") == F.col("l_orderkey"))
+    m = model.production_measures(F.col("ordered"), F.col("rejected"))
+    return f.select("o_orderkey", date_key("o_orderdate").alias("date_sk"),
+                    F.col("ordered").alias("units_produced"), m["units_passed"].alias("units_passed"),
+                    m["defect_count"].alias("defect_count"), m["yield_on_ordered"].alias("yield_rate"))
