@@ -55,8 +55,10 @@ def assign_keys(rows: DataFrame, natural_key: Sequence[str], sk_col: str,
     nk = list(natural_key)
     if key_map is None:
         return dense_keys(rows, nk, sk_col)
-    known = rows.join(key_map.select(*nk, sk_col), nk, "inner")
-    fresh = rows.join(key_map.select(*nk), nk, "left_anti")
+    # one left join (its shuffles are reused by both branches), split on the missing key
+    j = rows.join(key_map.select(*nk, F.col(sk_col).alias("__sk")), nk, "left")
+    known = j.filter(F.col("__sk").isNotNull()).withColumnRenamed("__sk", sk_col)
+    fresh = j.filter(F.col("__sk").isNull()).drop("__sk")
     top = key_map.agg(F.max(sk_col)).first()[0] or 0   # one scalar
     return known.unionByName(dense_keys(fresh, nk, sk_col, start=int(top) + 1))
 

@@ -79,12 +79,13 @@ def compact_path(spark, src: str, dst: str, target_bytes: int = 128 * 1024 * 102
                  fmt: str = "parquet") -> int:
     """Rewrite a folder of small files into files of about `target_bytes` at a new path.
 
-    The input size is summed from file metadata by Spark (one row per file), not by
-    listing on the driver; returns the number of output files requested.
+    The input size comes from the file system's content summary (metadata only: no data
+    is read to size the job); returns the number of output files requested.
     """
     df = spark.read.format(fmt).load(src)
-    sizes = df.select("_metadata.file_path", "_metadata.file_size").distinct()
-    total = sizes.agg(F.sum("file_size")).first()[0] or 0
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(src)
+    fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
+    total = fs.getContentSummary(jpath).getLength()
     n = files_for_target(int(total), target_bytes)
     compact(df, n).write.format(fmt).mode("errorifexists").save(dst)
     return n
