@@ -139,3 +139,12 @@ def scd2_apply_incremental(spark, sf_dir):
     return snap.select("k", "bal", F.col(history.START).alias("start_date"),
                        F.col(history.END).alias("end_date"), "is_current",
                        F.col(history.VERSION).alias("version"))
+
+
+def cdc_sequential(spark, sf_dir):
+    """The whole change log applied as one batch to an empty table, with the result of
+    applying its changes one at a time (an insert later deleted stays as a tombstone)."""
+    log = change_log(Tables(spark, sf_dir).events)
+    empty = log.limit(0).select("k", "value", "ts", "lsn", F.lit(False).alias("is_deleted"))
+    snap = changes.apply_changes_sequential(empty, log, ["k"], ["value"], order=ORDER)
+    return snap.select("k", "value", "is_deleted")
