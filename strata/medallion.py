@@ -60,11 +60,8 @@ def run(spark: SparkSession, sf_dir: str, out: str, ctx: RunContext,
         ctx, "silver.telemetry"))
 
     with ledger.step("silver_violations") as s:
-        bad = silver.filter(F.col(R.DISPOSITION) == R.QUARANTINED)
-        dup = silver.filter(F.col(R.DISPOSITION) == R.DUPLICATE)
         v = report.union_all([
-            R.violations(bad, "telemetry", "device_id", "event_id", ctx=ctx),
-            R.violations(dup, "telemetry", "device_id", "event_id", rule_id=quality.DUPLICATE_RULE, ctx=ctx),
+            R.all_violations(silver, "telemetry", "device_id", quality.DUPLICATE_RULE, "event_id", ctx=ctx),
             checks.fk_violations(t.orders, t.lineitem, "o_orderkey", "l_orderkey", "orders", "DQ-010", ctx=ctx),
         ])
         observed, obs = report.observe_counts(v, "violations")

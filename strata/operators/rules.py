@@ -138,6 +138,20 @@ def violations(failed: DataFrame, source_table: str, record_key: str | Column,
     return failed.select(*cols)
 
 
+def violation_rule(duplicate_rule_id: str) -> Column:
+    """Rule id of a non-valid classified row: its first failed rule, or the duplicate rule."""
+    return F.when(F.col(DISPOSITION) == QUARANTINED, F.col(REASON)).otherwise(F.lit(duplicate_rule_id))
+
+
+def all_violations(classified: DataFrame, source_table: str, record_key: str | Column,
+                   duplicate_rule_id: str, locator: str | Column | None = None,
+                   descriptions: dict[str, str] | None = None, ctx: RunContext | None = None) -> DataFrame:
+    """Violation records for every non-valid row of a classified frame, in one pass."""
+    bad = classified.filter(F.col(DISPOSITION) != VALID)
+    return violations(bad, source_table, record_key, locator, rule_id=violation_rule(duplicate_rule_id),
+                      descriptions=descriptions, ctx=ctx)
+
+
 def stamp(df: DataFrame, ctx: RunContext) -> DataFrame:
     """Run stamp: `_pipeline_run_id`, `_processed_timestamp` bound once per run."""
     return df.withColumns({"_pipeline_run_id": F.lit(ctx.run_id),

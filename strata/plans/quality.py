@@ -64,11 +64,11 @@ def dq_quarantine(spark, sf_dir):
 
 
 def dq_all_violations(spark, sf_dir):
+    """Failures and duplicates in one pass over the classified frame (no union of two
+    re-evaluations of the same plan)."""
     c = classified(spark, sf_dir)
-    d = F.col(rules.DISPOSITION)
-    bad = c.filter(d == rules.QUARANTINED).select("event_id", F.col(rules.REASON).alias("reason"))
-    dup = c.filter(d == rules.DUPLICATE).select("event_id", F.lit(DUPLICATE_RULE).alias("reason"))
-    return report.union_all([bad, dup])
+    return c.filter(F.col(rules.DISPOSITION) != rules.VALID).select(
+        "event_id", rules.violation_rule(DUPLICATE_RULE).alias("reason"))
 
 
 def dq_metrics(spark, sf_dir):

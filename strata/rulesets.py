@@ -103,18 +103,12 @@ def cleanse(entity: str, bronze, ctx, order, locator: str | None = None):
     (failures: QUARANTINE; duplicates: the entity's duplicate rule).
 
     Returns (classified, violations)."""
-    from .operators import report
     from .operators import rules as R
     derived = DERIVED.get(entity)
     df = bronze.withColumns(derived()) if derived else bronze
     classified = R.stamp(R.classify(df, RULES[entity](), ENTITY_KEYS[entity], order), ctx)
     key = ENTITY_KEYS[entity][0]
-    loc = locator or order[-1]
-    _, bad, dup = R.split(classified)
-    descs = descriptions(entity)
     dup_id, _ = DUPLICATE_RULE[entity]
-    v = report.union_all([
-        R.violations(bad, entity, key, loc, descriptions=descs, ctx=ctx),
-        R.violations(dup, entity, key, loc, rule_id=dup_id, descriptions=descs, ctx=ctx),
-    ])
+    v = R.all_violations(classified, entity, key, dup_id, locator or order[-1],
+                         descriptions=descriptions(entity), ctx=ctx)
     return classified, v
