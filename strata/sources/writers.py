@@ -53,15 +53,17 @@ def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str], fmt
 
 
 def write_snapshot(df: DataFrame, base: str, version: int, fmt: str = "parquet") -> str:
-    """Write a new version folder; never overwrite the path the plan is reading."""
+    """Write a new version folder; never the path the plan is reading. A retried job
+    replaces its own half-written version (nothing else reads it yet)."""
     path = f"{base.rstrip('/')}/v={version:08d}"
-    df.write.format(fmt).mode("errorifexists").save(path)
+    df.write.format(fmt).mode("overwrite").save(path)
     return path
 
 
 def write_landing(df: DataFrame, path: str, fmt: str, **options) -> None:
-    """Landing-file writer (JSON / CSV / Parquet), one file per task."""
-    df.write.format(fmt).options(**options).mode("errorifexists").save(path)
+    """Landing-file writer (JSON / CSV / Parquet), one file per task; a retried job
+    replaces its own output."""
+    df.write.format(fmt).options(**options).mode("overwrite").save(path)
 
 
 def write_bucketed(df: DataFrame, table: str, keys: Sequence[str], n_buckets: int,

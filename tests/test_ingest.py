@@ -198,3 +198,11 @@ def test_sequential_stream_independent_of_batch_cuts(spark, scratch):
     cols = ("k", "value", "lsn", "is_deleted")
     assert rows(streamed, *cols) == rows(whole, *cols)
     assert whole.filter("is_deleted").count() > 0
+
+
+def test_snapshot_versions_and_retry(spark, scratch):
+    base = scratch("snap")
+    p1 = writers.write_snapshot(spark.range(3), base, 1)
+    p1b = writers.write_snapshot(spark.range(3), base, 1)     # retried job: same version replaced
+    p2 = writers.write_snapshot(spark.read.parquet(p1).union(spark.range(3, 5)), base, 2)
+    assert p1 == p1b and spark.read.parquet(p1).count() == 3 and spark.read.parquet(p2).count() == 5
