@@ -148,3 +148,11 @@ def cdc_sequential(spark, sf_dir):
     empty = log.limit(0).select("k", "value", "ts", "lsn", F.lit(False).alias("is_deleted"))
     snap = changes.apply_changes_sequential(empty, log, ["k"], ["value"], order=ORDER)
     return snap.select("k", "value", "is_deleted")
+
+
+def live_view(spark, sf_dir):
+    """Analyst view of the merged snapshot: soft-deleted rows hidden (by option)."""
+    from ..operators import governance
+    base, inc, _ = _cdc(spark, sf_dir)
+    snap = changes.apply_changes(base, inc, ["k"], value_cols=["value"], order=ORDER)
+    return governance.governed_view(snap.select("k", "value", "is_deleted")).select("k", "value")

@@ -152,3 +152,13 @@ def stream_cdc_apply(spark, sf_dir):
     ingest.apply_changes_stream(src.drop("_source_file"), table, ["k"], CDC_BUCKETS, schema,
                                 scratch_path(spark, "ckpt"), value_cols=["value"])
     return incremental.read_keyed(spark, table, schema).select("k", "value", "is_deleted")
+
+
+def schema_evolution(spark, sf_dir):
+    """Landed JSON read with a schema that predates `value`; the rescued field is then
+    promoted to a typed column (schema evolution without losing a row)."""
+    path = scratch_path(spark, "evolve")
+    writers.write_landing(Tables(spark, sf_dir).events, path, "json")
+    old = T.StructType([f for f in EVENTS_SCHEMA.fields if f.name not in ("value", "props")])
+    back = readers.promote_rescued(readers.read_json_rescued(spark, path, old), {"value": "double"})
+    return back.select("event_id", "value")

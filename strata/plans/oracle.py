@@ -42,6 +42,9 @@ ORACLE = {
     "dq_all_failed_rules": _RAW + "select event_id, concat_ws(',', case when not ok_dev then 'DQ-001' end, case when not ok_fac then 'DQ-003' end, case when not ok_rng then 'DQ-004' end) as failed_rules from dq where not passed",
     "dq_report": _RAW + "select reason, count(*) as n from (select reason from dq where not passed union all select 'DQ-006' as reason from rk where rn > 1) x group by reason",
     "audit_log": _RAW + "select 'events' as target_table, 'WRITE' as action_type, (select count(*) from rk where rn = 1) as n_rows, 'run-1' as run_id",
+    "silver_balance": _RAW + """select d as _disposition, count(*) as n from (
+  select case when not passed then 'quarantined' end as d from dq where not passed
+  union all select case when rn = 1 then 'valid' else 'duplicate' end from rk) x group by d""",
     "dq_cross_column": "select l_orderkey, l_linenumber, l_partkey, (l_quantity >= 0 and cast(l_discount as decimal(5,2)) + cast(l_tax as decimal(5,2)) <= 0.12) as consistent from lineitem",
     "derived_rates": "select o_orderkey, case when cast(floor(o_totalprice) as bigint) % 5 > 0 then o_totalprice / (cast(floor(o_totalprice) as bigint) % 5) end as rate from orders",
     "fk_orphans": "select o_orderkey, 'DQ-010' as violated_rule_id, cast(o_orderkey as varchar) as field_value, 'WARN' as action_taken from orders anti join lineitem on o_orderkey = l_orderkey",
@@ -53,6 +56,10 @@ ORACLE = {
     "cdc_merge": _CDC + """select coalesce(b.k, i.k) as k, case when i.op in ('INSERT','UPDATE') then i.value else b.value end as value,
   case when i.op = 'DELETE' then true when i.op in ('INSERT','UPDATE') then false else b.is_deleted end as is_deleted
   from base b full outer join inc i on b.k = i.k where b.k is not null or i.op <> 'DELETE'""",
+    "live_view": _CDC + """select coalesce(b.k, i.k) as k, case when i.op in ('INSERT','UPDATE') then i.value else b.value end as value
+  from base b full outer join inc i on b.k = i.k
+  where (b.k is not null or i.op <> 'DELETE')
+    and not (case when i.op = 'DELETE' then true when i.op in ('INSERT','UPDATE') then false else b.is_deleted end)""",
     "cdc_delete_unknown": _CDC + "select count(*) as n from inc i anti join base b on b.k = i.k where i.op='DELETE'",
     "cdc_late_change": """with st0 as (select *, row_number() over (partition by user_id order by ts desc, event_id desc) as rn from events where ts < timestamp '2024-01-20 00:00:00' and user_id % 3 <> 0),
   st as (select user_id as k, event_id as lsn, ts, value from st0 where rn = 1),
@@ -127,6 +134,7 @@ ORACLE = {
     "stream_dq_split": "select event_id, case when value is not null and value between 0 and 150 then 'valid' else 'quarantined' end as _disposition from events",
     "stream_dedup": "select event_id, user_id from events",
     "rescued_fields": "select event_id, props from events",
+    "schema_evolution": "select event_id, value from events",
     # first application of the whole log to an empty table: latest change per key,
     # deletes of keys the table never held are ignored
     "stream_cdc_apply": """with log as (select user_id as k, event_id as lsn, ts, value,

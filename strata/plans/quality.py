@@ -138,3 +138,13 @@ def bucket_case(spark, sf_dir):
     return c.select("c_custkey",
                     case_map(k % 4, FACILITY_OF_BUCKET, FACILITY_DEFAULT).alias("fac"),
                     threshold_ladder((k * 37) % 100, PRIORITY_LADDER, PRIORITY_DEFAULT).alias("pri"))
+
+
+def silver_balance(spark, sf_dir):
+    """The single classified write (partitioned by run and disposition, counts observed on
+    the same job), read back: rows per disposition."""
+    from ..session import scratch_path
+    path = scratch_path(spark, "silver")
+    rules.write_classified(classified(spark, sf_dir), path, RUN)
+    back = spark.read.parquet(path)
+    return back.groupBy(rules.DISPOSITION).agg(F.count(F.lit(1)).alias("n"))

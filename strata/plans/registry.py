@@ -21,10 +21,11 @@ def queries() -> dict[str, Query]:
     q |= _from(quality, ["dq_tag", "dq_valid_dedup", "dq_quarantine", "dq_all_violations",
                          "dq_metrics", "dq_all_failed_rules", "dq_report", "audit_log",
                          "dq_cross_column", "derived_rates", "fk_orphans", "union_missing_cols",
-                         "bucket_case"])
+                         "bucket_case", "silver_balance"])
     q |= _from(cdc, ["cdc_latest", "cdc_superseded", "cdc_merge", "cdc_delete_unknown",
                      "cdc_late_change", "scd2_new", "scd2_changed", "scd2_apply", "scd2_init",
-                     "cdc_merge_incremental", "scd2_apply_incremental", "cdc_sequential"])
+                     "cdc_merge_incremental", "scd2_apply_incremental", "cdc_sequential",
+                     "live_view"])
     q |= _from(star, ["sk_dense", "dim_order", "dim_from_fact", "dim_versions", "fact_temporal_join",
                       "chk_fact_grain", "fact_star_join", "fact_unknown_member", "fact_maintenance",
                       "cost_split", "date_shift", "dim_date", "sk_incremental", "fact_production"])
@@ -32,7 +33,8 @@ def queries() -> dict[str, Query]:
                           "chk_date_coverage", "chk_fk_left_null", "chk_reconcile", "chk_not_null"])
     q |= _from(io, ["json_roundtrip", "csv_roundtrip", "source_file", "conform_schema",
                     "stream_ingest", "stream_rerun", "layout_same_rows", "stream_dq_split",
-                    "stream_dedup", "rescued_fields", "stream_cdc_apply"])
+                    "stream_dedup", "rescued_fields", "stream_cdc_apply",
+                    "schema_evolution"])
     return q
 
 
