@@ -81,8 +81,8 @@ def missing_dates(facts: DataFrame, fact_date: str | Column, dates: DataFrame,
     """Fact rows whose date has no row in the date table (anti join on distinct dates)."""
     fd = F.col(fact_date) if isinstance(fact_date, str) else fact_date
     dd = F.col(dim_date) if isinstance(dim_date, str) else dim_date
-    d = dates.select(F.to_date(dd).alias("__d")).distinct()
-    return facts.join(d, F.to_date(fd) == F.col("__d"), "left_anti")
+    d = dates.select(F.to_date(dd).alias("__dim_day")).distinct()
+    return facts.join(d, F.to_date(fd) == F.col("__dim_day"), "left_anti")
 
 
 def distinct_count(df: DataFrame, column: str, alias: str = "n") -> DataFrame:

@@ -152,3 +152,62 @@ def fact_maintenance_events(maintenance: DataFrame, equipment: DataFrame, techni
         labor.alias("labor_cost_usd"), (parts + labor).alias("total_cost_usd"), "maintenance_type",
         "failure_code", F.lit(ctx.run_id).alias("_pipeline_run_id"), _stamp(ctx).alias("created_at"))
     return conform(out, schemas.FACT_MAINTENANCE_EVENTS)
+
+
+# Metadata columns every fact carries, and check severities.
+FACT_METADATA = ("_pipeline_run_id", "created_at")
+ERROR, WARN = "ERROR", "WARN"
+
+
+def validate_gold(facts: dict[str, DataFrame], dims: dict[str, DataFrame], ctx: RunContext,
+                  analyst_view: DataFrame | None = None, masked: tuple[DataFrame, str] | None = None,
+                  sources: dict[str, tuple[DataFrame, DataFrame, list[str]]] | None = None) -> DataFrame:
+    """The validation suite over a built star schema, as one result frame:
+    source→bronze reconciliation (WARN), required and metadata columns, NOT NULL keys,
+    fact→dimension FK integrity (unknown member counts as a miss), date coverage,
+    single-scope analyst view (WARN) and whole-column masking.
+
+    `facts` / `dims` are keyed by table name as in `schemas.REQUIRED`; `sources` maps a
+    name to (source, bronze, key columns)."""
+    from .operators import checks, report
+    rows: list[DataFrame] = []
+    for name, (src, bronze, key) in (sources or {}).items():
+        r = checks.reconcile(src, bronze, key).select((F.col("n_missing") + F.col("n_extra")).alias("n"))
+        rows.append(checks.check_row("reconcile", name, WARN, r, ctx))
+    declared = {"fact_sensor_readings": schemas.FACT_SENSOR_READINGS,
+                "fact_production_output": schemas.FACT_PRODUCTION_OUTPUT,
+                "fact_maintenance_events": schemas.FACT_MAINTENANCE_EVENTS}
+    for name, df in facts.items():
+        gaps = checks.schema_gaps(df, [f.name for f in declared[name].fields])["missing"] \
+            if name in declared else []
+        gaps += [c for c in FACT_METADATA if c not in df.columns]
+        rows.append(checks.check_row("columns", name, ERROR,
+                                     df.sparkSession.range(1).select(F.lit(len(gaps)).alias("n")), ctx))
+    for name, df in {**facts, **dims}.items():
+        req = [c for c in schemas.REQUIRED.get(name, []) if c in df.columns]
+        if req:
+            nulls = checks.null_counts(df, req)
+            total = sum((F.col(c) for c in req[1:]), F.col(req[0]))
+            rows.append(checks.check_row("not_null", name, ERROR, nulls.select(total.alias("n")), ctx))
+    sk_of = {"dim_facility": "facility_sk", "dim_equipment": "equipment_sk",
+             "dim_technician": "technician_sk", "dim_production_order": "order_sk",
+             "dim_timestamp": "timestamp_sk"}
+    for fname, f in facts.items():
+        for dname, sk in sk_of.items():
+            if dname in dims and sk in f.columns:
+                miss = checks.count_orphans(f, dims[dname], sk, sk)
+                rows.append(checks.check_row(f"fk_{sk}", fname, ERROR, miss, ctx))
+    if "dim_timestamp" in dims:
+        for fname, f in facts.items():
+            if "timestamp_sk" in f.columns:
+                d = f.select(F.to_date(F.col("timestamp_sk").cast("string"), "yyyyMMdd").alias("__d"))
+                miss = checks.missing_dates(d, "__d", dims["dim_timestamp"], "date_day")
+                rows.append(checks.check_row("date_coverage", fname, ERROR,
+                                             miss.agg(F.count(F.lit(1)).alias("n")), ctx))
+    if analyst_view is not None:
+        scope = checks.distinct_count(analyst_view, "facility_sk").select((F.col("n") - 1).alias("n"))
+        rows.append(checks.check_row("single_scope", "analyst_view", WARN, scope, ctx))
+    if masked is not None:
+        view, col = masked
+        rows.append(checks.check_row("masking", col, ERROR, checks.unmasked_count(view, col, null_ok=True), ctx))
+    return report.union_all(rows)

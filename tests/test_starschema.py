@@ -96,3 +96,38 @@ def test_keys_stable_when_dimension_rebuilt(spark):
     a = dict((r.facility_id, r.facility_sk) for r in first.collect())
     b = dict((r.facility_id, r.facility_sk) for r in second.collect())
     assert all(b[k] == v for k, v in a.items()) and b["FAC-0"] == max(a.values()) + 1
+
+
+def test_validate_gold_suite(spark):
+    from strata.operators import checks as K
+    from strata.operators import governance as G
+    from strata.functions import mask_prefix
+    tel, eq, orders, insp, maint = _silver(spark)
+    fac, tech = S.dim_facility(tel, CTX), S.dim_technician(maint, CTX)
+    odim, edim = S.dim_production_order(orders, CTX), S.dim_equipment(eq)
+    ddim = S.dim_timestamp(tel.select(F.col("event_timestamp").alias("d")), "d", CTX)
+    sensor = S.fact_sensor_readings(tel, edim, fac, CTX)
+    mf = S.fact_maintenance_events(maint, edim, tech, fac, CTX)
+    ent = spark.createDataFrame([("ana", "FAC-A")], "principal string, scope_value string")
+    view = G.row_scope(sensor.join(fac.select("facility_sk", "facility_id"), "facility_sk"),
+                       "facility_id", ent, "ana")
+    masked = G.mask_columns(maint, {"maintenance_technician_id": lambda c: mask_prefix(c, 5)})
+    res = S.validate_gold(
+        facts={"fact_sensor_readings": sensor, "fact_maintenance_events": mf},
+        dims={"dim_facility": fac, "dim_technician": tech, "dim_equipment": edim, "dim_timestamp": ddim,
+              "dim_production_order": odim},
+        ctx=CTX, analyst_view=view, masked=(masked, "maintenance_technician_id"),
+        sources={"telemetry": (tel, tel, ["device_id", "event_timestamp"])})
+    got = {(r.check, r.target): (r.status, r.n_bad) for r in res.collect()}
+    assert got[("reconcile", "telemetry")] == ("PASS", 0)
+    assert got[("single_scope", "analyst_view")] == ("PASS", 0)
+    assert got[("masking", "maintenance_technician_id")] == ("PASS", 0)
+    # readings carry no equipment id: the unknown member (-1) is reported, not hidden
+    assert got[("fk_equipment_sk", "fact_sensor_readings")][0] == "FAIL"
+    assert got[("date_coverage", "fact_sensor_readings")] == ("PASS", 0)
+    assert got[("not_null", "dim_facility")] == ("PASS", 0)
+    errors = res.filter("severity = 'ERROR' and status = 'FAIL'").count()
+    assert errors >= 1
+    import pytest
+    with pytest.raises(K.CheckFailed):
+        K.enforce(res)
