@@ -12,7 +12,10 @@ its key (`pmod(xxhash64(key), n)`); a run
    read), and
 5. swaps the touched partitions in with dynamic partition overwrite.
 
-Work and shuffle volume scale with the touched buckets, not the table. Plans in which
+Work and shuffle volume scale with the touched buckets, not the table. Recovery: if a
+job dies after only some touched partitions were swapped in, running the same batch
+again converges — already-replaced buckets see no newer change, the others get it —
+because applying a batch is idempotent. Plans in which
 a key never loses all its rows (upserts, soft deletes, SCD2) keep every touched bucket
 non-empty, so a touched partition is always replaced, never left stale.
 """

@@ -60,3 +60,22 @@ def test_empty_keyed_table_then_inserts(spark, scratch):
     plan = lambda cur, b: C.apply_changes(cur, b, ["k"], value_cols=["value"])
     I.rewrite_touched(spark, path, batch, ["k"], 8, plan, schema)
     assert rows(I.read_keyed(spark, path, schema), "k", "value") == [("a", 1.0)]
+
+
+def test_rerun_after_partial_swap_converges(spark, scratch):
+    path = scratch("partial")
+    base = spark.range(400).select(F.col("id").cast("string").alias("k"), F.lit(1.0).alias("value"),
+                                   F.lit(T(0)).cast("timestamp_ntz").alias("ts"), F.col("id").alias("lsn"),
+                                   F.lit(False).alias("is_deleted"))
+    schema = I.write_keyed(base, path, ["k"], 8)
+    batch = spark.range(0, 400, 7).select(F.col("id").cast("string").alias("k"), F.lit(2.0).alias("value"),
+                                          F.lit(T(1)).cast("timestamp_ntz").alias("ts"),
+                                          (F.col("id") + 1000).alias("lsn"), F.lit("UPDATE").alias("op"))
+    plan = lambda cur, b: C.apply_changes(cur, b, ["k"], value_cols=["value"])
+    # simulate a crash after half the touched buckets were swapped in
+    touched = sorted(r[0] for r in batch.select(I.bucket_of(["k"], 8).alias("b")).distinct().collect())
+    half = batch.filter(I.bucket_of(["k"], 8).isin(touched[: len(touched) // 2]))
+    I.rewrite_touched(spark, path, half, ["k"], 8, plan, schema)
+    I.rewrite_touched(spark, path, batch, ["k"], 8, plan, schema)        # the retry
+    got = I.read_keyed(spark, path, schema).drop(I.BUCKET)
+    assert rows(got) == rows(C.apply_changes(base, batch, ["k"], value_cols=["value"]))
