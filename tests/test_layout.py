@@ -40,3 +40,16 @@ def test_no_rules_means_all_pass(spark):
     from strata.operators import rules as R
     t = R.tag_rules(spark.range(3), [])
     assert t.filter(R.PASSED).count() == 3
+
+
+def test_cluster_three_columns_and_one_column(spark, scratch):
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    three = layout.cluster(li, ["l_orderkey", "l_returnflag", "l_shipdate"], n_files=6)
+    one = layout.cluster(li, ["l_partkey"], n_files=6)
+    assert rows(three) == rows(li) and rows(one) == rows(li)
+    p = scratch("one")
+    one.write.parquet(p)
+    r = layout.file_ranges(spark.read.parquet(p), "l_partkey").collect()
+    spans = sorted((x.lo, x.hi) for x in r)
+    # one-column clustering = range layout: files barely overlap on the column
+    assert sum(1 for a, b in zip(spans, spans[1:]) if b[0] < a[1]) <= 1
