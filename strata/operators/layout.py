@@ -62,7 +62,9 @@ def cluster(df: DataFrame, cols: Sequence[str], n_files: int, bits: int = 4) ->
     # Secondary range column: rows sharing one Morton cell (a hot value) can still be
     # split across files by the sampled bounds instead of landing in one task.
     spread = F.xxhash64(*[F.col(c) for c in df.columns])
-    return (df.withColumns({"__z": z, "__t": spread}).repartitionByRange(n_files, "__z", "__t")
+    # range key (cell, columns, row hash): inside a cell the split follows the values;
+    # the hash only separates exact ties
+    return (df.withColumns({"__z": z, "__t": spread}).repartitionByRange(n_files, "__z", *cols, "__t")
             .sortWithinPartitions("__z", *cols).drop("__z", "__t"))
 
 
