@@ -109,19 +109,29 @@ def unknown_deletes(target: DataFrame, changes: DataFrame, keys: Sequence[str],
     return d.join(target.select(*keys).distinct(), on=list(keys), how="left_anti")
 
 
+UPSERT_ORDER_PREFIX = "_up_"
+
+
 def apply_changes_sequential(target: DataFrame, batch: DataFrame, keys: Sequence[str],
                              value_cols: Sequence[str], order: Sequence[str] = ("ts", "lsn"),
                              op: str = "op", upserts: Sequence[str] = (INSERT, UPDATE),
                              deletes: Sequence[str] = (DELETE,), deleted_col: str = "is_deleted",
-                             deleted_at_col: str | None = None) -> DataFrame:
-    """Apply a batch with *several* changes per key so that the result equals applying
-    them one at a time in (ts, lsn) order — e.g. an insert followed by a delete inside
-    one batch leaves a tombstone instead of nothing.
-
-    The batch is collapsed per key by aggregation (partial, skew-safe): the last change
-    (its order and op) and the last upsert (its values and order).
+                             deleted_at_col: str | None = None,
+                             keep_unknown_deletes: bool = False) -> DataFrame:
+    """Apply a batch with *several* changes per key as if they came one at a time in
+    (ts, lsn) order — e.g. an insert followed by a delete inside one batch leaves a
+    tombstone instead of nothing.
+
+    Each row holds two last-writer-wins registers: the last change (its `order` and
+    whether it was a delete) and the last upsert (the values and their order, stored in
+    `_up_<order col>`). A batch is collapsed per key by aggregation (partial, skew-safe)
+    and merged by taking the newer of each register, so the merge is idempotent, and —
+    with `keep_unknown_deletes=True`, which keeps a delete of a never-seen key as a
+    value-less tombstone — independent of the order in which batches arrive.
+    A target without `_up_*` columns is read as if its last upsert were its last change.
     """
     keys, order, value_cols = list(keys), list(order), list(value_cols)
+    up_cols = [UPSERT_ORDER_PREFIX + o for o in order]
     ordkey = F.struct(*[F.col(c) for c in order])
     is_up = F.col(op).isin(*upserts)
     collapsed = batch.groupBy(*keys).agg(
@@ -133,29 +143,35 @@ def apply_changes_sequential(target: DataFrame, batch: DataFrame, keys: Sequence
         *[F.col("__up")[v].alias(f"__u_{v}") for v in value_cols],
         *[F.col("__up")[o].alias(f"__u_{o}") for o in order],
         F.col("__up").isNotNull().alias("__has_up"), F.lit(True).alias("__c"))
+
+    def tcol(x, fallback=None):
+        if x in target.columns:
+            return F.col(x)
+        return F.col(fallback) if fallback and fallback in target.columns else F.lit(None)
+
     tcols = value_cols + order + [deleted_col] + ([deleted_at_col] if deleted_at_col else [])
-    t = target.select(*keys, *[F.col(x).alias(f"__t_{x}") if x in target.columns
-                               else F.lit(None).alias(f"__t_{x}") for x in tcols], F.lit(True).alias("__t"))
+    t = target.select(*keys, *[tcol(x).alias(f"__t_{x}") for x in tcols],
+                      *[tcol(u, o).alias(f"__tu_{o}") for u, o in zip(up_cols, order)],
+                      F.lit(True).alias("__t"))
     j = t.join(c, on=keys, how="full_outer")
 
     has_t, has_c = F.col("__t").isNotNull(), F.col("__c").isNotNull()
     has_up = F.coalesce(F.col("__has_up"), F.lit(False))
-    last_up = F.col("__c_op").isin(*upserts)
-    last_del = F.col("__c_op").isin(*deletes)
-    t_order = [F.col(f"__t_{o}") for o in order]
-    newer = ~has_t | _newer([F.col(f"__c_{o}") for o in order], t_order)
-    up_newer = has_up & (~has_t | _newer([F.col(f"__u_{o}") for o in order], t_order))
-    take_up = has_c & last_up & newer
-    take_del = has_c & last_del & newer & (has_t | has_up)
-    use_up_values = take_up | (take_del & up_newer)
-
-    out = {v: F.when(use_up_values, F.col(f"__u_{v}")).otherwise(F.col(f"__t_{v}")) for v in value_cols}
+    c_del = F.col("__c_op").isin(*deletes)
+    last_newer = has_c & (~has_t | _newer([F.col(f"__c_{o}") for o in order],
+                                          [F.col(f"__t_{o}") for o in order]))
+    up_newer = has_up & (~has_t | _newer([F.col(f"__u_{o}") for o in order],
+                                         [F.col(f"__tu_{o}") for o in order]))
+
+    out = {v: F.when(up_newer, F.col(f"__u_{v}")).otherwise(F.col(f"__t_{v}")) for v in value_cols}
     for o in order:
-        out[o] = F.when(take_up | take_del, F.col(f"__c_{o}")).otherwise(F.col(f"__t_{o}"))
-    out[deleted_col] = (F.when(take_up, F.lit(False)).when(take_del, F.lit(True))
-                        .otherwise(F.coalesce(F.col(f"__t_{deleted_col}"), F.lit(False))))
+        out[o] = F.when(last_newer, F.col(f"__c_{o}")).otherwise(F.col(f"__t_{o}"))
+    for u, o in zip(up_cols, order):
+        out[u] = F.when(up_newer, F.col(f"__u_{o}")).otherwise(F.col(f"__tu_{o}"))
+    out[deleted_col] = F.when(last_newer, c_del).otherwise(F.coalesce(F.col(f"__t_{deleted_col}"), F.lit(False)))
     if deleted_at_col:
-        out[deleted_at_col] = (F.when(take_up, F.lit(None)).when(take_del, F.col(f"__c_{order[0]}"))
+        out[deleted_at_col] = (F.when(last_newer & c_del, F.col(f"__c_{order[0]}"))
+                               .when(last_newer, F.lit(None))
                                .otherwise(F.col(f"__t_{deleted_at_col}"))).cast("timestamp")
-    keep = has_t | take_up | take_del
+    keep = has_t | has_up | (has_c & F.lit(keep_unknown_deletes))
     return j.filter(keep).select(*keys, *[e.alias(n) for n, e in out.items()])

@@ -109,7 +109,7 @@ def dedup_within_watermark(stream: DataFrame, keys: Sequence[str], event_time: s
 def apply_changes_stream(stream: DataFrame, path: str, keys: Sequence[str], n_buckets: int,
                          schema: T.StructType, checkpoint: str, order: Sequence[str] = ("ts", "lsn"),
                          op: str = "op", value_cols: Sequence[str] | None = None,
-                         sequential: bool = False) -> dict:
+                         sequential: bool = False, keep_unknown_deletes: bool = False) -> dict:
     """Continuous CDC: each micro-batch is reduced to its latest change per key and
     merged into the bucket-keyed current-state table at `path`, rewriting only the
     buckets it touches. A replayed batch changes nothing (its changes are no longer
@@ -117,15 +117,17 @@ def apply_changes_stream(stream: DataFrame, path: str, keys: Sequence[str], n_bu
 
     sequential=True applies each batch as if its changes came one at a time (an insert
     and a delete of a new key in one batch leave a tombstone); with files arriving in
-    time order the final table then does not depend on where batches are cut."""
+    time order the final table then does not depend on where batches are cut. Declaring
+    the `_up_<order col>` columns in the table schema keeps the last-upsert register too,
+    and with `keep_unknown_deletes` the result no longer depends on arrival order."""
     from ..operators import changes as C
     from ..operators import incremental
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         if sequential:
             vals = value_cols or [c for c in batch.columns if c not in list(keys) + list(order) + [op]]
-            plan = lambda cur, b: C.apply_changes_sequential(cur, b, keys, vals,
-                                                             order=order, op=op)
+            plan = lambda cur, b: C.apply_changes_sequential(
+                cur, b, keys, vals, order=order, op=op, keep_unknown_deletes=keep_unknown_deletes)
             incremental.rewrite_touched(batch.sparkSession, path, batch, keys, n_buckets, plan, schema)
             return
         latest = C.latest_changes(batch, keys, order, with_superseded=False)

@@ -65,7 +65,7 @@ def test_updates_derived_from_inserts_then_applied_in_one_batch(spark):
     assert sup.count() == 2 and snap.count() == 10
 
 
-from hypothesis import given, settings  # noqa: E402
+from hypothesis import Phase, given, settings  # noqa: E402
 from hypothesis import strategies as st  # noqa: E402
 
 
@@ -107,3 +107,23 @@ def test_sequential_batch_equals_one_at_a_time(spark, events, start):
         state = C.apply_changes(state, spark.createDataFrame([ch], CHG), ["k"], value_cols=["value"])
         state = spark.createDataFrame(state.collect(), TGT)      # keep the loop's plans small
     assert rows(once, "k", "value", "ts", "lsn", "is_deleted") == rows(state, "k", "value", "ts", "lsn", "is_deleted")
+
+
+@settings(max_examples=10, deadline=None, phases=[Phase.explicit, Phase.reuse, Phase.generate])
+@given(st.lists(st.tuples(st.sampled_from("abc"), st.integers(0, 9), st.sampled_from(["INSERT", "UPDATE", "DELETE"])),
+                min_size=1, max_size=12),
+       st.randoms(use_true_random=False))
+def test_unknown_delete_tombstones_make_arrival_order_irrelevant(spark, events, rnd):
+    changes = [(k, float(i), T(h), i, op) for i, (k, h, op) in enumerate(events)]
+    empty = spark.createDataFrame([], TGT)
+    whole = C.apply_changes_sequential(empty, spark.createDataFrame(changes, CHG), ["k"], ["value"],
+                                       keep_unknown_deletes=True)
+    shuffled = changes[:]
+    rnd.shuffle(shuffled)
+    state = empty
+    for i in range(0, len(shuffled), 3):                 # batches arrive in a random order
+        batch = spark.createDataFrame(shuffled[i:i + 3], CHG)
+        state = C.apply_changes_sequential(state, batch, ["k"], ["value"], keep_unknown_deletes=True)
+        state = spark.createDataFrame(state.collect(), state.schema)
+    cols = ("k", "value", "ts", "lsn", "is_deleted")
+    assert rows(state, *cols) == rows(whole, *cols)
