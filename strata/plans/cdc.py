@@ -156,3 +156,23 @@ def live_view(spark, sf_dir):
     base, inc, _ = _cdc(spark, sf_dir)
     snap = changes.apply_changes(base, inc, ["k"], value_cols=["value"], order=ORDER)
     return governance.governed_view(snap.select("k", "value", "is_deleted")).select("k", "value")
+
+
+# Fixed value: the (deliberately not chronological) order in which the per-event-type
+# batches of the change log arrive: all deletes first, inserts last.
+ARRIVAL_ORDER = ("error", "purchase", "view", "click", "signup")
+
+
+def cdc_out_of_order(spark, sf_dir):
+    """The whole change log applied as five batches that arrive out of time order
+    (deletes before the inserts they follow); the two-register merge with kept unknown
+    deletes gives the same state as applying every change in (ts, lsn) order."""
+    ev = Tables(spark, sf_dir).events
+    log = change_log(ev.withColumn("batch", F.col("event_type")), carry=("batch",))
+    empty = log.limit(0).select("k", "value", "ts", "lsn", F.lit(False).alias("is_deleted"))
+    state = empty
+    for b in ARRIVAL_ORDER:
+        batch = log.filter(F.col("batch") == b).drop("batch")
+        state = changes.apply_changes_sequential(state, batch, ["k"], ["value"], order=ORDER,
+                                                 keep_unknown_deletes=True)
+    return state.select("k", "value", "is_deleted")

@@ -36,15 +36,16 @@ def telemetry(events: DataFrame) -> DataFrame:
     )
 
 
-def change_log(events: DataFrame) -> DataFrame:
+def change_log(events: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """events as a change log: key = user_id, lsn = event_id, op from event_type.
 
     About half the rows of every tenth key are left out so keys differ in history.
+    `carry` passes extra event columns through (e.g. a batch label).
     """
     op = case_map("event_type", {"signup": "INSERT", "error": "DELETE"}, "UPDATE")
     return (events.filter((F.col("user_id") % 10 != 9) | (F.col("event_id") % 2 == 0))
             .select(F.col("user_id").alias("k"), F.col("event_id").alias("lsn"), "ts", "value",
-                    op.alias("op")))
+                    op.alias("op"), *carry))
 
 
 def part_versions(part: DataFrame) -> DataFrame:

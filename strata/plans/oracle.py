@@ -79,6 +79,13 @@ ORACLE = {
   l as (select *, row_number() over (partition by k order by ts desc, lsn desc) as rn from log),
   u as (select k, value, row_number() over (partition by k order by ts desc, lsn desc) as rn from log where op <> 'DELETE')
   select l.k, u.value, l.op = 'DELETE' as is_deleted from l join u on l.k = u.k and u.rn = 1 where l.rn = 1""",
+    # two registers per key, whatever the arrival order: the last change decides deleted
+    # or not, the last upsert gives the value; keys only ever deleted stay as empty tombstones
+    "cdc_out_of_order": """with log as (select user_id as k, event_id as lsn, ts, value,
+  case event_type when 'signup' then 'INSERT' when 'error' then 'DELETE' else 'UPDATE' end as op from events where user_id % 10 <> 9 or event_id % 2 = 0),
+  l as (select *, row_number() over (partition by k order by ts desc, lsn desc) as rn from log),
+  u as (select k, value, row_number() over (partition by k order by ts desc, lsn desc) as rn from log where op <> 'DELETE')
+  select l.k, u.value, l.op = 'DELETE' as is_deleted from l left join u on l.k = u.k and u.rn = 1 where l.rn = 1""",
     # ---- history
     "scd2_new": _SCD + "select s.k, s.h from s anti join t on s.k = t.k",
     "scd2_changed": _SCD + "select s.k, t.h as old_h, s.h as new_h from s join t on s.k = t.k where s.h is distinct from t.h",

@@ -24,7 +24,7 @@ def queries() -> dict[str, Query]:
                          "bucket_case", "silver_balance"])
     q |= _from(cdc, ["cdc_latest", "cdc_superseded", "cdc_merge", "cdc_delete_unknown",
                      "cdc_late_change", "scd2_new", "scd2_changed", "scd2_apply", "scd2_init",
-                     "cdc_merge_incremental", "scd2_apply_incremental", "cdc_sequential",
+                     "cdc_merge_incremental", "scd2_apply_incremental", "cdc_sequential", "cdc_out_of_order",
                      "live_view"])
     q |= _from(star, ["sk_dense", "dim_order", "dim_from_fact", "dim_versions", "fact_temporal_join",
                       "chk_fact_grain", "fact_star_join", "fact_unknown_member", "fact_maintenance",
