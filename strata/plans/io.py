@@ -162,3 +162,25 @@ def schema_evolution(spark, sf_dir):
     old = T.StructType([f for f in EVENTS_SCHEMA.fields if f.name not in ("value", "props")])
     back = readers.promote_rescued(readers.read_json_rescued(spark, path, old), {"value": "double"})
     return back.select("event_id", "value")
+
+
+def stream_cdc_out_of_order(spark, sf_dir):
+    """The whole change log landed as one file per event type, written (so arriving) in a
+    non-chronological order — deletes first — and drained micro-batch by micro-batch into
+    a bucket-keyed table that keeps both registers (`_up_*` columns)."""
+    from ..operators import incremental
+    from .cdc import ARRIVAL_ORDER
+    from .fixtures import change_log
+    log = change_log(Tables(spark, sf_dir).events.withColumn("batch", F.col("event_type")), carry=("batch",))
+    landing = scratch_path(spark, "ooo-landing")
+    for b in ARRIVAL_ORDER:            # one append per batch: file times follow this order
+        log.filter(F.col("batch") == b).drop("batch").coalesce(1).write.mode("append").json(landing)
+    table = scratch_path(spark, "ooo-table")
+    empty = spark.createDataFrame([], "k bigint, value double, ts timestamp_ntz, lsn bigint, "
+                                      "is_deleted boolean, _up_ts timestamp_ntz, _up_lsn bigint")
+    schema = incremental.write_keyed(empty, table, ["k"], CDC_BUCKETS)
+    src = ingest.file_stream(spark, landing, CHANGE_SCHEMA, "json", max_files_per_trigger=1)
+    ingest.apply_changes_stream(src.drop("_source_file"), table, ["k"], CDC_BUCKETS, schema,
+                                scratch_path(spark, "ckpt"), value_cols=["value"], sequential=True,
+                                keep_unknown_deletes=True)
+    return incremental.read_keyed(spark, table, schema).select("k", "value", "is_deleted")

@@ -141,6 +141,11 @@ ORACLE = {
     "stream_dq_split": "select event_id, case when value is not null and value between 0 and 150 then 'valid' else 'quarantined' end as _disposition from events",
     "stream_dedup": "select event_id, user_id from events",
     "rescued_fields": "select event_id, props from events",
+    "stream_cdc_out_of_order": """with log as (select user_id as k, event_id as lsn, ts, value,
+  case event_type when 'signup' then 'INSERT' when 'error' then 'DELETE' else 'UPDATE' end as op from events where user_id % 10 <> 9 or event_id % 2 = 0),
+  l as (select *, row_number() over (partition by k order by ts desc, lsn desc) as rn from log),
+  u as (select k, value, row_number() over (partition by k order by ts desc, lsn desc) as rn from log where op <> 'DELETE')
+  select l.k, u.value, l.op = 'DELETE' as is_deleted from l left join u on l.k = u.k and u.rn = 1 where l.rn = 1""",
     "schema_evolution": "select event_id, value from events",
     # first application of the whole log to an empty table: latest change per key,
     # deletes of keys the table never held are ignored

@@ -33,7 +33,7 @@ def queries() -> dict[str, Query]:
                           "chk_date_coverage", "chk_fk_left_null", "chk_reconcile", "chk_not_null"])
     q |= _from(io, ["json_roundtrip", "csv_roundtrip", "source_file", "conform_schema",
                     "stream_ingest", "stream_rerun", "layout_same_rows", "stream_dq_split",
-                    "stream_dedup", "rescued_fields", "stream_cdc_apply",
+                    "stream_dedup", "rescued_fields", "stream_cdc_apply", "stream_cdc_out_of_order",
                     "schema_evolution"])
     return q
 
