@@ -127,3 +127,15 @@ def test_unknown_delete_tombstones_make_arrival_order_irrelevant(spark, events,
         state = spark.createDataFrame(state.collect(), state.schema)
     cols = ("k", "value", "ts", "lsn", "is_deleted")
     assert rows(state, *cols) == rows(whole, *cols)
+
+
+def test_sequential_deleted_at_and_revival(spark):
+    empty = spark.createDataFrame([], TGT)
+    b1 = spark.createDataFrame([("a", 1.0, T(1), 1, "INSERT"), ("a", None, T(3), 2, "DELETE")], CHG)
+    s1 = C.apply_changes_sequential(empty, b1, ["k"], ["value"], deleted_at_col="deleted_at")
+    r = s1.first()
+    assert (r.value, r.is_deleted, r.deleted_at) == (1.0, True, T(3))
+    b2 = spark.createDataFrame([("a", 5.0, T(4), 3, "UPDATE")], CHG)
+    r2 = C.apply_changes_sequential(s1, b2, ["k"], ["value"], deleted_at_col="deleted_at").first()
+    assert (r2.value, r2.is_deleted, r2.deleted_at) == (5.0, False, None)
+    assert r2[C.UPSERT_ORDER_PREFIX + "ts"] == T(4)
