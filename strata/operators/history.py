@@ -109,13 +109,19 @@ def apply(target: DataFrame | None, source: DataFrame, keys: Sequence[str], trac
     return hist.select(*out.columns).unionByName(out)
 
 
-def overlaps(versions: DataFrame, keys: Sequence[str], start: str = START, end: str = END) -> DataFrame:
-    """Versions whose interval overlaps the previous one of the same key (grain guard).
-
-    Compares each version only with its predecessor in start order — no pairs.
+def overlaps(versions: DataFrame, keys: Sequence[str], start: str = START, end: str = END,
+             version: str = VERSION) -> DataFrame:
+    """Versions whose interval runs into the next version of the same key (grain guard).
+
+    Each version is compared only with its successor, found by an equi-join on
+    (key, version + 1): the join key is unique per row, so a key with millions of
+    versions is no hot partition, and no pairs beyond neighbours are formed. A version
+    overlaps when it is open-ended or ends after its successor starts.
     """
-    from pyspark.sql import Window
-    w = Window.partitionBy(*keys).orderBy(F.col(start))
-    prev_end = F.lag(F.coalesce(F.col(end), F.lit("9999-12-31").cast("date"))).over(w)
-    return versions.withColumn("__prev_end", prev_end).filter(F.col("__prev_end") > F.col(start)) \
-        .drop("__prev_end")
+    keys = list(keys)
+    nxt = versions.select(*[F.col(k).alias(f"__n_{k}") for k in keys],
+                          (F.col(version) - 1).alias("__n_prev"), F.col(start).alias("__n_start"))
+    cond = [F.col(k) == F.col(f"__n_{k}") for k in keys] + [F.col(version) == F.col("__n_prev")]
+    j = versions.join(nxt, cond, "inner")
+    bad = F.col(end).isNull() | (F.col(end) > F.col("__n_start"))
+    return j.filter(bad).select(*versions.columns)

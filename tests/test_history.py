@@ -68,3 +68,12 @@ def test_scd2_invariants_over_loads(spark, loads):
     assert cur.filter("count <> 1").count() == 0                  # one current version per key
     assert H.overlaps(t, ["k"]).count() == 0                      # disjoint intervals
     assert t.filter(F.col(H.END).isNotNull() & (F.col(H.END) < F.col(H.START))).count() == 0
+
+
+def test_overlaps_finds_bad_neighbours(spark):
+    v = spark.createDataFrame([
+        (1, 1, dt.date(2020, 1, 1), dt.date(2021, 1, 1)), (1, 2, dt.date(2021, 1, 1), None),      # fine
+        (2, 1, dt.date(2020, 1, 1), dt.date(2021, 6, 1)), (2, 2, dt.date(2021, 1, 1), None),      # overlap
+        (3, 1, dt.date(2020, 1, 1), None), (3, 2, dt.date(2021, 1, 1), None),                     # never closed
+    ], f"k int, {H.VERSION} int, {H.START} date, {H.END} date")
+    assert rows(H.overlaps(v, ["k"]), "k", H.VERSION) == [(2, 1), (3, 1)]
