@@ -132,7 +132,11 @@ def scd2_apply_incremental(spark, sf_dir):
     from ..session import scratch_path
     target, incoming = _suppliers(spark, sf_dir)
     path = scratch_path(spark, "scd-keyed")
-    schema = incremental.write_keyed(target, path, ["k"], INCREMENTAL_BUCKETS)
+    # the stored table is declared wide enough for the incoming balances (+1 may need
+    # one more digit); the hash text of a decimal does not depend on its precision
+    wide = incoming.schema["bal"].dataType
+    schema = incremental.write_keyed(target.withColumn("bal", F.col("bal").cast(wide)), path, ["k"],
+                                     INCREMENTAL_BUCKETS)
     plan = lambda cur, batch: history.apply(cur, batch, ["k"], SCD_TRACKED, as_of=SCD_CHANGE_DAY)
     incremental.rewrite_touched(spark, path, incoming, ["k"], INCREMENTAL_BUCKETS, plan, schema)
     snap = incremental.read_keyed(spark, path, schema)
