@@ -40,11 +40,17 @@ def duck():
     return con
 
 
+EXACT = {"VARCHAR": "string", "INTEGER": "int", "BIGINT": "bigint", "DOUBLE": "double",
+         "BOOLEAN": "boolean", "DATE": "date", "TIMESTAMP": "timestamp_ntz"}
+
+
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_matches_oracle_sf0001(spark, duck, name):
     sdf = E.queries()[name](spark, SF_SMALL)
     rel = duck.sql(E.oracle_sql()[name])
     assert sorted(sdf.columns) == sorted(rel.columns)
+    d_types = {c: EXACT.get(str(t), str(t).lower().replace(" ", "")) for c, t in zip(rel.columns, rel.types)}
+    assert {f.name: f.dataType.simpleString() for f in sdf.schema.fields} == d_types
     s_idx = sorted(range(len(sdf.columns)), key=lambda i: sdf.columns[i])
     d_idx = sorted(range(len(rel.columns)), key=lambda i: rel.columns[i])
     s = sorted(tuple(_canon(r[i]) for i in s_idx) for r in sdf.collect())
