@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from strata.plans import registry
 from strata.plans.tables import TABLES
 
 
@@ -18,7 +19,8 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(registry.queries()) == set(registry.oracle_sql())
+    assert set(E.oracle_sql()) <= set(E.queries())
 
 
 def _canon(v):
@@ -44,7 +46,7 @@ EXACT = {"VARCHAR": "string", "INTEGER": "int", "BIGINT": "bigint", "DOUBLE": "d
          "BOOLEAN": "boolean", "DATE": "date", "TIMESTAMP": "timestamp_ntz"}
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
 def test_matches_oracle_sf0001(spark, duck, name):
     sdf = E.queries()[name](spark, SF_SMALL)
     rel = duck.sql(E.oracle_sql()[name])
