@@ -2,21 +2,70 @@
 
 from __future__ import annotations
 
-from .common import documents
+import public_tokenizers
+from pyspark.sql import functions as F
+
+from . import language_id, quality
+from .ann import nearest
+from .bpe import encode_digest
+from .common import documents, held_out
+from .fingerprints import compare_with_edits
+from .near_dedup import near_duplicates
+from .packing import pack
+from .pii import find
 from .substring_dedup import repeated_words_digest
 from .suffix_dedup import repeated_bytes_digest
 
 
+def op1_language_id(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    found = language_id.predict(docs, language_id.train(docs))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def op2_near_dedup(spark, sf_dir):
+    return near_duplicates(documents(spark, sf_dir), words=4, percent=80)
+
+
 def op3_substring_dedup(spark, sf_dir):
-    return repeated_words_digest(documents(spark, sf_dir))
+    return repeated_words_digest(documents(spark, sf_dir), length=50)
 
 
 def op4_suffix_dedup(spark, sf_dir):
-    return repeated_bytes_digest(documents(spark, sf_dir))
+    return repeated_bytes_digest(documents(spark, sf_dir), length=400)
+
+
+def op5_fingerprints(spark, sf_dir):
+    return compare_with_edits(documents(spark, sf_dir))
+
+
+def op6_nearest_neighbours(spark, sf_dir):
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return nearest(vectors, vectors.where("vec_id % 20 = 0"), k=20)
+
+
+def op7_pii(spark, sf_dir):
+    return find(documents(spark, sf_dir))
+
+
+def op8_packing(spark, sf_dir):
+    return pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), capacity=2048, end_id=0)
+
+
+def op9_quality(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.score(docs, model, threshold=0.7)
+
+
+def op10_bpe(spark, sf_dir):
+    return encode_digest(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
 def queries():
-    return {f.__name__: f for f in (op3_substring_dedup, op4_suffix_dedup)}
+    return {f.__name__: f for f in (op1_language_id, op2_near_dedup, op3_substring_dedup, op4_suffix_dedup,
+                                    op5_fingerprints, op6_nearest_neighbours, op7_pii, op8_packing, op9_quality,
+                                    op10_bpe)}
 
 
 def oracle_sql():

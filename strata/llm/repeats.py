@@ -24,6 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,7 +32,7 @@ from pyspark.sql import types as T
 from .common import Rolling, U64, arrow_schema, chunks, mixed, signed, stored
 
 MAX_RUN = 4095          # a packed place has 12 bits for each distance from the anchor
-CHUNK = 1 << 20         # symbols handled at once in a task
+CHUNK = 1 << 19         # bytes of text handled at once in a task (one longer document alone)
 INDEX_BITS = U64(22)    # of a winnowing key, for the place inside a chunk
 
 
@@ -112,11 +113,14 @@ def _anchor_rows(spec: Repeats):
     def run(batches):
         for batch in batches:
             d, t = batch.column("d"), batch.column("t")
-            coded = [(i, spec.symbols(b)) for i, b in enumerate(batch.column("b").to_pylist())]
-            coded = [(i, s) for i, s in coded if len(s) >= spec.length]
-            for lo, hi in chunks([len(s) for _, s in coded], CHUNK):
-                doc, p, first, last, h, u = anchors_of([s for _, s in coded[lo:hi]], spec)
-                row = pa.array(np.array([i for i, _ in coded[lo:hi]])[doc])
+            b = batch.column("b")
+            for lo, hi in chunks(pc.binary_length(b).to_pylist(), CHUNK):
+                coded = [(i, spec.symbols(x)) for i, x in enumerate(b.slice(lo, hi - lo).to_pylist(), lo)]
+                coded = [(i, s) for i, s in coded if len(s) >= spec.length]
+                if not coded:
+                    continue
+                doc, p, first, last, h, u = anchors_of([s for _, s in coded], spec)
+                row = pa.array(np.array([i for i, _ in coded])[doc])
                 yield pa.RecordBatch.from_arrays(
                     [d.take(row), t.take(row), pa.array(signed(h)), pa.array(signed(u)),
                      pa.array(packed(p, first, last))], schema=_ANCHORS)
@@ -229,15 +233,18 @@ def apply_repeats(docs: DataFrame, spec: Repeats, project, fields: list[T.Struct
         rows = src.select("d", "t", "b").mapInArrow(_anchor_rows(spec), "d long, t long, h long, u long, at long")
         return rows.withColumn("o", _who(spec))
 
-    seeds = (anchors().groupBy("h").agg(F.min("o").alias("lo"), F.max("o").alias("hi"),
-                                        F.min("u").alias("u0"), F.max("u").alias("u1"))
-             .where("lo <> hi").select("h", F.expr("u0 <> u1").alias("mixed"), F.col("lo").alias("seed_lo")))
+    # what joins onto rows is a table of its own, not an aggregate over the same exchange: only
+    # then can adaptive execution split a seed, class or name that very many rows share
+    seeds = stored(anchors().groupBy("h").agg(F.min("o").alias("lo"), F.max("o").alias("hi"),
+                                              F.min("u").alias("u0"), F.max("u").alias("u1"))
+                   .where("lo <> hi").select("h", F.expr("u0 <> u1").alias("mixed"), F.col("lo").alias("seed_lo")),
+                   "repeat-seeds")
     shared = stored(anchors().join(seeds, "h"), "repeat-anchors")
     uniform = shared.where("not mixed").select(
         "d", "t", "at", (F.col("seed_lo") < F.col("o") if spec.earlier else F.lit(True)).alias("cov"),
         F.lit(False).alias("act"))
     split = shared.where("mixed")
-    classes = split.groupBy("h", "u").agg(F.min("o").alias("lo"), F.max("o").alias("hi"))
+    classes = stored(split.groupBy("h", "u").agg(F.min("o").alias("lo"), F.max("o").alias("hi")), "repeat-classes")
     in_class = split.join(classes, ["h", "u"]).select(
         "d", "t", "at", F.expr("lo < o" if spec.earlier else "lo <> hi").alias("cov"),
         F.expr("o = lo").alias("act"))
@@ -274,8 +281,8 @@ def apply_repeats(docs: DataFrame, spec: Repeats, project, fields: list[T.Struct
                 _name_rows(spec, step), "d long, t long, h long, u long, at long, hull boolean")
             return rows.withColumn("o", _who(spec))
 
-        twice = (named().groupBy("h", "u").agg(F.min("o").alias("lo"), F.max("o").alias("hi"))
-                 .where("lo <> hi"))
+        twice = stored(named().groupBy("h", "u").agg(F.min("o").alias("lo"), F.max("o").alias("hi"))
+                       .where("lo <> hi"), "repeat-names")
         runs = (named().join(twice, ["h", "u"]).groupBy("d", "t", "at")
                 .agg(F.max(F.expr("hull and lo < o" if spec.earlier else "hull")).alias("cov"),
                      F.max(F.expr("not hull")).alias("core"),
