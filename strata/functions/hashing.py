@@ -43,8 +43,9 @@ def row_hash(cols: Sequence[str | Column], sep: str = SEPARATOR, escape: bool =
 
 
 def stable_id(*parts: str | Column, sep: str = "|") -> Column:
-    """Deterministic identifier (replaces per-run `uuid()`): same row, same id on re-run."""
-    return F.sha2(F.concat_ws(sep, *[_as_col(p).cast("string") for p in parts]), 256)
+    """Deterministic identifier (replaces per-run `uuid()`): same row, same id on re-run. NULL and
+    position count, as in `row_hash`."""
+    return row_hash(parts, sep=sep)
 
 
 def hash_bucket(n: int, *cols: str | Column, salt: str = "") -> Column:

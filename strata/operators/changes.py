@@ -3,7 +3,8 @@ current-state table with soft deletes — as one full outer join, no MERGE neede
 
 The target stores the `(ts, lsn)` of the change that produced each row, so a change
 older than the stored state loses (late data cannot roll a row back), and applying
-the same batch twice gives the same snapshot as applying it once.
+the same batch twice gives the same snapshot as applying it once. A NULL key is one key, so a
+batch that holds it finds the row it inserted before.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .dedup import latest, latest_only
+from .joins import join_null_safe
 
 # Change operations and the outcome labels of `apply_changes`.
 INSERT, UPDATE, DELETE = "INSERT", "UPDATE", "DELETE"
@@ -73,7 +75,7 @@ def apply_changes(target: DataFrame, changes: DataFrame, keys: Sequence[str],
     t = target.select(*keys, *tsel, F.lit(True).alias("__t"))
     c = changes.select(*keys, *[F.col(x).alias(f"__c_{x}") for x in value_cols + order + [op]],
                        F.lit(True).alias("__c"))
-    j = t.join(c, on=keys, how="full_outer")
+    j = join_null_safe(t, c, keys, "full_outer")
 
     has_t, has_c = F.col("__t").isNotNull(), F.col("__c").isNotNull()
     is_up = F.col(f"__c_{op}").isin(*upserts)
@@ -106,7 +108,7 @@ def unknown_deletes(target: DataFrame, changes: DataFrame, keys: Sequence[str],
                     deletes: Sequence[str] = (DELETE,)) -> DataFrame:
     """Deletes whose key the target never held (reported, not applied)."""
     d = changes.filter(F.col(op).isin(*deletes))
-    return d.join(target.select(*keys).distinct(), on=list(keys), how="left_anti")
+    return join_null_safe(d, target.select(*keys).distinct(), list(keys), "left_anti")
 
 
 UPSERT_ORDER_PREFIX = "_up_"
@@ -153,7 +155,7 @@ def apply_changes_sequential(target: DataFrame, batch: DataFrame, keys: Sequence
     t = target.select(*keys, *[tcol(x).alias(f"__t_{x}") for x in tcols],
                       *[tcol(u, o).alias(f"__tu_{o}") for u, o in zip(up_cols, order)],
                       F.lit(True).alias("__t"))
-    j = t.join(c, on=keys, how="full_outer")
+    j = join_null_safe(t, c, keys, "full_outer")
 
     has_t, has_c = F.col("__t").isNotNull(), F.col("__c").isNotNull()
     has_up = F.coalesce(F.col("__has_up"), F.lit(False))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..context import RunContext
+from .joins import join_null_safe
 
 
 class CheckFailed(AssertionError):
@@ -38,12 +39,13 @@ def fk_violations(child: DataFrame, parent: DataFrame, child_key: str, parent_ke
     """Cross-table FK check as violation records (action WARN: the row is kept).
 
     record_key = the child row's own key (default: the FK column); field_name /
-    field_value = the FK column and its dangling value.
+    field_value = the FK column and its dangling value. `locator` tells child rows apart; by
+    default it is a hash of the whole row (orphans share FK values, also NULL).
     """
     from .rules import WARN, violations
     o = orphans(child, parent, child_key, parent_key)
     rk = record_key or child_key
-    return violations(o, source_table, rk, locator or rk, rule_id=rule_id,
+    return violations(o, source_table, rk, locator, rule_id=rule_id,
                       descriptions={rule_id: description}, action=WARN, ctx=ctx,
                       field_name=child_key, field_value=F.col(child_key))
 
@@ -55,19 +57,18 @@ def count_orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_ke
 def reconcile(src: DataFrame, dst: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Row counts on both sides plus missing and extra rows by key, in one join.
 
-    Each side is first counted per key; the full outer join then pairs unique keys,
-    so equal totals with different keys are still caught.
+    Each side is first counted per key; the full outer join then pairs unique keys (NULL is
+    a key), so equal totals with different keys, and lost or added copies, are caught.
     """
     keys = list(keys)
     a = src.groupBy(*keys).agg(F.count(F.lit(1)).alias("__na"))
     b = dst.groupBy(*keys).agg(F.count(F.lit(1)).alias("__nb"))
-    j = a.join(b, on=keys, how="full_outer")
-    return j.agg(
-        F.coalesce(F.sum("__na"), F.lit(0)).cast("bigint").alias("n_src"),
-        F.coalesce(F.sum("__nb"), F.lit(0)).cast("bigint").alias("n_dst"),
-        F.coalesce(F.sum(F.when(F.col("__nb").isNull(), F.col("__na"))), F.lit(0)).cast("bigint").alias("n_missing"),
-        F.coalesce(F.sum(F.when(F.col("__na").isNull(), F.col("__nb"))), F.lit(0)).cast("bigint").alias("n_extra"),
-    )
+    j = join_null_safe(a, b, keys, "full_outer").na.fill(0, ["__na", "__nb"])
+    na, nb = F.col("__na"), F.col("__nb")
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    return j.agg(total(na).alias("n_src"), total(nb).alias("n_dst"),
+                 total(F.greatest(na - nb, F.lit(0))).alias("n_missing"),
+                 total(F.greatest(nb - na, F.lit(0))).alias("n_extra"))
 
 
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -1,18 +1,15 @@
 """Latest-wins ranking per business key, safe under heavy key skew.
 
-The natural formulation is `row_number() over (partition by key order by ...)`, but a
-window sends every row of a key to one task: one key holding a third of the data would
-be one task holding a third of the data. The default strategy here is
-
-1. `groupBy(key).agg(max(struct(order...)))` — partial (map-side) aggregation collapses a
-   hot key to one row per map task before the shuffle;
-2. a left join back on `(key, order...)`. Because `order` ends in a unique tie-break,
-   that join key is unique per row, so no join partition is hot either.
-
-Both the winners and the losers come from the *same* ranked frame, so they can never
-disagree. The caller must supply a total order: `order` is compared lexicographically,
-largest wins, and its last column must be unique within a key (use `with_row_locator`
-when the data has no natural unique column).
+`row_number() over (partition by key order by ...)` sends every row of a key to one task. Two
+forms avoid that:
+
+* `winners`: keeping only row_number = 1 lets Spark drop the others inside each map task
+  before its one shuffle, so a hot key costs a row per task;
+* `mark_latest`, which keeps the losers too, ranks in two steps: first among a key's rows of
+  one input split (no group is larger than a split), then among the split winners.
+
+A hash of the whole row follows the caller's order, so ties are broken the same way every
+time; rows that are equal in all columns are copies, of which exactly one wins.
 """
 
 from __future__ import annotations
@@ -34,42 +31,45 @@ def with_row_locator(df: DataFrame, name: str = "_row_locator") -> DataFrame:
     return df.withColumn(name, loc)
 
 
+def _row_hash(df: DataFrame) -> Column:
+    """Hash of all columns Spark can hash (maps can't be; they don't take part)."""
+    plain = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()
+             and f.dataType.simpleString() != "variant"]
+    return F.xxhash64(*[F.col(c) for c in plain])
+
+
+def _ranking(order: Sequence[str]) -> list[Column]:
+    return [*[F.col(c).desc() for c in order], F.col("__tie").desc()]
+
+
+def winners(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The one latest row of each key (a NULL key is a key): one scan, one shuffle."""
+    w = Window.partitionBy(*keys).orderBy(*_ranking(order))
+    return (df.withColumn("__tie", _row_hash(df)).withColumn("__rn", F.row_number().over(w))
+            .filter(F.col("__rn") == 1).drop("__rn", "__tie"))
+
+
 def mark_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str], flag: str = "_is_latest",
-                where: Column | None = None, strategy: str = "aggregate") -> DataFrame:
-    """Add `flag`: True for the one latest row per key, False for superseded rows,
-    NULL for rows excluded by `where` (they take no part in the ranking)."""
-    keys, order = list(keys), list(order)
-    if strategy == "window":
-        return _mark_latest_window(df, keys, order, flag, where)
-    cand = df if where is None else df.filter(where)
-    win = cand.groupBy(*keys).agg(F.max(F.struct(*[F.col(c) for c in order])).alias("__w"))
-    kn = [f"__k{i}" for i in range(len(keys))]
-    on = [f"__o{i}" for i in range(len(order))]
-    win = win.select(*[F.col(k).alias(a) for k, a in zip(keys, kn)],
-                     *[F.col("__w")[c].alias(a) for c, a in zip(order, on)],
-                     F.lit(True).alias("__hit"))
-    cond = [F.col(k).eqNullSafe(F.col(a)) for k, a in zip(keys, kn)]
-    cond += [F.col(c).eqNullSafe(F.col(a)) for c, a in zip(order, on)]
-    joined = df.join(win, on=cond, how="left")
-    hit = F.coalesce(F.col("__hit"), F.lit(False))
-    val = hit if where is None else F.when(F.coalesce(where, F.lit(False)), hit)
-    return joined.withColumn(flag, val).drop(*kn, *on, "__hit")
-
-
-def _mark_latest_window(df, keys, order, flag, where):
-    """Window form, for keys known to be evenly spread (one shuffle, no second scan)."""
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
-    if where is None:
-        return df.withColumn(flag, F.row_number().over(w) == 1)
-    ok = F.coalesce(where, F.lit(False))
-    w = Window.partitionBy(ok, *keys).orderBy(*[F.col(c).desc() for c in order])
-    return df.withColumn(flag, F.when(ok, F.row_number().over(w) == 1))
-
-
-def latest(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-           strategy: str = "aggregate") -> tuple[DataFrame, DataFrame]:
+                where: Column | None = None) -> DataFrame:
+    """Add `flag`: True for exactly one latest row per key, False for superseded rows and the
+    other copies of the winner, NULL for rows excluded by `where` (they take no part)."""
+    keys = list(keys)
+    part = df.withColumns({"__tie": _row_hash(df), "__split": F.spark_partition_id(),
+                           "__in": F.lit(True) if where is None else F.coalesce(where, F.lit(False))})
+    in_split = Window.partitionBy(*keys, "__in", "__split").orderBy(*_ranking(order))
+    ranked = part.withColumn("__rn", F.row_number().over(in_split))
+    beaten = ranked.filter(~F.col("__in") | (F.col("__rn") > 1)).withColumn("__first", F.lit(False))
+    overall = Window.partitionBy(*keys).orderBy(*_ranking(order), F.col("__split"))
+    best = (ranked.filter(F.col("__in") & (F.col("__rn") == 1))
+            .withColumn("__first", F.row_number().over(overall) == 1))
+    every = beaten.unionByName(best)
+    return every.withColumn(flag, F.when(F.col("__in"), F.col("__first"))).drop(
+        "__tie", "__split", "__in", "__rn", "__first")
+
+
+def latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """(winners, superseded) of one ranked frame."""
-    m = mark_latest(df, keys, order, flag="__latest", strategy=strategy)
+    m = mark_latest(df, keys, order, flag="__latest")
     return (m.filter(F.col("__latest")).drop("__latest"),
             m.filter(~F.col("__latest")).drop("__latest"))
 

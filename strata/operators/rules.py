@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..context import RunContext
 from ..functions.hashing import stable_id
-from .dedup import mark_latest
+from .dedup import mark_latest, winners
 
 PASSED = "_dq_passed"
 REASON = "_violation_reason"
@@ -80,8 +80,31 @@ def tag_rules(df: DataFrame, rules: Sequence[Rule], passed: str = PASSED, reason
     return out.withColumns(cols)
 
 
-def classify(df: DataFrame, rules: Sequence[Rule], keys: Sequence[str], order: Sequence[str],
-             strategy: str = "aggregate") -> DataFrame:
+def failed_rows(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """Tagged rows that fail a rule: a filter, no shuffle."""
+    return tag_rules(df, rules).filter(~F.col(PASSED))
+
+
+def valid_rows(df: DataFrame, rules: Sequence[Rule], keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The latest passing row per key: one scan, one shuffle."""
+    return winners(tag_rules(df, rules).filter(F.col(PASSED)), keys, order)
+
+
+def balance(df: DataFrame, rules: Sequence[Rule], keys: Sequence[str]) -> DataFrame:
+    """`metrics` without ranking: valid rows are the distinct keys of passing rows, counted by
+    partial aggregation (n_in = n_valid + n_bad + n_dup)."""
+    tagged = tag_rules(df, rules)
+    ok = F.col(PASSED)
+    group = [ok.alias("__ok"), *[F.when(ok, F.col(k)).alias(f"__k{i}") for i, k in enumerate(keys)]]
+    per_key = tagged.groupBy(*group).agg(F.count(F.lit(1)).alias("__n"))
+    total = lambda c, v: F.coalesce(F.sum(F.when(c, v)), F.lit(0)).cast("bigint")
+    good, n = F.col("__ok"), F.col("__n")
+    return per_key.agg(F.coalesce(F.sum(n), F.lit(0)).cast("bigint").alias("n_in"),
+                       total(good, F.lit(1)).alias("n_valid"), total(~good, n).alias("n_bad"),
+                       total(good, n - 1).alias("n_dup"))
+
+
+def classify(df: DataFrame, rules: Sequence[Rule], keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Tag rules, then keep the latest passing row per key: one frame, one `_disposition`.
 
     valid = passed and latest; duplicate = passed but superseded; quarantined = failed.
@@ -89,7 +112,7 @@ def classify(df: DataFrame, rules: Sequence[Rule], keys: Sequence[str], order: S
     six separate recomputations of the original notebook.
     """
     tagged = tag_rules(df, rules)
-    marked = mark_latest(tagged, keys, order, flag=LATEST, where=F.col(PASSED), strategy=strategy)
+    marked = mark_latest(tagged, keys, order, flag=LATEST, where=F.col(PASSED))
     disp = (F.when(~F.col(PASSED), F.lit(QUARANTINED))
             .when(F.col(LATEST), F.lit(VALID)).otherwise(F.lit(DUPLICATE)))
     return marked.withColumn(DISPOSITION, disp)
@@ -103,7 +126,7 @@ def split(classified: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 def violations(failed: DataFrame, source_table: str, record_key: str | Column,
                locator: str | Column | None = None, rule_id: str | Column | None = None,
-               descriptions: dict[str, str] | None = None, action: str = QUARANTINE,
+               descriptions: dict[str, str] | None = None, action: str | Column = QUARANTINE,
                ctx: RunContext | None = None, field_name: str | Column | None = None,
                field_value: str | Column | None = None, payload: bool = False) -> DataFrame:
     """Violation records in the fixed shape (see FIXTURES.md §2).
@@ -129,7 +152,7 @@ def violations(failed: DataFrame, source_table: str, record_key: str | Column,
         (F.lit(None) if field_name is None else F.lit(field_name) if isinstance(field_name, str)
          else field_name).cast("string").alias("field_name"),
         (F.lit(None) if field_value is None else as_col(field_value)).cast("string").alias("field_value"),
-        F.lit(action).alias("action_taken"),
+        (F.lit(action) if isinstance(action, str) else action).alias("action_taken"),
         F.lit(ctx.as_of).cast("timestamp").alias("detected_at"),
         F.lit(ctx.run_id).alias("pipeline_run_id"),
     ]
@@ -145,11 +168,14 @@ def violation_rule(duplicate_rule_id: str) -> Column:
 
 def all_violations(classified: DataFrame, source_table: str, record_key: str | Column,
                    duplicate_rule_id: str, locator: str | Column | None = None,
-                   descriptions: dict[str, str] | None = None, ctx: RunContext | None = None) -> DataFrame:
-    """Violation records for every non-valid row of a classified frame, in one pass."""
+                   descriptions: dict[str, str] | None = None, ctx: RunContext | None = None,
+                   duplicate_action: str = QUARANTINE) -> DataFrame:
+    """Violation records for every non-valid row of a classified frame, in one pass. Failures are
+    quarantined; duplicates carry `duplicate_action` (superseded history is INFO)."""
     bad = classified.filter(F.col(DISPOSITION) != VALID)
+    action = F.when(F.col(DISPOSITION) == QUARANTINED, F.lit(QUARANTINE)).otherwise(F.lit(duplicate_action))
     return violations(bad, source_table, record_key, locator, rule_id=violation_rule(duplicate_rule_id),
-                      descriptions=descriptions, ctx=ctx)
+                      descriptions=descriptions, ctx=ctx, action=action)
 
 
 def stamp(df: DataFrame, ctx: RunContext) -> DataFrame:

@@ -5,6 +5,7 @@ snapshot writes. No `coalesce(1)`: output files are as parallel as the data.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,12 +34,13 @@ def conform(df: DataFrame, schema: T.StructType, strict: bool = False) -> DataFr
 
 def write_run(df: DataFrame, path: str, run_id: str, fmt: str = "parquet",
               partition_by: Sequence[str] = ()) -> None:
-    """Append keyed by run: the run's partition is replaced, so a retried run never
-    doubles rows (dynamic partition overwrite of `_pipeline_run_id=<run>` only)."""
-    out = df.withColumn(RUN_COL, F.lit(run_id))
-    parts = [RUN_COL, *partition_by]
-    (out.hint("rebalance", *parts).write.format(fmt).mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(*parts).save(path))
+    """Append keyed by run: each run is a folder of its own that a retry replaces as a whole, so
+    it never doubles rows and leaves none of an earlier attempt (also with fewer sub-partitions
+    or no rows). Reading `path` gives the run as a partition column."""
+    folder = f"{path.rstrip('/')}/{RUN_COL}={quote(run_id, safe='._- ')}"
+    out = df.drop(RUN_COL)
+    w = (out.hint("rebalance", *partition_by) if partition_by else out).write.format(fmt).mode("overwrite")
+    w.option("partitionOverwriteMode", "static").partitionBy(*partition_by).save(folder)
 
 
 def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str], fmt: str = "parquet",

@@ -56,3 +56,17 @@ def test_consolidate_paths_skips_missing_and_fills_columns(spark, scratch):
     assert report.consolidate_paths(spark, [scratch("none")]) is None
     rep = report.violation_report(u)
     assert rows(rep) == [("R1", 1), ("R2", 1)]
+
+
+def test_reconcile_counts_lost_copies_and_null_keys(spark):
+    a = spark.createDataFrame([(1,), (1,), (2,), (None,)], "k int")
+    b = spark.createDataFrame([(1,), (2,), (None,)], "k int")
+    r = K.reconcile(a, b, ["k"]).first()
+    assert (r.n_src, r.n_dst, r.n_missing, r.n_extra) == (4, 3, 1, 0)
+
+
+def test_fk_violation_ids_tell_rows_apart(spark):
+    child = spark.createDataFrame([(1, None), (2, None), (3, 9), (4, 9)], "id int, fk int")
+    parent = spark.createDataFrame([(1,)], "pk int")
+    v = K.fk_violations(child, parent, "fk", "pk", "child", "DQ-010")
+    assert v.select("violation_id").distinct().count() == 4

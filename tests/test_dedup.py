@@ -30,28 +30,35 @@ def test_exact_copies_with_row_locator(spark, scratch):
     assert win.count() == 2 and lose.count() == 4
 
 
-def test_hot_key_plan_has_no_window(spark):
-    # one key holds a third of the rows; the default plan must not be a window
+def _plan(df):
+    qe = df._jdf.queryExecution()
+    qe.toRdd().count()
+    return qe.executedPlan().toString()
+
+
+def test_hot_key_is_reduced_before_the_shuffle(spark):
     data = [("hot" if i % 3 == 0 else f"k{i}", T0 + dt.timedelta(seconds=i), i) for i in range(3000)]
     df = spark.createDataFrame(data, "k string, ts timestamp_ntz, lsn long")
+    w = dedup.winners(df, ["k"], ["ts", "lsn"])
+    plan = _plan(w)
+    assert "WindowGroupLimit" in plan and "Partial" in plan
+    assert w.count() == 2001 and w.filter("k = 'hot'").first().lsn == 2997
     m = dedup.mark_latest(df, ["k"], ["ts", "lsn"])
-    qe = m._jdf.queryExecution()
-    qe.toRdd().count()
-    plan = qe.executedPlan().toString()
-    assert "isFinalPlan=true" in plan and "Window" not in plan
-    assert m.filter("_is_latest").count() == 1 + 2000
-    hot = m.filter("k = 'hot' and _is_latest").first()
-    assert hot.lsn == 2997
+    assert "__split" in _plan(m)                        # first ranked within each input split
+    assert m.filter("_is_latest").count() == 2001
 
 
 @settings(max_examples=15, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 4), st.integers(0, 3)), min_size=0, max_size=40))
-def test_aggregate_equals_window(spark, pairs):
-    data = [(k, T0 + dt.timedelta(hours=h), i) for i, (k, h) in enumerate(pairs)]
-    df = spark.createDataFrame(data, "k int, ts timestamp_ntz, lsn long")
-    a = dedup.mark_latest(df, ["k"], ["ts", "lsn"], strategy="aggregate")
-    w = dedup.mark_latest(df, ["k"], ["ts", "lsn"], strategy="window")
-    assert rows(a, "lsn", "_is_latest") == rows(w, "lsn", "_is_latest")
+def test_exactly_one_winner_per_key_also_on_ties(spark, pairs):
+    data = [(k, T0 + dt.timedelta(hours=h)) for k, h in pairs]          # no unique column: copies occur
+    df = spark.createDataFrame(data, "k int, ts timestamp_ntz").repartition(3)
+    m = dedup.mark_latest(df, ["k"], ["ts"])
+    best = {}
+    for k, t in data:
+        best[k] = max(best.get(k, t), t)
+    assert rows(m.filter("_is_latest"), "k", "ts") == rows(dedup.winners(df, ["k"], ["ts"])) == sorted(best.items())
+    assert m.count() == len(data)
 
 
 def test_where_excludes_rows(spark):

@@ -77,3 +77,23 @@ def test_overlaps_finds_bad_neighbours(spark):
         (3, 1, dt.date(2020, 1, 1), None), (3, 2, dt.date(2021, 1, 1), None),                     # never closed
     ], f"k int, {H.VERSION} int, {H.START} date, {H.END} date")
     assert rows(H.overlaps(v, ["k"]), "k", H.VERSION) == [(2, 1), (3, 1)]
+
+
+def test_overlaps_with_repeated_and_missing_numbers(spark):
+    d = dt.date
+    v = spark.createDataFrame([
+        (1, 1, d(2020, 1, 1), d(2021, 1, 1)), (1, 1, d(2020, 6, 1), d(2021, 1, 1)), (1, 3, d(2021, 1, 1), None),
+        (2, 1, d(2020, 1, 1), d(2022, 1, 1)), (2, 7, d(2021, 1, 1), None),
+        (None, 1, d(2020, 1, 1), None), (None, 2, d(2021, 1, 1), None),
+    ], f"k int, {H.VERSION} int, {H.START} date, {H.END} date")
+    assert rows(H.overlaps(v, ["k"]), "k", H.START) == [(1, d(2020, 1, 1)), (2, d(2020, 1, 1)), (None, d(2020, 1, 1))]
+
+
+def test_late_snapshot_closes_nothing_and_null_key_is_one_key(spark):
+    t = H.apply(None, _snap(spark, [(1, "x", "y"), (None, "p", "q")]), ["k"], ["a", "b"], D2, initial_start=D2)
+    changed = _snap(spark, [(1, "x", "z"), (None, "p", "q")])
+    back = H.apply(t, changed, ["k"], ["a", "b"], D1)
+    assert rows(back, "k", H.CURRENT, H.END) == [(1, True, None), (None, True, None)]
+    assert rows(H.late(t, changed, ["k"], ["a", "b"], D1), "k") == [(1,)]
+    now = H.apply(t, changed, ["k"], ["a", "b"], D3)
+    assert now.filter("k is null").count() == 1 and now.filter("k = 1").count() == 2
