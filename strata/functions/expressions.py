@@ -46,7 +46,10 @@ def mask_prefix(c: str | Column, keep: int = 5, suffix: str = "***") -> Column:
 
 
 def mask_hash(c: str | Column, key: str, keep: int = 0, suffix: str = "***") -> Column:
-    """Keyed-hash mask: distinct inputs stay distinct (joinable) but unreadable."""
+    """Keyed-hash mask: distinct inputs stay distinct (joinable) but unreadable. The whole digest
+    is kept; the key enters twice (HMAC-like nesting), so a longer text with the key's own
+    prefix does not extend a known digest."""
     c = _as_col(c)
-    h = F.substring(F.sha2(F.concat(F.lit(key), c.cast("string")), 256), 1, 12)
+    inner = F.sha2(F.concat(F.lit(key), F.lit("|"), c.cast("string")), 256)
+    h = F.sha2(F.concat(F.lit(key), F.lit("|"), inner), 256)
     return F.when(c.isNotNull(), F.concat(F.left(c, F.lit(keep)), h, F.lit(suffix)))

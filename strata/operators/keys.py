@@ -5,12 +5,13 @@ a single task. Here the rows are range-partitioned on the key (sampled bounds),
 inside each range, checkpointed into the shared checkpoint folder (so both uses below
 see the same partitions, and a lost executor re-reads files instead of re-sampling),
 and numbered as `offset(partition) + position in partition`; the offsets come from the
-per-partition counts (one number per partition), so no row ever leaves its task.
+per-partition counts (a frame with one row per partition), so no row ever leaves its task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import accumulate
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,17 +33,16 @@ def dense_keys(df: DataFrame, order_cols: Sequence[str], sk_col: str, start: int
               .sortWithinPartitions(*order_cols, "__spread").drop("__spread")
               .checkpoint(eager=True))
     pid = F.spark_partition_id()
-    # Only the per-partition row counts (n numbers, independent of data size) reach the
-    # driver — the same step `RDD.zipWithIndex` takes — and return as a literal array.
-    counts = dict(ranged.groupBy(pid.alias("p")).count().collect())
-    offsets, run = [], 0
-    for p in range(max(counts, default=-1) + 1):
-        offsets.append(run)
-        run += counts.get(p, 0)
-    off = F.element_at(F.array(*[F.lit(o) for o in offsets] or [F.lit(0)]), pid + 1) \
-        if offsets else F.lit(0)
+    # only the row counts (one number per partition) reach the driver, as in RDD.zipWithIndex;
+    # their running sums go back as a frame joined by partition number
+    counts = sorted(ranged.groupBy(pid.alias("p")).count().collect())
+    before = list(accumulate([n for _, n in counts], initial=0))
+    offsets = spark.createDataFrame([(p, o) for (p, _), o in zip(counts, before)], "__p int, __off bigint")
     pos = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)
-    return ranged.withColumn(sk_col, (off.cast("long") + pos + F.lit(start)).cast("bigint"))
+    placed = ranged.withColumns({"__p": pid, "__pos": pos})
+    return (placed.join(F.broadcast(offsets), "__p")       # at most one row per range
+            .withColumn(sk_col, (F.col("__off") + F.col("__pos") + F.lit(start)).cast("bigint"))
+            .drop("__p", "__off", "__pos"))
 
 
 def assign_keys(rows: DataFrame, natural_key: Sequence[str], sk_col: str,

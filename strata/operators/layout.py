@@ -1,71 +1,24 @@
-"""File layout: multi-column clustering (so readers skip files by min/max footers) and
-compaction of small files. Both rewrite to a *new* path; the old one stays readable.
-
-Clustering: each column is cut into 2^bits buckets at approximate quantiles
-(`percentile_approx`, one aggregate pass; 2^bits - 1 bounds per column reach the driver,
-independent of data size), the bucket numbers are
-bit-interleaved into one Morton code with built-in bit expressions, and the rows are
-range-partitioned on that code and sorted inside each file.
+"""File layout: clustering (so readers skip files by min/max footers) and compaction of small
+files. Both rewrite to a *new* path; the old one stays readable.
+
+Clustering is Spark's own range partitioning on the columns, whole values, then a sort inside
+each file. A space-filling curve over several columns is the storage engine's work.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-RELATIVE_ERROR = 0.002
-
-
-def _bucket(c: Column, bounds: Sequence[float]) -> Column:
-    """Number of bounds <= value (0..len(bounds)); NULL goes to bucket 0."""
-    idx = F.lit(0)
-    for b in bounds:
-        idx = idx + F.when(c >= F.lit(b), 1).otherwise(0)
-    return F.coalesce(idx, F.lit(0))
-
-
-def _order_preserving_number(c: Column, dtype: str) -> Column:
-    """A double that sorts like the column: numbers as is, times as microseconds,
-    strings by their first 7 characters (zero-padded bytes read as an integer)."""
-    if dtype in ("timestamp", "timestamp_ntz", "date"):
-        return F.unix_micros(c.cast("timestamp")).cast("double")
-    if dtype == "string":
-        prefix = F.hex(F.rpad(F.substring(c, 1, 7), 7, "\u0000"))
-        return F.conv(F.substring(prefix, 1, 14), 16, 10).cast("double")
-    if dtype == "boolean":
-        return c.cast("int").cast("double")
-    return c.cast("double")
-
-
-def z_order_key(df: DataFrame, cols: Sequence[str], bits: int = 4) -> Column:
-    nb = 1 << bits
-    probs = [i / nb for i in range(1, nb)]
-    types = dict(df.dtypes)
-    numeric = [_order_preserving_number(F.col(c), types[c]) for c in cols]
-    # one partial-aggregating pass for all columns; only 2^bits - 1 bounds per column return
-    acc = int(1 / RELATIVE_ERROR)
-    row = df.agg(*[F.percentile_approx(n, probs, acc).alias(f"__q{i}") for i, n in enumerate(numeric)]).first()
-    qs = [[v for v in (row[i] or []) if v is not None] for i in range(len(cols))]
-    buckets = [_bucket(n, sorted(set(q))) for n, q in zip(numeric, qs)]
-    z = F.lit(0).cast("long")
-    for bit in range(bits):
-        for j, b in enumerate(buckets):
-            z = z.bitwiseOR(F.shiftleft(F.shiftright(b, bit).bitwiseAND(1).cast("long"), bit * len(cols) + j))
-    return z
-
-
-def cluster(df: DataFrame, cols: Sequence[str], n_files: int, bits: int = 4) -> DataFrame:
-    """Rows reordered so that each output file covers a compact box of `cols`."""
-    z = z_order_key(df, cols, bits)
-    # Secondary range column: rows sharing one Morton cell (a hot value) can still be
-    # split across files by the sampled bounds instead of landing in one task.
+
+def cluster(df: DataFrame, cols: Sequence[str], n_files: int) -> DataFrame:
+    """Rows reordered so that each output file covers a range of `cols` (first column first).
+    A row hash follows the columns in the range key, so one hot value still spreads over files."""
     spread = F.xxhash64(*[F.col(c) for c in df.columns])
-    # range key (cell, columns, row hash): inside a cell the split follows the values;
-    # the hash only separates exact ties
-    return (df.withColumns({"__z": z, "__t": spread}).repartitionByRange(n_files, "__z", *cols, "__t")
-            .sortWithinPartitions("__z", *cols).drop("__z", "__t"))
+    return (df.withColumn("__t", spread).repartitionByRange(n_files, *cols, "__t")
+            .sortWithinPartitions(*cols).drop("__t"))
 
 
 def compact(df: DataFrame, n_files: int) -> DataFrame:

@@ -1,9 +1,9 @@
 """Star-schema builders: date spine, dimensions from facts, key lookups, temporal
 (as-of) joins, multi-dimension star joins and the fact grain check.
 
-Join strategy is Spark's: a dimension is broadcast only after `bounded` has proven
-its row count is under a limit; above it the join stays a shuffle join, where AQE
-splits skewed partitions (one hot key cannot pin a single task).
+Join strategy is Spark's: no hints and no size probes. Adaptive execution broadcasts a side
+whose measured size is under the session's threshold and otherwise keeps the shuffle join,
+where it splits skewed partitions (one hot key cannot pin a single task).
 """
 
 from __future__ import annotations
@@ -18,17 +18,6 @@ from .keys import assign_keys
 
 # Fixed value: the unknown-member key used when a fact finds no dimension row.
 UNKNOWN_SK = -1
-# Default row bound under which a dimension is broadcast (checked, not assumed).
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when `df` provably has at most `max_rows` rows (stops reading at max+1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    return F.broadcast(df) if bounded(df, max_rows) else df
 
 
 def date_spine(bounds: DataFrame, start: str | Column, end: str | Column,
@@ -51,13 +40,12 @@ def dimension_from_fact(facts: DataFrame, natural_key: str, attrs: Mapping[str,
 
 
 def lookup_keys(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, sk_col: str,
-                on_missing: str = "unknown", max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                on_missing: str = "unknown") -> DataFrame:
     """Replace a natural key by the dimension's surrogate key.
 
     on_missing: 'unknown' → UNKNOWN_SK, 'drop' → inner join, 'null' → NULL key.
     """
     d = dim.select(F.col(dim_key).alias("__dk"), F.col(sk_col).alias("__sk"))
-    d = maybe_broadcast(d, max_broadcast_rows)
     how = "inner" if on_missing == "drop" else "left"
     j = facts.join(d, F.col(fact_key) == F.col("__dk"), how)
     sk = F.coalesce(F.col("__sk"), F.lit(UNKNOWN_SK).cast("bigint")) if on_missing == "unknown" \
@@ -67,26 +55,23 @@ def lookup_keys(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, s
 
 def temporal_join(facts: DataFrame, versions: DataFrame, fact_key: str, dim_key: str,
                   fact_date: str | Column, start: str, end: str, half_open: bool = True,
-                  how: str = "inner", max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                  how: str = "inner") -> DataFrame:
     """Join each fact to the dimension version valid on its date.
 
     Equality on the key plus `start <= d < end` (open end = NULL). Half-open intervals
     give at most one version per date when versions abut (close day = next start day).
     """
     d = F.to_date(F.col(fact_date) if isinstance(fact_date, str) else fact_date)
-    v = maybe_broadcast(versions, max_broadcast_rows)
     upper = (d < F.col(end)) if half_open else (d <= F.col(end))
     cond = (F.col(fact_key) == F.col(dim_key)) & (d >= F.col(start)) & (upper | F.col(end).isNull())
-    return facts.join(v, cond, how)
+    return facts.join(versions, cond, how)
 
 
-def star_join(facts: DataFrame, dims: Sequence[tuple[DataFrame, str, str]],
-              max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Chain of inner joins fact → dimension (fact_key, dim_key), each size-checked."""
+def star_join(facts: DataFrame, dims: Sequence[tuple[DataFrame, str, str]]) -> DataFrame:
+    """Chain of inner joins fact → dimension (fact_key, dim_key)."""
     out = facts
     for dim, fk, dk in dims:
-        d = maybe_broadcast(dim, max_broadcast_rows)
-        out = out.join(d, F.col(fk) == F.col(dk), "inner")
+        out = out.join(dim, F.col(fk) == F.col(dk), "inner")
     return out
 
 

@@ -56,6 +56,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the configured checkpoint folder; set a fresh local one only if unset."""
     d = checkpoint_dir(spark)
     if d is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="run-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():
@@ -69,6 +71,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/strata-scratch/{name}-{uuid.uuid4().hex}"
 
 
+def clean_scratch(spark: SparkSession) -> None:
+    """Delete what `scratch_path` handed out under the checkpoint folder (through Spark's file
+    system, so also on a remote store). Call it when no result that reads from it is needed."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark).rstrip('/')}/strata-scratch")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def scale_conf(total_cores: int, input_bytes: int, partition_bytes: int = 256 * 1024 * 1024) -> dict:
     """Settings sized from the cluster and the input, for `spark-submit --conf` or
     `spark.conf.set` before a job: enough initial shuffle partitions that each fits in

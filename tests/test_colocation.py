@@ -18,12 +18,9 @@ def test_bucketed_tables_join_without_shuffle(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_star_join_falls_back_to_shuffle_above_bound(spark):
+def test_star_join_leaves_the_strategy_to_spark(spark):
     li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
     o = spark.read.parquet(f"{SF_SMALL}/orders.parquet").select("o_orderkey", "o_custkey")
-    j = model.star_join(li, [(o, "l_orderkey", "o_orderkey")], max_broadcast_rows=10)
-    plan = j._jdf.queryExecution().optimizedPlan().toString()
-    assert "broadcast" not in plan.lower()
-    j2 = model.star_join(li, [(o, "l_orderkey", "o_orderkey")], max_broadcast_rows=10_000_000)
-    assert "broadcast" in j2._jdf.queryExecution().optimizedPlan().toString().lower()
-    assert j.count() == j2.count()
+    j = model.star_join(li, [(o, "l_orderkey", "o_orderkey")])
+    assert "strategy=broadcast" not in j._jdf.queryExecution().optimizedPlan().toString()
+    assert j.count() == li.count()

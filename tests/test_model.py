@@ -52,11 +52,6 @@ def test_lookup_unknown_member_and_drop(spark):
     assert rows(d, "id") == [(1,)]
 
 
-def test_bounded(spark):
-    assert model.bounded(spark.range(10), 10)
-    assert not model.bounded(spark.range(11), 10)
-
-
 def test_date_dimension(spark):
     b = spark.createDataFrame([(D(2025, 12, 30), D(2026, 1, 4))], "lo date, hi date")
     dd = model.date_dimension(model.date_spine(b, "lo", "hi"))

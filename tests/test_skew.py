@@ -43,7 +43,7 @@ def test_temporal_join_hot_key_is_split(spark):
     versions = spark.range(997).select(F.col("id").alias("dk"), F.lit(dt.date(2020, 1, 1)).alias("st"),
                                        F.lit(None).cast("date").alias("en"))
     with conf(spark, SKEW_CONF):
-        j = model.temporal_join(_facts(spark), versions, "fk", "dk", "d", "st", "en", max_broadcast_rows=0)
+        j = model.temporal_join(_facts(spark), versions, "fk", "dk", "d", "st", "en")
         qe = j._jdf.queryExecution()
         qe.toRdd().count()                      # run this plan, so AQE finalizes it
         plan = qe.executedPlan().toString()
