@@ -35,9 +35,21 @@ def _this_run(spark: SparkSession, path: str, ctx: RunContext) -> DataFrame:
 
 
 def run(spark: SparkSession, sf_dir: str, out: str, ctx: RunContext,
-        previous_equipment: str | None = None) -> DataFrame:
-    t = Tables(spark, sf_dir)
+        previous_equipment: str | None = None, previous_orders: str | None = None) -> DataFrame:
+    """One run; returns its ledger, which is written also when a step fails (status FAILED).
+    `previous_equipment` / `previous_orders`: an earlier run's folders, whose versions and
+    surrogate keys go on (an order keeps its key in every run)."""
     ledger = report.Ledger(ctx)
+    try:
+        _run(spark, sf_dir, out, ctx, ledger, previous_equipment, previous_orders)
+    finally:
+        led = ledger.to_df(spark)
+        writers.write_run(led, _path(out, "ledger"), ctx.run_id)
+    return led
+
+
+def _run(spark, sf_dir, out, ctx, ledger, previous_equipment, previous_orders) -> None:
+    t = Tables(spark, sf_dir)
     audits: list[DataFrame] = []
 
     # bronze: raw rows + lineage, keyed by run
@@ -95,7 +107,8 @@ def run(spark: SparkSession, sf_dir: str, out: str, ctx: RunContext,
         rows = t.orders.select(F.col("o_orderkey").alias("order_id"),
                                F.col("o_orderpriority").alias("priority"),
                                F.to_date("o_orderdate").alias("planned_start_date"))
-        writers.write_run(keys.assign_keys(rows, ["order_id"], "order_sk"),
+        known = spark.read.parquet(previous_orders).select("order_id", "order_sk") if previous_orders else None
+        writers.write_run(keys.assign_keys(rows, ["order_id"], "order_sk", known),
                           _path(out, "gold", "dim_order"), ctx.run_id)
     with ledger.step("gold_fact_line") as s:
         dim_order = _this_run(spark, _path(out, "gold", "dim_order"), ctx).select("order_id", "order_sk")
@@ -123,13 +136,11 @@ def run(spark: SparkSession, sf_dir: str, out: str, ctx: RunContext,
                              checks.missing_dates(t.orders, "o_orderdate", dim_date, "date_day")
                              .agg(F.count(F.lit(1)).alias("n")), ctx),
         ])
-        writers.write_run(results, _path(out, "checks"), ctx.run_id)
-        s["rows_out"] = 4
+        observed, obs = report.observe_counts(results, "checks")
+        writers.write_run(observed, _path(out, "checks"), ctx.run_id)
+        s["rows_out"] = obs.get["rows"]
 
     writers.write_run(report.union_all(audits), _path(out, "audit"), ctx.run_id)
-    led = ledger.to_df(spark)
-    writers.write_run(led, _path(out, "ledger"), ctx.run_id)
-    return led
 
 
 def default_context(run_id: str) -> RunContext:

@@ -26,15 +26,18 @@ def allowed_values(entitlements: DataFrame, principal: str, principal_col: str =
 def row_scope(df: DataFrame, scope_col: str, entitlements: DataFrame, principal: str,
               principal_col: str = "principal", value_col: str = "scope_value") -> DataFrame:
     """Rows of `df` whose `scope_col` the principal is entitled to (default deny)."""
+    # The entitlements are read whenever the result is, so a revoked grant takes effect in a
+    # view published before. A grant of everything stands for every scope the data has: the
+    # distinct scopes of the data (partly aggregated) kept if that grant exists.
     allowed = allowed_values(entitlements, principal, principal_col, value_col)
-    # One boolean about the (small) entitlement set decides the plan shape, the way
-    # Catalyst constant-folds a scope function; no data row goes through the driver.
-    if allowed.filter(F.col("__scope") == ALL).limit(1).count() > 0:
-        return df
+    everything = allowed.filter(F.col("__scope") == ALL).select(F.lit(True).alias("__all")).distinct()
     # Cast the small entitlement side to the data column's type, not the other way
     # round, so the big side keeps its native join key.
-    typed = allowed.select(F.col("__scope").cast(df.schema[scope_col].dataType).alias("__scope"))
-    return df.join(typed, F.col(scope_col) == F.col("__scope"), "left_semi")
+    typed = allowed.select(F.expr(f"try_cast(__scope as {df.schema[scope_col].dataType.simpleString()})").alias("__scope")).filter(F.col("__scope").isNotNull())
+    scopes = df.select(F.col(scope_col).alias("__scope")).distinct().withColumn("__one", F.lit(True))
+    granted = scopes.join(everything, F.col("__one") == F.col("__all"), "left_semi").select("__scope")
+    scope = typed.unionByName(granted).distinct()
+    return df.join(scope, F.col(scope_col).eqNullSafe(F.col("__scope")), "left_semi")
 
 
 def mask_columns(df: DataFrame, masks: Mapping[str, Callable[[Column], Column]]) -> DataFrame:

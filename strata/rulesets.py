@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .functions.expressions import guarded_ratio
-from .operators.rules import Rule, in_range, non_negative, required
+from .operators.rules import INFO, QUARANTINE, Rule, in_range, non_negative, required
 
 # Rule ids, descriptions, bounds, keys and duplicate ids per entity.
 TEMPERATURE_RANGE = (-50, 150)
@@ -27,6 +27,8 @@ DUPLICATE_RULE = {
     "maintenance_records": ("DQ-MR-002", "Superseded change"),
     "quality_inspection": ("DQ-QI-006", "Duplicate inspection"),
 }
+# a superseded change is history, not a defect
+DUPLICATE_ACTION = {"maintenance_records": INFO}
 ORPHAN_ORDER_RULE = ("DQ-010", "order_id does not exist in production_orders")
 
 
@@ -100,7 +102,7 @@ DERIVED = {"iot_telemetry": telemetry_derived, "quality_inspection": inspection_
 def cleanse(entity: str, bronze, ctx, order, locator: str | None = None):
     """Silver step for one entity: derived columns, rules, latest-per-key dedup (total
     `order`, largest wins), run stamp — one classified frame — and its violation records
-    (failures: QUARANTINE; duplicates: the entity's duplicate rule).
+    (failures: QUARANTINE; duplicates: the entity's duplicate rule and action).
 
     Returns (classified, violations)."""
     from .operators import rules as R
@@ -110,5 +112,6 @@ def cleanse(entity: str, bronze, ctx, order, locator: str | None = None):
     key = ENTITY_KEYS[entity][0]
     dup_id, _ = DUPLICATE_RULE[entity]
     v = R.all_violations(classified, entity, key, dup_id, locator or order[-1],
-                         descriptions=descriptions(entity), ctx=ctx)
+                         descriptions=descriptions(entity), ctx=ctx,
+                         duplicate_action=DUPLICATE_ACTION.get(entity, QUARANTINE))
     return classified, v

@@ -62,7 +62,7 @@ REQUIRED = {
     "dim_facility": ["facility_sk", "facility_id"], "dim_timestamp": ["date_day", "timestamp_sk"],
     "dim_technician": ["technician_sk", "technician_id"], "dim_production_order": ["order_sk", "order_id"],
     "dim_equipment": ["equipment_sk", "equipment_id"],
-    "fact_sensor_readings": ["equipment_sk", "facility_sk", "timestamp_sk"],
-    "fact_production_output": ["order_sk", "equipment_sk", "facility_sk", "timestamp_sk"],
-    "fact_maintenance_events": ["equipment_sk", "technician_sk", "facility_sk", "timestamp_sk"],
+    "fact_sensor_readings": ["sensor_reading_sk", "equipment_sk", "facility_sk", "timestamp_sk"],
+    "fact_production_output": ["production_sk", "order_sk", "equipment_sk", "facility_sk", "timestamp_sk"],
+    "fact_maintenance_events": ["maintenance_sk", "equipment_sk", "technician_sk", "facility_sk", "timestamp_sk"],
 }

@@ -74,6 +74,25 @@ def parse_json_rescued(text: DataFrame, schema: T.StructType, value_col: str = "
     )
 
 
+def conform_rescued(df: DataFrame, schema: T.StructType, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Typed columns of `schema` from a frame that may have others: unknown columns, and values
+    that do not fit their declared type, go to `_rescued_data` as text."""
+    have = [c for c in df.columns if c not in keep]
+    typed = {f.name: F.col(f.name).try_cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType)
+             for f in schema.fields}
+
+    def as_text(c):
+        plain = F.col(c).cast("string") if not isinstance(df.schema[c].dataType, (T.StructType, T.ArrayType, T.MapType)) \
+            else F.to_json(c)
+        lost = typed[c].isNull() if c in typed else F.lit(True)
+        return F.when(lost, plain)
+
+    pairs = [x for c in have for x in (F.lit(c), as_text(c))]
+    rescued = F.map_filter(F.create_map(*pairs), lambda k, v: v.isNotNull())
+    return df.select(*[e.alias(n) for n, e in typed.items()],
+                     F.when(F.size(rescued) > 0, rescued).alias(RESCUED), *keep)
+
+
 def read_json_rescued(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """JSON lines read as text, then parsed with rescue (file lineage preserved)."""
     text = spark.read.text(path).withColumn("_source_file", F.col("_metadata.file_path"))

@@ -9,12 +9,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import schemas
 from .context import RunContext
 from .functions.dates import date_key
 from .functions.hashing import hash_bucket
-from .operators import history, keys, model
+from .operators import dedup, history, keys, model
 from .sources.writers import conform
 
 # Default attributes of derived dimension members.
@@ -28,6 +29,17 @@ COST_SHARE_BASE = 10.0
 SHARE_BUCKETS = 1000
 
 
+UNKNOWN_MEMBER = "UNKNOWN"
+
+
+def with_unknown(dim: DataFrame, sk_col: str, natural_key: str) -> DataFrame:
+    """The dimension with its unknown member, the row that facts without a match point to."""
+    values = {sk_col: model.UNKNOWN_SK, natural_key: UNKNOWN_MEMBER}
+    row = [tuple(values.get(f.name) for f in dim.schema.fields)]
+    nullable = T.StructType([T.StructField(f.name, f.dataType) for f in dim.schema.fields])
+    return dim.unionByName(dim.sparkSession.createDataFrame(row, nullable))
+
+
 def _stamp(ctx: RunContext) -> Column:
     return F.lit(ctx.as_of).cast("timestamp")
 
@@ -42,7 +54,7 @@ def dim_facility(telemetry: DataFrame, ctx: RunContext, key_map: DataFrame | Non
         "created_at": _stamp(ctx), "updated_at": _stamp(ctx),
     }
     d = model.dimension_from_fact(telemetry, "facility_id", attrs, "facility_sk", key_map)
-    return conform(d, schemas.DIM_FACILITY)
+    return with_unknown(conform(d, schemas.DIM_FACILITY), "facility_sk", "facility_id")
 
 
 def dim_technician(maintenance: DataFrame, ctx: RunContext, key_map: DataFrame | None = None) -> DataFrame:
@@ -53,16 +65,18 @@ def dim_technician(maintenance: DataFrame, ctx: RunContext, key_map: DataFrame |
         "is_active": F.lit(True), "created_at": _stamp(ctx),
     }
     d = model.dimension_from_fact(src, "technician_id", attrs, "technician_sk", key_map)
-    return conform(d, schemas.DIM_TECHNICIAN)
+    return with_unknown(conform(d, schemas.DIM_TECHNICIAN), "technician_sk", "technician_id")
 
 
 def dim_production_order(orders: DataFrame, ctx: RunContext, key_map: DataFrame | None = None) -> DataFrame:
+    """One row per order: of several the one planned last."""
     rows = orders.select(
         "order_id", F.col("product_sku").alias("product_type"), "priority",
         F.to_date("start_time").alias("planned_start_date"),
-        F.lit(None).cast("date").alias("planned_end_date"), "facility_id",
-        _stamp(ctx).alias("created_at")).dropDuplicates(["order_id"])
-    return conform(keys.assign_keys(rows, ["order_id"], "order_sk", key_map), schemas.DIM_PRODUCTION_ORDER)
+        F.lit(None).cast("date").alias("planned_end_date"), "facility_id")
+    rows = dedup.winners(rows, ["order_id"], ["planned_start_date"]).withColumn("created_at", _stamp(ctx))
+    d = conform(keys.assign_keys(rows, ["order_id"], "order_sk", key_map), schemas.DIM_PRODUCTION_ORDER)
+    return with_unknown(d, "order_sk", "order_id")
 
 
 def dim_equipment(equipment_history: DataFrame, key_map: DataFrame | None = None) -> DataFrame:
@@ -72,7 +86,7 @@ def dim_equipment(equipment_history: DataFrame, key_map: DataFrame | None = None
         "equipment_status", "criticality_level", "asset_value_usd", history.START, history.END,
         history.CURRENT, history.VERSION)
     d = keys.assign_keys(rows, ["equipment_id", history.VERSION], "equipment_sk", key_map)
-    return conform(d, schemas.DIM_EQUIPMENT)
+    return with_unknown(conform(d, schemas.DIM_EQUIPMENT), "equipment_sk", "equipment_id")
 
 
 def dim_timestamp(fact_dates: DataFrame, date_col: str, ctx: RunContext) -> DataFrame:
@@ -100,15 +114,16 @@ def _equipment_sk(facts: DataFrame, equipment: DataFrame, fact_key: str | None,
 
 
 def fact_sensor_readings(telemetry: DataFrame, equipment: DataFrame, facility: DataFrame,
-                         ctx: RunContext, equipment_key: str | None = None) -> DataFrame:
-    """One row per valid reading. Readings carry no equipment id in the landed data, so
+                         ctx: RunContext, equipment_key: str | None = None, first_sk: int = 1) -> DataFrame:
+    """One row per valid reading, numbered from `first_sk` by device and time. Readings carry no equipment id in the landed data, so
     `equipment_key=None` records the unknown member instead of multiplying each reading
     by every equipment of its facility."""
     f = telemetry.withColumn("__d", F.to_date("event_timestamp"))
     f = _equipment_sk(f, equipment, equipment_key, "__d")
     f = model.lookup_keys(f, facility, "facility_id", "facility_id", "facility_sk")
+    f = keys.dense_keys(f, ["device_id", "event_timestamp"], "sensor_reading_sk", start=first_sk)
     out = f.select(
-        "equipment_sk", "facility_sk", date_key("__d").alias("timestamp_sk"), "temperature",
+        "sensor_reading_sk", "equipment_sk", "facility_sk", date_key("__d").alias("timestamp_sk"), "temperature",
         "vibration_x", "vibration_y", "device_id", "equipment_type", "pressure", "power_consumption",
         F.col("rpm").cast("int").alias("rpm"), F.lit(ctx.run_id).alias("_pipeline_run_id"),
         _stamp(ctx).alias("created_at"))
@@ -116,18 +131,21 @@ def fact_sensor_readings(telemetry: DataFrame, equipment: DataFrame, facility: D
 
 
 def fact_production_output(orders: DataFrame, inspections: DataFrame, order_dim: DataFrame,
-                           equipment: DataFrame, facility: DataFrame, ctx: RunContext) -> DataFrame:
-    """Grain: one inspection of an order (inner: an order needs an inspection to have output)."""
-    q = inspections.select("order_id", "units_rejected", "units_inspected", "units_passed")
+                           equipment: DataFrame, facility: DataFrame, ctx: RunContext,
+                           first_sk: int = 1) -> DataFrame:
+    """Grain: one inspection of an order (inner: an order needs an inspection to have output),
+    numbered from `first_sk` by order and inspection."""
+    q = inspections.select("inspection_id", "order_id", "units_rejected", "units_inspected", "units_passed")
     f = orders.select("order_id", "equipment_id", "facility_id", "quantity_ordered", "start_time") \
         .join(q, "order_id").withColumn("__d", F.to_date("start_time"))
     f = model.lookup_keys(f, order_dim, "order_id", "order_id", "order_sk")
     f = _equipment_sk(f, equipment, "equipment_id", "__d")
     f = model.lookup_keys(f, facility, "facility_id", "facility_id", "facility_sk")
+    f = keys.dense_keys(f, ["order_id", "inspection_id"], "production_sk", start=first_sk)
     m = model.production_measures(F.col("quantity_ordered"), F.col("units_rejected"),
                                   F.col("units_inspected"), F.col("units_passed"))
     out = f.select(
-        "order_sk", "equipment_sk", "facility_sk", date_key("__d").alias("timestamp_sk"),
+        "production_sk", "order_sk", "equipment_sk", "facility_sk", date_key("__d").alias("timestamp_sk"),
         F.col("quantity_ordered").alias("units_produced"), m["units_passed"].alias("units_passed"),
         F.col("units_rejected"), m["defect_count"].alias("defect_count"),
         m["defect_rate"].alias("defect_rate"), m["yield_on_ordered"].alias("yield_rate"),
@@ -136,18 +154,20 @@ def fact_production_output(orders: DataFrame, inspections: DataFrame, order_dim:
 
 
 def fact_maintenance_events(maintenance: DataFrame, equipment: DataFrame, technician: DataFrame,
-                            facility: DataFrame, ctx: RunContext) -> DataFrame:
-    """Live (not soft-deleted) maintenance rows; cost shares are repeatable per row."""
+                            facility: DataFrame, ctx: RunContext, first_sk: int = 1) -> DataFrame:
+    """Live (not soft-deleted) maintenance rows, numbered from `first_sk` by id; cost shares are
+    repeatable per row."""
     live = maintenance.filter(~F.coalesce(F.col("is_deleted"), F.lit(False)))
     f = live.withColumn("__d", F.to_date("start_datetime"))
     f = _equipment_sk(f, equipment, "equipment_id", "__d")
     f = model.lookup_keys(f, technician, "maintenance_technician_id", "technician_id", "technician_sk")
     f = model.lookup_keys(f, facility, "facility_id", "facility_id", "facility_sk")
+    f = keys.dense_keys(f, ["maintenance_id"], "maintenance_sk", start=first_sk)
     base = F.col("maintenance_cost_usd") / F.lit(COST_SHARE_BASE)
     parts = base * hash_bucket(SHARE_BUCKETS, "maintenance_id", salt="parts") / F.lit(float(SHARE_BUCKETS))
     labor = base * hash_bucket(SHARE_BUCKETS, "maintenance_id", salt="labor") / F.lit(float(SHARE_BUCKETS))
     out = f.select(
-        "equipment_sk", "technician_sk", "facility_sk", date_key("__d").alias("timestamp_sk"),
+        "maintenance_sk", "equipment_sk", "technician_sk", "facility_sk", date_key("__d").alias("timestamp_sk"),
         "downtime_minutes", "maintenance_cost_usd", parts.alias("parts_cost_usd"),
         labor.alias("labor_cost_usd"), (parts + labor).alias("total_cost_usd"), "maintenance_type",
         "failure_code", F.lit(ctx.run_id).alias("_pipeline_run_id"), _stamp(ctx).alias("created_at"))
@@ -164,7 +184,7 @@ def validate_gold(facts: dict[str, DataFrame], dims: dict[str, DataFrame], ctx:
                   sources: dict[str, tuple[DataFrame, DataFrame, list[str]]] | None = None) -> DataFrame:
     """The validation suite over a built star schema, as one result frame:
     source→bronze reconciliation (WARN), required and metadata columns, NOT NULL keys,
-    fact→dimension FK integrity (unknown member counts as a miss), date coverage,
+    fact→dimension FK integrity, facts on the unknown member (WARN), date coverage,
     single-scope analyst view (WARN) and whole-column masking.
 
     `facts` / `dims` are keyed by table name as in `schemas.REQUIRED`; `sources` maps a
@@ -197,6 +217,9 @@ def validate_gold(facts: dict[str, DataFrame], dims: dict[str, DataFrame], ctx:
             if dname in dims and sk in f.columns:
                 miss = checks.count_orphans(f, dims[dname], sk, sk)
                 rows.append(checks.check_row(f"fk_{sk}", fname, ERROR, miss, ctx))
+                if sk != "timestamp_sk":
+                    unknown = f.agg(F.count_if(F.col(sk) == model.UNKNOWN_SK).alias("n"))
+                    rows.append(checks.check_row(f"unknown_{sk}", fname, WARN, unknown, ctx))
     if "dim_timestamp" in dims:
         for fname, f in facts.items():
             if "timestamp_sk" in f.columns:

@@ -16,19 +16,25 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import rules as R
-from ..sources.readers import parse_json_rescued
+from ..sources.readers import conform_rescued, parse_json_rescued
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "json",
                 max_files_per_trigger: int | None = None, rescue: bool = False, **options) -> DataFrame:
     """Streaming file source with a declared schema and `_source_file` lineage.
 
-    rescue=True (JSON) reads lines as text and keeps unknown / ill-typed fields in
-    `_rescued_data` and non-JSON lines in `_corrupt_record`.
+    rescue=True keeps unknown and ill-typed fields in `_rescued_data`: JSON lines are read as
+    text (non-JSON lines go to `_corrupt_record`); Parquet files are read with the merged
+    schema of the files there, and what the declared schema lacks or can't hold is rescued.
     """
     r = spark.readStream.options(**options)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    if rescue and fmt == "parquet":
+        found = spark.read.option("mergeSchema", "true").parquet(path).schema     # footers only
+        df = r.format(fmt).schema(found).load(path)
+        return conform_rescued(df.withColumn("_source_file", F.col("_metadata.file_path")), schema,
+                               keep=("_source_file",))
     if rescue:
         text = r.format("text").load(path).withColumn("_source_file", F.col("_metadata.file_path"))
         return parse_json_rescued(text, schema, keep=("_source_file",))
@@ -38,7 +44,8 @@ def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
 
 def drain(stream: DataFrame, sink_path: str, checkpoint: str, fmt: str = "parquet",
           ingest_ts: bool = True, partition_by: Sequence[str] = ()) -> dict:
-    """Append the whole backlog to `sink_path` and wait; returns the last progress."""
+    """Append the whole backlog to `sink_path` and wait; returns the last progress, with the
+    number of rows that came after the watermark as `late_rows` (they are not in the sink)."""
     if ingest_ts:
         stream = stream.withColumn("_ingestion_timestamp", F.current_timestamp())
     w = (stream.writeStream.format(fmt).outputMode("append")
@@ -49,7 +56,8 @@ def drain(stream: DataFrame, sink_path: str, checkpoint: str, fmt: str = "parque
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(f"stream failed: {q.exception()}")
-    return q.lastProgress or {}
+    late = sum(op.get("numRowsDroppedByWatermark", 0) for p in q.recentProgress for op in p["stateOperators"])
+    return {**dict(q.lastProgress or {}), "late_rows": late}
 
 
 def quality_split(stream: DataFrame, rules: Sequence[R.Rule], out_path: str, checkpoint: str,
@@ -72,48 +80,27 @@ def quality_split(stream: DataFrame, rules: Sequence[R.Rule], out_path: str, che
     return q.lastProgress or {}
 
 
-def _first_per_key_in_task(keys: list[str]):
-    """Arrow-batched map-side pre-dedup: each task forwards only the first row of every
-    key it sees, so a key copied a million times crosses the shuffle once per task."""
-    def run(batches):
-        import pandas as pd
-        seen = None
-        for pdf in batches:
-            pdf = pdf.drop_duplicates(subset=keys, keep="first")
-            idx = pd.MultiIndex.from_frame(pdf[keys])
-            if seen is not None:
-                fresh = ~idx.isin(seen)
-                pdf, idx = pdf[fresh], idx[fresh]
-            seen = idx if seen is None else seen.append(idx)
-            if len(pdf):
-                yield pdf
-    return run
-
-
 def dedup_within_watermark(stream: DataFrame, keys: Sequence[str], event_time: str,
-                           delay: str = "1 hour", pre_dedup: bool = False) -> DataFrame:
-    """Streaming dedup with bounded state: first-seen wins (unlike batch latest-wins).
+                           delay: str = "1 hour") -> DataFrame:
+    """Streaming dedup with bounded state: first-seen wins (unlike batch latest-wins) and a key is
+    forgotten once the watermark passes it. Rows later than the watermark are dropped by
+    Spark; `drain` reports how many.
 
     `timestamp_ntz` event times are cast to `timestamp` as watermarks require.
-    `pre_dedup=True` drops copies inside each task before the shuffle (for streams where
-    one group of copies may be a large share of a micro-batch).
     """
     s = stream
     if dict(s.dtypes).get(event_time) == "timestamp_ntz":
         s = s.withColumn(event_time, F.col(event_time).cast("timestamp"))
-    if pre_dedup:
-        s = s.mapInPandas(_first_per_key_in_task(list(keys)), schema=s.schema)
     return s.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
-def apply_changes_stream(stream: DataFrame, path: str, keys: Sequence[str], n_buckets: int,
+def apply_changes_stream(stream: DataFrame, path: str, keys: Sequence[str],
                          schema: T.StructType, checkpoint: str, order: Sequence[str] = ("ts", "lsn"),
                          op: str = "op", value_cols: Sequence[str] | None = None,
                          sequential: bool = False, keep_unknown_deletes: bool = False) -> dict:
-    """Continuous CDC: each micro-batch is reduced to its latest change per key and
-    merged into the bucket-keyed current-state table at `path`, rewriting only the
-    buckets it touches. A replayed batch changes nothing (its changes are no longer
-    newer than the stored `(ts, lsn)`), so the sink is idempotent.
+    """Continuous CDC: each micro-batch is merged into the current state and written as the next
+    snapshot under `path`. A replayed batch starts from the state before it and replaces its
+    own snapshot, so the sink is idempotent.
 
     sequential=True applies each batch as if its changes came one at a time (an insert
     and a delete of a new key in one batch leave a tombstone); with files arriving in
@@ -121,19 +108,18 @@ def apply_changes_stream(stream: DataFrame, path: str, keys: Sequence[str], n_bu
     the `_up_<order col>` columns in the table schema keeps the last-upsert register too,
     and with `keep_unknown_deletes` the result no longer depends on arrival order."""
     from ..operators import changes as C
-    from ..operators import incremental
+    from ..operators import snapshots
 
-    def per_batch(batch: DataFrame, batch_id: int) -> None:
+    def merged(current: DataFrame, batch: DataFrame) -> DataFrame:
         if sequential:
-            vals = value_cols or [c for c in batch.columns if c not in list(keys) + list(order) + [op]]
-            plan = lambda cur, b: C.apply_changes_sequential(
-                cur, b, keys, vals, order=order, op=op, keep_unknown_deletes=keep_unknown_deletes)
-            incremental.rewrite_touched(batch.sparkSession, path, batch, keys, n_buckets, plan, schema)
-            return
+            vals = value_cols or [c for c in batch.columns if c not in [*keys, *order, op]]
+            return C.apply_changes_sequential(current, batch, keys, vals, order=order, op=op,
+                                              keep_unknown_deletes=keep_unknown_deletes)
         latest = C.latest_changes(batch, keys, order, with_superseded=False)
-        plan = lambda cur, b: C.apply_changes(cur, b, keys, value_cols=value_cols,
-                                              order=order, op=op)
-        incremental.rewrite_touched(batch.sparkSession, path, latest, keys, n_buckets, plan, schema)
+        return C.apply_changes(current, latest, keys, value_cols=value_cols, order=order, op=op)
+
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        snapshots.advance(batch.sparkSession, path, batch, merged, schema, version=batch_id)
 
     q = (stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())

@@ -35,3 +35,18 @@ def test_scope_function_is_sql(spark):
     assert sorted(r.id for r in got) == [2, 3]
     G.register_scope_function(spark, "user_scope_none", {"someone_else": "EU"})
     assert spark.sql("select id from facts_t where fac = user_scope_none()").count() == 0
+
+
+def test_revocation_takes_effect_in_a_published_view(spark, tmp_path):
+    grants = tmp_path / "grants.csv"
+    grants.write_text("root,ALL\n")
+    G.publish_view(spark, "scoped_facts", G.row_scope(_data(spark), "fac", spark.read.schema(ENT).csv(str(grants)), "root"))
+    assert spark.table("scoped_facts").count() == 3
+    grants.write_text("root,EU\n\n")                    # same size: the plan holds the file's length
+    assert sorted(r.id for r in spark.sql("select id from scoped_facts").collect()) == [2, 3]
+
+
+def test_scope_that_is_no_number_grants_nothing(spark):
+    df = spark.createDataFrame([(1, 5), (2, None)], "id int, fac int")
+    assert G.row_scope(df, "fac", spark.createDataFrame([("ana", "five")], ENT), "ana").count() == 0
+    assert G.row_scope(df, "fac", spark.createDataFrame([("ana", G.ALL)], ENT), "ana").count() == 2

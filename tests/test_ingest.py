@@ -135,8 +135,8 @@ def test_promote_rescued_fields(spark, scratch):
     assert got[2] == (None, {"rpm": "fast"})
 
 
-def test_streaming_cdc_merge_is_incremental_and_replay_safe(spark, scratch):
-    from strata.operators import incremental as I
+def test_streaming_cdc_merge_is_replay_safe(spark, scratch):
+    from strata.operators import snapshots
     chg_schema = T.StructType([T.StructField("k", T.StringType()), T.StructField("value", T.DoubleType()),
                                T.StructField("ts", T.TimestampNTZType()), T.StructField("lsn", T.LongType()),
                                T.StructField("op", T.StringType())])
@@ -148,36 +148,47 @@ def test_streaming_cdc_merge_is_incremental_and_replay_safe(spark, scratch):
     spark.createDataFrame(rows2, chg_schema).coalesce(1).write.mode("append").json(land)
     table = scratch("cdc-table")
     empty = spark.createDataFrame([], "k string, value double, ts timestamp_ntz, lsn long, is_deleted boolean")
-    schema = I.write_keyed(empty, table, ["k"], 4)
+    schema = empty.schema
     ck = scratch("ck")
     for _ in range(2):     # second run: nothing new
         src = ingest.file_stream(spark, land, chg_schema, max_files_per_trigger=1).drop("_source_file")
-        ingest.apply_changes_stream(src, table, ["k"], 4, schema, ck, value_cols=["value"])
-    out = I.read_keyed(spark, table, schema)
+        ingest.apply_changes_stream(src, table, ["k"], schema, ck, value_cols=["value"])
+    out = snapshots.read(spark, table, schema)
     assert rows(out, "k", "value", "is_deleted") == [("a", 3.0, False), ("b", 2.0, True), ("c", 5.0, False)]
 
 
-def test_dedup_pre_dedup_same_result_hot_copies(spark, scratch):
-    land = scratch("hotdups")
-    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
-    hot = ev.limit(1)
-    copies = hot
-    for _ in range(8):
-        copies = copies.unionByName(copies)          # 256 copies of one event
-    ev.unionByName(copies).repartition(3).write.json(land)
-    out = {}
-    for pre in (False, True):
-        src = ingest.file_stream(spark, land, EV_SCHEMA).drop("_source_file")
-        d = ingest.dedup_within_watermark(src, ["event_id"], "ts", "3650 days", pre_dedup=pre)
-        sink, ck = scratch("sink"), scratch("ck")
-        ingest.drain(d, sink, ck, ingest_ts=False)
-        out[pre] = rows(spark.read.parquet(sink).select("event_id"))
-    assert out[False] == out[True] and len(out[True]) == ev.count()
+def test_dedup_counts_rows_after_the_watermark(spark, scratch):
+    land = scratch("late")
+    t0 = dt.datetime(2024, 1, 1)
+    rows_ = lambda h, ids: spark.createDataFrame([(i, t0 + dt.timedelta(hours=h)) for i in ids], "event_id long, ts timestamp")
+    schema = rows_(0, [1]).schema
+    rows_(10, [1, 2, 2]).coalesce(1).write.json(land)
+    sink, ck = scratch("sink"), scratch("ck")
+
+    def drained():
+        src = ingest.file_stream(spark, land, schema).drop("_source_file")
+        return ingest.drain(ingest.dedup_within_watermark(src, ["event_id"], "ts", "1 hour"), sink, ck, ingest_ts=False)
+
+    assert drained()["late_rows"] == 0
+    rows_(2, [3]).coalesce(1).write.mode("append").json(land)         # eight hours late
+    assert drained()["late_rows"] == 1
+    assert rows(spark.read.parquet(sink), "event_id") == [(1,), (2,)]
+
+
+def test_parquet_stream_rescues_what_does_not_fit(spark, scratch):
+    land = scratch("pq")
+    spark.createDataFrame([(1, "7", "x"), (2, "seven", None)], "id long, n string, extra string").write.parquet(land)
+    src = ingest.file_stream(spark, land, T.StructType([T.StructField("id", T.LongType()), T.StructField("n", T.IntegerType())]),
+                             "parquet", rescue=True)
+    sink, ck = scratch("sink"), scratch("ck")
+    ingest.drain(src.drop("_source_file"), sink, ck, ingest_ts=False)
+    got = {r.id: (r.n, r[readers.RESCUED]) for r in spark.read.parquet(sink).collect()}
+    assert got == {1: (7, {"extra": "x"}), 2: (None, {"n": "seven"})}
 
 
 def test_sequential_stream_independent_of_batch_cuts(spark, scratch):
     from strata.operators import changes as C
-    from strata.operators import incremental as I
+    from strata.operators import snapshots
     from strata.plans.fixtures import change_log
     log = change_log(spark.read.parquet(f"{SF_SMALL}/events.parquet"))
     chg_schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("lsn", T.LongType()),
@@ -190,10 +201,10 @@ def test_sequential_stream_independent_of_batch_cuts(spark, scratch):
         part.coalesce(1).write.mode("append").json(land)
     empty = spark.createDataFrame([], "k bigint, value double, ts timestamp_ntz, lsn bigint, is_deleted boolean")
     table = scratch("seq-table")
-    schema = I.write_keyed(empty, table, ["k"], 8)
+    schema = empty.schema
     src = ingest.file_stream(spark, land, chg_schema, max_files_per_trigger=1).drop("_source_file")
-    ingest.apply_changes_stream(src, table, ["k"], 8, schema, scratch("ck"), value_cols=["value"], sequential=True)
-    streamed = I.read_keyed(spark, table, schema)
+    ingest.apply_changes_stream(src, table, ["k"], schema, scratch("ck"), value_cols=["value"], sequential=True)
+    streamed = snapshots.read(spark, table, schema)
     whole = C.apply_changes_sequential(empty, log, ["k"], ["value"])
     cols = ("k", "value", "lsn", "is_deleted")
     assert rows(streamed, *cols) == rows(whole, *cols)

@@ -61,8 +61,8 @@ def test_gold_layer(spark):
     ddim = S.dim_timestamp(tel.select(F.col("event_timestamp").alias("d")), "d", CTX)
     assert shape(fac.schema) == shape(schemas.DIM_FACILITY)
     assert shape(tech.schema) == shape(schemas.DIM_TECHNICIAN)
-    assert edim.count() == 3 and edim.select("equipment_sk").distinct().count() == 3
-    assert tech.count() == 2                                     # NULL technician dropped
+    assert edim.count() == 4 and edim.select("equipment_sk").distinct().count() == 4      # with the unknown member
+    assert tech.count() == 3                                     # NULL technician dropped, unknown member added
     assert ddim.count() == (D2 - D1).days + 1
 
     sensor = S.fact_sensor_readings(tel, edim, fac, CTX)
@@ -122,12 +122,16 @@ def test_validate_gold_suite(spark):
     assert got[("reconcile", "telemetry")] == ("PASS", 0)
     assert got[("single_scope", "analyst_view")] == ("PASS", 0)
     assert got[("masking", "maintenance_technician_id")] == ("PASS", 0)
-    # readings carry no equipment id: the unknown member (-1) is reported, not hidden
-    assert got[("fk_equipment_sk", "fact_sensor_readings")][0] == "FAIL"
+    # readings carry no equipment id: they point to the unknown member, which is counted
+    assert got[("fk_equipment_sk", "fact_sensor_readings")] == ("PASS", 0)
+    assert got[("unknown_equipment_sk", "fact_sensor_readings")] == ("FAIL", 2)
     assert got[("date_coverage", "fact_sensor_readings")] == ("PASS", 0)
     assert got[("not_null", "dim_facility")] == ("PASS", 0)
-    errors = res.filter("severity = 'ERROR' and status = 'FAIL'").count()
-    assert errors >= 1
+    assert res.filter("severity = 'ERROR' and status = 'FAIL'").count() == 0
+    K.enforce(res)
+    lost = S.validate_gold({"fact_maintenance_events": mf}, {"dim_technician": tech.filter("technician_sk <> -1")}, CTX)
     import pytest
     with pytest.raises(K.CheckFailed):
-        K.enforce(res)
+        K.enforce(lost)
+    assert sorted(r.maintenance_sk for r in mf.collect()) == [1, 2, 3]
+    assert sorted(r.sensor_reading_sk for r in sensor.collect()) == [1, 2]
