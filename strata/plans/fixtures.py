@@ -17,11 +17,8 @@ from ..functions.expressions import case_map
 NULL_DEVICE_EVERY = 101
 NULL_FACILITY_EVERY = 103
 NULL_TECHNICIAN_EVERY = 11
-CDC_BASE_BEFORE = "2024-01-15 00:00:00"
-CDC_INCREMENT_FROM = "2024-01-29 18:00:00"
-LATE_STATE_BEFORE = "2024-01-20 00:00:00"
-LATE_CHANGES_FROM = "2024-01-10 00:00:00"
-LATE_CHANGES_BEFORE = "2024-01-25 00:00:00"
+CDC_SPLIT = "2024-01-01 06:00:00"     # changes before it form the base, all others the increment
+LATE_STATE_TYPES = ("view", "click")  # changes from these sources were stored first
 PART_V2_FROM = "1998-01-01"
 PART_V1_FROM = "1995-01-01"
 
@@ -37,15 +34,11 @@ def telemetry(events: DataFrame) -> DataFrame:
 
 
 def change_log(events: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
-    """events as a change log: key = user_id, lsn = event_id, op from event_type.
-
-    About half the rows of every tenth key are left out so keys differ in history.
-    `carry` passes extra event columns through (e.g. a batch label).
-    """
+    """All events as a change log: key = user_id, lsn = event_id, op from event_type.
+    `carry` passes extra event columns through (e.g. a batch label)."""
     op = case_map("event_type", {"signup": "INSERT", "error": "DELETE"}, "UPDATE")
-    return (events.filter((F.col("user_id") % 10 != 9) | (F.col("event_id") % 2 == 0))
-            .select(F.col("user_id").alias("k"), F.col("event_id").alias("lsn"), "ts", "value",
-                    op.alias("op"), *carry))
+    return events.select(F.col("user_id").alias("k"), F.col("event_id").alias("lsn"), "ts", "value",
+                         op.alias("op"), *carry)
 
 
 def part_versions(part: DataFrame) -> DataFrame:

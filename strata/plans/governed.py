@@ -68,6 +68,48 @@ def chk_reconcile(spark, sf_dir):
     return checks.reconcile(o, copy, ["o_orderkey"])
 
 
+def chk_reconcile_dups(spark, sf_dir):
+    """Source with every order twice and some NULL keys, target with each once: lost copies count."""
+    o = Tables(spark, sf_dir).orders.select(
+        F.when(F.col("o_orderkey") % LOSSY_EVERY != 0, F.col("o_orderkey")).alias("o_orderkey"))
+    return checks.reconcile(o.unionByName(o), o, ["o_orderkey"])
+
+
+# Fixed value: columns every landed event must have (the last is not in the table).
+EVENT_COLUMNS = ("event_id", "ts", "user_id", "event_type", "value", "loaded_at")
+
+
+def chk_schema(spark, sf_dir):
+    """Missing and unexpected columns of the landed events, with the rows they concern."""
+    ev = Tables(spark, sf_dir).events
+    gaps = checks.schema_gaps(ev, EVENT_COLUMNS)
+    return ev.agg(F.count(F.lit(1)).alias("n_rows")).select(
+        F.lit(",".join(gaps["missing"])).alias("missing"), F.lit(",".join(gaps["unexpected"])).alias("unexpected"),
+        "n_rows")
+
+
+def view_sql(spark, sf_dir):
+    """Published view filtered by a SQL scope function of the current user."""
+    t = Tables(spark, sf_dir)
+    user = spark.sql("select current_user()").first()[0]
+    governance.register_scope_function(spark, "strata_scope", {user: ANALYST_REGION})
+    governance.publish_view(spark, "strata_customers", t.customer.join(
+        t.nation, F.col("c_nationkey") == F.col("n_nationkey")).join(t.region, F.col("n_regionkey") == F.col("r_regionkey")))
+    return spark.sql("select c_custkey, c_nationkey from strata_customers where r_name = strata_scope()")
+
+
+def rls_all(spark, sf_dir):
+    """A principal entitled to everything, and one entitled to nothing."""
+    t = Tables(spark, sf_dir)
+    ent = entitlements(t).select("principal", F.col("scope_value").cast("string").alias("scope_value"))
+    ent = ent.unionByName(ent.limit(1).select(F.lit("auditor").alias("principal"),
+                                              F.lit(governance.ALL).alias("scope_value")))
+    c = t.customer.select("c_custkey", "c_nationkey")
+    seen = [governance.row_scope(c, "c_nationkey", ent, who).agg(F.count(F.lit(1)).alias("n"))
+            .select(F.lit(who).alias("principal"), "n") for who in ("auditor", "nobody")]
+    return seen[0].unionByName(seen[1])
+
+
 def chk_not_null(spark, sf_dir):
     raw = telemetry(Tables(spark, sf_dir).events)
     return checks.null_counts(raw, ["device_id", "facility_id", "ts"])

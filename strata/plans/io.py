@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators import layout
+from ..operators import layout, snapshots
 from ..session import scratch_path
 from ..sources import readers, writers
 from ..streaming import ingest
@@ -22,7 +22,15 @@ EQUIPMENT_SCHEMA = T.StructType([
     T.StructField("equipment_id", T.StringType()), T.StructField("model_number", T.StringType()),
     T.StructField("asset_value", T.DecimalType(12, 2)), T.StructField("effective_end_date", T.DateType()),
 ])
-LANDING_FILES = 4
+
+
+def _spread(df, *cols):
+    """As many landing files as the session has shuffle partitions."""
+    return df.repartition(_files(df.sparkSession), *cols)
+
+
+def _files(spark) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def json_roundtrip(spark, sf_dir):
@@ -44,6 +52,14 @@ def source_file(spark, sf_dir):
     return ev.select("event_id", F.col("_source_file_name").alias("source_file"))
 
 
+def source_file_details(spark, sf_dir):
+    """File size and modification time of every row's source file."""
+    ev = readers.with_lineage(Tables(spark, sf_dir).events, extended=True)
+    return ev.select("event_id", (F.col("_source_file_size") > 0).alias("has_size"),
+                     F.col("_source_file_mtime").isNotNull().alias("has_mtime"),
+                     F.endswith(F.col("_source_file"), F.col("_source_file_name")).alias("in_path"))
+
+
 def conform_schema(spark, sf_dir):
     s = Tables(spark, sf_dir).supplier.select(
         F.col("s_suppkey").alias("equipment_id"), F.col("s_name").alias("model_number"),
@@ -54,12 +70,12 @@ def conform_schema(spark, sf_dir):
 def _landing(spark, sf_dir):
     landing = scratch_path(spark, "landing")
     ev = Tables(spark, sf_dir).events
-    writers.write_landing(ev.repartition(LANDING_FILES), landing, "json")
+    writers.write_landing(_spread(ev), landing, "json")
     return landing
 
 
 def _drain(spark, landing, sink, ckpt):
-    src = ingest.file_stream(spark, landing, EVENTS_SCHEMA, "json", max_files_per_trigger=1)
+    src = ingest.file_stream(spark, landing, EVENTS_SCHEMA, "json", max_files_per_trigger=max(1, _files(spark) // 2))
     return ingest.drain(src, sink, ckpt)
 
 
@@ -84,14 +100,59 @@ CLUSTER_COLS = ("l_shipdate", "l_partkey")
 def layout_same_rows(spark, sf_dir):
     li = Tables(spark, sf_dir).lineitem
     path = scratch_path(spark, "clustered")
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    layout.cluster(li, CLUSTER_COLS, n_files=n).write.parquet(path)
+    layout.cluster(li, CLUSTER_COLS, n_files=_files(spark)).write.parquet(path)
     return spark.read.parquet(path)
 
 
+def layout_compact(spark, sf_dir):
+    """Many small files rewritten as few of the target size; the rows stay."""
+    src, dst = scratch_path(spark, "small-files"), scratch_path(spark, "compacted")
+    _spread(Tables(spark, sf_dir).lineitem).write.parquet(src)
+    layout.compact_path(spark, src, dst)
+    return spark.read.parquet(dst)
+
+
+def run_retry(spark, sf_dir):
+    """A run retried with other partitions: nothing of the first attempt stays."""
+    path = scratch_path(spark, "retried")
+    ev = Tables(spark, sf_dir).events
+    writers.write_run(ev, path, "run-1", partition_by=["event_type"])
+    second = ev.withColumn("event_type", F.when(F.col("event_type") == "error", F.lit("view")).otherwise(F.col("event_type")))
+    writers.write_run(second, path, "run-1", partition_by=["event_type"])
+    back = spark.read.parquet(path)
+    return back.groupBy(F.col(writers.RUN_COL).alias("run_id"), "event_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+def partitioned_write(spark, sf_dir):
+    """Orders written by priority and read back through the partition column."""
+    path = scratch_path(spark, "by-priority")
+    writers.write_partitioned(Tables(spark, sf_dir).orders, path, ["o_orderpriority"], mode="errorifexists")
+    return spark.read.parquet(path).select("o_orderkey", "o_orderpriority", "o_totalprice")
+
+
+def snapshot_versions(spark, sf_dir):
+    """Two versions of a table, each readable under its own number."""
+    base = scratch_path(spark, "versions")
+    s = Tables(spark, sf_dir).supplier
+    first = writers.write_snapshot(s, base, 1)
+    second = writers.write_snapshot(s.withColumn("s_acctbal", F.col("s_acctbal") + 1), base, 2)
+    a, b = spark.read.parquet(first), spark.read.parquet(second)
+    return a.select("s_suppkey", F.col("s_acctbal").alias("before")).join(
+        b.select("s_suppkey", F.col("s_acctbal").alias("after")), "s_suppkey")
+
+
+def consolidate_tables(spark, sf_dir):
+    """Violation tables of the catalog united; one that does not exist is skipped."""
+    from ..operators import report
+    t = Tables(spark, sf_dir)
+    t.events.filter("value > 300").selectExpr("event_id as id", "event_type as reason").createOrReplaceTempView("strata_v1")
+    t.orders.filter("o_totalprice < 2000").selectExpr("o_orderkey as id", "'price' as field_name").createOrReplaceTempView("strata_v2")
+    return report.consolidate(spark, ["strata_v1", "strata_absent", "strata_v2"])
+
+
 # The streaming quality rule of the proofs (same bounds as the batch one).
 STREAM_VALUE_MIN, STREAM_VALUE_MAX = 0, 150
-WATERMARK_DELAY = "3650 days"
+WATERMARK_DELAY = "1 hour"
 
 
 def stream_dq_split(spark, sf_dir):
@@ -101,7 +162,7 @@ def stream_dq_split(spark, sf_dir):
     out, ckpt = scratch_path(spark, "split"), scratch_path(spark, "ckpt")
     rule = [R.in_range("value", STREAM_VALUE_MIN, STREAM_VALUE_MAX, "DQ-004")]
     for _ in range(2):
-        src = ingest.file_stream(spark, landing, EVENTS_SCHEMA, "json", max_files_per_trigger=1)
+        src = ingest.file_stream(spark, landing, EVENTS_SCHEMA, "json", max_files_per_trigger=max(1, _files(spark) // 2))
         ingest.quality_split(src, rule, out, ckpt)
     return spark.read.parquet(out).select("event_id", R.DISPOSITION)
 
@@ -110,11 +171,13 @@ def stream_dedup(spark, sf_dir):
     """Every event landed twice (in different files); watermark dedup keeps one of each."""
     landing = scratch_path(spark, "dup-landing")
     ev = Tables(spark, sf_dir).events
-    writers.write_landing(ev.unionByName(ev).repartition(LANDING_FILES), landing, "json")
+    writers.write_landing(_spread(ev.unionByName(ev)), landing, "json")
     src = ingest.file_stream(spark, landing, EVENTS_SCHEMA, "json").drop("_source_file")
-    d = ingest.dedup_within_watermark(src, ["event_id"], "ts", WATERMARK_DELAY, pre_dedup=True)
+    d = ingest.dedup_within_watermark(src, ["event_id"], "ts", WATERMARK_DELAY)
     sink, ckpt = scratch_path(spark, "dedup"), scratch_path(spark, "ckpt")
-    ingest.drain(d, sink, ckpt, ingest_ts=False)
+    progress = ingest.drain(d, sink, ckpt, ingest_ts=False)     # the backlog is one micro-batch
+    if progress["late_rows"]:
+        raise ValueError(f"{progress['late_rows']} rows came after the watermark")
     return spark.read.parquet(sink).select("event_id", "user_id")
 
 
@@ -129,7 +192,6 @@ def rescued_fields(spark, sf_dir):
     return back.select("event_id", F.col(readers.RESCUED)["props"].alias("props"))
 
 
-CDC_BUCKETS = 16
 CHANGE_SCHEMA = T.StructType([
     T.StructField("k", T.LongType()), T.StructField("lsn", T.LongType()),
     T.StructField("ts", T.TimestampNTZType()), T.StructField("value", T.DoubleType()),
@@ -139,19 +201,32 @@ CHANGE_SCHEMA = T.StructType([
 
 def stream_cdc_apply(spark, sf_dir):
     """The whole change log landed as JSON files (each key's changes in one file), drained
-    micro-batch by micro-batch into an empty bucket-keyed current-state table."""
-    from ..operators import incremental
+    micro-batch by micro-batch into an empty current state."""
     from .fixtures import change_log
     landing = scratch_path(spark, "cdc-landing")
     log = change_log(Tables(spark, sf_dir).events)
-    writers.write_landing(log.repartition(LANDING_FILES, "k"), landing, "json")
+    writers.write_landing(_spread(log, "k"), landing, "json")
     table = scratch_path(spark, "cdc-table")
-    empty = spark.createDataFrame([], "k bigint, value double, ts timestamp_ntz, lsn bigint, is_deleted boolean")
-    schema = incremental.write_keyed(empty, table, ["k"], CDC_BUCKETS)
-    src = ingest.file_stream(spark, landing, CHANGE_SCHEMA, "json", max_files_per_trigger=1)
-    ingest.apply_changes_stream(src.drop("_source_file"), table, ["k"], CDC_BUCKETS, schema,
+    schema = spark.createDataFrame([], "k bigint, value double, ts timestamp_ntz, lsn bigint, is_deleted boolean").schema
+    src = ingest.file_stream(spark, landing, CHANGE_SCHEMA, "json", max_files_per_trigger=max(1, _files(spark) // 2))
+    ingest.apply_changes_stream(src.drop("_source_file"), table, ["k"], schema,
                                 scratch_path(spark, "ckpt"), value_cols=["value"])
-    return incremental.read_keyed(spark, table, schema).select("k", "value", "is_deleted")
+    return snapshots.read(spark, table, schema).select("k", "value", "is_deleted")
+
+
+def stream_parquet_rescue(spark, sf_dir):
+    """Landed Parquet drained with a schema that lacks `props` and declares `event_type` a number:
+    both are rescued, no row is lost."""
+    landing = scratch_path(spark, "parquet-landing")
+    _spread(Tables(spark, sf_dir).events).write.parquet(landing)
+    declared = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("value", T.DoubleType()),
+                             T.StructField("event_type", T.IntegerType())])
+    src = ingest.file_stream(spark, landing, declared, "parquet", rescue=True)
+    sink, ckpt = scratch_path(spark, "rescued"), scratch_path(spark, "ckpt")
+    ingest.drain(src.drop("_source_file"), sink, ckpt, ingest_ts=False)
+    back = spark.read.parquet(sink)
+    return back.select("event_id", "value", "event_type", F.col(readers.RESCUED)["event_type"].alias("event_type_text"),
+                       F.col(readers.RESCUED)["props"].alias("props"))
 
 
 def schema_evolution(spark, sf_dir):
@@ -165,22 +240,20 @@ def schema_evolution(spark, sf_dir):
 
 
 def stream_cdc_out_of_order(spark, sf_dir):
-    """The whole change log landed as one file per event type, written (so arriving) in a
+    """The whole change log landed batch by batch, one event type each, written (so arriving) in a
     non-chronological order — deletes first — and drained micro-batch by micro-batch into
-    a bucket-keyed table that keeps both registers (`_up_*` columns)."""
-    from ..operators import incremental
+    a current state that keeps both registers (`_up_*` columns)."""
     from .cdc import ARRIVAL_ORDER
     from .fixtures import change_log
     log = change_log(Tables(spark, sf_dir).events.withColumn("batch", F.col("event_type")), carry=("batch",))
     landing = scratch_path(spark, "ooo-landing")
     for b in ARRIVAL_ORDER:            # one append per batch: file times follow this order
-        log.filter(F.col("batch") == b).drop("batch").coalesce(1).write.mode("append").json(landing)
+        log.filter(F.col("batch") == b).drop("batch").write.mode("append").json(landing)
     table = scratch_path(spark, "ooo-table")
-    empty = spark.createDataFrame([], "k bigint, value double, ts timestamp_ntz, lsn bigint, "
-                                      "is_deleted boolean, _up_ts timestamp_ntz, _up_lsn bigint")
-    schema = incremental.write_keyed(empty, table, ["k"], CDC_BUCKETS)
-    src = ingest.file_stream(spark, landing, CHANGE_SCHEMA, "json", max_files_per_trigger=1)
-    ingest.apply_changes_stream(src.drop("_source_file"), table, ["k"], CDC_BUCKETS, schema,
+    schema = spark.createDataFrame([], "k bigint, value double, ts timestamp_ntz, lsn bigint, "
+                                       "is_deleted boolean, _up_ts timestamp_ntz, _up_lsn bigint").schema
+    src = ingest.file_stream(spark, landing, CHANGE_SCHEMA, "json", max_files_per_trigger=max(1, _files(spark) // 2))
+    ingest.apply_changes_stream(src.drop("_source_file"), table, ["k"], schema,
                                 scratch_path(spark, "ckpt"), value_cols=["value"], sequential=True,
                                 keep_unknown_deletes=True)
-    return incremental.read_keyed(spark, table, schema).select("k", "value", "is_deleted")
+    return snapshots.read(spark, table, schema).select("k", "value", "is_deleted")

@@ -2,8 +2,8 @@
 
 These are *specifications*: the Spark side is written with the library functions, not
 with this text. The defect-injection expressions (`% 101`, `% 103`, ...) match
-`plans/fixtures.py`; they choose which rows are defective, and every statement still
-reads its whole tables.
+`plans/fixtures.py`; they choose which rows are defective, and every statement reads its
+whole tables.
 """
 
 from __future__ import annotations
@@ -18,10 +18,10 @@ _RAW = """with raw as (select event_id, ts, value,
  rk as (select *, row_number() over (partition by device_id, facility_id, cast(ts as date) order by ts desc, event_id desc) as rn from dq where passed) """
 
 _CDC = """with log as (select user_id as k, event_id as lsn, ts, value,
-  case event_type when 'signup' then 'INSERT' when 'error' then 'DELETE' else 'UPDATE' end as op from events where user_id % 10 <> 9 or event_id % 2 = 0),
- base0 as (select *, row_number() over (partition by k order by ts desc, lsn desc) as rn from log where ts < timestamp '2024-01-15 00:00:00' and k >= 20),
+  case event_type when 'signup' then 'INSERT' when 'error' then 'DELETE' else 'UPDATE' end as op from events),
+ base0 as (select *, row_number() over (partition by k order by ts desc, lsn desc) as rn from log where ts < timestamp '2024-01-01 06:00:00'),
  base as (select k, lsn, ts, value, op = 'DELETE' as is_deleted from base0 where rn = 1),
- inc0 as (select *, row_number() over (partition by k order by ts desc, lsn desc) as rn from log where ts >= timestamp '2024-01-29 18:00:00'),
+ inc0 as (select *, row_number() over (partition by k order by ts desc, lsn desc) as rn from log where ts >= timestamp '2024-01-01 06:00:00'),
  inc as (select * from inc0 where rn = 1) """
 
 _SCD = """with src as (select s_suppkey as k, s_name, s_nationkey, case when s_suppkey % 7 = 0 then cast(s_acctbal as decimal(12,2)) + 1 else cast(s_acctbal as decimal(12,2)) end as bal from supplier),
@@ -32,6 +32,14 @@ _SCD = """with src as (select s_suppkey as k, s_name, s_nationkey, case when s_s
 _PARTV = """with d as (select p_partkey, 1 as ver, date '1995-01-01' as st, case when p_partkey % 3 = 0 then date '1998-01-01' end as en from part
   union all select p_partkey, 2, date '1998-01-01', cast(null as date) from part where p_partkey % 3 = 0) """
 
+_STAR = """with eqv as (select cast(p_partkey as varchar) as eid, 1 as ver, date '1900-01-01' as st, case when p_partkey % 3 = 0 then date '2024-01-16' end as en from part
+  union all select cast(p_partkey as varchar), 2, date '2024-01-16', cast(null as date) from part where p_partkey % 3 = 0),
+ eq as (select *, row_number() over (order by eid, ver) as sk from eqv) """
+
+_MAINT = """, fac as (select fid, row_number() over (order by fid) as sk from (select distinct event_type as fid from events) x),
+ m as (select *, case when event_id % 11 = 0 then null else 'T' || cast(user_id % 7 as varchar) end as tid from events),
+ tech as (select tid, row_number() over (order by tid) as sk from (select distinct tid from m where tid is not null) x) """
+
 ORACLE = {
     # ---- data quality
     "dq_tag": _RAW + "select event_id, ok_dev, ok_fac, ok_rng, passed, reason from dq",
@@ -61,28 +69,28 @@ ORACLE = {
   where (b.k is not null or i.op <> 'DELETE')
     and not (case when i.op = 'DELETE' then true when i.op in ('INSERT','UPDATE') then false else b.is_deleted end)""",
     "cdc_delete_unknown": _CDC + "select count(*) as n from inc i anti join base b on b.k = i.k where i.op='DELETE'",
-    "cdc_late_change": """with st0 as (select *, row_number() over (partition by user_id order by ts desc, event_id desc) as rn from events where ts < timestamp '2024-01-20 00:00:00' and user_id % 3 <> 0),
+    "cdc_late_change": """with st0 as (select *, row_number() over (partition by user_id order by ts desc, event_id desc) as rn from events where event_type in ('view', 'click')),
   st as (select user_id as k, event_id as lsn, ts, value from st0 where rn = 1),
-  ch0 as (select *, row_number() over (partition by user_id order by ts desc, event_id desc) as rn from events where event_id % 25 = 0 and ts >= timestamp '2024-01-10 00:00:00' and ts < timestamp '2024-01-25 00:00:00'),
+  ch0 as (select *, row_number() over (partition by user_id order by ts desc, event_id desc) as rn from events where event_type not in ('view', 'click')),
   ch as (select user_id as k, event_id as lsn, ts, value from ch0 where rn = 1)
   select coalesce(st.k, ch.k) as k, case when st.k is null or ch.ts > st.ts or (ch.ts = st.ts and ch.lsn > st.lsn) then ch.value else st.value end as value,
   case when ch.k is null then 'untouched' when st.k is null then 'inserted' when ch.ts > st.ts or (ch.ts = st.ts and ch.lsn > st.lsn) then 'updated' else 'ignored_late' end as outcome
   from st full outer join ch on st.k = ch.k""",
-    # the touched-bucket rewrite must give exactly the full merge
+    # the next snapshot must be exactly the full merge
     "cdc_merge_incremental": _CDC + """select coalesce(b.k, i.k) as k, case when i.op in ('INSERT','UPDATE') then i.value else b.value end as value,
   case when i.op = 'DELETE' then true when i.op in ('INSERT','UPDATE') then false else b.is_deleted end as is_deleted
   from base b full outer join inc i on b.k = i.k where b.k is not null or i.op <> 'DELETE'""",
     # one-at-a-time semantics from an empty table: the last change decides deleted or not,
     # the last upsert gives the value; keys that were only ever deleted do not appear
     "cdc_sequential": """with log as (select user_id as k, event_id as lsn, ts, value,
-  case event_type when 'signup' then 'INSERT' when 'error' then 'DELETE' else 'UPDATE' end as op from events where user_id % 10 <> 9 or event_id % 2 = 0),
+  case event_type when 'signup' then 'INSERT' when 'error' then 'DELETE' else 'UPDATE' end as op from events),
   l as (select *, row_number() over (partition by k order by ts desc, lsn desc) as rn from log),
   u as (select k, value, row_number() over (partition by k order by ts desc, lsn desc) as rn from log where op <> 'DELETE')
   select l.k, u.value, l.op = 'DELETE' as is_deleted from l join u on l.k = u.k and u.rn = 1 where l.rn = 1""",
     # two registers per key, whatever the arrival order: the last change decides deleted
     # or not, the last upsert gives the value; keys only ever deleted stay as empty tombstones
     "cdc_out_of_order": """with log as (select user_id as k, event_id as lsn, ts, value,
-  case event_type when 'signup' then 'INSERT' when 'error' then 'DELETE' else 'UPDATE' end as op from events where user_id % 10 <> 9 or event_id % 2 = 0),
+  case event_type when 'signup' then 'INSERT' when 'error' then 'DELETE' else 'UPDATE' end as op from events),
   l as (select *, row_number() over (partition by k order by ts desc, lsn desc) as rn from log),
   u as (select k, value, row_number() over (partition by k order by ts desc, lsn desc) as rn from log where op <> 'DELETE')
   select l.k, u.value, l.op = 'DELETE' as is_deleted from l left join u on l.k = u.k and u.rn = 1 where l.rn = 1""",
@@ -98,7 +106,7 @@ ORACLE = {
     "sk_dense": "select o_orderpriority, cast(row_number() over (order by o_orderpriority) as bigint) as sk from (select distinct o_orderpriority from orders) x",
     "fact_temporal_join": _PARTV + "select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, ver from lineitem join d on l_partkey = p_partkey and cast(l_shipdate as date) >= st and (cast(l_shipdate as date) < en or en is null)",
     "fact_star_join": """select l_orderkey, l_linenumber, l_partkey, l_suppkey, o_custkey, c_nationkey, cast(year(o_orderdate)*10000+month(o_orderdate)*100+day(o_orderdate) as int) as date_sk,
-  cast(cast(l_extendedprice as decimal(12,2))*(1-cast(l_discount as decimal(4,2))) as decimal(18,4)) as net from lineitem join orders on l_orderkey=o_orderkey join customer on o_custkey=c_custkey where o_orderstatus <> 'P'""",
+  cast(cast(l_extendedprice as decimal(12,2))*(1-cast(l_discount as decimal(4,2))) as decimal(18,4)) as net from lineitem join orders on l_orderkey=o_orderkey join customer on o_custkey=c_custkey""",
     "dim_from_fact": "with t as (select distinct case when user_id % 11 = 0 then null else user_id end as technician_id from events) select technician_id, 'Tech_' || cast(technician_id as varchar) as technician_name, 'LEVEL_1' as certification_level, cast(row_number() over (order by technician_id) as bigint) as technician_sk from t where technician_id is not null",
     "dim_order": "select o_orderkey as order_id, o_orderpriority as priority, cast(o_orderdate as date) as planned_start_date, cast(null as date) as planned_end_date, cast(row_number() over (order by o_orderkey) as bigint) as order_sk from orders",
     "dim_versions": _PARTV + "select p_partkey, ver, st, en, en is null as is_current, cast(row_number() over (order by p_partkey, ver) as bigint) as part_sk from d",
@@ -142,7 +150,7 @@ ORACLE = {
     "stream_dedup": "select event_id, user_id from events",
     "rescued_fields": "select event_id, props from events",
     "stream_cdc_out_of_order": """with log as (select user_id as k, event_id as lsn, ts, value,
-  case event_type when 'signup' then 'INSERT' when 'error' then 'DELETE' else 'UPDATE' end as op from events where user_id % 10 <> 9 or event_id % 2 = 0),
+  case event_type when 'signup' then 'INSERT' when 'error' then 'DELETE' else 'UPDATE' end as op from events),
   l as (select *, row_number() over (partition by k order by ts desc, lsn desc) as rn from log),
   u as (select k, value, row_number() over (partition by k order by ts desc, lsn desc) as rn from log where op <> 'DELETE')
   select l.k, u.value, l.op = 'DELETE' as is_deleted from l left join u on l.k = u.k and u.rn = 1 where l.rn = 1""",
@@ -150,7 +158,76 @@ ORACLE = {
     # first application of the whole log to an empty table: latest change per key,
     # deletes of keys the table never held are ignored
     "stream_cdc_apply": """with log as (select user_id as k, event_id as lsn, ts, value,
-  case event_type when 'signup' then 'INSERT' when 'error' then 'DELETE' else 'UPDATE' end as op from events where user_id % 10 <> 9 or event_id % 2 = 0),
+  case event_type when 'signup' then 'INSERT' when 'error' then 'DELETE' else 'UPDATE' end as op from events),
   l as (select *, row_number() over (partition by k order by ts desc, lsn desc) as rn from log)
   select k, value, false as is_deleted from l where rn = 1 and op <> 'DELETE'""",
+    # ---- rows that show the edge cases: copies, NULL keys, retries, late snapshots
+    "dq_exact_copies": _RAW.replace("from events)", "from (select * from events union all select * from events) e)") + """select event_id,
+  sum(case when passed and rn = 1 then 1 else 0 end)::bigint as n_valid, sum(case when passed and rn > 1 then 1 else 0 end)::bigint as n_duplicate,
+  sum(case when not passed then 1 else 0 end)::bigint as n_quarantined
+  from (select event_id, passed, rn from rk union all select event_id, passed, cast(null as bigint) from dq where not passed) x group by event_id""",
+    "fk_null_keys": """select count(*) as n_rows, count(*) as n_ids, count(*) filter (user_id is null) as n_null from
+  (select case when user_id % 11 = 0 then null else user_id end as user_id from events) e
+  where user_id is null or user_id not in (select c_custkey from customer)""",
+    "chk_reconcile_dups": "select 2 * count(*) as n_src, count(*) as n_dst, count(*) as n_missing, cast(0 as bigint) as n_extra from orders",
+    "cdc_null_keys": """with log as (select case when user_id % 10 = 3 then null else user_id end as k, event_id as lsn, ts, value, event_type from events),
+  l as (select *, row_number() over (partition by k order by ts desc, lsn desc) as rn from log)
+  select k, value, false as is_deleted from l where rn = 1 and event_type <> 'error'""",
+    "scd2_late": _SCD + "select t.k, t.bal, true as is_current, s.h is distinct from t.h as late from t join s on s.k = t.k",
+    # every version is there twice: a copy runs into its twin unless it ends where it starts; the last of a
+    # key has no successor
+    "history_overlaps": _PARTV + """, v as (select p_partkey, case when ver = 2 then 5 else ver end as ver, st, en from d), w as (select * from v union all select * from v),
+  x as (select *, lead(st) over (partition by p_partkey order by st, ver) as nxt, row_number() over (partition by p_partkey order by st desc, ver desc) as back from w)
+  select p_partkey, ver, count(*) as n from x where back > 1 and (en is null or en > nxt) group by p_partkey, ver""",
+    "run_retry": "select 'run-1' as run_id, case when event_type = 'error' then 'view' else event_type end as event_type, count(*) as n from events group by 1, 2",
+    "chk_schema": """select 'loaded_at' as missing, (select string_agg(c, ',' order by c) from (select column_name as c from (describe select * from events)) x
+  where c not in ('event_id', 'ts', 'user_id', 'event_type', 'value', 'loaded_at')) as unexpected, count(*) as n_rows from events""",
+    "view_sql": "select c_custkey, c_nationkey from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey where r_name = 'EUROPE'",
+    "rls_all": "select 'auditor' as principal, count(*) as n from customer union all select 'nobody', cast(0 as bigint)",
+    "source_file_details": "select event_id, true as has_size, true as has_mtime, true as in_path from events",
+    "layout_compact": "select * from lineitem",
+    "partitioned_write": "select o_orderkey, o_orderpriority, o_totalprice from orders",
+    "snapshot_versions": "select s_suppkey, s_acctbal as before, s_acctbal + 1 as after from supplier",
+    "consolidate_tables": "select event_id as id, event_type as reason, cast(null as varchar) as field_name from events where value > 300 union all select o_orderkey, null, 'price' from orders where o_totalprice < 2000",
+    "stream_parquet_rescue": "select event_id, value, cast(null as int) as event_type, event_type as event_type_text, props from events",
+    # ---- gold facts with all their dimension keys
+    "gold_fact_sensor": _STAR + """, fac as (select fid, row_number() over (order by fid) as sk from (select distinct event_type as fid from events) x)
+  select cast(row_number() over (order by 'DEV-' || cast(user_id as varchar), ts) as bigint) as sensor_reading_sk, cast(coalesce(eq.sk, -1) as bigint) as equipment_sk, cast(fac.sk as bigint) as facility_sk,
+  cast(strftime(ts, '%Y%m%d') as int) as timestamp_sk, value as temperature, 'DEV-' || cast(user_id as varchar) as device_id
+  from events join fac on fid = event_type left join eq on eid = cast(user_id as varchar) and cast(ts as date) >= st and (cast(ts as date) < en or en is null)""",
+    "gold_fact_production": _STAR + """, fac as (select fid, row_number() over (order by fid) as sk from (select distinct o_orderpriority as fid from orders) x),
+  od as (select *, row_number() over (order by cast(o_orderkey as varchar)) as osk from orders),
+  li as (select l_orderkey, cast(sum(l_quantity) as int) as inspected, cast(sum(case when l_returnflag = 'R' then l_quantity else 0.0 end) as int) as rejected from lineitem group by l_orderkey)
+  select cast(row_number() over (order by cast(o_orderkey as varchar)) as bigint) as production_sk, cast(osk as bigint) as order_sk, cast(coalesce(eq.sk, -1) as bigint) as equipment_sk, cast(fac.sk as bigint) as facility_sk,
+  cast(strftime(o_orderdate, '%Y%m%d') as int) as timestamp_sk, cast(floor(o_totalprice) as int) as units_produced, cast(floor(o_totalprice) as int) - rejected as units_passed, rejected as units_rejected,
+  case when floor(o_totalprice) > 0 then (cast(floor(o_totalprice) as int) - rejected) / cast(floor(o_totalprice) as double) end as yield_rate
+  from od join li on l_orderkey = o_orderkey join fac on fid = o_orderpriority
+  left join eq on eid = cast(o_custkey + 1000 as varchar) and cast(o_orderdate as date) >= st and (cast(o_orderdate as date) < en or en is null)""",
+    "gold_fact_maintenance": _STAR + _MAINT + """select cast(row_number() over (order by cast(event_id as varchar)) as bigint) as maintenance_sk, cast(coalesce(eq.sk, -1) as bigint) as equipment_sk, cast(coalesce(tech.sk, -1) as bigint) as technician_sk,
+  cast(fac.sk as bigint) as facility_sk, cast(strftime(ts, '%Y%m%d') as int) as timestamp_sk, cast(event_id % 100 as int) as downtime_minutes, value as maintenance_cost_usd, 'CORRECTIVE' as maintenance_type
+  from m join fac on fid = event_type left join tech on tech.tid = m.tid left join eq on eid = cast(user_id as varchar) and cast(ts as date) >= st and (cast(ts as date) < en or en is null)
+  where event_type <> 'error'""",
+    "gold_validate": _STAR + _MAINT + """, u as (select count(*) filter (tid is null) as n_tech, count(*) filter (eid is null) as n_eq from m
+  left join eq on eid = cast(user_id as varchar) and cast(ts as date) >= st and (cast(ts as date) < en or en is null) where event_type <> 'error')
+  select c as "check", t as target, case when n > 0 then 'FAIL' else 'PASS' end as status, n as n_bad from (
+  select 'columns' as c, 'fact_maintenance_events' as t, cast(0 as bigint) as n
+  union all select 'not_null', unnest(['fact_maintenance_events', 'dim_equipment', 'dim_technician', 'dim_facility', 'dim_timestamp']), 0
+  union all select unnest(['fk_facility_sk', 'unknown_facility_sk', 'fk_equipment_sk', 'fk_technician_sk', 'fk_timestamp_sk', 'date_coverage']), 'fact_maintenance_events', 0
+  union all select 'unknown_equipment_sk', 'fact_maintenance_events', n_eq from u
+  union all select 'unknown_technician_sk', 'fact_maintenance_events', n_tech from u) x""",
+    # ---- the entities' rule sets end to end
+    "cleanse_telemetry": """with b as (select event_id, case when event_id % 101 = 0 then null else user_id end as dev, case when event_id % 103 = 0 then null else event_type end as fac, date_trunc('hour', ts) as h, value from events),
+  r as (select *, case when dev is null then 'DQ-001' when fac is null then 'DQ-003' when not coalesce(value between -50 and 150, false) then 'DQ-004' when not coalesce(value / 3 between 0 and 100, false) then 'DQ-005' end as bad from b),
+  k as (select *, row_number() over (partition by dev, h order by event_id desc) as rn from r where bad is null)
+  select violated_rule_id, 'QUARANTINE' as action_taken, count(*) as n from (select bad as violated_rule_id from r where bad is not null union all select 'DQ-006' from k where rn > 1) x group by 1""",
+    "cleanse_orders": """with r as (select *, case when o_orderkey % 103 = 0 then 'DQ-PO-002' when o_orderkey % 101 = 0 then 'DQ-PO-003' end as bad from orders),
+  k as (select *, row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey desc) as rn from r where bad is null)
+  select violated_rule_id, 'QUARANTINE' as action_taken, count(*) as n from (select bad as violated_rule_id from r where bad is not null union all select 'DQ-PO-004' from k where rn > 1) x group by 1""",
+    "cleanse_maintenance": """with k as (select *, row_number() over (partition by user_id order by ts desc, event_id desc) as rn from events where event_id % 101 <> 0)
+  select 'DQ-MR-001' as violated_rule_id, 'QUARANTINE' as action_taken, count(*) as n from events where event_id % 101 = 0
+  union all select 'DQ-MR-002', 'INFO', count(*) from k where rn > 1""",
+    "cleanse_inspections": """with b as (select l_orderkey, l_linenumber, l_partkey, cast(l_quantity as int) as i, cast(l_quantity as int) - cast(round(l_discount * 100) as int) as p, cast(round(l_tax * 100) as int) as j from lineitem),
+  r as (select *, case when l_partkey % 101 = 0 then 'DQ-QI-002' when p < 0 or j < 0 or i < 0 then 'DQ-QI-003' when p + j > i then 'DQ-QI-004' end as bad from b),
+  k as (select *, row_number() over (partition by l_orderkey, l_linenumber order by l_partkey) as rn from r where bad is null)
+  select violated_rule_id, 'QUARANTINE' as action_taken, count(*) as n from (select bad as violated_rule_id from r where bad is not null union all select 'DQ-QI-006' from k where rn > 1) x group by 1""",
 }

@@ -9,7 +9,7 @@ from ..context import RunContext
 from ..functions.expressions import case_map, guarded_ratio, threshold_ladder
 from ..operators import checks, report, rules
 from ..operators.rules import Rule, in_range, required
-from .fixtures import telemetry
+from .fixtures import NULL_TECHNICIAN_EVERY, telemetry
 from .tables import Tables
 
 # Telemetry rule ids, flags and range bounds of the proofs.
@@ -31,9 +31,12 @@ def telemetry_rules() -> list[Rule]:
             in_range("value", VALUE_MIN, VALUE_MAX, r3, f3, d3)]
 
 
-def classified(spark: SparkSession, sf_dir: str, strategy: str = "aggregate") -> DataFrame:
-    raw = telemetry(Tables(spark, sf_dir).events).withColumn("event_date", F.to_date("ts"))
-    return rules.classify(raw, telemetry_rules(), KEYS, ORDER, strategy=strategy)
+def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return telemetry(Tables(spark, sf_dir).events).withColumn("event_date", F.to_date("ts"))
+
+
+def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.classify(_raw(spark, sf_dir), telemetry_rules(), KEYS, ORDER)
 
 
 def dq_tag(spark, sf_dir):
@@ -44,21 +47,14 @@ def dq_tag(spark, sf_dir):
 
 
 def dq_valid_dedup(spark, sf_dir):
-    valid, _, _ = rules.split(classified(spark, sf_dir))
+    valid = rules.valid_rows(_raw(spark, sf_dir), telemetry_rules(), KEYS, ORDER)
     return valid.select("event_id", "device_id", "facility_id", "event_date", "value")
 
 
-def _violations(spark, sf_dir) -> DataFrame:
-    _, bad, dup = rules.split(classified(spark, sf_dir))
-    descs = {r: d for r, _, d in TELEMETRY_RULES} | {DUPLICATE_RULE: "duplicate telemetry event"}
-    v_bad = rules.violations(bad, "events", "device_id", "event_id", descriptions=descs, ctx=RUN)
-    v_dup = rules.violations(dup, "events", "device_id", "event_id", rule_id=DUPLICATE_RULE,
-                             descriptions=descs, ctx=RUN)
-    return bad, dup, v_bad, v_dup
-
-
 def dq_quarantine(spark, sf_dir):
-    _, _, v_bad, _ = _violations(spark, sf_dir)
+    bad = rules.failed_rows(_raw(spark, sf_dir), telemetry_rules())
+    v_bad = rules.violations(bad, "events", "device_id", "event_id",
+                             descriptions={r: d for r, _, d in TELEMETRY_RULES}, ctx=RUN)
     return v_bad.select("violation_id", "source_table", "record_key",
                         F.col("violated_rule_id").alias("reason"), "action_taken")
 
@@ -72,11 +68,20 @@ def dq_all_violations(spark, sf_dir):
 
 
 def dq_metrics(spark, sf_dir):
-    return rules.metrics(classified(spark, sf_dir))
+    return rules.balance(_raw(spark, sf_dir), telemetry_rules(), KEYS)
+
+
+def dq_exact_copies(spark, sf_dir):
+    """Every event delivered twice: of copies equal in all columns exactly one is valid."""
+    raw = _raw(spark, sf_dir)
+    twice = rules.classify(raw.unionByName(raw), telemetry_rules(), KEYS, ORDER)
+    return twice.groupBy("event_id").agg(
+        *[F.count_if(F.col(rules.DISPOSITION) == d).alias(f"n_{d}")
+          for d in (rules.VALID, rules.DUPLICATE, rules.QUARANTINED)])
 
 
 def dq_all_failed_rules(spark, sf_dir):
-    _, bad, _ = rules.split(classified(spark, sf_dir))
+    bad = rules.failed_rows(_raw(spark, sf_dir), telemetry_rules())
     return bad.select("event_id", F.concat_ws(",", rules.FAILED).alias("failed_rules"))
 
 
@@ -86,7 +91,7 @@ def dq_report(spark, sf_dir):
 
 
 def audit_log(spark, sf_dir):
-    m = rules.metrics(classified(spark, sf_dir))
+    m = rules.balance(_raw(spark, sf_dir), telemetry_rules(), KEYS)
     a = report.audit_rows(m, RUN, target_table="events", action="WRITE")
     return a.select("target_table", "action_type", "n_rows", F.col("pipeline_run_id").alias("run_id"))
 
@@ -110,11 +115,20 @@ def derived_rates(spark, sf_dir):
 def fk_orphans(spark, sf_dir):
     t = Tables(spark, sf_dir)
     v = checks.fk_violations(t.orders, t.lineitem, "o_orderkey", "l_orderkey", "orders", "DQ-010",
-                             ctx=RUN)
+                             locator="o_orderkey", ctx=RUN)
     return v.select(F.col("record_key").cast("bigint").alias("o_orderkey"), "violated_rule_id",
                     "field_value", "action_taken")
 
 
+def fk_null_keys(spark, sf_dir):
+    """Orphans with a NULL key: each child row has a violation id of its own."""
+    t = Tables(spark, sf_dir)
+    child = t.events.withColumn("user_id", F.when(F.col("user_id") % NULL_TECHNICIAN_EVERY != 0, F.col("user_id")))
+    v = checks.fk_violations(child, t.customer, "user_id", "c_custkey", "events", "DQ-010", record_key="event_id", ctx=RUN)
+    return v.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("violation_id").alias("n_ids"),
+                 F.count_if(F.col("field_value").isNull()).alias("n_null"))
+
+
 def union_missing_cols(spark, sf_dir):
     t = Tables(spark, sf_dir)
     high = t.events.filter(F.col("value") > 300).select(
