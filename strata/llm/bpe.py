@@ -9,11 +9,13 @@ a merge across some boundary would have to happen between two neighbours first.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import unicodedata
 from functools import lru_cache
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
@@ -22,6 +24,8 @@ from pyspark.sql import functions as F
 
 #: Fixed values of the public word vocabulary: its word pattern and its white space.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+"
+SPECIAL = " "       # marks a special token among the pieces (no piece holds white space)
+LAST = 0xE000       # private-use letters for the last byte of a word
 _SEPARATORS = regex.compile("[\x1c-\x1f]")      # str.split() cuts here, the vocabulary doesn't
 
 
@@ -92,13 +96,12 @@ class ByteBPE:
         for text, i in [*self.vocab.items(), *specials.items()]:
             self.tokens[i] = text
         rank, left, right = (np.full(size, -1, dtype=np.int64) for _ in range(3))
-        self.merges = {}
+        self.made = np.empty(len(model["merges"]), dtype=np.int64)      # rank -> token
         for r, m in enumerate(model["merges"]):
-            a, b = (self.vocab[t] for t in (m.split(" ") if isinstance(m, str) else m))
-            i = self.vocab[self.tokens[a] + self.tokens[b]]
-            self.merges[a, b] = (r, i)
-            rank[i], left[i], right[i] = r, a, b
-        if (rank >= 0).sum() != len(self.merges):
+            first, second = m.split(" ") if isinstance(m, str) else m
+            i = self.vocab[first + second]
+            rank[i], left[i], right[i], self.made[r] = r, self.vocab[first], self.vocab[second], i
+        if (rank >= 0).sum() != len(self.made):
             raise ValueError("two merges make the same token; pairs can't be undone")
         self.check = PairCheck(rank, left, right)
         made = np.flatnonzero(rank >= 0)
@@ -106,52 +109,97 @@ class ByteBPE:
         own[made] = self.check.apart(left[made], right[made], joined=True)
         for i in made[np.argsort(rank[made])]:
             own[i] &= own[left[i]] and own[right[i]]
-        self.proposable = {t: i for t, i in self.vocab.items() if own[i]}
-        self.longest = max(map(len, self.proposable))
         self.letters = byte_letters()
-
-    def _spell(self, word: bytes) -> list[str]:
-        s = [self.letters[b] for b in word]
-        s[-1] += self.suffix
-        return s
-
-    def propose(self, word: bytes) -> list[int]:
-        """Greedy longest match, left to right."""
-        s, out, i = self._spell(word), [], 0
-        text, n = "".join(s), len(s)
-        while i < n:
-            if (whole := self.proposable.get(text[i:])) is not None:
-                out.append(whole)
-                break
-            for j in range(min(n - 1, i + self.longest), i, -1):
-                if (t := self.proposable.get(text[i:j])) is not None:
-                    out.append(t)
-                    i = j
+        self.letter_codes = np.array([ord(x) for x in self.letters], dtype="<u4")
+        self.letter_ids = np.array([self.vocab[x] for x in self.letters], dtype=np.int64)
+        self.last_ids = np.array([self.vocab[x + self.suffix] for x in self.letters], dtype=np.int64)
+        # a word's last letter is spelt by a letter of its own, so one pass of the automaton over
+        # many words on end never proposes a token across two words
+        last = {x: chr(LAST + b) for b, x in enumerate(self.letters)}
+        spelt = {}
+        for text, i in self.vocab.items():
+            if own[i]:
+                if self.suffix and text.endswith(self.suffix):
+                    text = text[:-len(self.suffix) - 1] + last[text[-len(self.suffix) - 1]]
+                    spelt[text] = i
+                else:
+                    spelt[text] = i
+                    if not self.suffix:
+                        spelt[text[:-1] + last[text[-1]]] = i
+        self.longest_match = ahocorasick.Automaton()
+        for text, i in spelt.items():
+            self.longest_match.add_word(text, i)
+        self.longest_match.make_automaton()
+
+    def propose(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Greedy longest match, left to right: all tokens, and the word each belongs to."""
+        joined = np.frombuffer(b"".join(words), dtype=np.uint8)
+        ends = np.cumsum([len(w) for w in words]) - 1
+        codes = self.letter_codes[joined]
+        codes[ends] = joined[ends].astype("<u4") + np.uint32(LAST)
+        found = np.fromiter(self.longest_match.iter_long(codes.tobytes().decode("utf-32-le")),
+                            dtype=[("end", np.int64), ("token", np.int64)])
+        return np.ascontiguousarray(found["token"]), np.searchsorted(ends, found["end"])
+
+    def merge_exactly(self, words: list[bytes]) -> list[list[int]]:
+        """In every word the pair of lowest rank, leftmost among equals, again and again until no
+        pair merges; all words take a step together."""
+        out: list[list[int]] = [[] for _ in words]
+        if not words:
+            return out
+        joined = np.frombuffer(b"".join(words), dtype=np.uint8)
+        sizes = np.array([len(w) for w in words])
+        ids, ends = self.letter_ids[joined], np.cumsum(sizes) - 1
+        ids[ends] = self.last_ids[joined[ends]]
+        owner = np.repeat(np.arange(len(words)), sizes)
+        none = np.int64(1) << 40
+        rank = np.full(len(ids), none)
+        same = np.flatnonzero(owner[1:] == owner[:-1])
+        rank[same] = self.check.merge_rank(ids[same], ids[same + 1])
+        while len(ids):
+            start = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+            best = np.minimum.reduceat((np.minimum(rank, none) << 22) | (np.arange(len(ids)) - np.repeat(
+                start, np.diff([*start, len(ids)]))), start)
+            merges = best >> 22 < none
+            if not merges.all():                        # words that are done leave
+                size = np.diff([*start, len(ids)])
+                gone = np.repeat(~merges, size)
+                for w, a, n in zip(owner[start[~merges]], start[~merges], size[~merges]):
+                    out[w] = ids[a:a + n].tolist()
+                ids, owner, rank = ids[~gone], owner[~gone], rank[~gone]
+                if not len(ids):
                     break
+                start = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+                best = best[merges]
+            at = start + (best & ((1 << 22) - 1))
+            ids[at] = self.made[best >> 22]
+            stay = np.ones(len(ids), bool)
+            stay[at + 1] = False
+            moved = np.cumsum(stay) - 1
+            ids, owner, rank, at = ids[stay], owner[stay], rank[stay], moved[at]
+            for k in (at - 1, at):                      # only the new token's neighbours change
+                pair = k[(k >= 0) & (k + 1 < len(ids))]
+                one = owner[pair] == owner[pair + 1]
+                rank[pair[~one]] = none
+                pair = pair[one]
+                rank[pair] = self.check.merge_rank(ids[pair], ids[pair + 1])
+            rank[-1] = none
         return out
 
-    def merge_exactly(self, word: bytes) -> list[int]:
-        """Lowest rank first, leftmost among equals."""
-        ids = [self.vocab[s] for s in self._spell(word)]
-        while len(ids) > 1:
-            rank, k, made = min(((*self.merges[p][:1], k, self.merges[p][1]) for k, p in
-                                 enumerate(zip(ids, ids[1:])) if p in self.merges), default=(-1, 0, 0))
-            if rank < 0:
-                break
-            ids[k:k + 2] = [made]
-        return ids
-
     def encode(self, words: list[bytes]) -> list[list[int]]:
-        out = [self.propose(w) for w in words]
-        sizes = np.array([len(x) for x in out], dtype=np.int64)
-        flat = np.fromiter((t for x in out for t in x), dtype=np.int64, count=int(sizes.sum()))
-        owner = np.repeat(np.arange(len(out)), sizes)
-        inner = np.flatnonzero(owner[1:] == owner[:-1]) if len(flat) else np.empty(0, np.int64)
+        if not words:
+            return []
+        flat, owner = self.propose(words)
+        inner = np.flatnonzero(owner[1:] == owner[:-1])
         size = len(self.tokens)
         pairs, back = np.unique(flat[inner] * size + flat[inner + 1], return_inverse=True)
         fine = self.check.apart(pairs // size, pairs % size)
-        for w in np.unique(owner[inner][~fine[back]]):
-            out[w] = self.merge_exactly(words[w])
+        ends = np.cumsum(np.bincount(owner, minlength=len(words))).tolist()
+        tokens = flat.tolist()
+        out = [tokens[a:b] for a, b in zip([0, *ends], ends)]
+        failed = np.unique(owner[inner][~fine[back]]).tolist()
+        for w, ids in zip(failed, self.merge_exactly([words[w] for w in failed])):
+            out[w] = ids
         return out
 
     def decode(self, ids) -> str:
@@ -160,50 +208,76 @@ class ByteBPE:
 
 
 class TextCodec:
-    """Whole texts by a word vocabulary; what one white-space run apart piece of text becomes is
-    remembered (at most `limit` pieces, then the memory is emptied)."""
+    """Whole texts by a word vocabulary. What a piece of text between white space becomes is
+    remembered for at most `limit` pieces, then forgotten."""
 
-    def __init__(self, path: str, limit: int = 200_000):
+    def __init__(self, path: str, limit: int = 400_000):
         self.bpe = ByteBPE(path)
         self.pattern = regex.compile(WORD_PATTERN)
         self.special = regex.compile("(" + "|".join(map(regex.escape, self.bpe.specials)) + ")")
-        self.known: dict[str, tuple[int, str, str]] = {}
+        self.numbers = [str(i) for i in range(len(self.bpe.tokens))]
+        self.ids: dict[str, str] = {}
+        self.decoded: dict[str, str] = {}
         self.limit = limit
 
     @staticmethod
     def _pieces(text: str) -> list[str]:
+        """No piece is empty, and each gives at least one token."""
         text = unicodedata.normalize("NFC", text)
         if "Σ" in text:                 # lower case letter by letter, without final forms
             text = text.replace("Σ", "σ")
         text = text.lower()
-        return regex.split(r"\p{White_Space}+", text) if _SEPARATORS.search(text) else text.split()
+        if _SEPARATORS.search(text):
+            return [p for p in regex.split(r"\p{White_Space}+", text) if p]
+        return text.split()
 
     def _learn(self, pieces: set[str]):
-        if len(self.known) + len(pieces) > self.limit:
-            self.known.clear()
-        split = {p: self.pattern.findall(p) for p in pieces if p not in self.known}
+        pieces = [p for p in pieces if p not in self.ids]
+        if len(self.ids) + len(pieces) > self.limit:
+            self._forget()
+            return False
+        # letters only are one word, whatever they are
+        split = {p: [p] if p.isalpha() else self.pattern.findall(p) for p in pieces}
         words = list({w for ws in split.values() for w in ws})
-        ids = dict(zip(words, self.bpe.encode([w.encode() for w in words])))
+        made = dict(zip(words, self.bpe.encode([w.encode() for w in words])))
+        number, token = self.numbers, self.bpe.tokens
         for p, ws in split.items():
-            t = [i for w in ws for i in ids[w]]
-            self.known[p] = (len(t), " ".join(map(str, t)), self.bpe.decode(t))
+            t = made[ws[0]] if len(ws) == 1 else [i for w in ws for i in made[w]]
+            self.ids[p] = " ".join([number[i] for i in t])
+            self.decoded[p] = " ".join([token[i] for i in t])
+        return True
+
+    def _forget(self):
+        self.ids.clear()
+        self.decoded.clear()
+        for x, i in self.bpe.specials.items():
+            self.ids[SPECIAL + x], self.decoded[SPECIAL + x] = str(i), x
 
     def encode_decode(self, texts: list[str]) -> list[tuple[int, str, str]]:
         """(number of ids, ids joined by one space, decoded text) of each text."""
-        parts = [[(part, True) if part in self.bpe.specials else (self._pieces(part), False)
-                  for part in self.special.split(t)] if "<|" in t else [(self._pieces(t), False)] for t in texts]
-        self._learn({p for ps in parts for x, is_special in ps if not is_special for p in x})
+        collecting = gc.isenabled()
+        gc.disable()                    # many small lists, no cycles
+        try:
+            return self._encode_decode(texts)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _encode_decode(self, texts):
+        parts = [[p for part in self.special.split(t) for p in
+                  ([SPECIAL + part] if part in self.bpe.specials else self._pieces(part))]
+                 if "<|" in t else self._pieces(t) for t in texts]
+        if not self.ids:
+            self._forget()
+        pieces = set().union(*parts)
+        if not self._learn(pieces):
+            limit, self.limit = self.limit, max(self.limit, 2 * len(pieces) + 10)      # this batch must fit
+            self._learn(pieces)
+            self.limit = limit
         out = []
         for ps in parts:
-            found = []
-            for x, is_special in ps:
-                if is_special:
-                    i = self.bpe.specials[x]
-                    found.append((1, str(i), x))
-                else:
-                    found += [k for k in map(self.known.__getitem__, x) if k[0]]
-            n, ids, decoded = zip(*found) if found else ((), (), ())
-            out.append((sum(n), " ".join(ids), " ".join(decoded)))
+            ids = " ".join(map(self.ids.__getitem__, ps))
+            out.append((ids.count(" ") + 1 if ps else 0, ids, " ".join(map(self.decoded.__getitem__, ps))))
         return out
 
 

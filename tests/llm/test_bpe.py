@@ -47,8 +47,11 @@ def test_speculation_equals_exact_merging():
         words = ["".join(r.choice("aehinorst") for _ in range(r.randint(1, 14))).encode() for _ in range(3000)]
         words += ["".join(r.choices(tokens, k=2)).replace("</w>", "").replace("Ġ", "").encode() for _ in range(2000)]
         words = [w for w in words if w]
-        assert bpe.encode(words) == [bpe.merge_exactly(w) for w in words]
-        assert any(bpe.propose(w) != bpe.merge_exactly(w) for w in words)      # some speculations do fail
+        exact = bpe.merge_exactly(words)
+        assert bpe.encode(words) == exact
+        ids, owner = bpe.propose(words)
+        assert [bpe.tokens[i] for i in ids] != [bpe.tokens[i] for x in exact for i in x]     # some speculations fail
+        assert owner[-1] == len(words) - 1
 
 
 def test_small_memory_gives_the_same(library):
