@@ -109,6 +109,13 @@ _ANCHORS = pa.schema([("d", pa.int64()), ("t", pa.int64()), ("h", pa.int64()), (
                       ("at", pa.int64())])
 
 
+def blocks(symbols: np.ndarray, length: int):
+    """(start, symbols) of blocks that hold every window of `length` symbols exactly once. An anchor
+    whose run of windows crosses into the next block gives two rows, which is as good as one."""
+    for a in range(0, len(symbols) - length + 1, CHUNK):
+        yield a, symbols[a:a + CHUNK + length - 1]
+
+
 def _anchor_rows(spec: Repeats):
     def run(batches):
         for batch in batches:
@@ -116,14 +123,19 @@ def _anchor_rows(spec: Repeats):
             b = batch.column("b")
             for lo, hi in chunks(pc.binary_length(b).to_pylist(), CHUNK):
                 coded = [(i, spec.symbols(x)) for i, x in enumerate(b.slice(lo, hi - lo).to_pylist(), lo)]
-                coded = [(i, s) for i, s in coded if len(s) >= spec.length]
+                coded = [(i, a, s) for i, whole in coded for a, s in blocks(whole, spec.length)]
                 if not coded:
                     continue
-                doc, p, first, last, h, u = anchors_of([s for _, s in coded], spec)
-                row = pa.array(np.array([i for i, _ in coded])[doc])
-                yield pa.RecordBatch.from_arrays(
-                    [d.take(row), t.take(row), pa.array(signed(h)), pa.array(signed(u)),
-                     pa.array(packed(p, first, last))], schema=_ANCHORS)
+                # one document longer than a chunk: block by block, so memory stays bounded
+                groups = [[c] for c in coded] if len(coded) > 1 and hi - lo == 1 else [coded]
+                for group in groups:
+                    doc, p, first, last, h, u = anchors_of([s for _, _, s in group], spec)
+                    base = np.array([a for _, a, _ in group])[doc]
+                    p, first, last = p + base, first + base, last + base
+                    row = pa.array(np.array([i for i, _, _ in group])[doc])
+                    yield pa.RecordBatch.from_arrays(
+                        [d.take(row), t.take(row), pa.array(signed(h)), pa.array(signed(u)),
+                         pa.array(packed(p, first, last))], schema=_ANCHORS)
     return run
 
 

@@ -100,3 +100,28 @@ def test_edges(spark):
     got = remove_repeated_bytes(df, 50, keep=["doc_id", "text"]).select("doc_id", "kept_text").collect()
     assert sorted((str(r.doc_id), r.kept_text) for r in got) == [("5", ""), ("5", ""), ("5", "x"), ("None", "")]
     assert remove_repeated_words(df, 50).where("doc_id = 5 and kept_text = ''").count() == 2
+
+
+def test_long_documents_in_blocks(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    from strata.llm import repeats, suffix_dedup
+    r = random.Random(9)
+    text = "".join(r.choice("abcde fg") for _ in range(5000)).encode()
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([2]), pa.array([text])], names=["d", "t", "b"])
+    spec = suffix_dedup.spec(60)
+
+    def windows():
+        out = {}
+        for rows in repeats._anchor_rows(spec)([batch]):
+            p, first, last = repeats.unpacked(rows.column("at").to_numpy())
+            for h, a, f, l in zip(rows.column("h").to_pylist(), p, first, last):
+                out.update({s: (h, a) for s in range(f, l + 1)})
+        return out
+
+    whole = windows()
+    assert sorted(whole) == list(range(5000 - 59))
+    monkeypatch.setattr(repeats, "CHUNK", 700)
+    assert windows() == whole
+    assert np.array_equal(np.concatenate([b[:700] for _, b in repeats.blocks(np.arange(5000), 60)])[:4941], np.arange(4941))
