@@ -62,7 +62,8 @@ def remove_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The place of every piece of every document in sequences of 2048 tokens."""
-    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"), capacity=2048, end_id=0)
+    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"), capacity=2048, end_id=0,
+                rank_path=public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
 STAGES = [

@@ -11,6 +11,7 @@ from .bpe import encode_digest
 from .common import documents, held_out
 from .fingerprints import compare_with_edits
 from .near_dedup import near_duplicates
+from .oracle import ORACLE
 from .packing import pack
 from .pii import find
 from .substring_dedup import repeated_words_digest
@@ -20,7 +21,7 @@ from .suffix_dedup import repeated_bytes_digest
 def op1_language_id(spark, sf_dir):
     docs = documents(spark, sf_dir)
     found = language_id.predict(docs, language_id.train(docs))
-    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+    return found.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
 def op2_near_dedup(spark, sf_dir):
@@ -49,7 +50,8 @@ def op7_pii(spark, sf_dir):
 
 
 def op8_packing(spark, sf_dir):
-    return pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), capacity=2048, end_id=0)
+    return pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), capacity=2048, end_id=0,
+                rank_path=public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
 def op9_quality(spark, sf_dir):
@@ -69,4 +71,4 @@ def queries():
 
 
 def oracle_sql():
-    return {}
+    return dict(ORACLE)

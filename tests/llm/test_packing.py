@@ -7,9 +7,20 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from strata.llm.packing import fullest, pack, plan
+from strata.llm.packing import TokenBytes, fullest, pack, plan
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+def test_rank_file_gives_the_library_ids():
+    r = random.Random(7)
+    both, lib = TokenBytes(PATH, RANKS), Tokenizer.from_file(PATH)
+    alphabet = "abcdefghij ABC'sñéÜß0123456789  \n\t\r\x0b\x1c\x85\xa0.,!?|$<>²½ªºµĀɏ"
+    texts = ["".join(r.choice(alphabet) for _ in range(r.randint(0, 80))) for _ in range(4000)]
+    texts += ["<|endoftext|> a", "中文 text", "a\u2003b", "e\u0301", "x" * 9000, " " * 9000 + "y", "\n" * 50 + "x", "it's we'll I'VE"]
+    assert sum(map(both.plain, texts)) > 3500
+    assert both.encode(texts) == [np.array(e.ids, dtype="<u4").tobytes() for e in lib.encode_batch(texts, add_special_tokens=False)]
 
 
 def test_fullest_against_all_subsets():
@@ -44,7 +55,7 @@ def test_pack(spark):
     xs = ["".join(r.choice(["the ", " x", "\n\n", "  a", "é", "<|endoftext|>", "don't ", "42 ", " "]) for _ in range(r.choice([0, 5, 50, 400])))
           for _ in range(150)] + [None, "", "word " * 5000]
     rows = [(i * 2, x, 1) for i, x in enumerate(xs)] + [(4, xs[2], 1), (None, "null id", 1)]
-    got = pack(spark.createDataFrame(rows, "doc_id long, text string, part int").repartition(4), PATH, capacity=128).collect()
+    got = pack(spark.createDataFrame(rows, "doc_id long, text string, part int").repartition(4), PATH, capacity=128, rank_path=RANKS).collect()
     lib = Tokenizer.from_file(PATH)
     want = []
     for d, x, _ in rows:
