@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .common import MASK64, U64, WordNames, chunks, mixed, signed, stored
 from .fingerprints import shingle_names
-from .links import link
+from .links import DIRECT, link
 
 BANDS, ROWS = 48, 6
 SIZE = BANDS * ROWS
@@ -93,7 +93,7 @@ def _sketch_rows(words: int):
 
 
 def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id",
-                    text_col: str = "text") -> DataFrame:
+                    text_col: str = "text", direct: int = DIRECT) -> DataFrame:
     """`id_col`, n_shingles, component_id (smallest id reachable over links), kept, of every row.
 
     Two documents are linked if their sets of `words`-word shingles reach `percent` percent of
@@ -113,8 +113,7 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, id_col: st
     heads = (real.join(member.select(F.col("b").alias("d")).distinct(), "d", "left_anti")
              .select(F.col("d").alias("v"), F.explode("bands").alias("band")).distinct())
     texts = src.where("d is not null").select(F.col("d").alias("v"), "text")
-    _, comp = link(heads, texts, shingle_set(words), percent)
-    comp = stored(comp, "near-components")
+    _, comp = link(heads, texts, shingle_set(words), percent, direct=direct)
     # an id joins the component of its class's representative
     joined = (member.join(comp.select(F.col("v").alias("a"), "component"), "a", "left")
               .select(F.col("b").alias("v"), F.coalesce("component", "a").alias("component")))

@@ -56,6 +56,32 @@ def test_matches_brute_force(spark, seed, k):
     assert got == brute(docs, k)
 
 
+def copies(seed, base_there):
+    """A large group of copies with edits of their own, some too many to link with the original."""
+    r = random.Random(seed)
+    base = [f"b{i}" for i in range(140)]
+    docs = [(0, " ".join(base))] if base_there else []
+    families = [[(r.randrange(140), f"f{f}{i}") for i in range(3)] for f in range(3)]
+    for i in range(1, 160):
+        w = list(base)
+        for at, x in r.choice([[], [], families[i % 3]]):
+            w[at] = x
+        for _ in range(r.choice([1, 2, 2, 3, 4, 5])):
+            w[r.randrange(140)] = f"e{i}{r.random()}"
+        docs.append((i * 5, " ".join(w)))
+    return docs
+
+
+@pytest.mark.parametrize("seed,base_there,direct", [(1, True, 2), (2, False, 2), (3, False, 2), (4, False, 10_000)])
+def test_large_group_of_edited_copies(spark, seed, base_there, direct):
+    docs = copies(seed, base_there)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_duplicates(df, words=4, direct=direct).collect()}
+    want = brute(docs, 4)
+    assert got == want
+    assert len({c for _, c, _ in want.values()}) > 5
+
+
 def test_edges(spark):
     schema = "doc_id long, text string"
     assert near_duplicates(spark.createDataFrame([], schema)).collect() == []
