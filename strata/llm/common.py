@@ -35,6 +35,20 @@ def held_out(doc_id) -> F.Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2
 
 
+SPREAD = 1 << 40
+
+
+def spread_key(id_col, seed: int = 0) -> F.Column:
+    """A fixed pseudo-random number below SPREAD for an id."""
+    return F.pmod(F.xxhash64(id_col, F.lit(seed)), F.lit(SPREAD))
+
+
+def spread_below(n: int, count) -> F.Column:
+    """Only keys below this can be among the n smallest of `count` (eight times over): filtering by
+    it first keeps a choice of n rows small however many rows there are."""
+    return F.lit(float(SPREAD)) * F.least(F.lit(1.0), F.lit(8.0 * n) / F.greatest(F.lit(1), F.lit(count) if isinstance(count, int) else count))
+
+
 class WordNames(dict):
     """word (bytes) -> 64-bit name, remembered; the table is emptied when it grows past
     `limit` words, so its memory is bounded whatever the vocabulary."""

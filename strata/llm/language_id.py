@@ -17,9 +17,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import chunks, held_out
+from .common import chunks, held_out, spread_below, spread_key
 
-HIDDEN, SEGMENT, TRAIN_DOCS, STEPS = 12, 128, 300, 700
+HIDDEN, SEGMENT, TRAIN_DOCS, STEPS = 16, 128, 400, 900
 _LETTER = regex.compile(r"\p{L}")
 
 
@@ -192,9 +192,14 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     `docs_per_language` of each, chosen by a hash of the id. None if there are none."""
     known = docs.where(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(F.col(id_col))
                        & (F.length(text_col) > 0))
-    by = Window.partitionBy(lang_col).orderBy(F.xxhash64(id_col), id_col)
-    ids = (known.select(id_col, lang_col).withColumn("nth", F.row_number().over(by))
-           .where(F.col("nth") <= docs_per_language).select(F.col(id_col).alias("d")).distinct())
+    share = {r.y: r.n for r in known.groupBy(F.col(lang_col).cast("string").alias("y")).agg(F.count("*").alias("n")).collect()}
+    if not share:
+        return None                     # a row per language
+    count = F.create_map(*[F.lit(x) for kv in share.items() for x in kv])[F.col("y")]
+    key = known.select(F.col(id_col).alias("d"), F.col(lang_col).cast("string").alias("y")).withColumn("key", spread_key(F.col("d")))
+    by = Window.partitionBy("y").orderBy("key", "d")
+    ids = (key.where(F.col("key") < spread_below(docs_per_language, count)).withColumn("nth", F.row_number().over(by))
+           .where(F.col("nth") <= docs_per_language).select("d").distinct())
     found = (known.join(F.broadcast(ids), F.col("d") == F.col(id_col), "left_semi")     # bounded above
              .select(F.col(id_col).alias("d"), F.col(lang_col).cast("string").alias("y"),
                      F.col(text_col).cast("binary").alias("b")).toArrow())
@@ -205,7 +210,6 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     network = Network(languages)
     network.fit([b for _, _, b in rows], np.array([languages.index(y) for _, y, _ in rows]))
     # training drew languages evenly; the bias takes them back to their shares of the corpus
-    share = {r[0]: r[1] for r in known.groupBy(F.col(lang_col).cast("string")).count().collect()}   # a row per language
     n = np.array([share.get(x, 1) for x in languages], dtype=np.float32)
     network.p["bias"] += np.log(n / n.mean())[:, None]
     return network

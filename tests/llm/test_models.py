@@ -7,7 +7,7 @@ import pytest
 from strata.llm import language_id, quality
 from strata.llm.common import documents
 
-SF = "/root/testdata/sf0.01"
+SF, LARGER = "/root/testdata/sf0.01", "/root/testdata/sf0.1"
 
 
 def is_held_out(d):
@@ -58,14 +58,15 @@ def test_language_edges(spark, network):
 
 
 def test_quality_accuracy(spark):
-    docs, labels = documents(spark, SF), spark.read.parquet(f"{SF}/labels.parquet")
+    """On about a thousand held-out labels (the smaller tables hold a dozen bad ones)."""
+    docs, labels = documents(spark, LARGER), spark.read.parquet(f"{LARGER}/labels.parquet")
     model = quality.train(docs, labels)
     got = {r.doc_id: r for r in quality.score(docs, model).collect()}
     test = [(got[r.doc_id], r.quality) for r in labels.collect() if is_held_out(r.doc_id)]
     assert all(g.held_out == is_held_out(d) for d, g in got.items())
-    assert np.mean([g.predicted == y for g, y in test]) > 0.9
+    assert np.mean([g.predicted == y for g, y in test]) > 0.97
     good, bad = ([g.score for g, y in test if y == k] for k in (1, 0))
-    assert np.mean([a > b for a in good for b in bad]) > 0.95
+    assert np.mean([a > b for a in good for b in bad]) > 0.98
 
 
 def test_labels_of_held_out_rows_teach_nothing(spark):
