@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import spread_below, spread_key, stored
 
 TABLES, WIDTH, SAMPLE = 6, 1.5, 2000
 BLOCK, QUERY_BLOCK, BEAM = 1024, 512, 4096
@@ -140,7 +140,8 @@ def nearest(df: DataFrame, queries: DataFrame, k: int = 20, success: float = 0.9
     if not stats.n:
         return df.sparkSession.createDataFrame([], result)
     n, dim, longest = stats.n, stats.dim, stats.longest
-    sample = data.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).toPandas()
+    sample = (data.where(spread_key(F.col("id")) < spread_below(SAMPLE, n)).orderBy(spread_key(F.col("id")), "id")
+              .limit(SAMPLE).toPandas())
     unit = np.stack(sample["x"].to_numpy())
     sims = (unit[:200] / np.linalg.norm(unit[:200], axis=1, keepdims=True)) @ unit.T / longest
     sims = sims[sims < 1 - 1e-9] if (sims < 1 - 1e-9).any() else sims.ravel()
