@@ -7,8 +7,10 @@ the usual extra coordinate sqrt(1 - |x|^2 / max^2) for indexed vectors and 0 for
 A query visits its own bucket and perturbed ones in order of estimated success: a neighbour at
 cosine c has projections normal around c times the query's, so a bucket's success is a product
 of normal cell probabilities. It stops when a table's visited buckets hold `success` of that
-probability; c is the similarity expected of the k-th neighbour among n vectors, estimated from
-a sample of at most SAMPLE rows (the only thing the index fits on a sample).
+probability; c is the similarity expected of the query's own k-th neighbour among n vectors,
+estimated per query from a sample of at most SAMPLE rows (the only thing fitted on a sample).
+The estimate is checked: the k-th similarity found is never above the true one, so a query that
+found less than its c (or fewer than k) visits the buckets that this lower cosine adds.
 
 Buckets are cut into blocks of vectors and blocks of queries, so a bucket with a third of all
 rows is many small pieces of work. A block is searched by one exact matrix product in double
@@ -17,7 +19,7 @@ precision; each task keeps the k best of each query, and tables merge in one sma
 
 from __future__ import annotations
 
-from math import erf, log, sqrt
+from math import ceil, erf, log, sqrt
 from statistics import NormalDist
 
 import numpy as np
@@ -49,9 +51,9 @@ def matrix(column) -> np.ndarray:
 class Hashes:
     """The tables' projections; everything follows from (dim, bits, seed)."""
 
-    def __init__(self, dim: int, projections: int, longest: float, cosine: float, success: float, seed: int = 17):
+    def __init__(self, dim: int, projections: int, longest: float, success: float, seed: int = 17):
         r = np.random.default_rng(seed)
-        self.m, self.longest, self.cosine = projections, longest, min(max(cosine, 0.02), 0.98)
+        self.m, self.longest = projections, longest
         self.a = r.standard_normal((TABLES, projections, dim + 1))
         self.b = r.random((TABLES, projections)) * WIDTH
         self.enough = 1 - (1 - success) ** (1 / TABLES)
@@ -76,12 +78,14 @@ class Hashes:
             out = out * 64 + (c + 32).clip(0, 63)
         return out
 
-    def probes(self, projected: np.ndarray, table: int) -> np.ndarray:
-        """Buckets one query ([projection] values) visits in a table, most promising first."""
-        spread = sqrt(1 - self.cosine ** 2)
+    def probes(self, projected: np.ndarray, table: int, cosine: float) -> np.ndarray:
+        """Buckets one query ([projection] values) visits in a table for neighbours at `cosine` or
+        more, most promising first."""
+        cosine = within(cosine)
+        spread = sqrt(1 - cosine ** 2)
         total, keys = np.ones(1), np.zeros(1, dtype=np.int64)
         for j in range(self.m):
-            p, off = projected[j] * self.cosine, self.b[table, j]
+            p, off = projected[j] * cosine, self.b[table, j]
             low, high = floor_cell(p - 3 * spread + off), floor_cell(p + 3 * spread + off)
             cell = np.arange(low, high + 1)
             edges = (np.arange(low, high + 2) * WIDTH - off - p) / (spread * sqrt(2))
@@ -100,6 +104,25 @@ def floor_cell(x: float) -> int:
     return int(np.floor(x / WIDTH))
 
 
+def within(cosine: float) -> float:
+    return min(max(cosine, 0.02), 0.98)
+
+
+def expected(sims: np.ndarray, k: int, share: float) -> tuple[float, float]:
+    """(estimate, low estimate) of a query's k-th similarity from those to a sample that holds
+    `share` of the rows: by the normal tail, and by the sample's own order, low enough that the
+    sample rarely holds so many of the k nearest."""
+    if not len(sims):
+        return 0.0, 0.0
+    held = k * share
+    nth = min(len(sims), max(1, ceil(held + 2 * sqrt(held * (1 - share)) + 1 - share)))
+    low = float(np.partition(sims, -nth)[-nth])
+    if share >= 1:
+        return low, low
+    tail = NormalDist().inv_cdf(max(0.5, 1 - held / len(sims)))
+    return max(low, float(sims.mean() + tail * sims.std())), low
+
+
 def best_of(q: np.ndarray, v: np.ndarray, s: np.ndarray, k: int):
     """The k best distinct vectors of each query: highest score, then smallest id."""
     order = np.lexsort((v, -s, q))
@@ -142,12 +165,11 @@ def nearest(df: DataFrame, queries: DataFrame, k: int = 20, success: float = 0.9
     n, dim, longest = stats.n, stats.dim, stats.longest
     sample = (data.where(spread_key(F.col("id")) < spread_below(SAMPLE, n)).orderBy(spread_key(F.col("id")), "id")
               .limit(SAMPLE).toPandas())
-    unit = np.stack(sample["x"].to_numpy())
-    sims = (unit[:200] / np.linalg.norm(unit[:200], axis=1, keepdims=True)) @ unit.T / longest
-    sims = sims[sims < 1 - 1e-9] if (sims < 1 - 1e-9).any() else sims.ravel()
-    tail = NormalDist().inv_cdf(max(0.5, 1 - k / max(n, 2)))
+    share = len(sample) / n
+    sample = sample.drop_duplicates("id")
+    sample_ids, sample_x = sample["id"].to_numpy(), np.stack(sample["x"].to_numpy()) / longest
     projections = max(1, min(10, round(log(max(n / BLOCK * 4, 2)) / log(3.5))))
-    hashes = Hashes(dim, projections, longest, float(sims.mean() + tail * sims.std()), success)
+    hashes = Hashes(dim, projections, longest, success)
 
     def index_rows(batches):
         for batch in batches:
@@ -157,17 +179,30 @@ def nearest(df: DataFrame, queries: DataFrame, k: int = 20, success: float = 0.9
                     yield pa.RecordBatch.from_arrays([pa.array([t] * batch.num_rows, pa.int32()), pa.array(b[t]),
                                                       *batch.columns], names=["tab", "bucket", "id", "x"])
 
+    def estimated(batches):
+        for batch in batches:
+            if batch.num_rows:
+                ids, x = batch.column("id").to_numpy(), matrix(batch.column("x"))
+                sims = (x / np.linalg.norm(x, axis=1, keepdims=True)) @ sample_x.T
+                c = [expected(row[sample_ids != i], k, share) for i, row in zip(ids, sims)]
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([within(e) for e, _ in c]), pa.array([low for _, low in c])],
+                                                 names=["id", "x", "cosine", "low"])
+
     def probe_rows(batches):
+        """The buckets that `cosine` calls for, without those that a higher one, `done`, did."""
         for batch in batches:
             if not batch.num_rows:
                 continue
             p = hashes.project(matrix(batch.column("x")), True)
+            cosine, done = batch.column("cosine").to_pylist(), batch.column("done").to_pylist()
             for i in range(batch.num_rows):
-                each = [hashes.probes(p[t, :, i], t) for t in range(TABLES)]
+                each = [hashes.probes(p[t, :, i], t, cosine[i]) for t in range(TABLES)]
+                if done[i] is not None:
+                    each = [np.setdiff1d(e, hashes.probes(p[t, :, i], t, done[i])) for t, e in enumerate(each)]
                 size = [len(e) for e in each]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.repeat(np.arange(TABLES, dtype=np.int32), size)), pa.array(np.concatenate(each)),
-                     batch.column("id").take(pa.array([i] * sum(size)))], names=["tab", "bucket", "id"])
+                     batch.column("id").take(pa.array([i] * sum(size), pa.int64()))], names=["tab", "bucket", "id"])
 
     def blocks(rows, size, fields, as_):
         """rows of a bucket in blocks of about `size`, by a hash of the id."""
@@ -175,12 +210,10 @@ def nearest(df: DataFrame, queries: DataFrame, k: int = 20, success: float = 0.9
         return (rows.join(count, ["tab", "bucket"]).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
                 .groupBy("tab", "bucket", "part").agg(F.collect_list(F.struct(*fields)).alias(as_)).drop("part"))
 
-    asked = stored(usable(queries, id_col, vec_col).where(F.size("x") == dim).dropDuplicates(["id"]), "ann-queries")
+    asked = stored(usable(queries, id_col, vec_col).where(F.size("x") == dim).dropDuplicates(["id"])
+                   .mapInArrow(estimated, "id long, x array<double>, cosine double, low double"), "ann-queries")
     index = data.mapInArrow(index_rows, "tab int, bucket long, id long, x array<double>")
     held = index.select("tab", "bucket").distinct()
-    probes = asked.mapInArrow(probe_rows, "tab int, bucket long, id long").join(held, ["tab", "bucket"], "left_semi")
-    work = (blocks(index, BLOCK, ["id", "x"], "v").join(
-        blocks(probes.join(asked, "id"), QUERY_BLOCK, ["id", "x"], "q"), ["tab", "bucket"]).select("v", "q"))
 
     def search(batches):
         kept: list = [[], [], []]
@@ -208,7 +241,29 @@ def nearest(df: DataFrame, queries: DataFrame, k: int = 20, success: float = 0.9
         if size:
             yield pack()
 
-    found = work.mapInArrow(search, "q long, v long, s double").groupBy("q", "v").agg(F.max("s").alias("s"))
     by_query = Window.partitionBy("q").orderBy(F.desc("s"), "v")
-    return (found.withColumn("rank", F.row_number().over(by_query)).where(F.col("rank") <= k)
-            .select(F.col("q").alias("query_id"), "rank", F.col("v").alias(id_col), F.col("s").alias("score")))
+
+    def visited(wanted):
+        """q, v, s of all candidates in the buckets that `wanted` (id, x, cosine, done) calls for."""
+        probes = (wanted.mapInArrow(probe_rows, "tab int, bucket long, id long")
+                  .join(held, ["tab", "bucket"], "left_semi"))
+        work = (blocks(index, BLOCK, ["id", "x"], "v").join(
+            blocks(probes.join(wanted.select("id", "x"), "id"), QUERY_BLOCK, ["id", "x"], "q"), ["tab", "bucket"]).select("v", "q"))
+        return work.mapInArrow(search, "q long, v long, s double")
+
+    def ranked(found):
+        return (found.groupBy("q", "v").agg(F.max("s").alias("s"))
+                .withColumn("rank", F.row_number().over(by_query)).where(F.col("rank") <= k))
+
+    first = stored(ranked(visited(asked.withColumn("done", F.lit(None).cast("double")))), "ann-first")
+    # the k-th cosine found bounds the true one from below; without k, the sample's low estimate does
+    kth = first.groupBy(F.col("q").alias("id")).agg(F.count("*").alias("n"), F.min("s").alias("least"))
+    norm = F.expr("sqrt(aggregate(x, 0d, (s, e) -> s + e * e))")
+    reached = F.when(F.col("n") >= k, F.col("least") / norm / longest).otherwise(F.least("low", F.col("least") / norm / longest))
+    again = (asked.join(kth, "id", "left").withColumn("reached", F.coalesce(reached, "low"))
+             .where(F.col("reached") < F.col("cosine"))
+             .select("id", "x", F.col("reached").alias("cosine"), F.col("cosine").alias("done")))
+    again = stored(again, "ann-again")
+    if again.limit(1).count():
+        first = ranked(first.select("q", "v", "s").unionByName(visited(again)))
+    return first.select(F.col("q").alias("query_id"), "rank", F.col("v").alias(id_col), F.col("s").alias("score"))

@@ -52,3 +52,26 @@ def test_ties_copies_and_unusable_vectors(spark):
     assert [(g.query_id, g.rank, g.vec_id, g.score) for g in got if g.query_id == 0] == [(0, 1, 1, 1.0), (0, 2, 2, 1.0), (0, 3, 3, 1.0)]
     assert {g.query_id for g in got} <= {0, 100}
     assert nearest(df.where("false"), df, k=3).collect() == []
+
+
+def test_recall_outside_a_hot_group(spark):
+    """A third of the rows in one tight group; the neighbours of the others are far looser."""
+    r = np.random.default_rng(5)
+    n, dim, k = 12_000, 48, 10
+    topics = r.standard_normal((300, dim))
+    x = topics[r.integers(0, 300, n)] + 1.2 * r.standard_normal((n, dim))
+    hot = np.arange(n) % 3 == 0
+    x[hot] = r.standard_normal(dim) + 0.1 * r.standard_normal((int(hot.sum()), dim))
+    x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+    df = frame(spark, list(enumerate(x.tolist()))).repartition(4)
+    got = {}
+    for row in nearest(df, df.where("vec_id % 80 = 1 or vec_id % 400 = 0"), k=k).collect():
+        got.setdefault(row.query_id, set()).add(row.vec_id)
+    x = x.astype(np.float64)
+    recall = {True: [], False: []}
+    for q in (i for i in range(n) if i % 80 == 1 or i % 400 == 0):
+        s = x @ x[q]
+        s[q] = -np.inf
+        recall[bool(hot[q])].append(len(got.get(q, set()) & set(np.argsort(-s)[:k].tolist())) / k)
+    print("recall outside", np.mean(recall[False]), "inside", np.mean(recall[True]))
+    assert np.mean(recall[False]) >= 0.9 and np.mean(recall[True]) >= 0.9
