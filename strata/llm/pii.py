@@ -2,13 +2,15 @@
 
 Protected entities are the mail addresses, network addresses, card and phone numbers that fixed
 patterns find. Corpus co-occurrence then estimates how strongly other terms reveal them: for an
-entity c and a term t near it, the pointwise mutual information ln(p(c,t) / (p(c) p(t))), taken
+entity c and a term t in the same document, the pointwise mutual information ln(p(c,t) / (p(c) p(t))), taken
 as a share of the entity's own information -ln p(c). A share of 1 means that the term gives the
 entity away. In documents that mention c, terms whose share reaches `generalise_at` are replaced
 by their shape, and those that reach `remove_at` are removed.
 
 All statistics run over all documents: a term's document frequency is counted in the whole
-corpus; terms near an entity are those within `window` words of a mention.
+corpus, and a term meets every entity of its document, or, if `window` is given, those with a
+mention within so many words. Entities of fewer documents than `support` can reveal nothing, so
+only the others' documents are paired with their terms.
 """
 
 from __future__ import annotations
@@ -41,12 +43,13 @@ SLOTS = 1 << 18     # of the fixed-size filter that spares counting terms no ent
 
 @dataclass(frozen=True)
 class Disclosure:
-    """window: words either side of a mention; support: documents that must hold term and entity
-    together (one meeting is no evidence); shares of information from which a term is
-    generalised or removed."""
+    """window: words either side of a mention, or None for the whole document; support: documents
+    that must hold term and entity together. Two is the least that is evidence: of what one document
+    alone holds, every term has share 1 for every entity. Shares of information from which a
+    term is generalised or removed."""
 
-    window: int = 5
-    support: int = 3
+    window: int | None = None
+    support: int = 2
     generalise_at: float = 0.8
     remove_at: float = 0.95
 
@@ -104,7 +107,7 @@ def listed(spans) -> str:
 
 
 def _terms(text: str, spans) -> list[tuple[int, int, str]]:
-    """(start, end, lower-cased term) of words outside the base spans; numbers are no terms."""
+    """(start, end, lower-cased term) of words and numbers outside the base spans."""
     out, i = [], 0
     spans = sorted((a, b) for a, _, b in spans)
     for m in _TERM.finditer(text):
@@ -112,8 +115,7 @@ def _terms(text: str, spans) -> list[tuple[int, int, str]]:
             i += 1
         if i < len(spans) and m.end() > spans[i][0]:
             continue
-        if not m[0].isdigit():
-            out.append((m.start(), m.end(), m[0].lower()))
+        out.append((m.start(), m.end(), m[0].lower()))
     return out
 
 
@@ -122,37 +124,38 @@ def _entity(text: str, a: int, k: int, b: int) -> str:
     return f"{KINDS[k]}:{_NOT_DIGIT.sub('', value) if k >= 2 else value.lower()}"
 
 
-def near_entities(text: str, spans, window: int) -> dict[str, set[str]]:
-    """entity -> terms within `window` words of one of its mentions."""
+def near_entities(text: str, spans, window: int | None, wanted=lambda entity: True) -> dict[str, set[str]]:
+    """`wanted` entity -> terms within `window` words of one of its mentions (None: all terms)."""
+    named = [(a, e) for a, k, b in spans if wanted(e := _entity(text, a, k, b))]
+    if not named:
+        return {}
     terms = _terms(text, spans)
+    if window is None:
+        return dict.fromkeys([e for _, e in named], {t[2] for t in terms})
     starts = np.array([t[0] for t in terms])
     out: dict[str, set[str]] = {}
-    for a, k, b in spans:
+    for a, e in named:
         i = int(np.searchsorted(starts, a))
-        out.setdefault(_entity(text, a, k, b), set()).update(
-            t[2] for t in terms[max(0, i - window):i + window])
+        out.setdefault(e, set()).update(t[2] for t in terms[max(0, i - window):i + window])
     return out
 
 
-_NEAR = T.ArrayType(T.StructType([T.StructField("entity", T.StringType()),
-                                  T.StructField("terms", T.ArrayType(T.StringType()))]))
 _FOUND = [T.StructField("counts", T.ArrayType(T.LongType())), T.StructField("base", T.StringType()),
-          T.StructField("near", _NEAR)]
+          T.StructField("entities", T.ArrayType(T.StringType()))]
 
 
-def _scan(window: int, all_texts: bool, schema: T.StructType):
+def _scan(all_texts: bool, schema: T.StructType):
     out = arrow_schema(schema)
 
     def run(batches):
         for batch in batches:
             texts = batch.column("text").to_pylist()
             spans = [base_spans(x) for x in texts]
-            near = [near_entities(x, s, window) if s else {} for x, s in zip(texts, spans)]
             cols = {n: batch.column(n) for n in batch.schema.names}
             cols["text"] = [x if s or all_texts else None for x, s in zip(texts, spans)]
             cols["counts"] = [[sum(1 for x in s if x[1] == k) for k in range(4)] for s in spans]
             cols["base"] = [listed(s) for s in spans]
-            cols["near"] = [[{"entity": e, "terms": sorted(ts)} for e, ts in n.items()] for n in near]
+            cols["entities"] = [sorted({_entity(x, *span) for span in s}) for x, s in zip(texts, spans)]
             yield table_batch(cols, out)
     return run
 
@@ -162,6 +165,40 @@ def _slot(term: str) -> int:
     return xxhash.xxh64_intdigest(term, seed=42) & (SLOTS - 1)
 
 
+def _slots(df: DataFrame, column: str) -> bytes:
+    """A bitmap of fixed size; false positives only add rows that a join drops."""
+    found = df.select(F.pmod(F.xxhash64(column), F.lit(SLOTS)).cast("int").alias("s")).distinct()
+    slots = np.zeros(SLOTS, dtype=np.uint8)
+    slots[found.toArrow().column("s").to_numpy()] = 1           # at most SLOTS numbers
+    return np.packbits(slots).tobytes()
+
+
+def _meetings(slots: bytes, window: int | None):
+    """(entity, term, documents of these that hold both), for entities whose slot is set."""
+    def run(batches):
+        table = np.unpackbits(np.frombuffer(slots, dtype=np.uint8)).astype(bool)
+        found: Counter = Counter()
+
+        def rows():
+            pairs = list(found)
+            out = pa.RecordBatch.from_pydict({"entity": pa.array([e for e, _ in pairs], pa.string()),
+                                              "term": pa.array([t for _, t in pairs], pa.string()),
+                                              "n": pa.array(list(found.values()), pa.int64())})
+            found.clear()
+            return out
+
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                near = near_entities(text, base_spans(text), window, lambda e: table[_slot(e)])
+                for e, terms in near.items():
+                    found.update((e, t) for t in terms)
+                    if len(found) > 100_000:
+                        yield rows()
+        if found:
+            yield rows()
+    return run
+
+
 def _frequencies(slots: bytes):
     """(term, documents of this batch that hold it), for terms whose slot is set."""
     def run(batches):
@@ -185,28 +222,26 @@ def _frequencies(slots: bytes):
 
 def disclosing_terms(scanned: DataFrame, texts: DataFrame, how: Disclosure) -> DataFrame:
     """(entity, term, share): terms that reach `generalise_at` of an entity's information.
-    `scanned` holds `near` per document; `texts` one column with every text."""
-    mention = scanned.select(F.explode("near").alias("m")).select("m.entity", "m.terms")
+    `scanned` holds `entities` and `text` per document; `texts` one column with every text."""
     total = scanned.count()
-    together = stored(mention.select("entity", F.explode("terms").alias("term")).groupBy("entity", "term")
-                      .agg(F.count("*").alias("n_both")).where(F.col("n_both") >= how.support), "pii-together")
-    entity = mention.groupBy("entity").agg(F.count("*").alias("n_entity"))
-    # a bitmap of fixed size; false positives only add counts that the join drops
-    set_slots = together.select(F.pmod(F.xxhash64("term"), F.lit(SLOTS)).cast("int").alias("s")).distinct()
-    slots = np.zeros(SLOTS, dtype=np.uint8)
-    slots[set_slots.toArrow().column("s").to_numpy()] = 1       # at most SLOTS numbers
-    term = texts.mapInArrow(_frequencies(np.packbits(slots).tobytes()), "term string, n long").groupBy("term").agg(F.sum("n").alias("n_term"))
+    entity = stored(scanned.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("n_entity"))
+                    .where((F.col("n_entity") >= how.support) & (F.col("n_entity") < total)), "pii-entities")
+    together = stored(scanned.where(F.size("entities") > 0).select("text")
+                      .mapInArrow(_meetings(_slots(entity, "entity"), how.window), "entity string, term string, n long")
+                      .groupBy("entity", "term").agg(F.sum("n").alias("n_both"))
+                      .where(F.col("n_both") >= how.support), "pii-together")
+    slots = _slots(together, "term")
+    term = texts.mapInArrow(_frequencies(slots), "term string, n long").groupBy("term").agg(F.sum("n").alias("n_term"))
     n = F.lit(float(max(total, 1)))
     information = F.log(n / F.col("n_entity"))
     mutual = F.log(F.col("n_both") * n / (F.col("n_entity") * F.col("n_term")))
     return (together.join(entity, "entity").join(term, "term")
-            .where(F.col("n_entity") < n)
             .select("entity", "term", (mutual / information).alias("share"))
             .where(F.col("share") >= how.generalise_at))
 
 
 def shape(term: str) -> str:
-    return "<Name>" if term[:1].isupper() else "<word>"
+    return "<number>" if term.isdigit() else "<Name>" if term[:1].isupper() else "<word>"
 
 
 def sanitised(text: str, spans, removed: set[str]) -> str:
@@ -237,7 +272,10 @@ def _with_terms(how: Disclosure, schema: T.StructType):
                 if share:
                     spans = sorted([*spans, *((a, 4, b) for a, b, t in _terms(text, spans) if t in share)])
                 found.append(listed(spans))
-                clean.append(sanitised(text, spans, {t for t, s in share.items() if s >= how.remove_at}))
+                text = sanitised(text, spans, {t for t, s in share.items() if s >= how.remove_at})
+                while share and (uncovered := base_spans(text)):    # what removed terms stood between
+                    text = sanitised(text, uncovered, set())
+                clean.append(text)
             cols = {n: batch.column(n) for n in out.names[:-2] if n != "text"}
             yield table_batch({**cols, "text": clean, "spans": found}, out)
     return run
@@ -249,19 +287,19 @@ def _find(df: DataFrame, how: Disclosure, id_col: str, text_col: str, keep: list
     src = df.select(*[F.col(c).alias(f"in_{i}") for i, c in enumerate(keep)],
                     F.col(id_col).cast("long").alias("d"), F.xxhash64(text).alias("t"), text.alias("text"))
     schema = T.StructType([*[T.StructField(f.name, f.dataType) for f in src.schema.fields], *_FOUND])
-    scanned = stored(src.mapInArrow(_scan(how.window, all_texts, schema), schema), "pii-scan")
+    scanned = stored(src.mapInArrow(_scan(all_texts, schema), schema), "pii-scan")
     reveal = disclosing_terms(scanned, src.select("text"), how)
-    mentions = scanned.select("d", "t", F.explode("near.entity").alias("entity")).distinct()
+    mentions = scanned.select("d", "t", F.explode("entities").alias("entity")).distinct()
     by_doc = (mentions.join(reveal, "entity").groupBy("d", "t", "term").agg(F.max("share").alias("share"))
               .groupBy("d", "t").agg(F.collect_list(F.struct("term", "share")).alias("terms")))
     own = [*[f"in_{i}" for i in range(len(keep))], "d", "t", "counts", "base"]
     result = T.StructType([*[schema[c] for c in own], T.StructField("text", T.StringType()),
                            T.StructField("spans", T.StringType())])
-    done = (scanned.where(F.size("near") > 0).alias("s")
+    done = (scanned.where(F.size("entities") > 0).alias("s")
             .join(by_doc.alias("m"), F.col("s.d").eqNullSafe(F.col("m.d")) & (F.col("s.t") == F.col("m.t")), "left")
             .select(*[F.col(f"s.{c}") for c in own], "s.text", "m.terms")
             .mapInArrow(_with_terms(how, result), result))
-    rest = scanned.where(F.size("near") == 0).select(*own, "text", F.lit("").alias("spans"))
+    rest = scanned.where(F.size("entities") == 0).select(*own, "text", F.lit("").alias("spans"))
     return done.unionByName(rest)
 
 

@@ -65,3 +65,23 @@ def test_sanitise_keeps_rows_and_columns(spark):
     assert ("None", "[EMAIL]") in got and ("201", "None") in got and ("202", "") in got
     assert ("101", "some people say    [EMAIL] about words 1") in got
     assert find(df.where("false")).collect() == []
+
+
+def test_two_documents_and_numbers_disclose_at_any_distance(spark):
+    """By default two meetings are evidence, wherever in the document; one is not."""
+    far = " ".join(f"plain{i}" for i in range(30))
+    docs = [(i, f"ordinary {far} talk 17") for i in range(60)]
+    docs += [(100 + i, f"Zorbal 90125 {far} ordinary talk joe@x.org once{i}") for i in range(2)]
+    docs += [(200, f"Hapax {far} ann@y.org")]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.spans for r in find(df).collect()}
+    a = docs[60][1].index("joe@x.org")
+    assert got[100] == f"term:0:6,term:7:12,email:{a}:{a + 9}"
+    assert got[200] == listed(base_spans(docs[62][1])) and got[0] == ""
+    assert {r.doc_id: r.text for r in sanitise(df).collect()}[100] == f"  {far} ordinary talk [EMAIL] once0"
+
+
+def test_removed_numbers_uncover_no_new_entity(spark):
+    docs = [(i, f"plain words {i % 3}") for i in range(40)] + [(100 + i, "see 999.1.2.3.4 or joe@x.org") for i in range(2)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert not any(base_spans(r.text) for r in sanitise(df).collect())
