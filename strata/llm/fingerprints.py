@@ -2,8 +2,8 @@
 
 A signature holds, for each of `permutations` universal hash functions, the smallest value over
 a document's 5-word shingles (in vectorised numpy), kept as 16 bits each. Two signatures agree
-in a share of places that estimates the Jaccard similarity. `similar` joins signature bands in
-Spark and verifies Jaccard on the full sets.
+in a share of places that estimates the Jaccard similarity. `similar.similar` joins signature bands
+in Spark and verifies Jaccard on the full sets.
 """
 
 from __future__ import annotations

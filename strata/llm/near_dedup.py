@@ -92,6 +92,19 @@ def _sketch_rows(words: int):
     return run
 
 
+def class_members(real: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(links (a, b) of a class of equal sets from its smallest id, bands (v, band) left to join) of
+    rows (d, n, s1, s2, bands)."""
+    classes = real.groupBy("s1", "s2", "n").agg(F.min("d").alias("rep"), F.max("d").alias("top"))
+    member = (real.select("d", "s1", "s2", "n").distinct()
+              .join(classes.where("rep <> top").select("s1", "s2", "n", "rep"), ["s1", "s2", "n"])
+              .where("d <> rep").select(F.col("rep").alias("a"), F.col("d").alias("b"), "s1", "s2", "n"))
+    member = stored(member, "near-classes")
+    heads = (real.join(member.select(F.col("b").alias("d")), "d", "left_anti")
+             .select(F.col("d").alias("v"), F.explode("bands").alias("band")).distinct())
+    return member.select("a", "b").distinct(), heads
+
+
 def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id",
                     text_col: str = "text", direct: int = DIRECT) -> DataFrame:
     """`id_col`, n_shingles, component_id (smallest id reachable over links), kept, of every row.
@@ -105,13 +118,7 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, id_col: st
     made = stored(src.mapInArrow(_sketch_rows(words), "d long, n long, s1 long, s2 long, bands array<long>"),
                   "near-sketches")
     real = made.where("n > 0 and d is not null")
-    classes = real.groupBy("s1", "s2", "n").agg(F.min("d").alias("rep"), F.max("d").alias("top"))
-    member = (real.select("d", "s1", "s2", "n").distinct()
-              .join(classes.where("rep <> top").select("s1", "s2", "n", "rep"), ["s1", "s2", "n"])
-              .where("d <> rep").select(F.col("rep").alias("a"), F.col("d").alias("b")).distinct())
-    member = stored(member, "near-classes")
-    heads = (real.join(member.select(F.col("b").alias("d")).distinct(), "d", "left_anti")
-             .select(F.col("d").alias("v"), F.explode("bands").alias("band")).distinct())
+    member, heads = class_members(real)
     texts = src.where("d is not null").select(F.col("d").alias("v"), "text")
     _, comp = link(heads, texts, shingle_set(words), percent, direct=direct)
     # an id joins the component of its class's representative

@@ -14,6 +14,7 @@ from .near_dedup import near_duplicates
 from .oracle import ORACLE
 from .packing import pack
 from .pii import find
+from .similar import similar
 from .substring_dedup import repeated_words_digest
 from .suffix_dedup import repeated_bytes_digest
 
@@ -70,5 +71,14 @@ def queries():
                                     op10_bpe)}
 
 
+def similar_fingerprints(spark, sf_dir):
+    return similar(documents(spark, sf_dir), percent=80)
+
+
+def beside():
+    """Queries beside the ten: the other half of operator 5, the join of its signatures."""
+    return {"similar_fingerprints": similar_fingerprints}
+
+
 def oracle_sql():
     return dict(ORACLE)

@@ -45,3 +45,42 @@ def test_edges(spark):
     assert one[0].edited_sha256 == hashlib.sha256(b"abcdefab").hexdigest() and one[0].near_next == 1.0
     same = compare_with_edits(spark.createDataFrame([(None, "x y"), (1, "x y"), (1, "x y"), (None, None)], schema)).collect()
     assert len(same) == 4
+
+
+def test_similar_pairs_equal_brute_force(spark):
+    """Copies and near copies that are not adjacent by id: links are true, components are whole."""
+    from strata.llm.similar import similar
+    r = random.Random(3)
+    words = [f"w{i}" for i in range(400)]
+    rows = [(i, " ".join(r.choice(words) for _ in range(r.choice([3, 30, 120])))) for i in range(60)]
+    for i in range(60, 140):
+        w = r.choice(rows)[1].split()
+        for _ in range(r.choice([0, 0, 1, 1, 2, 3])):
+            w[r.randrange(len(w))] = r.choice(words)
+        rows.append((i, " ".join(w)))
+    rows += [(500, None), (501, ""), (None, rows[0][1])]
+    r.shuffle(rows)
+
+    def shingles(t):
+        w = (t or "").lower().split()
+        return {tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+    sets = {d: shingles(t) for d, t in rows if d is not None}
+    pairs = {(a, b) for a in sets for b in sets if a < b and sets[a] and sets[b]
+             and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+
+    def components(links):
+        root = {d: d for d in sets}
+
+        def find(x):
+            while root[x] != x:
+                x = root[x]
+            return x
+        for a, b in links:
+            a, b = sorted((find(a), find(b)))
+            root[b] = a
+        return {d: find(d) for d in sets}
+
+    got = {(x.a, x.b) for x in similar(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    assert got <= pairs and any(b - a > 1 for a, b in got)
+    assert components(got) == components(pairs)
