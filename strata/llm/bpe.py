@@ -152,15 +152,16 @@ class ByteBPE:
         ids, ends = self.letter_ids[joined], np.cumsum(sizes) - 1
         ids[ends] = self.last_ids[joined[ends]]
         owner = np.repeat(np.arange(len(words)), sizes)
-        none = np.int64(1) << 40
+        none = np.int64(1) << 30            # above every rank
+        width = int(sizes.max()).bit_length()           # of a place within a word
         rank = np.full(len(ids), none)
         same = np.flatnonzero(owner[1:] == owner[:-1])
         rank[same] = self.check.merge_rank(ids[same], ids[same + 1])
         while len(ids):
             start = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
-            best = np.minimum.reduceat((np.minimum(rank, none) << 22) | (np.arange(len(ids)) - np.repeat(
+            best = np.minimum.reduceat((np.minimum(rank, none) << width) | (np.arange(len(ids)) - np.repeat(
                 start, np.diff([*start, len(ids)]))), start)
-            merges = best >> 22 < none
+            merges = best >> width < none
             if not merges.all():                        # words that are done leave
                 size = np.diff([*start, len(ids)])
                 gone = np.repeat(~merges, size)
@@ -171,8 +172,8 @@ class ByteBPE:
                     break
                 start = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
                 best = best[merges]
-            at = start + (best & ((1 << 22) - 1))
-            ids[at] = self.made[best >> 22]
+            at = start + (best & ((1 << width) - 1))
+            ids[at] = self.made[best >> width]
             stay = np.ones(len(ids), bool)
             stay[at + 1] = False
             moved = np.cumsum(stay) - 1

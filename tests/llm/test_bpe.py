@@ -74,3 +74,12 @@ def test_frame(spark, library):
     assert got == want
     assert encode(df.where("doc_id is null"), PATH).first().decoded == "a</w>"
     assert encode_digest(df.where("false"), PATH).collect() == []
+
+
+def test_a_word_longer_than_four_million_bytes():
+    bpe = ByteBPE(public_tokenizers.path("byte_bpe_50k.json"))
+    n = (1 << 22) + 10
+    short = bpe.merge_exactly([b"\x01\x01the"])[0]
+    assert len(short) < 5
+    got = bpe.merge_exactly([b"\x01" * n + b"the"])[0]
+    assert got[-len(short):] == short and got[:n] == [short[0]] * n and len(got) == n - 2 + len(short)
