@@ -28,8 +28,12 @@ def with_text(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is recognised; a null lang becomes the recognised one."""
-    found = language_id.predict(docs, language_id.train(docs), keep=docs.columns, out=("__lang", "__score"))
+    """Documents whose language is recognised; a null lang becomes the recognised one. Where no
+    language could be learnt (no labels), every document with a letter stays as it is."""
+    network = language_id.train(docs)
+    if network is None:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    found = language_id.predict(docs, network, keep=docs.columns, out=("__lang", "__score"))
     sure = found.where((F.col("__lang") != "und") & (F.col("__score") >= MIN_LANGUAGE_SCORE))
     return sure.select(*[F.coalesce("lang", "__lang").alias(c) if c == "lang" else F.col(c) for c in docs.columns])
 

@@ -118,3 +118,10 @@ def test_empty_table(spark):
     empty = docs(spark).where("false")
     for _, stage in P.STAGES:
         assert stage(spark, empty, "unused").count() == 0
+
+
+def test_language_stage_keeps_an_unlabelled_corpus(spark):
+    rows = [(1, "words of some language", None, "s", 1), (2, "über 12", None, "s", 1), (3, "123 !!", None, "s", 1), (4, None, None, "s", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = P.identify_language(spark, df, "unused")
+    assert got.columns == df.columns and {r.doc_id for r in got.collect()} == {1, 2}
