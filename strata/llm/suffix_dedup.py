@@ -1,11 +1,10 @@
 """Suffix-array dedup (operator 4): bytes covered by a 400-byte string that occurs twice.
 
-Prefix doubling, carried out on runs of positions. Ranks of all 400-byte prefixes are never
-needed, only whether a position's 400 bytes are unique. So positions start with the rank of an
-80-byte anchor and Spark sorts and groups (rank, name of the next bytes) pairs at growing
-offsets: 80 bytes, then 80 to 383, then 400. After each round a position whose rank is unique
-is discarded, one whose whole surroundings repeat is settled, the rest are ranked again until
-they are unique or past the threshold (`repeats.py` has the rounds).
+Not by prefix doubling: all that is asked of a position is whether its 400 bytes are unique, so
+this runs operator 3's engine on bytes. Winnowed 80-byte anchors are grouped by hash; those met
+again are grouped by the hashes of 383 and then of 400 bytes. After each round a position
+that is unique is discarded and one whose whole surroundings repeat is settled (`repeats.py`
+has the rounds). Exact up to a collision of two 64-bit names.
 """
 
 from __future__ import annotations
