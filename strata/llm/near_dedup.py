@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from .common import MASK64, U64, WordNames, chunks, mixed, signed, stored
 from .fingerprints import shingle_names
+from .graph import joined as merged
 from .links import DIRECT, link
 
 BANDS, ROWS = 48, 6
@@ -100,7 +101,8 @@ def class_members(real: DataFrame) -> tuple[DataFrame, DataFrame]:
               .join(classes.where("rep <> top").select("s1", "s2", "n", "rep"), ["s1", "s2", "n"])
               .where("d <> rep").select(F.col("rep").alias("a"), F.col("d").alias("b"), "s1", "s2", "n"))
     member = stored(member, "near-classes")
-    heads = (real.join(member.select(F.col("b").alias("d")), "d", "left_anti")
+    # an id with another text keeps that text's bands
+    heads = (real.join(member.select(F.col("b").alias("d"), "s1", "s2", "n"), ["d", "s1", "s2", "n"], "left_anti")
              .select(F.col("d").alias("v"), F.explode("bands").alias("band")).distinct())
     return member.select("a", "b").distinct(), heads
 
@@ -125,6 +127,12 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, id_col: st
     joined = (member.join(comp.select(F.col("v").alias("a"), "component"), "a", "left")
               .select(F.col("b").alias("v"), F.coalesce("component", "a").alias("component")))
     label = comp.unionByName(joined)
+    kind = F.struct("s1", "s2", "n")
+    if real.groupBy("d").agg(F.min(kind).alias("lo"), F.max(kind).alias("hi")).where("lo <> hi").limit(1).count():
+        # an id with several texts joins the classes and bands of all of them
+        ends = (member.select(F.explode(F.array("a", "b")).alias("v")).distinct().join(comp.select("v"), "v", "left_anti")
+                .select("v", F.col("v").alias("component")))
+        label = merged(comp.unionByName(ends), member, "near-merged")
     return (made.select("d", "n").join(label.select(F.col("v").alias("d"), "component"), "d", "left")
             .select(F.col("d").alias(id_col), F.col("n").alias("n_shingles"),
                     F.when(F.col("d").isNotNull(), F.coalesce("component", "d")).alias("component_id"))

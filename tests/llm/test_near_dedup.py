@@ -107,3 +107,19 @@ def test_components_of_a_path_and_a_star(spark):
     links = [(i, i + 1) for i in range(0, 40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7)]
     got = dict(components(spark.createDataFrame(links, "a long, b long")).collect())
     assert got == {**{i: 0 for i in range(41)}, **{100 + i: 100 for i in range(30)}}
+
+
+def test_an_id_with_a_copy_and_another_text_keeps_the_links_of_both(spark):
+    one = " ".join(f"one{i}" for i in range(60))
+    two = " ".join(f"two{i}" for i in range(200))
+    rows = [(1, one), (2, one), (2, two), (3, two + " more"), (4, " ".join(f"own{i}" for i in range(60)))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {(r.doc_id, r.component_id) for r in near_duplicates(df, words=4, percent=80).collect()}
+    assert got == {(1, 1), (2, 1), (3, 1), (4, 4)}
+
+
+def test_an_id_that_copies_two_texts_joins_both(spark):
+    one, two = (" ".join(f"{x}{i}" for i in range(40)) for x in ("one", "two"))
+    rows = [(1, one), (2, two), (3, one), (3, two), (4, two)]
+    got = sorted((r.doc_id, r.component_id) for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == [(1, 1), (2, 1), (3, 1), (3, 1), (4, 1)]
