@@ -32,4 +32,19 @@ REPEATED_WORDS = f"""with d as materialized (select doc_id, {_SPLIT.format(text=
  select d.doc_id, len(d.w) as n_words, len(d.w) - coalesce(kept.n, 0) as n_removed, sha256(coalesce(kept.t, '')) as kept_sha256
  from d left join kept on kept.doc_id = d.doc_id"""
 
-ORACLE = {"op2_near_dedup": NEAR_DUPLICATES, "op3_substring_dedup": REPEATED_WORDS}
+_TERMS = r"regexp_extract_all(translate(coalesce(text, ''), '{up}', '{low}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')".format(
+    up=ascii_uppercase, low=ascii_lowercase)
+
+#: Every document scored for every item term by term.
+RANKED_SEARCH = f"""with d as materialized (select doc_id, row_number() over () as r, {_TERMS} as w from documents),
+ c as materialized (select r, doc_id, len(w) as n from d where len(w) > 0),
+ g as materialized (select count(*) as nn, cast(sum(n) as bigint) as ll from c),
+ tf as materialized (select r, t, count(*) as tf from (select r, unnest(w) as t from d) x group by 1, 2),
+ wt as (select t, cast(floor(1000 * ln((2 * nn + 2) / (2 * df + 1))) as bigint) as w from (select t, count(*) as df from tf group by 1) x, g),
+ q as (select item_id, t, count(*) as k from (select item_id, unnest({_TERMS}) as t from benchmark) x group by 1, 2),
+ s as (select item_id, doc_id, r, cast(sum(k * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * nn) // ll)))) as bigint) as score
+  from q join wt using (t) join tf using (t) join c using (r), g group by 1, 2, 3)
+ select item_id, cast(row_number() over o as integer) as rank, doc_id, score from s where score > 0
+ qualify row_number() over o <= 10 window o as (partition by item_id order by score desc, doc_id, r)"""
+
+ORACLE = {"op2_near_dedup": NEAR_DUPLICATES, "op3_substring_dedup": REPEATED_WORDS, "op11_lexical": RANKED_SEARCH}

@@ -1,4 +1,4 @@
-"""The ten operators as registered queries: whole tables, production parameters, full results."""
+"""The operators as registered queries: whole tables, production parameters, full results."""
 
 from __future__ import annotations
 
@@ -10,13 +10,16 @@ from .ann import nearest
 from .bpe import encode_digest
 from .common import documents, held_out
 from .fingerprints import compare_with_edits
+from .lexical import search
 from .near_dedup import near_duplicates
 from .oracle import ORACLE
 from .packing import pack
+from .pieces import pieces_digest
 from .pii import find
 from .similar import similar
 from .substring_dedup import repeated_words_digest
 from .suffix_dedup import repeated_bytes_digest
+from .whitening import whiten
 
 
 def op1_language_id(spark, sf_dir):
@@ -65,10 +68,22 @@ def op10_bpe(spark, sf_dir):
     return encode_digest(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_lexical(spark, sf_dir):
+    return search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), top=10)
+
+
+def op12_pieces(spark, sf_dir):
+    return pieces_digest(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op13_whitening(spark, sf_dir):
+    return whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), components=4)
+
+
 def queries():
     return {f.__name__: f for f in (op1_language_id, op2_near_dedup, op3_substring_dedup, op4_suffix_dedup,
                                     op5_fingerprints, op6_nearest_neighbours, op7_pii, op8_packing, op9_quality,
-                                    op10_bpe)}
+                                    op10_bpe, op11_lexical, op12_pieces, op13_whitening)}
 
 
 def similar_fingerprints(spark, sf_dir):
@@ -76,7 +91,7 @@ def similar_fingerprints(spark, sf_dir):
 
 
 def beside():
-    """Queries beside the ten: the other half of operator 5, the join of its signatures."""
+    """Queries beside the numbered ones: the other half of operator 5, the join of its signatures."""
     return {"similar_fingerprints": similar_fingerprints}
 
 

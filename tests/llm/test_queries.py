@@ -18,12 +18,16 @@ COLUMNS = {
     8: "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint",
     9: "doc_id bigint, held_out boolean, score double, predicted int",
     10: "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string",
+    11: "item_id bigint, rank int, doc_id bigint, score bigint",
+    12: "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string",
+    13: "vec_id bigint, component int, n bigint, deviation bigint, whitened double, explained double, "
+        "identity_error double",
 }
 
 
 def test_one_query_per_operator_is_registered():
     names = [n for n in E.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in E.queries() and set(Q.oracle_sql()) <= set(E.oracle_sql())
 
 
@@ -36,6 +40,10 @@ def test_columns_and_rows(spark, name):
         assert got.count() == 25 * 20
     elif name.startswith("op8"):
         assert got.where("piece = 0").count() == n
+    elif name.startswith("op11"):
+        assert got.count() == 40 * 10 and got.where("rank = 1").count() == 40
+    elif name.startswith("op13"):
+        assert got.count() == 500 * 4
     else:
         assert got.count() == n
 
@@ -43,7 +51,8 @@ def test_columns_and_rows(spark, name):
 @pytest.mark.parametrize("name", sorted(Q.oracle_sql()))
 def test_matches_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"create view documents as select * from read_parquet('{SF}/documents.parquet')")
+    for table in ("documents", "benchmark"):
+        con.execute(f"create view {table} as select * from read_parquet('{SF}/{table}.parquet')")
     rel = con.sql(Q.oracle_sql()[name])
     got = E.queries()[name](spark, SF).select(*rel.columns)
     assert sorted(map(tuple, got.collect())) == sorted(rel.fetchall())
