@@ -44,7 +44,7 @@ RANKED_SEARCH = f"""with d as materialized (select doc_id, row_number() over ()
  q as (select item_id, t, count(*) as k from (select item_id, unnest({_TERMS}) as t from benchmark) x group by 1, 2),
  s as (select item_id, doc_id, r, cast(sum(k * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * nn) // ll)))) as bigint) as score
   from q join wt using (t) join tf using (t) join c using (r), g group by 1, 2, 3)
- select item_id, cast(row_number() over o as integer) as rank, doc_id, score from s where score > 0
- qualify row_number() over o <= 10 window o as (partition by item_id order by score desc, doc_id, r)"""
+ select item_id, cast(rank as integer) as rank, doc_id, score from
+  (select *, row_number() over (partition by item_id order by score desc, doc_id, r) as rank from s where score > 0) x where rank <= 10"""
 
 ORACLE = {"op2_near_dedup": NEAR_DUPLICATES, "op3_substring_dedup": REPEATED_WORDS, "op11_lexical": RANKED_SEARCH}

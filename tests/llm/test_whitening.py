@@ -21,7 +21,7 @@ def matrices():
         yield v
 
 
-@pytest.mark.parametrize("v", matrices(), ids=str)
+@pytest.mark.parametrize("v", list(matrices()))
 def test_leading_eigenvalues(v):
     want = np.linalg.eigvalsh(v)[::-1]
     got = leading(v, 4)
@@ -73,7 +73,7 @@ def test_frame(spark):
     r = np.random.default_rng(2)
     good = [(i, (r.normal(size=6) * [5, 4, 3, 2, 1, 0.5]).tolist()) for i in range(60)]
     good += [(100 + i, good[0][1]) for i in range(30)]          # half of all rows are one vector
-    bad = [(200, None), (201, [1.0, None, 1, 1, 1, 1]), (202, [float("nan")] + [1.0] * 5), (203, [float("-inf")] + [1.0] * 5),
+    bad = [(200, None), (201, [1.0, None, 1.0, 1.0, 1.0, 1.0]), (202, [float("nan")] + [1.0] * 5), (203, [float("-inf")] + [1.0] * 5),
            (204, []), (205, [1.0, 2.0])]
     df = spark.createDataFrame([(i, v, "z") for i, v in [*good, *bad, good[3]]],
                                "vec_id long, embedding array<double>, component string")
