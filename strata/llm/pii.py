@@ -38,7 +38,10 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _NOT_DIGIT = re.compile(r"[^0-9]")
 _TERM = re.compile(r"\w+")
 
-SLOTS = 1 << 18     # of the fixed-size filter that spares counting terms no entity is near
+#: Slots of the filter that spares counting terms no entity is near: 16 for each candidate, from the
+#: fewest to the most. Beyond that more terms pass that the join then drops; none is lost.
+FEWEST_SLOTS, MOST_SLOTS = 1 << 18, 1 << 24
+HELD = 100_000      # sums a task holds before it sends them on
 
 
 @dataclass(frozen=True)
@@ -160,23 +163,30 @@ def _scan(all_texts: bool, schema: T.StructType):
     return run
 
 
-def _slot(term: str) -> int:
-    """Of 2^18; the same as pmod(xxhash64(term), 2^18) in Spark."""
-    return xxhash.xxh64_intdigest(term, seed=42) & (SLOTS - 1)
-
-
 def _slots(df: DataFrame, column: str) -> bytes:
-    """A bitmap of fixed size; false positives only add rows that a join drops."""
-    found = df.select(F.pmod(F.xxhash64(column), F.lit(SLOTS)).cast("int").alias("s")).distinct()
-    slots = np.zeros(SLOTS, dtype=np.uint8)
-    slots[found.toArrow().column("s").to_numpy()] = 1           # at most SLOTS numbers
+    """A bitmap of at most MOST_SLOTS bits; false positives only add rows that a join drops."""
+    size = 1 << min(max(16 * df.select(column).distinct().count(), FEWEST_SLOTS), MOST_SLOTS).bit_length() - 1
+    found = df.select(F.pmod(F.xxhash64(column), F.lit(size)).cast("int").alias("s")).distinct()
+    slots = np.zeros(size, dtype=np.uint8)
+    for part in found.toLocalIterator():                        # at most MOST_SLOTS numbers
+        slots[part["s"]] = 1
     return np.packbits(slots).tobytes()
 
 
+class _Filter:
+    """Whether a string's slot is set: the same slot as pmod(xxhash64(string), slots) in Spark."""
+
+    def __init__(self, slots: bytes):
+        self.table = np.unpackbits(np.frombuffer(slots, dtype=np.uint8)).astype(bool)
+
+    def __call__(self, text: str) -> bool:
+        return bool(self.table[xxhash.xxh64_intdigest(text, seed=42) & (len(self.table) - 1)])
+
+
 def _meetings(slots: bytes, window: int | None):
     """(entity, term, documents of these that hold both), for entities whose slot is set."""
     def run(batches):
-        table = np.unpackbits(np.frombuffer(slots, dtype=np.uint8)).astype(bool)
+        wanted = _Filter(slots)
         found: Counter = Counter()
 
         def rows():
@@ -189,10 +199,10 @@ def _meetings(slots: bytes, window: int | None):
 
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                near = near_entities(text, base_spans(text), window, lambda e: table[_slot(e)])
+                near = near_entities(text, base_spans(text), window, wanted)
                 for e, terms in near.items():
                     found.update((e, t) for t in terms)
-                    if len(found) > 100_000:
+                    if len(found) > HELD:
                         yield rows()
         if found:
             yield rows()
@@ -200,23 +210,32 @@ def _meetings(slots: bytes, window: int | None):
 
 
 def _frequencies(slots: bytes):
-    """(term, documents of this batch that hold it), for terms whose slot is set."""
+    """(term, documents of this task that hold it), for terms whose slot is set."""
     def run(batches):
-        table = np.unpackbits(np.frombuffer(slots, dtype=np.uint8)).astype(bool)
+        passes = _Filter(slots)
         wanted: dict[str, bool] = {}
+        found: Counter = Counter()
+
+        def rows():
+            out = pa.RecordBatch.from_pydict({"term": pa.array(list(found), pa.string()),
+                                              "n": pa.array(list(found.values()), pa.int64())})
+            found.clear()
+            return out
+
         for batch in batches:
-            found: Counter = Counter()
             for text in batch.column(0).to_pylist():
                 for term in set(_TERM.findall(text.lower())):
                     ok = wanted.get(term)
                     if ok is None:
                         if len(wanted) > 300_000:
                             wanted.clear()
-                        ok = wanted[term] = bool(table[_slot(term)])
+                        ok = wanted[term] = passes(term)
                     if ok:
                         found[term] += 1
-            yield pa.RecordBatch.from_pydict({"term": pa.array(list(found), pa.string()),
-                                              "n": pa.array(list(found.values()), pa.int64())})
+                if len(found) > HELD:
+                    yield rows()
+        if found:
+            yield rows()
     return run
 
 
