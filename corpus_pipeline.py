@@ -20,6 +20,8 @@ from strata.llm.suffix_dedup import remove_repeated_bytes
 
 #: A document goes if no language reaches this mean probability (or it has no letters).
 MIN_LANGUAGE_SCORE = 0.4
+#: Length of a repeated string that is removed: short enough for passages of 50 short words.
+REPEATED_BYTES = 200
 
 
 def with_text(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -53,9 +55,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the bytes of 400-byte strings that occur again anywhere."""
+    """Texts without the bytes of strings of REPEATED_BYTES that occur again anywhere."""
     keep = [c for c in docs.columns if c not in ("text", "n_chars")]
-    clean = remove_repeated_bytes(docs, 400, keep=keep)
+    clean = remove_repeated_bytes(docs, REPEATED_BYTES, keep=keep)
     return with_text(clean.withColumnRenamed("kept_text", "text"), docs.columns)
 
 
