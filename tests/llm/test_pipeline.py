@@ -11,6 +11,7 @@ from test_near_dedup import brute as brute_near
 from test_pii import brute as brute_pii
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+N = P.REPEATED_BYTES
 
 
 def docs(spark):
@@ -74,16 +75,16 @@ def test_suffix_stage_removes_repeated_bytes(stages):
     before = {d: (t or "").encode() for d, t in table(stages[2]).items()}
     seen = {}
     for b in before.values():
-        for i in range(len(b) - 399):
-            seen[b[i:i + 400]] = seen.get(b[i:i + 400], 0) + 1
+        for i in range(len(b) - N + 1):
+            seen[b[i:i + N]] = seen.get(b[i:i + N], 0) + 1
     after = table(stages[3])
     assert set(after) == set(before)
     removed = 0
     for d, b in before.items():
         gone = np.zeros(len(b), bool)
-        for i in range(len(b) - 399):
-            if seen[b[i:i + 400]] > 1:
-                gone[i:i + 400] = True
+        for i in range(len(b) - N + 1):
+            if seen[b[i:i + N]] > 1:
+                gone[i:i + N] = True
         removed += gone.sum()
         assert after[d] == bytes(np.frombuffer(b, np.uint8)[~gone]).decode("utf-8", "ignore")
     assert removed > 0
