@@ -5,13 +5,17 @@ production orders and inspections, part as versioned equipment)."""
 from __future__ import annotations
 
 import datetime as _dt
+from dataclasses import replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import rulesets, starschema
 from ..context import RunContext
-from ..operators import history
+from ..functions.dates import date_key
+from ..operators import allocator, history, model
+from ..session import scratch_path
+from ..sources.writers import RUN_COL
 from .fixtures import NULL_DEVICE_EVERY, NULL_FACILITY_EVERY, NULL_TECHNICIAN_EVERY
 from .tables import Tables
 
@@ -20,6 +24,11 @@ CTX = RunContext(run_id="gold-1", as_of=_dt.datetime(2026, 3, 1))
 # without known equipment, the number of technicians and the soft-deleted event type.
 EQUIPMENT_FROM, EQUIPMENT_CHANGE = "1900-01-01", "2024-01-16"
 EQUIPMENT_SHIFT, TECHNICIANS, DELETED_EVENT = 1000, 7, "error"
+# Where the second load of a fact begins, the bounds of the three loads of lines, and
+# which equipment the broken star's dimension has lost.
+SECOND_LOAD_EVENTS, SECOND_LOAD_ORDERS = "2024-01-16 00:00:00", "1997-01-01 00:00:00"
+LINE_LOADS = ("1996-06-01 00:00:00", "1999-01-01 00:00:00")
+LOST_EQUIPMENT = 5
 
 
 def equipment(t: Tables) -> DataFrame:
@@ -78,34 +87,89 @@ def maintenance(t: Tables) -> DataFrame:
         (F.col("event_type") == DELETED_EVENT).alias("is_deleted"))
 
 
+def _appended(spark, name: str, loads: dict[str, DataFrame]) -> DataFrame:
+    """The fact written in several runs, each above the keys of those before, and read back."""
+    path, high_water = scratch_path(spark, name), scratch_path(spark, f"{name}-keys")
+    for run_id, fact in loads.items():
+        starschema.append_fact(fact, name, path, high_water, replace(CTX, run_id=run_id))
+    return spark.read.parquet(path)
+
+
+def _keys_once(fact: DataFrame, sk: str) -> DataFrame:
+    """`key_uses`: how many rows of the whole table, over all runs, have the row's key."""
+    return fact.withColumn("key_uses", F.count(F.lit(1)).over(Window.partitionBy(sk))).withColumnRenamed(RUN_COL, "run_id")
+
+
+def _before(column: str, day: str):
+    return F.col(column) < F.lit(day).cast("timestamp_ntz")
+
+
 def gold_fact_sensor(spark, sf_dir):
+    """Readings appended in two loads, with every measure and dimension key."""
     t = Tables(spark, sf_dir)
     tel = telemetry(t)
-    f = starschema.fact_sensor_readings(tel, starschema.dim_equipment(equipment(t)), starschema.dim_facility(tel, CTX),
-                                        CTX, equipment_key="equipment_id")
-    return f.select("sensor_reading_sk", "equipment_sk", "facility_sk", "timestamp_sk", "temperature", "device_id")
+    eq, fac = starschema.dim_equipment(equipment(t)), starschema.dim_facility(tel, CTX)
+    build = lambda rows: starschema.fact_sensor_readings(rows, eq, fac, CTX, "equipment_id", first_sk=None)
+    early = _before("event_timestamp", SECOND_LOAD_EVENTS)
+    f = _keys_once(_appended(spark, "fact_sensor_readings", {
+        "load-1": build(tel.where(early)), "load-2": build(tel.where(~early))}), "sensor_reading_sk")
+    return f.select("run_id", "key_uses", "equipment_sk", "facility_sk", "timestamp_sk", "temperature", "vibration_x",
+                    "vibration_y", "device_id", "equipment_type", "pressure", "power_consumption", "rpm")
 
 
 def gold_fact_production(spark, sf_dir):
+    """Production output appended in two loads, with every measure and dimension key."""
     t = Tables(spark, sf_dir)
-    orders = production_orders(t)
-    f = starschema.fact_production_output(orders, inspections(t), starschema.dim_production_order(orders, CTX),
-                                          starschema.dim_equipment(equipment(t)), starschema.dim_facility(orders, CTX), CTX)
-    return f.select("production_sk", "order_sk", "equipment_sk", "facility_sk", "timestamp_sk", "units_produced",
-                    "units_passed", "units_rejected", "yield_rate")
+    orders, insp = production_orders(t), inspections(t)
+    dims = (starschema.dim_production_order(orders, CTX), starschema.dim_equipment(equipment(t)), starschema.dim_facility(orders, CTX))
+    build = lambda rows: starschema.fact_production_output(rows, insp, *dims, CTX, first_sk=None)
+    early = _before("start_time", SECOND_LOAD_ORDERS)
+    f = _keys_once(_appended(spark, "fact_production_output", {
+        "load-1": build(orders.where(early)), "load-2": build(orders.where(~early))}), "production_sk")
+    return f.select("run_id", "key_uses", "order_sk", "equipment_sk", "facility_sk", "timestamp_sk", "units_produced",
+                    "units_passed", "units_rejected", "defect_count", "defect_rate", "yield_rate")
 
 
 def _maintenance_star(t: Tables):
     m = maintenance(t)
     dims = {"dim_equipment": starschema.dim_equipment(equipment(t)), "dim_technician": starschema.dim_technician(m, CTX),
             "dim_facility": starschema.dim_facility(m, CTX)}
-    return m, dims, starschema.fact_maintenance_events(m, *dims.values(), CTX)
+    build = lambda rows: starschema.fact_maintenance_events(rows, *dims.values(), CTX, first_sk=None)
+    early = _before("start_datetime", SECOND_LOAD_EVENTS)
+    return m, dims, _appended(t.spark, "fact_maintenance_events", {
+        "load-1": build(m.where(early)), "load-2": build(m.where(~early))})
 
 
 def gold_fact_maintenance(spark, sf_dir):
-    _, _, f = _maintenance_star(Tables(spark, sf_dir))
-    return f.select("maintenance_sk", "equipment_sk", "technician_sk", "facility_sk", "timestamp_sk",
-                    "downtime_minutes", "maintenance_cost_usd", "maintenance_type")
+    """Maintenance appended in two loads. The cost shares are drawn from a hash of the id, so their
+    bounds and their sum are shown rather than their values."""
+    f = _keys_once(_maintenance_star(Tables(spark, sf_dir))[2], "maintenance_sk")
+    most = F.col("maintenance_cost_usd") / starschema.COST_SHARE_BASE
+    share_ok = lambda c: F.col(c).between(F.least(most, F.lit(0.0)), F.greatest(most, F.lit(0.0)))
+    return f.select("run_id", "key_uses", "equipment_sk", "technician_sk", "facility_sk", "timestamp_sk",
+                    "downtime_minutes", "maintenance_cost_usd", "maintenance_type", "failure_code",
+                    (share_ok("parts_cost_usd") & share_ok("labor_cost_usd")).alias("shares_in_range"),
+                    (F.col("total_cost_usd") == F.col("parts_cost_usd") + F.col("labor_cost_usd")).alias("shares_add_up"))
+
+
+def gold_key_runs(spark, sf_dir):
+    """Keys of three loads, the second of which is tried twice: rows and distinct keys of each, and
+    whether they lie above those of the load before."""
+    t = Tables(spark, sf_dir)
+    rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_shipdate")
+    path = scratch_path(spark, "lines")
+    blocks = allocator.KeyBlocks(spark, scratch_path(spark, "lines-keys"))
+    day = lambda s: F.lit(s).cast("timestamp_ntz")
+    first, last = (F.col("l_shipdate") < day(x) for x in LINE_LOADS)
+    loads = [("load-1", first), ("load-2", ~first & last), ("load-2", ~first & last), ("load-3", ~last)]
+    for run_id, which in loads:
+        allocator.append_with_keys(rows.where(which), path, "line_sk", blocks, run_id)
+    per = spark.read.parquet(path).groupBy(F.col(RUN_COL).alias("run_id")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("line_sk").alias("n_keys"),
+        F.min("line_sk").alias("lo"), F.max("line_sk").alias("hi"))
+    before = F.lag("hi").over(Window.orderBy("run_id"))             # a row per load
+    return per.withColumn("above_before", F.coalesce(F.col("lo") > before, F.lit(True))).select(
+        "run_id", "n_rows", "n_keys", "above_before")
 
 
 def gold_validate(spark, sf_dir):
@@ -117,6 +181,27 @@ def gold_validate(spark, sf_dir):
     return found.select("check", "target", "status", "n_bad")
 
 
+def gold_validate_broken(spark, sf_dir):
+    """The suite over a star with faults of every kind: readings without facility or with an unknown
+    one, a dimension that lost equipment, and a calendar that ends before the last readings."""
+    t = Tables(spark, sf_dir)
+    e = F.col("event_id")
+    f = t.events.select(
+        e.alias("sensor_reading_sk"), F.col("user_id").alias("equipment_sk"),
+        F.when(e % NULL_FACILITY_EVERY == 0, F.lit(None)).when(e % NULL_TECHNICIAN_EVERY == 0, model.UNKNOWN_SK)
+        .otherwise(F.length("event_type")).cast("bigint").alias("facility_sk"),
+        date_key("ts").alias("timestamp_sk"), F.col("value").alias("temperature"), F.lit("r").alias(RUN_COL))
+    ids = t.events.select("user_id").distinct()
+    equipment_dim = ids.where(F.col("user_id") % LOST_EQUIPMENT != 0).select(
+        F.col("user_id").alias("equipment_sk"), F.col("user_id").cast("string").alias("equipment_id"))
+    facility_dim = t.events.select(F.length("event_type").cast("bigint").alias("facility_sk"),
+                                   F.lit(None).cast("string").alias("facility_id")).distinct() \
+        .unionByName(spark.range(1).select(F.lit(model.UNKNOWN_SK).cast("bigint").alias("facility_sk"), F.lit("x").alias("facility_id")))
+    early = t.events.where(_before("ts", SECOND_LOAD_EVENTS))
+    dims = {"dim_equipment": equipment_dim, "dim_facility": facility_dim, "dim_timestamp": starschema.dim_timestamp(early, "ts", CTX)}
+    return starschema.validate_gold({"fact_sensor_readings": f}, dims, CTX).select("check", "target", "severity", "status", "n_bad")
+
+
 def _cleansed(entity: str, bronze: DataFrame, order: list[str]) -> DataFrame:
     _, v = rulesets.cleanse(entity, bronze, CTX, order)
     return v.groupBy("violated_rule_id", "action_taken").agg(F.count(F.lit(1)).alias("n"))

@@ -192,21 +192,48 @@ ORACLE = {
     "stream_parquet_rescue": "select event_id, value, cast(null as int) as event_type, event_type as event_type_text, props from events",
     # ---- gold facts with all their dimension keys
     "gold_fact_sensor": _STAR + """, fac as (select fid, row_number() over (order by fid) as sk from (select distinct event_type as fid from events) x)
-  select cast(row_number() over (order by 'DEV-' || cast(user_id as varchar), ts) as bigint) as sensor_reading_sk, cast(coalesce(eq.sk, -1) as bigint) as equipment_sk, cast(fac.sk as bigint) as facility_sk,
-  cast(strftime(ts, '%Y%m%d') as int) as timestamp_sk, value as temperature, 'DEV-' || cast(user_id as varchar) as device_id
+  select case when ts < timestamp '2024-01-16' then 'load-1' else 'load-2' end as run_id, cast(1 as bigint) as key_uses, cast(coalesce(eq.sk, -1) as bigint) as equipment_sk, cast(fac.sk as bigint) as facility_sk,
+  cast(strftime(ts, '%Y%m%d') as int) as timestamp_sk, value as temperature, value / 3 as vibration_x, value / 4 as vibration_y, 'DEV-' || cast(user_id as varchar) as device_id,
+  event_type as equipment_type, value as pressure, value as power_consumption, cast(event_id as int) as rpm
   from events join fac on fid = event_type left join eq on eid = cast(user_id as varchar) and cast(ts as date) >= st and (cast(ts as date) < en or en is null)""",
     "gold_fact_production": _STAR + """, fac as (select fid, row_number() over (order by fid) as sk from (select distinct o_orderpriority as fid from orders) x),
   od as (select *, row_number() over (order by cast(o_orderkey as varchar)) as osk from orders),
   li as (select l_orderkey, cast(sum(l_quantity) as int) as inspected, cast(sum(case when l_returnflag = 'R' then l_quantity else 0.0 end) as int) as rejected from lineitem group by l_orderkey)
-  select cast(row_number() over (order by cast(o_orderkey as varchar)) as bigint) as production_sk, cast(osk as bigint) as order_sk, cast(coalesce(eq.sk, -1) as bigint) as equipment_sk, cast(fac.sk as bigint) as facility_sk,
+  select case when o_orderdate < timestamp '1997-01-01' then 'load-1' else 'load-2' end as run_id, cast(1 as bigint) as key_uses, cast(osk as bigint) as order_sk, cast(coalesce(eq.sk, -1) as bigint) as equipment_sk, cast(fac.sk as bigint) as facility_sk,
   cast(strftime(o_orderdate, '%Y%m%d') as int) as timestamp_sk, cast(floor(o_totalprice) as int) as units_produced, cast(floor(o_totalprice) as int) - rejected as units_passed, rejected as units_rejected,
+  rejected as defect_count, case when inspected > 0 then rejected / cast(inspected as double) end as defect_rate,
   case when floor(o_totalprice) > 0 then (cast(floor(o_totalprice) as int) - rejected) / cast(floor(o_totalprice) as double) end as yield_rate
   from od join li on l_orderkey = o_orderkey join fac on fid = o_orderpriority
   left join eq on eid = cast(o_custkey + 1000 as varchar) and cast(o_orderdate as date) >= st and (cast(o_orderdate as date) < en or en is null)""",
-    "gold_fact_maintenance": _STAR + _MAINT + """select cast(row_number() over (order by cast(event_id as varchar)) as bigint) as maintenance_sk, cast(coalesce(eq.sk, -1) as bigint) as equipment_sk, cast(coalesce(tech.sk, -1) as bigint) as technician_sk,
-  cast(fac.sk as bigint) as facility_sk, cast(strftime(ts, '%Y%m%d') as int) as timestamp_sk, cast(event_id % 100 as int) as downtime_minutes, value as maintenance_cost_usd, 'CORRECTIVE' as maintenance_type
+    "gold_fact_maintenance": _STAR + _MAINT + """select case when ts < timestamp '2024-01-16' then 'load-1' else 'load-2' end as run_id, cast(1 as bigint) as key_uses, cast(coalesce(eq.sk, -1) as bigint) as equipment_sk,
+  cast(coalesce(tech.sk, -1) as bigint) as technician_sk, cast(fac.sk as bigint) as facility_sk, cast(strftime(ts, '%Y%m%d') as int) as timestamp_sk, cast(event_id % 100 as int) as downtime_minutes, value as maintenance_cost_usd,
+  'CORRECTIVE' as maintenance_type, 'FC' as failure_code, true as shares_in_range, true as shares_add_up
   from m join fac on fid = event_type left join tech on tech.tid = m.tid left join eq on eid = cast(user_id as varchar) and cast(ts as date) >= st and (cast(ts as date) < en or en is null)
   where event_type <> 'error'""",
+    "gold_key_runs": """select case when l_shipdate < timestamp '1996-06-01' then 'load-1' when l_shipdate < timestamp '1999-01-01' then 'load-2' else 'load-3' end as run_id,
+  count(*) as n_rows, count(*) as n_keys, true as above_before from lineitem group by 1""",
+    "gold_validate_broken": """with f as (select user_id, case when event_id % 103 = 0 then null when event_id % 11 = 0 then -1 else length(event_type) end as fac, cast(ts as date) as d from events),
+  c as (select min(cast(ts as date)) as lo, max(cast(ts as date)) as hi from events where ts < timestamp '2024-01-16'),
+  x as (select count(*) filter (fac is null) as no_fac, count(*) filter (fac = -1) as un_fac, count(*) filter (user_id % 5 = 0) as lost, count(*) filter (not d between lo and hi) as undated from f, c),
+  r as (select 'columns' as c, 'fact_sensor_readings' as t, 'ERROR' as s, 10 as n
+   union all select 'not_null', 'fact_sensor_readings', 'ERROR', no_fac from x
+   union all select 'not_null', 'dim_equipment', 'ERROR', 0
+   union all select 'not_null', 'dim_facility', 'ERROR', (select count(distinct length(event_type)) from events)
+   union all select 'not_null', 'dim_timestamp', 'ERROR', 0
+   union all select 'fk_facility_sk', 'fact_sensor_readings', 'ERROR', no_fac from x
+   union all select 'unknown_facility_sk', 'fact_sensor_readings', 'WARN', un_fac from x
+   union all select 'fk_equipment_sk', 'fact_sensor_readings', 'ERROR', lost from x
+   union all select 'unknown_equipment_sk', 'fact_sensor_readings', 'WARN', 0
+   union all select 'fk_timestamp_sk', 'fact_sensor_readings', 'ERROR', undated from x
+   union all select 'date_coverage', 'fact_sensor_readings', 'ERROR', undated from x)
+  select c as "check", t as target, s as severity, case when n > 0 then 'FAIL' else 'PASS' end as status, cast(n as bigint) as n_bad from r""",
+    "fact_asof_binned": """with days as (select o_orderpriority as priority, cast(o_orderdate as date) as st, max(o_totalprice) as top_price from orders group by 1, 2),
+  w as (select *, row_number() over (partition by priority order by st) as ver, lead(st) over (partition by priority order by st) as nxt from days),
+  v as (select priority, st, top_price, ver, case when ver % 7 = 0 then st + 1 else nxt end as en from w),
+  li as (select *, ['1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED', '5-LOW'][l_orderkey % 5 + 1] as equipment, cast(l_shipdate as date) as d from lineitem),
+  j as (select li.*, v.ver, v.st, v.top_price, v.en from li asof left join v on li.equipment = v.priority and li.d >= v.st)
+  select l_orderkey, l_linenumber, l_partkey, l_extendedprice, equipment, case when d < en or en is null then cast(ver as int) end as ver,
+  case when d < en or en is null then st end as st, case when d < en or en is null then top_price end as top_price from j""",
     "gold_validate": _STAR + _MAINT + """, u as (select count(*) filter (tid is null) as n_tech, count(*) filter (eid is null) as n_eq from m
   left join eq on eid = cast(user_id as varchar) and cast(ts as date) >= st and (cast(ts as date) < en or en is null) where event_type <> 'error')
   select c as "check", t as target, case when n > 0 then 'FAIL' else 'PASS' end as status, n as n_bad from (

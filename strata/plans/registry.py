@@ -28,11 +28,13 @@ def queries() -> dict[str, Query]:
                      "live_view", "cdc_null_keys", "scd2_late", "history_overlaps"])
     q |= _from(star, ["sk_dense", "dim_order", "dim_from_fact", "dim_versions", "fact_temporal_join",
                       "chk_fact_grain", "fact_star_join", "fact_unknown_member", "fact_maintenance",
-                      "cost_split", "date_shift", "dim_date", "sk_incremental", "fact_production"])
+                      "cost_split", "date_shift", "dim_date", "sk_incremental", "fact_production",
+                      "fact_asof_binned"])
     q |= _from(governed, ["rls_scoped", "cls_mask", "chk_unmasked", "chk_rls_scope",
                           "chk_date_coverage", "chk_fk_left_null", "chk_reconcile", "chk_not_null",
                          "chk_reconcile_dups", "chk_schema", "view_sql", "rls_all"])
     q |= _from(gold, ["gold_fact_sensor", "gold_fact_production", "gold_fact_maintenance", "gold_validate",
+                      "gold_key_runs", "gold_validate_broken",
                       "cleanse_telemetry", "cleanse_orders", "cleanse_maintenance", "cleanse_inspections"])
     q |= _from(io, ["json_roundtrip", "csv_roundtrip", "source_file", "conform_schema",
                     "stream_ingest", "stream_rerun", "layout_same_rows", "stream_dq_split",

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import date_key, shift_days, shift_seconds
-from ..operators import keys, model
+from ..operators import asof, keys, model
 from .fixtures import NULL_TECHNICIAN_EVERY, part_versions
 from .tables import Tables
 
@@ -49,6 +50,33 @@ def fact_temporal_join(spark, sf_dir):
     return j.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "ver")
 
 
+# Fixed values of the long histories: the priorities that stand for equipment, how often a version
+# ends before the next one starts, and after how many days.
+PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+GAP_EVERY, GAP_DAYS = 7, 1
+
+
+def _long_history(orders):
+    """A version of each priority from every day with such orders to the next; every seventh ends a
+    day after its start. A few keys, thousands of versions each."""
+    days = orders.groupBy(F.col("o_orderpriority").alias("priority"), F.to_date("o_orderdate").alias("st")).agg(
+        F.max("o_totalprice").alias("top_price"))
+    w = Window.partitionBy("priority").orderBy("st")
+    nth = F.row_number().over(w)
+    return days.withColumns({"ver": nth, "en": F.lead("st").over(w)}).withColumn(
+        "en", F.when(F.col("ver") % GAP_EVERY == 0, F.date_add("st", GAP_DAYS)).otherwise(F.col("en")))
+
+
+def fact_asof_binned(spark, sf_dir):
+    """Every line with the version of its equipment on the day it was shipped, from histories of
+    thousands of versions on five keys (a line without a version keeps NULLs)."""
+    t = Tables(spark, sf_dir)
+    which = F.element_at(F.array(*[F.lit(p) for p in PRIORITIES]), (F.col("l_orderkey") % len(PRIORITIES) + 1).cast("int"))
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_shipdate", which.alias("equipment"))
+    j = asof.asof_join(lines, _long_history(t.orders), "equipment", "priority", "l_shipdate", "st", "en")
+    return j.select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "equipment", "ver", "st", "top_price")
+
+
 def chk_fact_grain(spark, sf_dir):
     """Grain check on the *inclusive* interval join: driving rows matched twice."""
     t = Tables(spark, sf_dir)

@@ -32,12 +32,16 @@ def conform(df: DataFrame, schema: T.StructType, strict: bool = False) -> DataFr
     return df.select(*cols)
 
 
+def run_folder(path: str, run_id: str) -> str:
+    return f"{path.rstrip('/')}/{RUN_COL}={quote(run_id, safe='._- ')}"
+
+
 def write_run(df: DataFrame, path: str, run_id: str, fmt: str = "parquet",
               partition_by: Sequence[str] = ()) -> None:
     """Append keyed by run: each run is a folder of its own that a retry replaces as a whole, so
     it never doubles rows and leaves none of an earlier attempt (also with fewer sub-partitions
     or no rows). Reading `path` gives the run as a partition column."""
-    folder = f"{path.rstrip('/')}/{RUN_COL}={quote(run_id, safe='._- ')}"
+    folder = run_folder(path, run_id)
     out = df.drop(RUN_COL)
     w = (out.hint("rebalance", *partition_by) if partition_by else out).write.format(fmt).mode("overwrite")
     w.option("partitionOverwriteMode", "static").partitionBy(*partition_by).save(folder)

@@ -15,8 +15,8 @@ from . import schemas
 from .context import RunContext
 from .functions.dates import date_key
 from .functions.hashing import hash_bucket
-from .operators import dedup, history, keys, model
-from .sources.writers import conform
+from .operators import allocator, asof, checks, dedup, history, keys, model, report
+from .sources.writers import RUN_COL, conform
 
 # Default attributes of derived dimension members.
 FACILITY_NAME_PREFIX = "Facility "
@@ -108,20 +108,41 @@ def _equipment_sk(facts: DataFrame, equipment: DataFrame, fact_key: str | None,
         return facts.withColumn("equipment_sk", F.lit(model.UNKNOWN_SK).cast("bigint"))
     v = equipment.select(F.col("equipment_id").alias("__eq"), F.col(history.START).alias("__st"),
                          F.col(history.END).alias("__en"), F.col("equipment_sk").alias("__esk"))
-    j = model.temporal_join(facts, v, fact_key, "__eq", fact_date, "__st", "__en", how="left")
+    j = asof.asof_join(facts, v, fact_key, "__eq", fact_date, "__st", "__en")
     return (j.withColumn("equipment_sk", F.coalesce(F.col("__esk"), F.lit(model.UNKNOWN_SK).cast("bigint")))
             .drop("__eq", "__st", "__en", "__esk"))
 
 
+def _numbered(f: DataFrame, order: list[str], sk_col: str, first_sk: int | None) -> DataFrame:
+    """Dense keys from `first_sk`, or none yet: `append_fact` gives them in the write."""
+    if first_sk is None:
+        return f.withColumn(sk_col, F.lit(None).cast("bigint"))
+    return keys.dense_keys(f, order, sk_col, start=first_sk)
+
+
+# The surrogate key of each fact.
+FACT_KEYS = {"fact_sensor_readings": "sensor_reading_sk", "fact_production_output": "production_sk",
+             "fact_maintenance_events": "maintenance_sk"}
+
+
+def append_fact(fact: DataFrame, name: str, path: str, high_water: str, ctx: RunContext) -> dict:
+    """Append a fact built with `first_sk=None` as this run's rows under `path`. Its keys come from
+    blocks above the high water stored in the folder `high_water`, in the job that writes: no
+    sort, no checkpoint and no second plan of the fact, and no key is given twice over all runs."""
+    blocks = allocator.KeyBlocks(fact.sparkSession, high_water)
+    return allocator.append_with_keys(fact.drop(RUN_COL), path, FACT_KEYS[name], blocks, ctx.run_id)
+
+
 def fact_sensor_readings(telemetry: DataFrame, equipment: DataFrame, facility: DataFrame,
-                         ctx: RunContext, equipment_key: str | None = None, first_sk: int = 1) -> DataFrame:
-    """One row per valid reading, numbered from `first_sk` by device and time. Readings carry no equipment id in the landed data, so
+                         ctx: RunContext, equipment_key: str | None = None, first_sk: int | None = 1) -> DataFrame:
+    """One row per valid reading, numbered from `first_sk` by device and time (None: `append_fact`
+    gives the keys). Readings carry no equipment id in the landed data, so
     `equipment_key=None` records the unknown member instead of multiplying each reading
     by every equipment of its facility."""
     f = telemetry.withColumn("__d", F.to_date("event_timestamp"))
     f = _equipment_sk(f, equipment, equipment_key, "__d")
     f = model.lookup_keys(f, facility, "facility_id", "facility_id", "facility_sk")
-    f = keys.dense_keys(f, ["device_id", "event_timestamp"], "sensor_reading_sk", start=first_sk)
+    f = _numbered(f, ["device_id", "event_timestamp"], "sensor_reading_sk", first_sk)
     out = f.select(
         "sensor_reading_sk", "equipment_sk", "facility_sk", date_key("__d").alias("timestamp_sk"), "temperature",
         "vibration_x", "vibration_y", "device_id", "equipment_type", "pressure", "power_consumption",
@@ -132,16 +153,16 @@ def fact_sensor_readings(telemetry: DataFrame, equipment: DataFrame, facility: D
 
 def fact_production_output(orders: DataFrame, inspections: DataFrame, order_dim: DataFrame,
                            equipment: DataFrame, facility: DataFrame, ctx: RunContext,
-                           first_sk: int = 1) -> DataFrame:
+                           first_sk: int | None = 1) -> DataFrame:
     """Grain: one inspection of an order (inner: an order needs an inspection to have output),
-    numbered from `first_sk` by order and inspection."""
+    numbered from `first_sk` by order and inspection (None: `append_fact` gives the keys)."""
     q = inspections.select("inspection_id", "order_id", "units_rejected", "units_inspected", "units_passed")
     f = orders.select("order_id", "equipment_id", "facility_id", "quantity_ordered", "start_time") \
         .join(q, "order_id").withColumn("__d", F.to_date("start_time"))
     f = model.lookup_keys(f, order_dim, "order_id", "order_id", "order_sk")
     f = _equipment_sk(f, equipment, "equipment_id", "__d")
     f = model.lookup_keys(f, facility, "facility_id", "facility_id", "facility_sk")
-    f = keys.dense_keys(f, ["order_id", "inspection_id"], "production_sk", start=first_sk)
+    f = _numbered(f, ["order_id", "inspection_id"], "production_sk", first_sk)
     m = model.production_measures(F.col("quantity_ordered"), F.col("units_rejected"),
                                   F.col("units_inspected"), F.col("units_passed"))
     out = f.select(
@@ -154,15 +175,15 @@ def fact_production_output(orders: DataFrame, inspections: DataFrame, order_dim:
 
 
 def fact_maintenance_events(maintenance: DataFrame, equipment: DataFrame, technician: DataFrame,
-                            facility: DataFrame, ctx: RunContext, first_sk: int = 1) -> DataFrame:
-    """Live (not soft-deleted) maintenance rows, numbered from `first_sk` by id; cost shares are
-    repeatable per row."""
+                            facility: DataFrame, ctx: RunContext, first_sk: int | None = 1) -> DataFrame:
+    """Live (not soft-deleted) maintenance rows, numbered from `first_sk` by id (None: `append_fact`
+    gives the keys); cost shares are repeatable per row."""
     live = maintenance.filter(~F.coalesce(F.col("is_deleted"), F.lit(False)))
     f = live.withColumn("__d", F.to_date("start_datetime"))
     f = _equipment_sk(f, equipment, "equipment_id", "__d")
     f = model.lookup_keys(f, technician, "maintenance_technician_id", "technician_id", "technician_sk")
     f = model.lookup_keys(f, facility, "facility_id", "facility_id", "facility_sk")
-    f = keys.dense_keys(f, ["maintenance_id"], "maintenance_sk", start=first_sk)
+    f = _numbered(f, ["maintenance_id"], "maintenance_sk", first_sk)
     base = F.col("maintenance_cost_usd") / F.lit(COST_SHARE_BASE)
     parts = base * hash_bucket(SHARE_BUCKETS, "maintenance_id", salt="parts") / F.lit(float(SHARE_BUCKETS))
     labor = base * hash_bucket(SHARE_BUCKETS, "maintenance_id", salt="labor") / F.lit(float(SHARE_BUCKETS))
@@ -179,6 +200,22 @@ FACT_METADATA = ("_pipeline_run_id", "created_at")
 ERROR, WARN = "ERROR", "WARN"
 
 
+#: The dimension each foreign key of a fact points to.
+DIMENSION_KEYS = {"dim_facility": "facility_sk", "dim_equipment": "equipment_sk", "dim_technician": "technician_sk",
+                  "dim_production_order": "order_sk", "dim_timestamp": "timestamp_sk"}
+
+
+def _key_profile(name: str, df: DataFrame, foreign: list[str], required: list[str]) -> DataFrame:
+    """(target, col, key, n): how often each value of a foreign key occurs, and how often a required
+    column is NULL. One scan, counted before anything moves, so a key (or the unknown member) that
+    holds a third of the rows leaves a task as one row."""
+    entry = lambda c, key: F.struct(F.lit(c).alias("col"), key.cast("bigint").alias("key"))
+    wanted = [entry(c, F.col(c)) for c in foreign]
+    wanted += [F.when(F.col(c).isNull(), entry(c, F.lit(None))) for c in required if c not in foreign]
+    return (df.select(F.explode(F.array_compact(F.array(*wanted))).alias("e")).groupBy("e.col", "e.key")
+            .agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("target"), "col", "key", "n"))
+
+
 def validate_gold(facts: dict[str, DataFrame], dims: dict[str, DataFrame], ctx: RunContext,
                   analyst_view: DataFrame | None = None, masked: tuple[DataFrame, str] | None = None,
                   sources: dict[str, tuple[DataFrame, DataFrame, list[str]]] | None = None) -> DataFrame:
@@ -188,8 +225,8 @@ def validate_gold(facts: dict[str, DataFrame], dims: dict[str, DataFrame], ctx:
     single-scope analyst view (WARN) and whole-column masking.
 
     `facts` / `dims` are keyed by table name as in `schemas.REQUIRED`; `sources` maps a
-    name to (source, bronze, key columns)."""
-    from .operators import checks, report
+    name to (source, bronze, key columns). Every table is read once: what all key checks need are
+    the counts of its key values, which meet all dimensions' keys in a single join."""
     rows: list[DataFrame] = []
     for name, (src, bronze, key) in (sources or {}).items():
         r = checks.reconcile(src, bronze, key).select((F.col("n_missing") + F.col("n_extra")).alias("n"))
@@ -197,36 +234,28 @@ def validate_gold(facts: dict[str, DataFrame], dims: dict[str, DataFrame], ctx:
     declared = {"fact_sensor_readings": schemas.FACT_SENSOR_READINGS,
                 "fact_production_output": schemas.FACT_PRODUCTION_OUTPUT,
                 "fact_maintenance_events": schemas.FACT_MAINTENANCE_EVENTS}
-    for name, df in facts.items():
-        gaps = checks.schema_gaps(df, [f.name for f in declared[name].fields])["missing"] \
-            if name in declared else []
-        gaps += [c for c in FACT_METADATA if c not in df.columns]
-        rows.append(checks.check_row("columns", name, ERROR,
-                                     df.sparkSession.range(1).select(F.lit(len(gaps)).alias("n")), ctx))
+    expected: list[tuple[str, str, str, str, str, int]] = []    # check, target, severity, col, kind, known count
+    profiles: list[DataFrame] = []
+    spark = None
     for name, df in {**facts, **dims}.items():
-        req = [c for c in schemas.REQUIRED.get(name, []) if c in df.columns]
-        if req:
-            nulls = checks.null_counts(df, req)
-            total = sum((F.col(c) for c in req[1:]), F.col(req[0]))
-            rows.append(checks.check_row("not_null", name, ERROR, nulls.select(total.alias("n")), ctx))
-    sk_of = {"dim_facility": "facility_sk", "dim_equipment": "equipment_sk",
-             "dim_technician": "technician_sk", "dim_production_order": "order_sk",
-             "dim_timestamp": "timestamp_sk"}
-    for fname, f in facts.items():
-        for dname, sk in sk_of.items():
-            if dname in dims and sk in f.columns:
-                miss = checks.count_orphans(f, dims[dname], sk, sk)
-                rows.append(checks.check_row(f"fk_{sk}", fname, ERROR, miss, ctx))
-                if sk != "timestamp_sk":
-                    unknown = f.agg(F.count_if(F.col(sk) == model.UNKNOWN_SK).alias("n"))
-                    rows.append(checks.check_row(f"unknown_{sk}", fname, WARN, unknown, ctx))
-    if "dim_timestamp" in dims:
-        for fname, f in facts.items():
-            if "timestamp_sk" in f.columns:
-                d = f.select(F.to_date(F.col("timestamp_sk").cast("string"), "yyyyMMdd").alias("__d"))
-                miss = checks.missing_dates(d, "__d", dims["dim_timestamp"], "date_day")
-                rows.append(checks.check_row("date_coverage", fname, ERROR,
-                                             miss.agg(F.count(F.lit(1)).alias("n")), ctx))
+        spark = df.sparkSession
+        foreign = [sk for d, sk in DIMENSION_KEYS.items() if d in dims and sk in df.columns] if name in facts else []
+        required = [c for c in schemas.REQUIRED.get(name, []) if c in df.columns]
+        if foreign or required:
+            profiles.append(_key_profile(name, df, foreign, required))
+        if name in facts:
+            gaps = checks.schema_gaps(df, [f.name for f in declared[name].fields])["missing"] if name in declared else []
+            gaps = {*gaps, *(c for c in FACT_METADATA if c not in df.columns)}
+            expected.append(("columns", name, ERROR, "", "", len(gaps)))
+        expected += [("not_null", name, ERROR, c, "nulls", 0) for c in required]
+        for sk in foreign:
+            expected.append((f"fk_{sk}", name, ERROR, sk, "orphans", 0))
+            if sk != "timestamp_sk":
+                expected.append((f"unknown_{sk}", name, WARN, sk, "unknown", 0))
+        if "dim_timestamp" in dims and "timestamp_sk" in foreign:
+            expected.append(("date_coverage", name, ERROR, "timestamp_sk", "undated", 0))
+    if profiles:
+        rows.append(_judged(spark, profiles, dims, expected, ctx))
     if analyst_view is not None:
         scope = checks.distinct_count(analyst_view, "facility_sk").select((F.col("n") - 1).alias("n"))
         rows.append(checks.check_row("single_scope", "analyst_view", WARN, scope, ctx))
@@ -234,3 +263,27 @@ def validate_gold(facts: dict[str, DataFrame], dims: dict[str, DataFrame], ctx:
         view, col = masked
         rows.append(checks.check_row("masking", col, ERROR, checks.unmasked_count(view, col, null_ok=True), ctx))
     return report.union_all(rows)
+
+
+def _judged(spark, profiles: list[DataFrame], dims: dict[str, DataFrame], expected: list[tuple], ctx: RunContext) -> DataFrame:
+    """One result row for each (check, target) of `expected` from the key counts of all tables."""
+    known = [dims[d].select(F.lit(sk).alias("col"), F.col(sk).cast("bigint").alias("key"),
+                            (F.col("date_day") if d == "dim_timestamp" else F.lit(None).cast("date")).alias("day"))
+             for d, sk in DIMENSION_KEYS.items() if d in dims and sk in dims[d].columns]
+    n, counts = F.col("n"), report.union_all(profiles)
+    if known:
+        keys_of = report.union_all(known).groupBy("col", "key").agg(F.lit(True).alias("found"), F.max("day").alias("day"))
+        counts = counts.join(keys_of, ["col", "key"], "left")
+    else:
+        counts = counts.withColumns({"found": F.lit(None).cast("boolean"), "day": F.lit(None).cast("date")})
+    day = F.try_to_date(F.col("key").cast("string"), "yyyyMMdd")
+    kinds = {"nulls": F.col("key").isNull(), "orphans": F.col("found").isNull(), "unknown": F.col("key") == model.UNKNOWN_SK,
+             "undated": F.col("day").isNull() | ~F.col("day").eqNullSafe(day)}
+    found = (counts.groupBy("target", "col").agg(*[F.sum(F.when(c, n)).alias(k) for k, c in kinds.items()])
+             .unpivot(["target", "col"], list(kinds), "kind", "bad"))
+    wanted = spark.createDataFrame(expected, "check string, target string, severity string, col string, kind string, at_least bigint")
+    totals = (wanted.join(found, ["target", "col", "kind"], "left").groupBy("check", "target", "severity")
+              .agg(F.sum(F.col("at_least") + F.coalesce("bad", F.lit(0))).alias("n")))
+    return totals.select("check", "target", "severity",
+                         F.when(F.col("n") > 0, F.lit("FAIL")).otherwise(F.lit("PASS")).alias("status"),
+                         F.col("n").cast("bigint").alias("n_bad"), F.lit(ctx.run_id).alias("pipeline_run_id"))
