@@ -54,7 +54,8 @@ def asof_join(facts: DataFrame, versions: DataFrame, fact_key: str, dim_key: str
     bins = f.where("__k is not null and __b is not null").select(F.col("__k").alias("k"), F.col("__b").alias("b")).distinct()
     placed = v.withColumn("b", _bin(F.col("start"), bin_days)).select("k", "b", "start", "end", "v") \
         .unionByName(carried(bins, v, bin_days).select("k", "b", "start", "end", "v"))
-    hit = ((F.col("__k") == F.col("k")) & (F.col("__b") == F.col("b")) & (F.col("__day") >= F.col("start"))
-           & (F.col("end").isNull() | (F.col("__day") < F.col("end"))))
+    placed = placed.toDF("__pk", "__pb", "__start", "__end", "__v")         # names facts don't have
+    hit = ((F.col("__k") == F.col("__pk")) & (F.col("__b") == F.col("__pb")) & (F.col("__day") >= F.col("__start"))
+           & (F.col("__end").isNull() | (F.col("__day") < F.col("__end"))))
     return f.join(placed, hit, how).select(*[F.col(c) for c in facts.columns],
-                                           *[F.col(f"v.__v{i}").alias(c) for i, c in enumerate(versions.columns)])
+                                           *[F.col(f"__v.__v{i}").alias(c) for i, c in enumerate(versions.columns)])
