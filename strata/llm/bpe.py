@@ -21,6 +21,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 #: Fixed values of the public word vocabulary: its word pattern and its white space.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+"
@@ -208,12 +209,49 @@ class ByteBPE:
         return " ".join([self.tokens[i] for i in ids])
 
 
+class Strange:
+    """Characters that the library's Unicode tables see otherwise than Python's: their class, lower
+    case, composition or combining order differ between the two versions. A character met for
+    the first time is tried against the library in several surroundings, once."""
+
+    def __init__(self, library, encode):
+        self.library, self.encode = library, encode
+        self.fine = {chr(i) for i in range(128)}
+        self.strange: set[str] = set()
+        first: dict[int, str] = {}              # a mark of every combining class, the same since long
+        for i in range(0x300, 0x20000):
+            if (c := unicodedata.combining(chr(i))) == unicodedata.ucd_3_2_0.combining(chr(i)):
+                first.setdefault(c, chr(i))
+        self.marks = [x for c, x in first.items() if c]
+
+    def around(self, x: str) -> list[str]:
+        out = [x, f"a{x}", f"{x}a", f"1{x}1", f".{x}.", f"a{x}\u0301", f"A{x}{x}", f" {x} b", f"a{x}'s"]
+        if unicodedata.category(x)[0] in "MC":
+            out += [f"a{m}{x}" for m in self.marks] + [f"a{x}{m}" for m in self.marks]
+        return out
+
+    def learn(self, characters: set[str]):
+        new = sorted(characters - self.fine - self.strange)
+        for i in range(0, len(new), 2000):
+            tries = [(x, t) for x in new[i:i + 2000] for t in self.around(x)]
+            want = self.library.encode_batch([t for _, t in tries], add_special_tokens=False)
+            for (x, _), got, e in zip(tries, self.encode([t for _, t in tries]), want):
+                if got[1] != " ".join(map(str, e.ids)):
+                    self.strange.add(x)
+            self.fine.update(x for x in new[i:i + 2000] if x not in self.strange)
+
+
 class TextCodec:
     """Whole texts by a word vocabulary. What a piece of text between white space becomes is
-    remembered for at most `limit` pieces, then forgotten."""
+    remembered for at most `limit` pieces, then forgotten. Texts that hold a character on which
+    the library's Unicode tables differ from Python's (`Strange`) are left to the library."""
 
     def __init__(self, path: str, limit: int = 400_000):
         self.bpe = ByteBPE(path)
+        self.library = Tokenizer.from_file(path)
+        self.library.no_truncation()
+        self.library.no_padding()
+        self.odd = Strange(self.library, self._encode_decode)
         self.pattern = regex.compile(WORD_PATTERN)
         self.special = regex.compile("(" + "|".join(map(regex.escape, self.bpe.specials)) + ")")
         self.numbers = [str(i) for i in range(len(self.bpe.tokens))]
@@ -259,7 +297,17 @@ class TextCodec:
         collecting = gc.isenabled()
         gc.disable()                    # many small lists, no cycles
         try:
-            return self._encode_decode(texts)
+            self.odd.learn(set().union(*[t for t in texts if not t.isascii()]))
+            left = [i for i, t in enumerate(texts) if not self.odd.strange.isdisjoint(t)] if self.odd.strange else []
+            if not left:
+                return self._encode_decode(texts)
+            out: list = [None] * len(texts)
+            for i, e in zip(left, self.library.encode_batch([texts[i] for i in left], add_special_tokens=False)):
+                out[i] = (len(e.ids), " ".join(map(str, e.ids)), self.library.decode(e.ids, skip_special_tokens=False))
+            own = [i for i, x in enumerate(out) if x is None]
+            for i, x in zip(own, self._encode_decode([texts[i] for i in own])):
+                out[i] = x
+            return out
         finally:
             if collecting:
                 gc.enable()

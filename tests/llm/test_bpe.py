@@ -39,6 +39,23 @@ def test_codec_matches_library(library, seed):
         assert decoded == library.decode(want, skip_special_tokens=False), x
 
 
+def test_characters_of_all_planes(library):
+    """Also those on which Python's and the library's Unicode tables differ."""
+    r = random.Random(8)
+    known = ["\u0558", "\u058b", "\u088f", "\u1c89", "\ua7cb", "\u1df6\u0301", "a\u0301\u1df6", "\u0345", "İ", "ẞ", "ﬃ", "ΑΣ", "Σ."]
+    planes = [range(0x80, 0x3000), range(0xa000, 0xd800), range(0xe000, 0x10000), range(0x10000, 0x20000), range(0x20000, 0x110000)]
+    xs = list(known)
+    for _ in range(6000):
+        odd = [chr(r.choice(r.choice(planes))) for _ in range(r.randint(1, 6))]
+        xs.append("".join(r.choice([*odd, "a", "B", "1", " ", ".", "\u0301", "\u0323", "'s"]) for _ in range(r.randint(1, 14))))
+    codec = TextCodec(PATH)
+    got = codec.encode_decode(xs)
+    want = [e.ids for e in library.encode_batch(xs, add_special_tokens=False)]
+    bad = [x for x, g, w in zip(xs, got, want) if g[1] != " ".join(map(str, w)) or g[2] != library.decode(w, skip_special_tokens=False)]
+    assert not bad, (len(bad), bad[:5])
+    assert codec.odd.strange and "é" in codec.odd.fine
+
+
 def test_speculation_equals_exact_merging():
     for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
         bpe = ByteBPE(public_tokenizers.path(name))
