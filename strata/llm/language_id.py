@@ -109,12 +109,28 @@ class Network:
         v /= v.sum(axis=1, keepdims=True)
         return v
 
-    def probabilities(self, bytes_: np.ndarray) -> np.ndarray:
-        """[T, language, B] at every position of the segments [T, B]."""
+    def probabilities(self, bytes_: np.ndarray, length: np.ndarray | None = None) -> np.ndarray:
+        """[T, language, B] at every position of the segments [T, B]; those at and after a segment's
+        `length` mean nothing. The backward unit reads each segment from its own last byte, so
+        what a segment gives does not depend on the segments beside it."""
         front, rear = self._sides()
         h = self.p["w_f"].shape[1]
         v = np.matmul(self.p["out"][:, :h], front.run(bytes_)[0])
-        v += np.matmul(self.p["out"][:, h:], rear.run(bytes_[::-1])[0][::-1])
+        t_max, b = bytes_.shape
+        short = np.flatnonzero(length < t_max) if length is not None else []
+        turned = bytes_[::-1]
+        if len(short):
+            turn = np.maximum(length[short] - 1 - np.arange(t_max)[:, None], 0)
+            turned = turned.copy()
+            turned[:, short] = bytes_[turn, short]
+        u = np.matmul(self.p["out"][:, h:], rear.run(turned)[0])
+        if len(short):
+            own = np.take_along_axis(u[:, :, short], turn[:, None, :], axis=0)
+            u = u[::-1].copy()
+            u[:, :, short] = own
+        else:
+            u = u[::-1]
+        v += u
         v += self.p["bias"]
         return self._softmax(v)
 
@@ -179,7 +195,7 @@ class Network:
             width = int(length[pick[0]])
             at = np.arange(width)[:, None]
             # a shorter segment is padded with its own last byte; padded places don't count
-            p = self.probabilities(joined[start[pick] + np.minimum(at, length[pick] - 1)])
+            p = self.probabilities(joined[start[pick] + np.minimum(at, length[pick] - 1)], length[pick])
             if length[pick[-1]] < width:
                 p *= (at < length[pick])[:, None, :]
             np.add.at(total, owner[pick], p.sum(axis=0).T)

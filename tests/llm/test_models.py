@@ -84,3 +84,25 @@ def test_quality_edges(spark):
     assert quality.score(docs.where("false"), model).collect() == []
     one = quality.train(docs, spark.createDataFrame([(1, 1), (1, 0), (2, 1), (3, None)], "doc_id long, quality int"))
     assert all(0 < r.score <= 1 for r in quality.score(docs, one).collect())
+
+
+def test_a_text_does_not_depend_on_its_neighbours():
+    """Short texts beside long ones give what they give alone, and what a plain pass byte by byte gives."""
+    net = language_id.Network(["x", "y", "z"], hidden=8, seed=1)
+    r = np.random.default_rng(4)
+    texts = [bytes(r.integers(97, 123, n).astype(np.uint8)) for n in (1, 2, 5, 40, 127, 128, 129, 300, 1000)]
+    together = net.pooled(texts)
+    assert np.allclose(together, [net.pooled([t])[0] for t in texts], atol=1e-5)
+    assert np.allclose(together, net.pooled(texts[::-1])[::-1], atol=1e-5)
+    for t, p in zip(texts, together):
+        parts = [np.frombuffer(t[i:i + language_id.SEGMENT], dtype=np.uint8)[:, None] for i in range(0, len(t), language_id.SEGMENT)]
+        assert np.allclose(p, sum(net.probabilities(x).sum(axis=0)[:, 0] for x in parts) / len(t), atol=1e-5)
+
+
+def test_repeated_rows_and_a_very_long_text(spark):
+    docs = [(i, ["the and of that with", "der und ein ich nicht"][i % 2] * 5, ["en", "de"][i % 2]) for i in range(60)]
+    docs += [(99, "der und ein ich nicht " * 20_000, None), (0, docs[0][1], "en")]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string").repartition(4)
+    found = language_id.predict(df, language_id.train(df)).collect()
+    assert len(found) == len(docs) and {r.lang_pred for r in found if r.doc_id == 99} == {"de"}
+    assert len({(r.lang_pred, r.score) for r in found if r.doc_id == 0}) >= 1
