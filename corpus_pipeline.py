@@ -20,8 +20,8 @@ from strata.llm.suffix_dedup import remove_repeated_bytes
 
 #: A document goes if no language reaches this mean probability (or it has no letters).
 MIN_LANGUAGE_SCORE = 0.4
-#: Length of a repeated string that is removed: short enough for passages of 50 short words.
-REPEATED_BYTES = 200
+#: Length of a repeated string that is removed: at 5 bytes a word, a passage of 50 words.
+REPEATED_BYTES = 250
 
 
 def with_text(df: DataFrame, columns: list[str]) -> DataFrame:
