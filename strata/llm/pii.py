@@ -209,6 +209,16 @@ def _meetings(slots: bytes, window: int | None):
     return run
 
 
+def _held_terms(batches):
+    """(term, documents of this batch that hold it)."""
+    for batch in batches:
+        found: Counter = Counter()
+        for text in batch.column(0).to_pylist():
+            found.update(set(_TERM.findall(text.lower())))
+        yield pa.RecordBatch.from_pydict({"term": pa.array(list(found), pa.string()),
+                                          "least": pa.array(list(found.values()), pa.int64())})
+
+
 def _frequencies(slots: bytes):
     """(term, documents of this task that hold it), for terms whose slot is set."""
     def run(batches):
@@ -249,13 +259,21 @@ def disclosing_terms(scanned: DataFrame, texts: DataFrame, how: Disclosure) -> D
                       .mapInArrow(_meetings(_slots(entity, "entity"), how.window), "entity string, term string, n long")
                       .groupBy("entity", "term").agg(F.sum("n").alias("n_both"))
                       .where(F.col("n_both") >= how.support), "pii-together")
-    slots = _slots(together, "term")
-    term = texts.mapInArrow(_frequencies(slots), "term string, n long").groupBy("term").agg(F.sum("n").alias("n_term"))
     n = F.lit(float(max(total, 1)))
-    information = F.log(n / F.col("n_entity"))
-    mutual = F.log(F.col("n_both") * n / (F.col("n_entity") * F.col("n_term")))
-    return (together.join(entity, "entity").join(term, "term")
-            .select("entity", "term", (mutual / information).alias("share"))
+
+    def share(n_term):
+        information = F.log(n / F.col("n_entity"))
+        return F.log(F.col("n_both") * n / (F.col("n_entity") * F.col(n_term))) / information
+
+    # a term occurs at least in the documents with entities that hold it: where even that count is
+    # too high for the share, the corpus need not be asked
+    least = (scanned.where(F.size("entities") > 0).select("text").mapInArrow(_held_terms, "term string, least long")
+             .groupBy("term").agg(F.sum("least").alias("least")))
+    open_pairs = stored(together.join(entity, "entity").join(least, "term")
+                        .where(share("least") >= how.generalise_at - 1e-9), "pii-open")
+    term = (texts.mapInArrow(_frequencies(_slots(open_pairs, "term")), "term string, n long")
+            .groupBy("term").agg(F.sum("n").alias("n_term")))
+    return (open_pairs.join(term, "term").select("entity", "term", share("n_term").alias("share"))
             .where(F.col("share") >= how.generalise_at))
 
 
