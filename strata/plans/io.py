@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from ..operators import layout, snapshots
 from ..session import scratch_path
 from ..sources import readers, writers
-from ..streaming import ingest
+from ..streaming import ingest, schema_log
 from .tables import Tables
 
 EVENTS_SCHEMA = T.StructType([
@@ -181,6 +181,32 @@ def stream_dedup(spark, sf_dir):
     return spark.read.parquet(sink).select("event_id", "user_id")
 
 
+# Fixed values of the schema log's proof: where the second drain's files begin, and how often their
+# user is no number.
+SECOND_DRAIN, ODD_USER_EVERY = "2024-01-16 00:00:00", 11
+
+
+def stream_schema_log(spark, sf_dir):
+    """Two drains of one landing folder; the files of the second bring two new fields and users
+    that are no numbers. `version` is that of the schema a row was written with."""
+    landing, sink = scratch_path(spark, "evolving"), scratch_path(spark, "evolved")
+    location, ckpt = scratch_path(spark, "schema-log"), scratch_path(spark, "ckpt")
+    declared = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType())])
+    ev = Tables(spark, sf_dir).events
+    early = F.col("ts") < F.lit(SECOND_DRAIN).cast("timestamp_ntz")
+    odd = F.col("event_id") % ODD_USER_EVERY == 0
+    wide = ev.where(~early).select("event_id", "user_id", "value", "event_type")
+    drains = [[ev.where(early).select("event_id", "user_id")],
+              [wide.where(~odd), wide.where(odd).withColumn("user_id", F.concat(F.lit("u"), F.col("user_id").cast("string")))]]
+    for loads in drains:
+        for rows in loads:
+            _spread(rows).write.mode("append").json(landing)
+        schema_log.drain_evolving(spark, landing, declared, location, sink, ckpt, max(1, _files(spark) // 2))
+    return schema_log.read_sink(spark, location, sink).select(
+        "event_id", "user_id", "value", "event_type", F.col(readers.RESCUED)["user_id"].alias("user_id_text"),
+        F.col(schema_log.VERSION).alias("version"))
+
+
 KNOWN_EVENT_FIELDS = T.StructType([f for f in EVENTS_SCHEMA.fields if f.name != "props"])
 
 

@@ -210,6 +210,10 @@ ORACLE = {
   'CORRECTIVE' as maintenance_type, 'FC' as failure_code, true as shares_in_range, true as shares_add_up
   from m join fac on fid = event_type left join tech on tech.tid = m.tid left join eq on eid = cast(user_id as varchar) and cast(ts as date) >= st and (cast(ts as date) < en or en is null)
   where event_type <> 'error'""",
+    "stream_schema_log": """select event_id, case when ts < timestamp '2024-01-16' or event_id % 11 <> 0 then user_id end as user_id,
+  case when ts >= timestamp '2024-01-16' then value end as value, case when ts >= timestamp '2024-01-16' then event_type end as event_type,
+  case when ts >= timestamp '2024-01-16' and event_id % 11 = 0 then 'u' || cast(user_id as varchar) end as user_id_text,
+  case when ts < timestamp '2024-01-16' then 1 else 2 end as version from events""",
     "gold_key_runs": """select case when l_shipdate < timestamp '1996-06-01' then 'load-1' when l_shipdate < timestamp '1999-01-01' then 'load-2' else 'load-3' end as run_id,
   count(*) as n_rows, count(*) as n_keys, true as above_before from lineitem group by 1""",
     "gold_validate_broken": """with f as (select user_id, case when event_id % 103 = 0 then null when event_id % 11 = 0 then -1 else length(event_type) end as fac, cast(ts as date) as d from events),

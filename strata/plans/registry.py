@@ -40,7 +40,7 @@ def queries() -> dict[str, Query]:
                     "stream_ingest", "stream_rerun", "layout_same_rows", "stream_dq_split",
                     "stream_dedup", "rescued_fields", "stream_cdc_apply", "stream_cdc_out_of_order",
                     "schema_evolution", "source_file_details", "layout_compact", "run_retry", "partitioned_write",
-                    "snapshot_versions", "consolidate_tables", "stream_parquet_rescue"])
+                    "snapshot_versions", "consolidate_tables", "stream_parquet_rescue", "stream_schema_log"])
     return q
 
 
