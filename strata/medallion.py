@@ -156,10 +156,11 @@ def main(argv=None):
     p.add_argument("--out", default=None, help="output folder (default: new folder under the checkpoint dir)")
     p.add_argument("--run-id", default="run-1")
     p.add_argument("--previous-equipment", default=None)
+    p.add_argument("--previous-orders", default=None, help="an earlier run's dim_order, whose keys go on")
     a = p.parse_args(argv)
     spark = local_session()
     out = a.out or scratch_path(spark, "lake")
-    led = run(spark, a.sf_dir, out, default_context(a.run_id), a.previous_equipment)
+    led = run(spark, a.sf_dir, out, default_context(a.run_id), a.previous_equipment, a.previous_orders)
     led.show(truncate=False)
     print(f"output: {out}")
 
