@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .dedup import latest, latest_only
+from .dedup import latest, winners
 from .joins import join_null_safe
 
 # Change operations and the outcome labels of `apply_changes`.
@@ -31,7 +31,7 @@ def latest_changes(log: DataFrame, keys: Sequence[str], order: Sequence[str] = (
     """
     if with_superseded:
         return latest(log, keys, order)
-    return latest_only(log, keys, order)
+    return winners(log, keys, order)
 
 
 def tombstone_snapshot(latest_log: DataFrame, op: str = "op", deletes: Sequence[str] = (DELETE,),

@@ -72,19 +72,3 @@ def latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> tuple[Da
     m = mark_latest(df, keys, order, flag="__latest")
     return (m.filter(F.col("__latest")).drop("__latest"),
             m.filter(~F.col("__latest")).drop("__latest"))
-
-
-def latest_only(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Just the winners: a pure aggregation (no join), skew-safe by partial aggregation.
-
-    `max_by` carries the payload, so payload columns need not be orderable (maps etc.).
-    """
-    keys, order = list(keys), list(order)
-    rest = [c for c in df.columns if c not in keys and c not in order]
-    ordkey = F.struct(*[F.col(c) for c in order])
-    aggs = [F.max(ordkey).alias("__o")]
-    if rest:
-        aggs.append(F.max_by(F.struct(*[F.col(c) for c in rest]), ordkey).alias("__r"))
-    agg = df.groupBy(*keys).agg(*aggs)
-    cols = [F.col("__o")[c].alias(c) for c in order] + [F.col("__r")[c].alias(c) for c in rest]
-    return agg.select(*keys, *cols).select(*df.columns)

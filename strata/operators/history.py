@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import row_hash
-from .dedup import latest_only
+from .dedup import winners
 from .joins import join_null_safe
 
 START, END, CURRENT, VERSION, HASH = ("effective_start_date", "effective_end_date", "is_current",
@@ -77,7 +77,7 @@ def apply(target: DataFrame | None, source: DataFrame, keys: Sequence[str], trac
     keys = list(keys)
     attrs = list(attrs) if attrs is not None else [c for c in source.columns if c not in keys]
     if source_order:
-        source = latest_only(source, keys, source_order)
+        source = winners(source, keys, source_order)
     source = source.select(*keys, *attrs)
     if target is None:
         return initial_load(source, keys, tracked, initial_start, hash_col)

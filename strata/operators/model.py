@@ -101,3 +101,13 @@ def split_cost(amount: Column, parts_share: Column, labor_share: Column,
     a = amount.cast("decimal(12,2)")
     return {"parts": (a * parts_share).cast(scale), "labor": (a * labor_share).cast(scale),
             "total": (a * (parts_share + labor_share)).cast(scale)}
+
+
+def cascade(df: DataFrame, steps: Mapping[str, str | Column]) -> DataFrame:
+    """Add columns of which each may read the ones before it, in one projection (lateral column
+    aliases): a rate from a total, a status from the rate, a disposition from the status.
+    A name that `df` already has would hide the step from the later ones, so it is an error."""
+    clash = [c for c in steps if c.lower() in {x.lower() for x in df.columns}]
+    if clash:
+        raise ValueError(f"steps {clash} are columns already")
+    return df.select("*", *[(F.expr(e) if isinstance(e, str) else e).alias(n) for n, e in steps.items()])

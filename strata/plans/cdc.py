@@ -6,7 +6,7 @@ import datetime as _dt
 
 from pyspark.sql import functions as F
 
-from ..operators import changes, history, snapshots
+from ..operators import changes, difference, history, snapshots
 from ..session import scratch_path
 from .fixtures import CDC_SPLIT, LATE_STATE_TYPES, change_log, part_versions
 from .tables import Tables
@@ -208,3 +208,35 @@ def cdc_out_of_order(spark, sf_dir):
         state = changes.apply_changes_sequential(state, batch, ["k"], ["value"], order=ORDER,
                                                  keep_unknown_deletes=True)
     return state.select("k", "value", "is_deleted")
+
+
+# Fixed values of the difference proofs: the columns compared, and the instant of the derived events.
+DIFF_TRACKED = ("value", "event_type")
+DIFF_TS = "2100-01-01 00:00:00"
+
+
+def _two_states(spark, sf_dir):
+    """The state before CDC_SPLIT and the one after all changes."""
+    log = change_log(Tables(spark, sf_dir).events, carry=("event_type",))
+    early = F.col("ts") < _ts(CDC_SPLIT)
+    before = changes.tombstone_snapshot(changes.latest_changes(log.filter(early), ["k"], ORDER, False))
+    batch = changes.latest_changes(log.filter(~early), ["k"], ORDER, False)
+    return before, changes.apply_changes(before, batch, ["k"], value_cols=DIFF_TRACKED, order=ORDER)
+
+
+def _difference(before, after):
+    return difference.snapshot_changes(before, after, ["k"], DIFF_TRACKED, deleted_col="is_deleted",
+                                       stamp={"ts": _ts(DIFF_TS), "lsn": F.lit(0).cast("long")})
+
+
+def cdc_from_snapshots(spark, sf_dir):
+    """Events derived from two states: inserts, deletes, and updates with the names that changed."""
+    events = _difference(*_two_states(spark, sf_dir))
+    return events.select("k", *DIFF_TRACKED, "op", F.array_join(difference.CHANGED, ",").alias("changed"))
+
+
+def cdc_snapshot_replay(spark, sf_dir):
+    """The derived events applied to the first state give the second."""
+    before, after = _two_states(spark, sf_dir)
+    again = changes.apply_changes(before, _difference(before, after), ["k"], value_cols=DIFF_TRACKED, order=ORDER)
+    return again.where("not is_deleted").select("k", *DIFF_TRACKED)

@@ -255,6 +255,16 @@ def stream_parquet_rescue(spark, sf_dir):
                        F.col(readers.RESCUED)["props"].alias("props"))
 
 
+def required_quarantine(spark, sf_dir):
+    """Telemetry with NULL keys written to a table that may hold none: the rows with one go to
+    quarantine with the names of their NULL columns."""
+    from .fixtures import telemetry
+    good, bad = scratch_path(spark, "required"), scratch_path(spark, "null-keys")
+    writers.write_required(telemetry(Tables(spark, sf_dir).events), good, ["device_id", "facility_id"], bad)
+    kept = spark.read.parquet(good).select("event_id", F.lit(None).cast("string").alias("null_columns"))
+    return kept.unionByName(spark.read.parquet(bad).select("event_id", F.col("_null_columns").alias("null_columns")))
+
+
 def schema_evolution(spark, sf_dir):
     """Landed JSON read with a schema that predates `value`; the rescued field is then
     promoted to a typed column (schema evolution without losing a row)."""

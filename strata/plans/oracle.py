@@ -40,6 +40,12 @@ _MAINT = """, fac as (select fid, row_number() over (order by fid) as sk from (s
  m as (select *, case when event_id % 11 = 0 then null else 'T' || cast(user_id % 7 as varchar) end as tid from events),
  tech as (select tid, row_number() over (order by tid) as sk from (select distinct tid from m where tid is not null) x) """
 
+_STATES = _CDC.replace("ts, value,", "ts, value, event_type,") + """, nxt as (select coalesce(b.k, i.k) as k,
+  case when i.op in ('INSERT','UPDATE') then i.value else b.value end as value,
+  case when i.op in ('INSERT','UPDATE') then i.event_type else b.event_type end as event_type,
+  case when i.op = 'DELETE' then true when i.op in ('INSERT','UPDATE') then false else b.is_deleted end as is_deleted
+  from base b full outer join inc i on b.k = i.k where b.k is not null or i.op <> 'DELETE') """
+
 ORACLE = {
     # ---- data quality
     "dq_tag": _RAW + "select event_id, ok_dev, ok_fac, ok_rng, passed, reason from dq",
@@ -261,4 +267,21 @@ ORACLE = {
   r as (select *, case when l_partkey % 101 = 0 then 'DQ-QI-002' when p < 0 or j < 0 or i < 0 then 'DQ-QI-003' when p + j > i then 'DQ-QI-004' end as bad from b),
   k as (select *, row_number() over (partition by l_orderkey, l_linenumber order by l_partkey) as rn from r where bad is null)
   select violated_rule_id, 'QUARANTINE' as action_taken, count(*) as n from (select bad as violated_rule_id from r where bad is not null union all select 'DQ-QI-006' from k where rn > 1) x group by 1""",
+    # ---- states compared, types widened, levels of a status, required columns
+    "cdc_from_snapshots": _STATES + """, x as (select coalesce(b.k, a.k) as k, b.k as bk, a.k as ak, b.value as bv, a.value as av, b.event_type as bt, a.event_type as at_
+  from (select * from base where not is_deleted) b full outer join (select * from nxt where not is_deleted) a on b.k = a.k)
+  select k, case when ak is null then bv else av end as value, case when ak is null then bt else at_ end as event_type,
+  case when bk is null then 'INSERT' when ak is null then 'DELETE' else 'UPDATE' end as op,
+  case when bk is not null and ak is not null then concat_ws(',', case when bv is distinct from av then 'value' end, case when bt is distinct from at_ then 'event_type' end) end as changed
+  from x where bk is null or ak is null or bv is distinct from av or bt is distinct from at_""",
+    "cdc_snapshot_replay": _STATES + "select k, value, event_type from nxt where not is_deleted",
+    "union_widened": """select l_orderkey as id, cast(l_linenumber as double) as number, l_suppkey as who, cast(l_shipdate as date) as day, cast(null as varchar) as o_orderstatus, cast(null as varchar) as who_text from lineitem
+  union all select o_orderkey, cast(o_custkey as double), case when o_orderpriority <> '1-URGENT' then o_custkey end, null, o_orderstatus, case when o_orderpriority = '1-URGENT' then 'C-' || o_custkey end from orders""",
+    "status_cascade": """with a as (select l_orderkey, l_linenumber, cast(l_quantity as int) as i, cast(round(l_discount * 100) as int) as r from lineitem),
+  b as (select *, case when i > 0 then r / i end as d from a),
+  c as (select *, case when d = 0 then 'PASS' when d < 0.2 then 'CONDITIONAL' when d >= 0.2 then 'FAIL' end as st from b),
+  e as (select *, case when st = 'CONDITIONAL' then 'MINOR' when st = 'FAIL' then case when d < 0.5 then 'MAJOR' else 'CRITICAL' end end as sev from c)
+  select l_orderkey, l_linenumber, i as units_inspected, r as units_rejected, greatest(i - r, 0) as units_passed, d as defect_rate, st as status, sev as severity,
+  case when sev in ('MINOR', 'MAJOR') then 'REWORK' when sev = 'CRITICAL' then 'SCRAP' end as disposition from e""",
+    "required_quarantine": _RAW + """select event_id, case when not (ok_dev and ok_fac) then concat_ws(',', case when not ok_dev then 'device_id' end, case when not ok_fac then 'facility_id' end) end as null_columns from tag""",
 }

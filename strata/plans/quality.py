@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from ..context import RunContext
 from ..functions.expressions import case_map, guarded_ratio, threshold_ladder
-from ..operators import checks, report, rules
+from ..operators import checks, model, report, rules, widen
 from ..operators.rules import Rule, in_range, required
+from ..sources.readers import RESCUED
 from .fixtures import NULL_TECHNICIAN_EVERY, telemetry
 from .tables import Tables
 
@@ -162,3 +163,42 @@ def silver_balance(spark, sf_dir):
     rules.write_classified(classified(spark, sf_dir), path, RUN)
     back = spark.read.parquet(path)
     return back.groupBy(rules.DISPOSITION).agg(F.count(F.lit(1)).alias("n"))
+
+
+# Fixed value: orders of this priority name their customer by a text that is no number.
+TEXT_KEY_PRIORITY = "1-URGENT"
+
+
+def union_widened(spark, sf_dir):
+    """Columns of one name with other types: int and decimal, bigint and text (partly no number)."""
+    t = Tables(spark, sf_dir)
+    lines = t.lineitem.select(F.col("l_orderkey").alias("id"), F.col("l_linenumber").alias("number"),
+                              F.col("l_suppkey").alias("who"), F.to_date("l_shipdate").alias("day"))
+    who = F.when(F.col("o_orderpriority") == TEXT_KEY_PRIORITY, F.concat(F.lit("C-"), F.col("o_custkey").cast("string")))
+    orders = t.orders.select(F.col("o_orderkey").cast("int").alias("id"),
+                             F.col("o_custkey").cast("decimal(12,1)").alias("number"),
+                             F.coalesce(who, F.col("o_custkey").cast("string")).alias("who"), "o_orderstatus")
+    return widen.union_widened([lines, orders]).select(
+        "id", F.col("number").cast("double").alias("number"), "who", "day", "o_orderstatus",
+        F.col(RESCUED)["who"].alias("who_text"))
+
+
+# The levels of the status cascade.
+CASCADE = {
+    "units_inspected": "cast(l_quantity as int)",
+    "units_rejected": "cast(round(l_discount * 100) as int)",
+    "units_passed": "greatest(units_inspected - units_rejected, 0)",
+    "defect_rate": "case when units_inspected > 0 then units_rejected / units_inspected end",
+    "status": "case when defect_rate = 0 then 'PASS' when defect_rate < 0.2 then 'CONDITIONAL' "
+              "when defect_rate is not null then 'FAIL' end",
+    "severity": "case when status = 'CONDITIONAL' then 'MINOR' when status = 'FAIL' and defect_rate < 0.5 then 'MAJOR' "
+                "when status = 'FAIL' then 'CRITICAL' end",
+    "disposition": "case severity when 'MINOR' then 'REWORK' when 'MAJOR' then 'REWORK' when 'CRITICAL' then 'SCRAP' end",
+}
+
+
+def status_cascade(spark, sf_dir):
+    """Each level reads the one before it, in one projection; where nothing was rejected, severity
+    and disposition stay NULL."""
+    li = Tables(spark, sf_dir).lineitem
+    return model.cascade(li, CASCADE).select("l_orderkey", "l_linenumber", *CASCADE)

@@ -57,7 +57,7 @@ FACT_MAINTENANCE_EVENTS = _s("maintenance_sk bigint, equipment_sk bigint, techni
                              "total_cost_usd double, maintenance_type string, failure_code string, "
                              "_pipeline_run_id string, created_at timestamp")
 
-# Keys that must never be NULL (checked with `checks.null_counts`, not by the writer).
+# Keys that must never be NULL: counted by `checks.null_counts`, enforced by `writers.enforce_required`.
 REQUIRED = {
     "dim_facility": ["facility_sk", "facility_id"], "dim_timestamp": ["date_day", "timestamp_sk"],
     "dim_technician": ["technician_sk", "technician_id"], "dim_production_order": ["order_sk", "order_id"],

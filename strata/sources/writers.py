@@ -32,6 +32,38 @@ def conform(df: DataFrame, schema: T.StructType, strict: bool = False) -> DataFr
     return df.select(*cols)
 
 
+def enforce_required(df: DataFrame, columns: Sequence[str], table: str = "table") -> DataFrame:
+    """`df` whose plan fails on a NULL in one of `columns` (a NOT NULL constraint). It is evaluated in
+    the tasks that write the rows, without another pass over them; a column that a later step
+    prunes is not looked at, so this comes last before the write. After a `limit` rows beyond the
+    limit may be looked at too."""
+    absent = [c for c in columns if c not in df.columns]
+    if absent:
+        raise ValueError(f"{table} lacks the required columns {absent}")
+    return df.withColumns({c: F.coalesce(F.col(c), F.raise_error(F.lit(f"{table}.{c} must not be NULL"))
+                                         .cast(df.schema[c].dataType)) for c in columns})
+
+
+def split_required(df: DataFrame, columns: Sequence[str], reason: str = "_null_columns") -> tuple[DataFrame, DataFrame]:
+    """(complete rows, rows with a NULL in one of `columns`); `reason` names the NULL columns."""
+    empty = F.filter(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in columns]).cast("array<string>"),
+                     lambda x: x.isNotNull())
+    marked = df.withColumn(reason, F.concat_ws(",", empty))
+    return (marked.where(F.col(reason) == "").drop(reason), marked.where(F.col(reason) != ""))
+
+
+def write_required(df: DataFrame, path: str, columns: Sequence[str], quarantine: str | None = None,
+                   fmt: str = "parquet", mode: str = "append", table: str = "table") -> None:
+    """Append to a table whose `columns` may hold no NULL. Without `quarantine` a NULL fails the
+    write, and none of its rows become visible; with it such rows go to that folder with the names
+    of their NULL columns, and the rest is written under the same constraint."""
+    good = df
+    if quarantine:
+        good, bad = split_required(df, columns)
+        bad.write.format(fmt).mode(mode).save(quarantine)
+    enforce_required(good, columns, table).write.format(fmt).mode(mode).save(path)
+
+
 def run_folder(path: str, run_id: str) -> str:
     return f"{path.rstrip('/')}/{RUN_COL}={quote(run_id, safe='._- ')}"
 

@@ -16,7 +16,7 @@ from .context import RunContext
 from .functions.dates import date_key
 from .functions.hashing import hash_bucket
 from .operators import allocator, asof, checks, dedup, history, keys, model, report
-from .sources.writers import RUN_COL, conform
+from .sources.writers import RUN_COL, conform, enforce_required
 
 # Default attributes of derived dimension members.
 FACILITY_NAME_PREFIX = "Facility "
@@ -125,10 +125,14 @@ FACT_KEYS = {"fact_sensor_readings": "sensor_reading_sk", "fact_production_outpu
              "fact_maintenance_events": "maintenance_sk"}
 
 
-def append_fact(fact: DataFrame, name: str, path: str, high_water: str, ctx: RunContext) -> dict:
+def append_fact(fact: DataFrame, name: str, path: str, high_water: str, ctx: RunContext,
+                strict: bool = False) -> dict:
     """Append a fact built with `first_sk=None` as this run's rows under `path`. Its keys come from
     blocks above the high water stored in the folder `high_water`, in the job that writes: no
-    sort, no checkpoint and no second plan of the fact, and no key is given twice over all runs."""
+    sort, no checkpoint and no second plan of the fact, and no key is given twice over all runs. With `strict` a NULL in
+    one of the fact's required columns fails the write."""
+    if strict:
+        fact = enforce_required(fact, [c for c in schemas.REQUIRED[name] if c != FACT_KEYS[name]], name)
     blocks = allocator.KeyBlocks(fact.sparkSession, high_water)
     return allocator.append_with_keys(fact.drop(RUN_COL), path, FACT_KEYS[name], blocks, ctx.run_id)
 
