@@ -38,9 +38,10 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _NOT_DIGIT = re.compile(r"[^0-9]")
 _TERM = re.compile(r"\w+")
 
-#: Slots of the filter that spares counting terms no entity is near: 16 for each candidate, from the
-#: fewest to the most. Beyond that more terms pass that the join then drops; none is lost.
-FEWEST_SLOTS, MOST_SLOTS = 1 << 18, 1 << 24
+#: Bits of the filter that spares counting terms no entity is near: 16 to 32 for each candidate, from the
+#: fewest to the most; each sets PROBES of them, so of the others one in 400 passes. Beyond the most
+#: bits more pass; a join drops them and none is lost.
+FEWEST_SLOTS, MOST_SLOTS, PROBES = 1 << 18, 1 << 24, 4
 HELD = 100_000      # sums a task holds before it sends them on
 
 
@@ -165,8 +166,11 @@ def _scan(all_texts: bool, schema: T.StructType):
 
 def _slots(df: DataFrame, column: str) -> bytes:
     """A bitmap of at most MOST_SLOTS bits; false positives only add rows that a join drops."""
-    size = 1 << min(max(16 * df.select(column).distinct().count(), FEWEST_SLOTS), MOST_SLOTS).bit_length() - 1
-    found = df.select(F.pmod(F.xxhash64(column), F.lit(size)).cast("int").alias("s")).distinct()
+    size = 1 << (min(max(16 * df.select(column).distinct().count(), FEWEST_SLOTS), MOST_SLOTS) - 1).bit_length()
+    h = F.xxhash64(column)
+    low, high = F.pmod(h, F.lit(size)), F.pmod(F.shiftrightunsigned(h, 32), F.lit(size))
+    probes = F.array(*[F.pmod(low + i * high, F.lit(size)).cast("int") for i in range(PROBES)])
+    found = df.select(F.explode(probes).alias("s")).distinct()
     slots = np.zeros(size, dtype=np.uint8)
     for part in found.toLocalIterator():                        # at most MOST_SLOTS numbers
         slots[part["s"]] = 1
@@ -174,17 +178,19 @@ def _slots(df: DataFrame, column: str) -> bytes:
 
 
 class _Filter:
-    """Whether a string's slot is set: the same slot as pmod(xxhash64(string), slots) in Spark."""
+    """Whether all probes of a string are set: the probes of `_slots`, from the same hash as Spark's."""
 
     def __init__(self, slots: bytes):
         self.table = np.unpackbits(np.frombuffer(slots, dtype=np.uint8)).astype(bool)
 
     def __call__(self, text: str) -> bool:
-        return bool(self.table[xxhash.xxh64_intdigest(text, seed=42) & (len(self.table) - 1)])
+        h = xxhash.xxh64_intdigest(text, seed=42)
+        mask = len(self.table) - 1
+        return all(self.table[(h + i * (h >> 32)) & mask] for i in range(PROBES))
 
 
 def _meetings(slots: bytes, window: int | None):
-    """(entity, term, documents of these that hold both), for entities whose slot is set."""
+    """(entity, term, documents of these that hold both), for entities that pass the filter."""
     def run(batches):
         wanted = _Filter(slots)
         found: Counter = Counter()
@@ -220,7 +226,7 @@ def _held_terms(batches):
 
 
 def _frequencies(slots: bytes):
-    """(term, documents of this task that hold it), for terms whose slot is set."""
+    """(term, documents of this task that hold it), for terms that pass the filter."""
     def run(batches):
         passes = _Filter(slots)
         wanted: dict[str, bool] = {}

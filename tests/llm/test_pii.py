@@ -85,3 +85,11 @@ def test_removed_numbers_uncover_no_new_entity(spark):
     docs = [(i, f"plain words {i % 3}") for i in range(40)] + [(100 + i, "see 999.1.2.3.4 or joe@x.org") for i in range(2)]
     df = spark.createDataFrame(docs, "doc_id long, text string")
     assert not any(base_spans(r.text) for r in sanitise(df).collect())
+
+
+def test_filter_passes_every_candidate_and_few_others(spark):
+    from strata.llm.pii import _Filter, _slots
+    wanted = [f"wörd{i}" for i in range(30_000)] + ["", "a", "漢字"]
+    passes = _Filter(_slots(spark.createDataFrame([(w,) for w in wanted], "term string"), "term"))
+    assert all(map(passes, wanted))
+    assert sum(passes(f"other{i}") for i in range(20_000)) < 200
