@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from ..operators import layout, snapshots
 from ..session import scratch_path
 from ..sources import readers, writers
-from ..streaming import ingest, schema_log
+from ..streaming import ingest, late, observe, schema_log
 from .tables import Tables
 
 EVENTS_SCHEMA = T.StructType([
@@ -181,6 +181,48 @@ def stream_dedup(spark, sf_dir):
     return spark.read.parquet(sink).select("event_id", "user_id")
 
 
+# Fixed values of the late rows' proof: where its loads begin, the delay, and which events come a load
+# late, twice in a load, or again in the next load.
+LOADS = ("2024-01-11 00:00:00", "2024-01-21 00:00:00")
+LATE_DELAY, HELD_BACK_EVERY, TWICE_EVERY, AGAIN_EVERY = "2 days", 13, 7, 5
+
+
+def stream_late_rows(spark, sf_dir):
+    """Four loads, one drain each, under a moving watermark. Of every event how often it was kept,
+    late or a duplicate, and whether the state still holds it at the end."""
+    landing, out, ckpt = (scratch_path(spark, x) for x in ("late-landing", "late-out", "ckpt"))
+    ev = Tables(spark, sf_dir).events.select("event_id", "ts", "user_id")
+    own = sum([F.when(F.col("ts") >= F.lit(b).cast("timestamp_ntz"), 1).otherwise(0) for b in LOADS], F.lit(0))
+    first = F.col("own") + F.when(F.col("event_id") % HELD_BACK_EVERY == 0, 1).otherwise(0)
+    arrivals = F.concat(F.array(first), *[F.when(F.col("event_id") % every == 0, F.array(load)).otherwise(F.array().cast("array<int>"))
+                                          for every, load in ((TWICE_EVERY, first), (AGAIN_EVERY, F.col("own") + 1))])
+    landed = ev.withColumn("own", own).withColumn("load", F.explode(arrivals)).drop("own")
+    for load in range(len(LOADS) + 2):
+        _spread(landed.where(F.col("load") == load).drop("load")).write.mode("append").parquet(landing)
+        src = spark.readStream.schema(ev.schema).parquet(landing)
+        late.drain_with_late(src, ["event_id"], "ts", LATE_DELAY, out, ckpt)
+    split = spark.read.parquet(f"{out}/landed").select("event_id", "late")
+    kept = spark.read.parquet(f"{out}/kept").select("event_id", F.lit(1).alias("kept"), F.lit(False).alias("held"))
+    held = late.held_keys(spark, ckpt, ["event_id"]).select("event_id", F.lit(0).alias("kept"), F.lit(True).alias("held"))
+    counted = split.select("event_id", F.lit(0).alias("kept"), F.lit(False).alias("held"), "late").unionByName(
+        kept.unionByName(held).withColumn("late", F.lit(None).cast("boolean")))
+    return counted.groupBy("event_id").agg(
+        F.sum("kept").alias("kept"), F.count_if("late").alias("late"),
+        (F.count_if(~F.col("late")) - F.sum("kept")).alias("duplicates"), F.bool_or("held").alias("held"))
+
+
+def stream_ledger(spark, sf_dir):
+    """Ledger of a drain of several micro-batches: rows in and rows within the rule, from every batch."""
+    from ..context import RunContext
+    from ..operators.report import Ledger
+    ledger = Ledger(RunContext(run_id="run-1"))
+    src = ingest.file_stream(spark, _landing(spark, sf_dir), EVENTS_SCHEMA, "json", max_files_per_trigger=max(1, _files(spark) // 4))
+    observe.drain_observed(src, F.col("value").between(STREAM_VALUE_MIN, STREAM_VALUE_MAX), scratch_path(spark, "observed"),
+                           scratch_path(spark, "ckpt"), ledger, "bronze")
+    return ledger.to_df(spark).groupBy("pipeline_run_id", "status").agg(
+        F.sum("rows_in").alias("rows_in"), F.sum("rows_out").alias("rows_out"), (F.count("*") > 1).alias("several"))
+
+
 # Fixed values of the schema log's proof: where the second drain's files begin, and how often their
 # user is no number.
 SECOND_DRAIN, ODD_USER_EVERY = "2024-01-16 00:00:00", 11

@@ -284,4 +284,14 @@ ORACLE = {
   select l_orderkey, l_linenumber, i as units_inspected, r as units_rejected, greatest(i - r, 0) as units_passed, d as defect_rate, st as status, sev as severity,
   case when sev in ('MINOR', 'MAJOR') then 'REWORK' when sev = 'CRITICAL' then 'SCRAP' end as disposition from e""",
     "required_quarantine": _RAW + """select event_id, case when not (ok_dev and ok_fac) then concat_ws(',', case when not ok_dev then 'device_id' end, case when not ok_fac then 'facility_id' end) end as null_columns from tag""",
+    # ---- late rows, counts of micro-batches
+    "stream_late_rows": """with ev as (select event_id, ts, case when ts >= timestamp '2024-01-21 00:00:00' then 2 when ts >= timestamp '2024-01-11 00:00:00' then 1 else 0 end as own from events),
+  f as (select *, own + case when event_id % 13 = 0 then 1 else 0 end as first from ev),
+  a as (select event_id, ts, first as load from f union all select event_id, ts, first from f where event_id % 7 = 0 union all select event_id, ts, own + 1 from f where event_id % 5 = 0),
+  mx as (select load, max(max(ts)) over (order by load) as newest from a group by load),
+  w as (select load, date_trunc('millisecond', lag(newest) over (order by load)) - interval 2 day as wm from mx),
+  x as (select event_id, ts, coalesce(ts <= wm, false) as late from a join w using (load))
+  select event_id, cast(max(not late) as bigint) as kept, cast(count_if(late) as bigint) as late, cast(count_if(not late) - cast(max(not late) as int) as bigint) as duplicates,
+  bool_or(not late) and max(ts) > (select date_trunc('millisecond', max(ts)) - interval 4 day from a) as held from x group by event_id""",
+    "stream_ledger": "select 'run-1' as pipeline_run_id, 'OK' as status, count(*) as rows_in, cast(count_if(value between 0 and 150) as bigint) as rows_out, true as several from events",
 }

@@ -43,7 +43,7 @@ def queries() -> dict[str, Query]:
                     "stream_dedup", "rescued_fields", "stream_cdc_apply", "stream_cdc_out_of_order",
                     "schema_evolution", "source_file_details", "layout_compact", "run_retry", "partitioned_write",
                     "snapshot_versions", "consolidate_tables", "stream_parquet_rescue", "stream_schema_log",
-                    "required_quarantine"])
+                    "required_quarantine", "stream_late_rows", "stream_ledger"])
     return q
 
 
