@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from ..operators import layout, snapshots
 from ..session import scratch_path
-from ..sources import readers, writers
+from ..sources import inference, readers, writers
 from ..streaming import ingest, late, observe, schema_log
 from .tables import Tables
 
@@ -249,6 +249,19 @@ def stream_schema_log(spark, sf_dir):
         F.col(schema_log.VERSION).alias("version"))
 
 
+# Fixed value: a declared schema that the landed events do not quite have.
+LOOSELY_DECLARED = T.StructType([
+    T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()), T.StructField("user_id", T.IntegerType()),
+    T.StructField("value", T.LongType()), T.StructField("loaded_at", T.TimestampType())])
+
+
+def schema_inferred(spark, sf_dir):
+    """Schema inferred from half of the landed events, held against a declared one over all of them."""
+    path = scratch_path(spark, "infer")
+    writers.write_landing(Tables(spark, sf_dir).events, path, "json")
+    return inference.drift_report(spark, path, LOOSELY_DECLARED, sampling_ratio=0.5)
+
+
 KNOWN_EVENT_FIELDS = T.StructType([f for f in EVENTS_SCHEMA.fields if f.name != "props"])
 
 

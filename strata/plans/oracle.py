@@ -294,4 +294,14 @@ ORACLE = {
   select event_id, cast(max(not late) as bigint) as kept, cast(count_if(late) as bigint) as late, cast(count_if(not late) - cast(max(not late) as int) as bigint) as duplicates,
   bool_or(not late) and max(ts) > (select date_trunc('millisecond', max(ts)) - interval 4 day from a) as held from x group by event_id""",
     "stream_ledger": "select 'run-1' as pipeline_run_id, 'OK' as status, count(*) as rows_in, cast(count_if(value between 0 and 150) as bigint) as rows_out, true as several from events",
+    # ---- runtime pruning by date, inferred schema
+    "fact_dates_pruned": """select cast(year(l_shipdate) as int) as y, monthname(l_shipdate) as month_name, dayname(l_shipdate) as day_name, count(*) as n, cast(sum(cast(trunc(l_quantity) as bigint)) as bigint) as quantity
+  from lineitem where quarter(l_shipdate) = 4 and dayofweek(l_shipdate) in (0, 6) group by 1, 2, 3""",
+    "schema_inferred": """select 'event_id' as field, 'bigint' as declared, 'bigint' as inferred, 'same' as verdict, 'bigint' as proposed, count(event_id) as n_values, cast(0 as bigint) as n_misfits from events
+  union all select 'ts', 'timestamp_ntz', 'string', 'fits', 'timestamp_ntz', count(ts), 0 from events
+  union all select 'user_id', 'int', 'bigint', 'fits', 'int', count(user_id), 0 from events
+  union all select 'value', 'bigint', 'double', 'misfits', 'double', count(value), count(value) from events
+  union all select 'loaded_at', 'timestamp', null, 'absent', 'timestamp', 0, 0 from (select count(*) from events) x
+  union all select 'event_type', null, 'string', 'undeclared', 'string', count(event_type), 0 from events
+  union all select 'props', null, 'string', 'undeclared', 'string', count(props), 0 from events""",
 }

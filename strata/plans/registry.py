@@ -31,7 +31,7 @@ def queries() -> dict[str, Query]:
     q |= _from(star, ["sk_dense", "dim_order", "dim_from_fact", "dim_versions", "fact_temporal_join",
                       "chk_fact_grain", "fact_star_join", "fact_unknown_member", "fact_maintenance",
                       "cost_split", "date_shift", "dim_date", "sk_incremental", "fact_production",
-                      "fact_asof_binned"])
+                      "fact_asof_binned", "fact_dates_pruned"])
     q |= _from(governed, ["rls_scoped", "cls_mask", "chk_unmasked", "chk_rls_scope",
                           "chk_date_coverage", "chk_fk_left_null", "chk_reconcile", "chk_not_null",
                          "chk_reconcile_dups", "chk_schema", "view_sql", "rls_all"])
@@ -43,7 +43,7 @@ def queries() -> dict[str, Query]:
                     "stream_dedup", "rescued_fields", "stream_cdc_apply", "stream_cdc_out_of_order",
                     "schema_evolution", "source_file_details", "layout_compact", "run_retry", "partitioned_write",
                     "snapshot_versions", "consolidate_tables", "stream_parquet_rescue", "stream_schema_log",
-                    "required_quarantine", "stream_late_rows", "stream_ledger"])
+                    "required_quarantine", "stream_late_rows", "stream_ledger", "schema_inferred"])
     return q
 
 

@@ -6,7 +6,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import date_key, shift_days, shift_seconds
-from ..operators import asof, keys, model
+from ..operators import asof, dated, keys, model
+from ..session import scratch_path
+from ..sources import writers
 from .fixtures import NULL_TECHNICIAN_EVERY, part_versions
 from .tables import Tables
 
@@ -164,3 +166,20 @@ def fact_production(spark, sf_dir):
     return f.select("o_orderkey", date_key("o_orderdate").alias("date_sk"),
                     F.col("ordered").alias("units_produced"), m["units_passed"].alias("units_passed"),
                     m["defect_count"].alias("defect_count"), m["yield_on_ordered"].alias("yield_rate"))
+
+
+# Fixed value: the days of the calendar that the pruned join asks for.
+CHOSEN_DAYS = "fq = 'FQ4' and is_weekend"
+
+
+def fact_dates_pruned(spark, sf_dir):
+    """Lines stored by month of shipment and joined with chosen days of a stored date dimension: only
+    those days' months are read."""
+    t = Tables(spark, sf_dir)
+    path = scratch_path(spark, "lines-by-month")
+    dated.write_by_date(t.lineitem.select("l_orderkey", "l_quantity", "l_shipdate"), path, "l_shipdate")
+    bounds = t.lineitem.agg(F.min("l_shipdate").alias("s"), F.max("l_shipdate").alias("e"))
+    calendar = writers.write_snapshot(model.date_dimension(model.date_spine(bounds, "s", "e")), scratch_path(spark, "dim-date"), 1)
+    j = dated.join_dates(spark.read.parquet(path), spark.read.parquet(calendar).where(CHOSEN_DAYS))
+    return j.groupBy("y", "month_name", "day_name").agg(
+        F.count("*").alias("n"), F.sum(F.col("l_quantity").cast("bigint")).alias("quantity"))
