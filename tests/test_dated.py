@@ -28,15 +28,21 @@ def test_period_keys(spark):
 
 def test_join_reads_only_the_periods_of_the_chosen_days(spark, scratch):
     calendar = _calendar(spark, scratch("dates"), dt.date(2022, 12, 1), dt.date(2024, 12, 31))
-    for period, folders in (("month", 2), ("year", 1)):
+    j = dated.join_dates(_stored(spark, scratch("fact"), "month"), calendar.where("y = 2023 and m in (3, 5) and dom = 2"))
+    assert sorted(r.id for r in j.collect()) == [60, 121]
+    final = j._jdf.queryExecution().executedPlan().executedPlan().plan()     # the stage of the result
+    assert "dynamicpruning" in final.toString()
+    leaves = final.collectLeaves()
+    read = [leaves.apply(i).metrics().get("numPartitions") for i in range(leaves.size())]
+    assert [m.get().value() for m in read if m.isDefined()] == [2]           # of 15
+
+
+def test_other_periods(spark, scratch):
+    calendar = _calendar(spark, scratch("dates"), dt.date(2022, 12, 1), dt.date(2024, 12, 31))
+    for period in ("day", "year"):
         fact = _stored(spark, scratch("fact"), period)
         j = dated.join_dates(fact, calendar.where("y = 2023 and m in (3, 5) and dom = 2"), period=period)
         assert sorted(r.id for r in j.collect()) == [60, 121]
-        final = j._jdf.queryExecution().executedPlan().executedPlan().plan()     # the stage of the result
-        assert "dynamicpruning" in final.toString()
-        leaves = final.collectLeaves()
-        read = [leaves.apply(i).metrics().get("numPartitions") for i in range(leaves.size())]
-        assert [m.get().value() for m in read if m.isDefined()] == [folders]
 
 
 def test_rows_without_a_date_meet_no_day(spark, scratch):
