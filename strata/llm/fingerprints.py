@@ -16,11 +16,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Rolling, U64, WordNames, chunks, mixed, stored
+from .common import Rolling, U64, chunks, mixed, stored, word_names
 
 SHINGLE = 5
 PERMUTATIONS = 64
-_WORDS = WordNames()
 _rng = np.random.default_rng(20240607)
 _A = _rng.integers(0, 1 << 63, PERMUTATIONS, dtype=np.uint64) * U64(2) + U64(1)
 _B = _rng.integers(0, 1 << 63, PERMUTATIONS, dtype=np.uint64)
@@ -37,20 +36,23 @@ def shingle_names(names: np.ndarray, k: int) -> np.ndarray:
 
 def signatures(texts: list[bytes]) -> np.ndarray:
     """One row of 16-bit values per text; all ones for a text without words."""
-    out = np.full((len(texts), PERMUTATIONS), 0xFFFF, dtype=np.uint16)
-    names = [_WORDS.of(t.lower().split()) for t in texts]
-    full = np.array([i for i, n in enumerate(names) if len(n)], dtype=np.int64)
+    return set_signatures([shingle_names(word_names(t.lower().split()), SHINGLE) for t in texts])
+
+
+def set_signatures(sets: list[np.ndarray]) -> np.ndarray:
+    """One row of 16-bit values per set of shingle names (repeats do no harm); all ones if empty."""
+    out = np.full((len(sets), PERMUTATIONS), 0xFFFF, dtype=np.uint16)
+    full = np.array([i for i, s in enumerate(sets) if len(s)], dtype=np.int64)
     if not len(full):
         return out
-    sets = [shingle_names(names[i], SHINGLE) for i in full]
+    sets = [sets[i] for i in full]
     starts = np.concatenate([[0], np.cumsum([len(s) for s in sets])[:-1]])
     low = np.concatenate(sets) >> U64(32)           # multiply-add-shift takes 32-bit values
     buf = np.empty_like(low)
     for p in range(PERMUTATIONS):
         np.multiply(low, _A[p], out=buf)
         np.add(buf, _B[p], out=buf)
-        np.right_shift(buf, U64(32), out=buf)
-        least = np.minimum.reduceat(buf, starts)
+        least = np.minimum.reduceat(buf, starts) >> U64(32)     # the shift keeps the order
         out[full, p] = (mixed(least + (U64(p) << U64(32))) & U64(0xFFFF)).astype(np.uint16)
     return out
 

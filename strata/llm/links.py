@@ -135,10 +135,11 @@ def link(bands: DataFrame, texts: DataFrame, shingles: Callable[[bytes], np.ndar
          direct: int = DIRECT) -> tuple[DataFrame, DataFrame]:
     """(links (a, b), components (v, component) of every vertex that shares a band).
 
-    bands: (v, band) rows, equal bands make candidates; texts: (v, text binary), one or more per
+    bands: (v, band) rows, repeats allowed, equal bands make candidates; texts: (v, text binary), one or more per
     vertex."""
     pivots = bands.groupBy("band").agg(F.min("v").alias("a"), F.max("v").alias("z")).where("a <> z").select("band", "a")
-    members = stored(bands.join(pivots, "band").select("band", "a", F.col("v").alias("b")), "link-buckets")
+    # of all bands only those that two vertices share are made distinct
+    members = stored(bands.join(pivots, "band").select("band", "a", F.col("v").alias("b")).distinct(), "link-buckets")
     star = members.where("a <> b").select("a", "b").distinct()
     involved = stored(members.select(F.col("b").alias("v")).distinct(), "link-vertices")
     held = stored(texts.join(involved, "v"), "link-texts")

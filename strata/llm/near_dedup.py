@@ -19,23 +19,36 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import MASK64, U64, WordNames, chunks, mixed, signed, stored
+from .common import MASK64, U64, chunks, mixed, signed, stored, word_names
 from .fingerprints import shingle_names
 from .graph import joined as merged
 from .links import DIRECT, link
 
 BANDS, ROWS = 48, 6
 SIZE = BANDS * ROWS
-_WORDS = WordNames()
 
 
 def shingle_set(words: int):
     """text bytes -> sorted distinct 64-bit names of its `words`-word shingles, A-Z lower-cased."""
     def of(text: bytes) -> np.ndarray:
-        return np.unique(shingle_names(_WORDS.of(text.lower().split()), words))
+        s = np.sort(shingle_names(word_names(text.lower().split()), words))
+        return s[np.concatenate([[True], s[1:] != s[:-1]])] if len(s) else s
     return of
 
 
+def set_sums(sets: list[np.ndarray]) -> list[pa.Array]:
+    """Size and two 64-bit sums of each set; equal sets are those with all three equal."""
+    size = np.array([len(s) for s in sets], dtype=np.int64)
+    full = np.flatnonzero(size)
+    sums = np.zeros((2, len(sets)), dtype=U64)
+    if len(full):
+        items = np.concatenate([sets[i] for i in full])
+        starts = np.cumsum(size[full]) - size[full]
+        for row, x in zip(sums, (items, ~items)):
+            row[full] = np.add.reduceat(mixed(x), starts)
+    return [pa.array(size), *(pa.array(signed(row)) for row in sums)]
+
+
 def sketches(sets: list[np.ndarray], size: int = SIZE) -> np.ndarray:
     """Fast similarity sketches of non-empty sets, a row of `size` values each."""
     n = len(sets)
@@ -85,17 +98,15 @@ def _sketch_rows(words: int):
                 bands = [[] for _ in sets]
                 for k, row in zip(full, names):
                     bands[k] = row
-                sums = [signed(np.array([mixed(s).sum(dtype=U64), mixed(~s).sum(dtype=U64)])) for s in sets]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("d").slice(i, j - i), pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array([s[0] for s in sums], pa.int64()), pa.array([s[1] for s in sums], pa.int64()),
-                     pa.array(bands, pa.list_(pa.int64()))], schema=schema)
+                    [batch.column("d").slice(i, j - i), *set_sums(sets), pa.array(bands, pa.list_(pa.int64()))],
+                    schema=schema)
     return run
 
 
 def class_members(real: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(links (a, b) of a class of equal sets from its smallest id, bands (v, band) left to join) of
-    rows (d, n, s1, s2, bands)."""
+    """(links (a, b) of a class of equal sets from its smallest id, bands (v, band) left to join,
+    which may repeat) of rows (d, n, s1, s2, bands)."""
     classes = real.groupBy("s1", "s2", "n").agg(F.min("d").alias("rep"), F.max("d").alias("top"))
     member = (real.select("d", "s1", "s2", "n").distinct()
               .join(classes.where("rep <> top").select("s1", "s2", "n", "rep"), ["s1", "s2", "n"])
@@ -103,7 +114,7 @@ def class_members(real: DataFrame) -> tuple[DataFrame, DataFrame]:
     member = stored(member, "near-classes")
     # an id with another text keeps that text's bands
     heads = (real.join(member.select(F.col("b").alias("d"), "s1", "s2", "n"), ["d", "s1", "s2", "n"], "left_anti")
-             .select(F.col("d").alias("v"), F.explode("bands").alias("band")).distinct())
+             .select(F.col("d").alias("v"), F.explode("bands").alias("band")))
     return member.select("a", "b").distinct(), heads
 
 

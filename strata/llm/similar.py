@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import U64, chunks, mixed, signed, stored
-from .fingerprints import SHINGLE, signatures
+from .fingerprints import SHINGLE, set_signatures
 from .links import DIRECT, link
-from .near_dedup import class_members, shingle_set
+from .near_dedup import class_members, set_sums, shingle_set
 
 BANDS, ROWS = 21, 3
 
@@ -36,11 +36,9 @@ def _banded(batches):
         texts = batch.column("text").to_pylist()
         for i, j in chunks([len(t) for t in texts], 1_000_000):
             sets = [of(t) for t in texts[i:j]]
-            names = signed(np.ascontiguousarray(signature_bands(signatures(texts[i:j]))))
-            sums = [signed(np.array([mixed(s).sum(dtype=U64), mixed(~s).sum(dtype=U64)])) for s in sets]
+            names = signed(np.ascontiguousarray(signature_bands(set_signatures(sets))))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("d").slice(i, j - i), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([s[0] for s in sums], pa.int64()), pa.array([s[1] for s in sums], pa.int64()),
+                [batch.column("d").slice(i, j - i), *set_sums(sets),
                  pa.array([row if len(s) else [] for s, row in zip(sets, names)], pa.list_(pa.int64()))],
                 names=["d", "n", "s1", "s2", "bands"])
 

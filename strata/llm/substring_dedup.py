@@ -14,14 +14,12 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import WordNames
+from .common import word_names
 from .repeats import Repeats, apply_repeats
 
-_NAMES = WordNames()
-
 
 def _words(text: bytes) -> np.ndarray:
-    return _NAMES.of(text.split())      # bytes.split() cuts at 0x20 and 0x09-0x0D only
+    return word_names(text.split())      # bytes.split() cuts at 0x20 and 0x09-0x0D only
 
 
 def spec(length: int = 50, seed: int | None = None) -> Repeats:

@@ -84,3 +84,28 @@ def test_similar_pairs_equal_brute_force(spark):
     got = {(x.a, x.b) for x in similar(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
     assert got <= pairs and any(b - a > 1 for a, b in got)
     assert components(got) == components(pairs)
+
+
+def test_bands_name_each_text_once(monkeypatch):
+    import pyarrow as pa
+
+    from strata.llm import fingerprints, near_dedup, similar
+    texts = [b"One two three four five six", b"", b"x y", b" \n", b"a a a a a a a a"]
+    named, of = [], fingerprints.shingle_names
+
+    def counted(names, k):
+        named.append(len(names))
+        return of(names, k)
+
+    for module in (fingerprints, near_dedup):
+        monkeypatch.setattr(module, "shingle_names", counted)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(5)), pa.array(texts, pa.binary())], names=["d", "text"])
+    got = pa.Table.from_batches(similar._banded([batch])).to_pylist()
+    assert sorted(named) == [0, 0, 2, 6, 8]
+    bands = similar.signature_bands(signatures(texts)).view("int64").tolist()
+    assert [r["bands"] for r in got] == [b if r["n"] else [] for r, b in zip(got, bands)]
+    assert [r["n"] for r in got] == [2, 0, 1, 0, 1]
+    for r, t in zip(got, texts):
+        s = near_dedup.shingle_set(5)(t)
+        sums = [int(near_dedup.mixed(x).sum(dtype="uint64").view("int64")) for x in (s, ~s)]
+        assert [r["s1"], r["s2"]] == sums
