@@ -89,10 +89,12 @@ def _quotient_iteration(v: np.ndarray, lo: float, hi: float, found: list[np.ndar
                 shift = float(np.clip(x @ v @ x, lo, hi))
             if step and np.linalg.norm(away(v @ x - (x @ v @ x) * x)) <= 4e-15 * n * size:
                 break
-            try:
-                y = np.linalg.solve(v - shift * np.eye(n), x)
-            except np.linalg.LinAlgError:           # the shift is an eigenvalue to the last bit
-                y = np.linalg.solve(v - (shift + 1e-15 * size) * np.eye(n), x)
+            y, nudge = None, 0.0
+            while y is None:
+                try:
+                    y = np.linalg.solve(v - (shift + nudge) * np.eye(n), x)
+                except np.linalg.LinAlgError:       # the shift is an eigenvalue to the last bit
+                    nudge = max(1e-15 * size, 4 * nudge)    # the first may be lost in a far larger shift
             x = away(away(y / np.linalg.norm(y)))
         else:
             x = x / np.linalg.norm(x)

@@ -2,7 +2,7 @@
 import numpy as np
 import pytest
 
-from strata.llm.whitening import count_above, leading, whiten
+from strata.llm.whitening import _quotient_iteration, count_above, leading, whiten
 
 
 def matrices():
@@ -35,6 +35,20 @@ def test_leading_eigenvalues(v):
         assert s.above_upper < k <= s.above_lower
 
 
+def test_shift_that_is_an_eigenvalue_to_the_last_bit(monkeypatch):
+    v, solve = np.ones((20, 20)), np.linalg.solve           # 20 + 1e-15 is 20
+
+    def strict(a, b):
+        if (a == v - 20 * np.eye(20)).all():
+            raise np.linalg.LinAlgError("Singular matrix")
+        return solve(a, b)
+
+    monkeypatch.setattr(np.linalg, "solve", strict)
+    value, x = _quotient_iteration(v, 20.0, 20.0, [])
+    assert abs(value - 20) < 1e-12
+    assert np.allclose(np.abs(x), 20 ** -0.5, rtol=0, atol=1e-12)
+
+
 def test_counts_of_indefinite_matrices():
     r = np.random.default_rng(1)
     for n in (1, 2, 5, 20):
